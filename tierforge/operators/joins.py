@@ -1,0 +1,22 @@
+"""Join helpers with an explicit size check before any broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default row bound under which a dimension is shipped to every executor.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def sized_broadcast(df: DataFrame, known_rows: int | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when its row count is at most ``max_rows``.
+
+    ``known_rows`` is a bound known by construction (a generated calendar,
+    a stored table's recorded count). Without it the frame is counted,
+    which is cheap only for stored tables (Parquet footers) and small
+    inputs, so call it on those. Above the bound the frame is returned
+    unchanged and the planner/AQE choose a shuffle join.
+    """
+    n = known_rows if known_rows is not None else df.count()
+    return F.broadcast(df) if n <= max_rows else df
