@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import oracle
+from ..session import prepare
+from . import oracle, ops
 from .runner import built
 from .specs import SPECS
 
@@ -103,9 +104,26 @@ def model_sql(name: str) -> str:
     return oracle_wrap(oracle.sql_for(f"select * from {blk}"), SPECS[name])
 
 
+def _op_query(name: str):
+    fn = ops.OPS[name][0]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return finalize(fn(spark, sf_dir), SPECS.get(name))
+
+    run.__name__ = name
+    return run
+
+
 def queries() -> dict:
-    return {n: _model_query(n) for n in MODELS}
+    out = {n: _model_query(n) for n in MODELS}
+    out.update({n: _op_query(n) for n in ops.OPS})
+    return out
 
 
 def oracle_sql() -> dict:
-    return {n: model_sql(n) for n in MODELS if n in SPECS}
+    out = {n: model_sql(n) for n in MODELS if n in SPECS}
+    for n, (_, sql) in ops.OPS.items():
+        if sql is not None and n in SPECS:
+            out[n] = oracle_wrap(sql(), SPECS[n])
+    return out

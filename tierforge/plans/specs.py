@@ -1,7 +1,65 @@
 """Normalised output schema of each catalogued query (column, type);
 shared by the Spark finaliser and the SQL oracle."""
 
-SPECS = {'m01_stg_customers': [('customer_id', 'string'),
+SPECS = {'d1_unique': [('test_name', 'string'), ('value', 'string'), ('n_records', 'bigint')],
+ 'd2_not_null': [('test_name', 'string'), ('null_rows', 'bigint')],
+ 'd3_accepted_values': [('test_name', 'string'), ('value', 'string'), ('n_records', 'bigint')],
+ 'd4_relationships': [('test_name', 'string'), ('value', 'string'), ('n_records', 'bigint')],
+ 'd5_unique_combination': [('test_name', 'string'), ('value', 'string'), ('n_records', 'bigint')],
+ 'd6_quality_suite': [('test_name', 'string'),
+                      ('model', 'string'),
+                      ('kind', 'string'),
+                      ('column_name', 'string'),
+                      ('failures', 'bigint'),
+                      ('status', 'string')],
+ 'h5_scd2_hard_deletes': [('customer_key', 'bigint'),
+                          ('customer_name', 'string'),
+                          ('customer_address', 'string'),
+                          ('nation_key', 'int'),
+                          ('customer_phone', 'string'),
+                          ('account_balance', 'double'),
+                          ('market_segment', 'string'),
+                          ('_loaded_at', 'ts'),
+                          ('scd_id', 'string'),
+                          ('updated_at', 'ts'),
+                          ('valid_from', 'ts'),
+                          ('valid_to', 'ts')],
+ 'l10_durations': [('event_id', 'bigint'),
+                   ('dag_id', 'string'),
+                   ('model_name', 'string'),
+                   ('duration_seconds', 'double')],
+ 'l1_run_rollup': [('run_id', 'bigint'),
+                   ('layer', 'string'),
+                   ('models_total', 'bigint'),
+                   ('models_success', 'bigint'),
+                   ('models_error', 'bigint'),
+                   ('models_skipped', 'bigint'),
+                   ('status', 'string')],
+ 'l2_flatten_results': [('result_id', 'bigint'),
+                        ('run_id', 'bigint'),
+                        ('layer', 'string'),
+                        ('model_name', 'string'),
+                        ('resource_type', 'string'),
+                        ('status', 'string'),
+                        ('execution_time_seconds', 'double'),
+                        ('rows_affected', 'bigint'),
+                        ('error_message', 'string')],
+ 'l3_infer_layer': [('event_id', 'bigint'), ('model_name', 'string'), ('layer', 'string')],
+ 'l4_base_model_name': [('event_id', 'bigint'), ('task_id', 'string'), ('model_name', 'string')],
+ 'l5_last_attempt_state': [('layer', 'string'), ('last_run_id', 'bigint'), ('state', 'string')],
+ 'l6_rows_written': [('event_id', 'bigint'), ('model_name', 'string'), ('rows_affected', 'bigint')],
+ 'l7_cycle_state': [('dag_id', 'string'),
+                    ('model_name', 'string'),
+                    ('layer', 'string'),
+                    ('status', 'string'),
+                    ('updated_at', 'ts')],
+ 'l8_pending': [('dag_id', 'string'), ('task_id', 'string')],
+ 'l9_clear_dag': [('dag_id', 'string'),
+                  ('model_name', 'string'),
+                  ('layer', 'string'),
+                  ('status', 'string'),
+                  ('updated_at', 'ts')],
+ 'm01_stg_customers': [('customer_id', 'string'),
                        ('customer_unique_id', 'string'),
                        ('customer_zip_code_prefix', 'string'),
                        ('customer_city', 'string'),
@@ -400,4 +458,14 @@ SPECS = {'m01_stg_customers': [('customer_id', 'string'),
                                ('net_revenue', 'double'),
                                ('avg_order_value', 'double'),
                                ('first_order_date', 'date'),
-                               ('last_order_date', 'date')]}
+                               ('last_order_date', 'date')],
+ 's8_schema_sync': [('part_key', 'bigint'),
+                    ('part_name', 'string'),
+                    ('manufacturer', 'string'),
+                    ('brand', 'string'),
+                    ('part_type', 'string'),
+                    ('part_size', 'int'),
+                    ('retail_price', 'double'),
+                    ('_loaded_at', 'ts'),
+                    ('size_band', 'string')],
+ 's9_clustered_layout': [('file', 'string'), ('min_ship_date', 'date'), ('max_ship_date', 'date'), ('rows', 'bigint')]}
