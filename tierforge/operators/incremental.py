@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+from .joins import BROADCAST_MAX_ROWS, sized_broadcast
+
 
 class DuplicateMergeKeyError(ValueError):
     """More than one update row matches one target row (a merge must not
@@ -107,12 +110,27 @@ def _align(updates: DataFrame, target: DataFrame, sync_schema: bool) -> tuple[Da
     return target, u
 
 
-def check_merge_keys(target: DataFrame, updates: DataFrame, keys: list[str]) -> None:
+def batch_profile(updates: DataFrame, keys: list[str]) -> tuple[int, bool]:
+    """(rows, has duplicate non-NULL keys) of an update batch, in one job."""
+    per_key = updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    r = per_key.agg(
+        F.sum("n").alias("rows"),
+        F.max(F.when(_all_not_null(keys), F.col("n"))).alias("mx"),
+    ).first()
+    return int(r["rows"] or 0), (r["mx"] or 0) > 1
+
+
+def check_merge_keys(target: DataFrame, updates: DataFrame, keys: list[str], has_dups: bool | None = None) -> None:
     """Raise if two update rows share a key that exists in the target.
 
     Duplicate keys that are new are all inserted, as a warehouse MERGE does;
-    duplicates that would update one target row are an error there.
+    duplicates that would update one target row are an error there. The
+    target is only read when the batch has duplicate keys at all.
     """
+    if has_dups is None:
+        has_dups = batch_profile(updates, keys)[1]
+    if not has_dups:
+        return
     dup = (
         updates.filter(_all_not_null(keys))
         .groupBy(*keys)
@@ -139,19 +157,32 @@ def merge_upsert(
     keys: list[str],
     sync_schema: bool = False,
     check_duplicates: bool = True,
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    stage: bool = True,
 ) -> DataFrame:
     """Keyed MERGE: matched target rows are replaced by the update row,
     unmatched update rows are inserted, other target rows stay.
 
-    Built as ``target LEFT ANTI updates(keys) UNION ALL updates``: one
-    shuffle of each side on the key (or a broadcast of the update keys when
-    AQE measures them small). NULL keys never match, so NULL-keyed updates
-    are inserted again on each run.
+    Built as ``target LEFT ANTI updates(keys) UNION ALL updates``. One job
+    profiles the batch (row count, duplicate keys); when the batch has at
+    most ``broadcast_max_rows`` rows its keys are broadcast and the target
+    is scanned and written without a shuffle, otherwise both sides shuffle
+    on the key (sort-merge anti join, AQE splits skewed partitions). NULL
+    keys never match, so NULL-keyed updates are inserted again each run.
     """
     if target is None:
         return updates
     t, u = _align(updates, target, sync_schema)
+    if stage:
+        # The batch feeds three consumers (profile, key side, insert side):
+        # write it once to the checkpoint folder instead of recomputing it.
+        checkpoint_root(u.sparkSession)
+        u = u.checkpoint(eager=True)
+    rows, has_dups = batch_profile(u, keys)
     if check_duplicates:
-        check_merge_keys(t, u, keys)
-    kept = t.join(u.select(*keys), on=keys, how="left_anti")
+        check_merge_keys(t, u, keys, has_dups)
+    # A batch of proven small size is broadcast: the target is then streamed
+    # through the anti join without being shuffled.
+    ukeys = sized_broadcast(u.select(*keys), known_rows=rows, max_rows=broadcast_max_rows)
+    kept = t.join(ukeys, on=keys, how="left_anti")
     return kept.unionByName(u)
