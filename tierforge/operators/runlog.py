@@ -181,6 +181,10 @@ def rows_written(task_events: DataFrame, history: DataFrame, bucket_seconds: int
         starts = F.sequence(F.lit(1), F.greatest(F.length("_text") - n + 1, F.lit(1)))
         cands.append(F.transform(starts, _substring_of_text(n)))
     q = q.select("query_id", "end_time", "_rows", F.explode(F.array_distinct(F.flatten(F.array(*cands)))).alias("_name"))
+    # keep only candidates that are model names (semi join: broadcast by AQE
+    # when the name set is small, shuffled otherwise) before aggregating
+    names = ok.select(F.lower("model_name").alias("_name")).distinct()
+    q = q.join(names, "_name", "left_semi")
     q = q.groupBy("_name", "end_time").agg(F.sum("_rows").alias("_rows")).withColumn(
         "_bucket", F.floor(_seconds(F.col("end_time")) / bucket_seconds)
     )
