@@ -44,10 +44,7 @@ def main() -> None:
     prepare(spark)
 
     t0 = time.perf_counter()
-    run = Run(spark, sf_dir)
-    for d in (1, 2):
-        run.tpch_day(d)
-        run.retail_day(d)
+    run = Run(spark, sf_dir).run(domains=("tpch", "retail"))
     pipeline = time.perf_counter() - t0
     app = spark.sparkContext.applicationId
     _BUILT[(app, sf_dir, "tpch")] = run

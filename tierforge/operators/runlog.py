@@ -152,7 +152,8 @@ def rows_written(task_events: DataFrame, history: DataFrame, bucket_seconds: int
     checked. The name condition needs no broadcast either: every
     substring of the query text whose length equals some model-name length
     is a candidate key (the set of name lengths is tiny), deduplicated per
-    query. History is summed per (name, end time) before the join, so many
+    query; when all names are identifiers the substrings are taken per
+    identifier token of the text, which is exact and far fewer. History is summed per (name, end time) before the join, so many
     queries with one end time cost one row.
     """
     ev = with_model(task_events)
@@ -167,7 +168,11 @@ def rows_written(task_events: DataFrame, history: DataFrame, bucket_seconds: int
         F.explode(F.sequence(F.floor(_seconds(F.col("_lo")) / bucket_seconds), F.floor(_seconds(F.col("_hi")) / bucket_seconds))),
     )
 
-    lengths = [r[0] for r in ok.select(F.length("model_name").alias("n")).distinct().collect() if r[0]]
+    prof = ok.agg(
+        F.collect_set(F.length("model_name")).alias("lengths"),
+        F.coalesce(F.min(F.col("model_name").rlike(r"^[A-Za-z0-9_]+$").cast("int")), F.lit(1)).alias("words"),
+    ).first()
+    lengths = sorted(n for n in (prof["lengths"] or []) if n)
     if not lengths:
         return ev.select("event_id", "model_name", F.lit(None).cast("bigint").alias("rows_affected"))
     q = history.filter(
@@ -176,11 +181,13 @@ def rows_written(task_events: DataFrame, history: DataFrame, bucket_seconds: int
         "query_id", "end_time", F.lower("query_text").alias("_text"),
         (F.coalesce("rows_inserted", F.lit(0)) + F.coalesce("rows_updated", F.lit(0))).alias("_rows"),
     )
-    cands = []
-    for n in sorted(set(lengths)):
-        starts = F.sequence(F.lit(1), F.greatest(F.length("_text") - n + 1, F.lit(1)))
-        cands.append(F.transform(starts, _substring_of_text(n)))
-    q = q.select("query_id", "end_time", "_rows", F.explode(F.array_distinct(F.flatten(F.array(*cands)))).alias("_name"))
+    if prof["words"] == 1:
+        # identifier-only names can only occur inside one identifier token
+        pieces = F.filter(F.split(F.col("_text"), r"[^a-z0-9_]+"), lambda t: F.length(t) > 0)
+    else:
+        pieces = F.array(F.col("_text"))
+    cands = F.flatten(F.transform(pieces, _substrings_of(lengths)))
+    q = q.select("query_id", "end_time", "_rows", F.explode(F.array_distinct(cands)).alias("_name"))
     # keep only candidates that are model names (semi join: broadcast by AQE
     # when the name set is small, shuffled otherwise) before aggregating
     names = ok.select(F.lower("model_name").alias("_name")).distinct()
@@ -197,9 +204,24 @@ def rows_written(task_events: DataFrame, history: DataFrame, bucket_seconds: int
     return ev.select("event_id", "model_name").join(hits, "event_id", "left")
 
 
-def _substring_of_text(n: int):
-    # one-argument lambda: F.transform passes (element, index) to two-argument ones
-    return lambda i: F.substring(F.col("_text"), i, n)
+def _substrings_of(lengths: list[int]):
+    """piece -> every substring of the piece whose length is in ``lengths``.
+
+    One-argument lambdas throughout: F.transform passes (element, index) to
+    two-argument ones."""
+
+    def per_piece(p: Column) -> Column:
+        arrs = []
+        for n in lengths:
+            starts = F.sequence(F.lit(1), F.greatest(F.length(p) - n + 1, F.lit(1)))
+            arrs.append(F.transform(starts, _substring_at(p, n)))
+        return F.flatten(F.array(*arrs))
+
+    return per_piece
+
+
+def _substring_at(p: Column, n: int):
+    return lambda i: F.substring(p, i, n)
 
 
 def cycle_state(task_events: DataFrame, key: str = "model_name") -> DataFrame:

@@ -11,8 +11,12 @@ Layers run in the reference order: bronze, silver, snapshot, gold.
 
 from __future__ import annotations
 
+import os
+import threading
 import time
 from collections import defaultdict
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,23 +31,45 @@ TPCH_TABLES = ("customer", "lineitem", "nation", "orders", "part", "partsupp", "
 
 
 class Run:
-    """One pipeline run over one input directory."""
+    """One pipeline run over one input directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, store: TableStore | None = None):
+    Models of one layer that do not depend on each other are submitted
+    concurrently (``parallel`` threads, one Spark job each); the two model
+    families run side by side. Small jobs leave most cores idle, so this
+    matters at small scale; on a large cluster each job fills it anyway.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, store: TableStore | None = None, parallel: int | None = None):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
         self.store = store or TableStore(spark)
+        self.parallel = parallel or int(os.environ.get("TIERFORGE_PARALLEL", "4"))
         self.timings: dict[str, float] = defaultdict(float)
+        self._lock = threading.Lock()
 
     def fixture(self, name: str) -> DataFrame:
         return fx.fixture(self.spark, self.sf_dir, name)
 
-    def _put(self, name: str, df: DataFrame, how: str = "write", **kw) -> DataFrame:
+    def _put(self, name: str, build: Callable[[], DataFrame], how: str = "write", **kw) -> DataFrame:
+        """Compute a model (including its eager scalar jobs) and write it."""
         t0 = time.perf_counter()
+        df = build()
         out = self.store.append(name, df) if how == "append" else self.store.write(name, df, **kw)
-        self.timings[name] += time.perf_counter() - t0
+        with self._lock:
+            self.timings[name] += time.perf_counter() - t0
         return out
 
+    def _wave(self, items: list[tuple]) -> None:
+        """Run independent ``(name, build, how, kw)`` items concurrently."""
+        if self.parallel <= 1 or len(items) == 1:
+            for it in items:
+                self._put(it[0], it[1], *it[2:3], **(it[3] if len(it) > 3 else {}))
+            return
+        with ThreadPoolExecutor(max_workers=min(self.parallel, len(items))) as ex:
+            futs = [ex.submit(self._put, it[0], it[1], *it[2:3], **(it[3] if len(it) > 3 else {})) for it in items]
+            for f in futs:
+                f.result()
+
     def get(self, name: str) -> DataFrame:
         df = self.store.read(name)
         if df is None:
@@ -55,71 +81,92 @@ class Run:
         ts, run_date, s = DAY_TS[day], DAY_DATE[day], self.store
 
         # bronze: append unseen keys of the source as it stands that day
-        for t in TPCH_TABLES:
+        def bronze(t):
             src = self.fixture(f"src_{t}")
             if day == 1:
                 src = src.filter("in_day1")
-            self._put(f"bronze_{t}", tpch.bronze(t, src, s.read(f"bronze_{t}"), ts), how="append")
+            return tpch.bronze(t, src, s.read(f"bronze_{t}"), ts)
+
+        self._wave([(f"bronze_{t}", (lambda t=t: bronze(t)), "append") for t in TPCH_TABLES])
 
         # silver: reads the bronze-shaped fixtures as they stand that day
-        cust_in = self.fixture("fx_customer")
-        if day == 2:
-            cust_in = cust_in.unionByName(self.fixture("fx_customer_v2"))
-        self._put("silver_customer", tpch.silver_customer(cust_in, s.read("silver_customer")))
-        self._put("silver_lineitem", tpch.silver_lineitem(fx.day_slice(self.fixture("fx_lineitem"), day), s.read("silver_lineitem")))
-        self._put("silver_orders", tpch.silver_orders(fx.day_slice(self.fixture("fx_orders"), day), s.read("silver_orders"), run_date))
-        self._put("silver_part", tpch.silver_part(self.fixture("fx_part"), s.read("silver_part")))
-        self._put("silver_partsupp", tpch.silver_partsupp(self.fixture("fx_partsupp"), s.read("silver_partsupp")))
-        self._put("silver_supplier", tpch.silver_supplier(self.fixture("fx_supplier"), s.read("silver_supplier")))
-        self._put("silver_nation_region", tpch.silver_nation_region(self.fixture("fx_nation"), self.fixture("fx_region"), s.read("silver_nation_region")))
+        def cust_in():
+            c = self.fixture("fx_customer")
+            return c.unionByName(self.fixture("fx_customer_v2")) if day == 2 else c
+
+        self._wave([
+            ("silver_customer", lambda: tpch.silver_customer(cust_in(), s.read("silver_customer"))),
+            ("silver_lineitem", lambda: tpch.silver_lineitem(fx.day_slice(self.fixture("fx_lineitem"), day), s.read("silver_lineitem"))),
+            ("silver_orders", lambda: tpch.silver_orders(fx.day_slice(self.fixture("fx_orders"), day), s.read("silver_orders"), run_date)),
+            ("silver_part", lambda: tpch.silver_part(self.fixture("fx_part"), s.read("silver_part"))),
+            ("silver_partsupp", lambda: tpch.silver_partsupp(self.fixture("fx_partsupp"), s.read("silver_partsupp"))),
+            ("silver_supplier", lambda: tpch.silver_supplier(self.fixture("fx_supplier"), s.read("silver_supplier"))),
+            ("silver_nation_region", lambda: tpch.silver_nation_region(self.fixture("fx_nation"), self.fixture("fx_region"), s.read("silver_nation_region"))),
+        ])
 
         # snapshots
-        self._put("snap_customer", tpch.snapshot_customer(s.read("snap_customer"), self.get("silver_customer"), ts))
-        self._put("snap_supplier", tpch.snapshot_supplier(s.read("snap_supplier"), self.get("silver_supplier"), ts))
+        self._wave([
+            ("snap_customer", lambda: tpch.snapshot_customer(s.read("snap_customer"), self.get("silver_customer"), ts)),
+            ("snap_supplier", lambda: tpch.snapshot_supplier(s.read("snap_supplier"), self.get("silver_supplier"), ts)),
+        ])
 
         # gold
-        nr = self.get("silver_nation_region")
-        self._put("dim_customer", tpch.dim_customer(self.get("snap_customer"), nr))
-        self._put("dim_supplier", tpch.dim_supplier(self.get("snap_supplier"), nr))
-        self._put("dim_part", tpch.dim_part(self.get("silver_part"), self.get("silver_partsupp"), s.read("dim_part")))
-        self._put("dim_date", tpch.dim_date(self.spark))
-        self._put("fact_lineitem", tpch.fact_lineitem(self.get("silver_lineitem"), self.get("silver_orders"), s.read("fact_lineitem")), cluster_by="ship_date")
-        self._put("fact_orders", tpch.fact_orders(self.get("fact_lineitem"), s.read("fact_orders")))
-        fl, dc = self.get("fact_lineitem"), self.get("dim_customer")
-        self._put("mart_sales_summary", tpch.mart_sales_summary(fl, dc, self.get("dim_date")))
-        self._put("mart_supplier_performance", tpch.mart_supplier_performance(fl, self.get("dim_supplier")))
-        self._put("mart_customer_segment", tpch.mart_customer_segment(self.get("fact_orders"), dc))
+        nr = lambda: self.get("silver_nation_region")
+        self._wave([
+            ("dim_customer", lambda: tpch.dim_customer(self.get("snap_customer"), nr())),
+            ("dim_supplier", lambda: tpch.dim_supplier(self.get("snap_supplier"), nr())),
+            ("dim_part", lambda: tpch.dim_part(self.get("silver_part"), self.get("silver_partsupp"), s.read("dim_part"))),
+            ("dim_date", lambda: tpch.dim_date(self.spark)),
+            ("fact_lineitem", lambda: tpch.fact_lineitem(self.get("silver_lineitem"), self.get("silver_orders"), s.read("fact_lineitem")),
+             "write", {"cluster_by": "ship_date"}),
+        ])
+        self._wave([
+            ("fact_orders", lambda: tpch.fact_orders(self.get("fact_lineitem"), s.read("fact_orders"))),
+            ("mart_sales_summary", lambda: tpch.mart_sales_summary(self.get("fact_lineitem"), self.get("dim_customer"), self.get("dim_date"))),
+            ("mart_supplier_performance", lambda: tpch.mart_supplier_performance(self.get("fact_lineitem"), self.get("dim_supplier"))),
+        ])
+        self._wave([("mart_customer_segment", lambda: tpch.mart_customer_segment(self.get("fact_orders"), self.get("dim_customer")))])
 
     # ----------------------------------------------------------- retail ----
     def retail_day(self, day: int) -> None:
         ts, s = DAY_TS[day], self.store
-        raw = {n: fx.day_slice(self.fixture(f"fx_raw_{n}"), day) for n in ("customers", "order_items", "payments", "products")}
-        orders_in = self.fixture("fx_raw_orders")
-        if day == 2:
-            orders_in = orders_in.unionByName(self.fixture("fx_raw_orders_v2"))
-        raw["orders"] = orders_in
-
-        self._put("stg_customers", retail.stg_customers(raw["customers"], s.read("stg_customers")))
-        self._put("stg_order_items", retail.stg_order_items(raw["order_items"], s.read("stg_order_items")))
-        self._put("stg_orders", retail.stg_orders(raw["orders"], s.read("stg_orders")))
-        self._put("stg_payments", retail.stg_payments(raw["payments"], s.read("stg_payments")))
-        self._put("stg_products", retail.stg_products(raw["products"], s.read("stg_products")))
-
-        self._put("dim_customer_retail", retail.dim_customer(self.get("stg_customers")))
-        self._put("dim_product", retail.dim_product(self.get("stg_products")))
-        self._put("dim_date_retail", retail.dim_date(self.spark))
-        self._put("fct_orders", retail.fct_orders(self.get("stg_orders"), self.get("stg_order_items"), self.get("stg_payments"), s.read("fct_orders")))
-        self._put("scd_fct_orders", retail.snapshot_orders(s.read("scd_fct_orders"), self.get("fct_orders"), ts))
-        self._put("mart_revenue_kpis", retail.mart_revenue_kpis(
-            self.get("fct_orders"), self.get("dim_customer_retail"), self.get("stg_order_items"),
-            self.get("dim_product"), self.get("dim_date_retail")))
+
+        def raw(n):
+            if n == "orders":
+                o = self.fixture("fx_raw_orders")
+                return o.unionByName(self.fixture("fx_raw_orders_v2")) if day == 2 else o
+            return fx.day_slice(self.fixture(f"fx_raw_{n}"), day)
+
+        self._wave([
+            ("stg_customers", lambda: retail.stg_customers(raw("customers"), s.read("stg_customers"))),
+            ("stg_order_items", lambda: retail.stg_order_items(raw("order_items"), s.read("stg_order_items"))),
+            ("stg_orders", lambda: retail.stg_orders(raw("orders"), s.read("stg_orders"))),
+            ("stg_payments", lambda: retail.stg_payments(raw("payments"), s.read("stg_payments"))),
+            ("stg_products", lambda: retail.stg_products(raw("products"), s.read("stg_products"))),
+        ])
+        self._wave([
+            ("dim_customer_retail", lambda: retail.dim_customer(self.get("stg_customers"))),
+            ("dim_product", lambda: retail.dim_product(self.get("stg_products"))),
+            ("dim_date_retail", lambda: retail.dim_date(self.spark)),
+            ("fct_orders", lambda: retail.fct_orders(self.get("stg_orders"), self.get("stg_order_items"), self.get("stg_payments"), s.read("fct_orders"))),
+        ])
+        self._wave([
+            ("scd_fct_orders", lambda: retail.snapshot_orders(s.read("scd_fct_orders"), self.get("fct_orders"), ts)),
+            ("mart_revenue_kpis", lambda: retail.mart_revenue_kpis(
+                self.get("fct_orders"), self.get("dim_customer_retail"), self.get("stg_order_items"),
+                self.get("dim_product"), self.get("dim_date_retail"))),
+        ])
 
     def run(self, domains=("tpch", "retail"), days=(1, 2)) -> "Run":
         for d in days:
-            if "tpch" in domains:
-                self.tpch_day(d)
-            if "retail" in domains:
-                self.retail_day(d)
+            steps = [getattr(self, f"{dom}_day") for dom in domains]
+            if self.parallel > 1 and len(steps) > 1:
+                with ThreadPoolExecutor(max_workers=len(steps)) as ex:
+                    for f in [ex.submit(step, d) for step in steps]:
+                        f.result()
+            else:
+                for step in steps:
+                    step(d)
         return self
 
 
