@@ -302,3 +302,129 @@ OPS = {
 for _n in ("l1_run_rollup", "l2_flatten_results", "l3_infer_layer", "l4_base_model_name", "l5_last_attempt_state",
            "l6_rows_written", "l7_cycle_state", "l8_pending", "l9_clear_dag", "l10_durations"):
     OPS[_n] = (globals()[_n], (lambda n=_n: l_sql(n)))
+
+
+# ------------------------------------------------- single-operator queries ----
+# Each applies one operator to whole fixture tables; day 1 / day 2 follow the
+# batch stamps (``_loaded_at``) as in the models.
+from ..functions import exprs as X  # noqa: E402
+from ..operators.dedup import dedup_latest  # noqa: E402
+from ..operators.incremental import append_new, lookback, newer_than  # noqa: E402
+
+
+def _day1(spark, sf_dir, name):
+    return fx.day_slice(_fx(spark, sf_dir, name), 1)
+
+
+def f1_high_water_strict(spark, sf_dir):
+    return newer_than(_fx(spark, sf_dir, "fx_raw_order_items"), _day1(spark, sf_dir, "fx_raw_order_items"), "_loaded_at")
+
+
+def f2_high_water_floor(spark, sf_dir):
+    li = _fx(spark, sf_dir, "fx_lineitem")
+    return newer_than(li, li.filter(F.lit(False)), "_loaded_at", floor=tpch.FLOOR_TS)
+
+
+def f3_lookback_window(spark, sf_dir):
+    return lookback(_fx(spark, sf_dir, "fx_orders"), _day1(spark, sf_dir, "fx_orders"), "order_date", days=3)
+
+
+def j1_anti_join(spark, sf_dir):
+    return append_new(_fx(spark, sf_dir, "fx_orders"), _day1(spark, sf_dir, "fx_orders"), ["order_key"])
+
+
+def j2_anti_join_composite(spark, sf_dir):
+    return append_new(_fx(spark, sf_dir, "fx_lineitem"), _day1(spark, sf_dir, "fx_lineitem"), ["order_key", "line_number"])
+
+
+def w1_dedup_latest(spark, sf_dir):
+    both = _fx(spark, sf_dir, "fx_customer").unionByName(_fx(spark, sf_dir, "fx_customer_v2"))
+    return dedup_latest(both, ["customer_key"], tie_break=tpch.TIE_BREAK["customer"])
+
+
+def w2_dedup_composite(spark, sf_dir):
+    return dedup_latest(_fx(spark, sf_dir, "fx_lineitem"), ["order_key", "line_number"], tie_break=tpch.TIE_BREAK["lineitem"])
+
+
+def s6_merge_single_key(spark, sf_dir):
+    return merge_upsert(_fx(spark, sf_dir, "fx_customer"), _fx(spark, sf_dir, "fx_customer_v2"), ["customer_key"])
+
+
+def s7_merge_composite_key(spark, sf_dir):
+    li = _fx(spark, sf_dir, "fx_lineitem")
+    keys, tie = ["order_key", "line_number"], tpch.TIE_BREAK["lineitem"]
+    t = dedup_latest(fx.day_slice(li, 1), keys, tie_break=tie)
+    u = dedup_latest(li.filter(F.col("_loaded_at") > F.lit(fx.DAY1_TS).cast("timestamp_ntz")), keys, tie_break=tie)
+    return merge_upsert(t, u, keys)
+
+
+def a5_multi_count_distinct(spark, sf_dir):
+    return _fx(spark, sf_dir, "fx_raw_order_items").groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("items"), F.countDistinct("product_id").alias("distinct_products"),
+        F.countDistinct("seller_id").alias("distinct_sellers"))
+
+
+def x3_initcap(spark, sf_dir):
+    return _fx(spark, sf_dir, "fx_raw_customers").select("customer_id", X.initcap_words(F.trim("customer_city")).alias("customer_city"))
+
+
+def x4_try_number(spark, sf_dir):
+    p = _fx(spark, sf_dir, "fx_raw_products")
+    return p.select("product_id", *[X.try_number(c).alias(c) for c in (
+        "product_weight_g", "product_name_lenght", "product_photos_qty", "product_length_cm")])
+
+
+def x5_try_decimal(spark, sf_dir):
+    oi = _fx(spark, sf_dir, "fx_raw_order_items")
+    price, freight = X.try_number("price", 10, 2), X.try_number("freight_value", 10, 2)
+    return oi.select("order_id", "order_item_id", "product_id", "seller_id", "_loaded_at", price.alias("price"),
+                     freight.alias("freight_value"), (price + freight).alias("total_item_value"))
+
+
+def x7_day_diff(spark, sf_dir):
+    o = _fx(spark, sf_dir, "fx_raw_orders")
+    p, d, e = (X.try_timestamp_ntz(c) for c in ("order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date"))
+    return o.select("order_id", p.alias("purchased"), d.alias("delivered"), X.day_diff(p, d).alias("actual_delivery_days"),
+                    X.day_diff(p, e).alias("estimated_delivery_days"), X.flag(d > e).alias("is_late_delivery"))
+
+
+def x22_surrogate_key(spark, sf_dir):
+    c = _fx(spark, sf_dir, "fx_customer")
+    return c.select("customer_key", X.surrogate_key_ts("customer_key", "_loaded_at").alias("customer_sk"),
+                    X.surrogate_key("customer_key", "nation_key").alias("key_nation_sk"))
+
+
+_TS1 = O.TS[1]
+_LI_TIE = tpch.TIE_BREAK["lineitem"]
+_TOK = f"'{X.SURROGATE_NULL}'"
+SINGLE_SQL = {
+    "f1_high_water_strict": f"select * from fx_raw_order_items where _loaded_at > (select max(_loaded_at) from fx_raw_order_items where _loaded_at <= {_TS1})",
+    "f2_high_water_floor": f"select * from fx_lineitem where _loaded_at > (select coalesce(max(_loaded_at), {O.FLOOR}) from fx_lineitem where false)",
+    "f3_lookback_window": f"select * from fx_orders where order_date >= (select cast(max(order_date) - 3 as date) from fx_orders where _loaded_at <= {_TS1})",
+    "j1_anti_join": f"select * from fx_orders s where not exists (select 1 from fx_orders t where t._loaded_at <= {_TS1} and t.order_key = s.order_key)",
+    "j2_anti_join_composite": (f"select * from fx_lineitem s where not exists (select 1 from fx_lineitem t where t._loaded_at <= {_TS1} "
+                               "and t.order_key = s.order_key and t.line_number = s.line_number)"),
+    "w1_dedup_latest": O.dedup("(select * from fx_customer union all by name select * from fx_customer_v2)", ["customer_key"], tpch.TIE_BREAK["customer"]),
+    "w2_dedup_composite": O.dedup("fx_lineitem", ["order_key", "line_number"], _LI_TIE),
+    "s6_merge_single_key": O.merge("fx_customer", "fx_customer_v2", ["customer_key"]),
+    "s7_merge_composite_key": O.merge(f"({O.dedup(f'(select * from fx_lineitem where _loaded_at <= {_TS1})', ['order_key', 'line_number'], _LI_TIE)})",
+                                      f"({O.dedup(f'(select * from fx_lineitem where _loaded_at > {_TS1})', ['order_key', 'line_number'], _LI_TIE)})",
+                                      ["order_key", "line_number"]),
+    "a5_multi_count_distinct": ("select order_id, count(*) as items, count(distinct product_id) as distinct_products, "
+                                "count(distinct seller_id) as distinct_sellers from fx_raw_order_items group by order_id"),
+    "x3_initcap": f"select customer_id, {O.initcap('trim(customer_city)')} as customer_city from fx_raw_customers",
+    "x4_try_number": "select product_id, " + ", ".join(f"try_cast({c} as decimal(38,0)) as {c}" for c in (
+        "product_weight_g", "product_name_lenght", "product_photos_qty", "product_length_cm")) + " from fx_raw_products",
+    "x5_try_decimal": ("select order_id, order_item_id, product_id, seller_id, _loaded_at, try_cast(price as decimal(10,2)) as price, "
+                       "try_cast(freight_value as decimal(10,2)) as freight_value, "
+                       "try_cast(price as decimal(10,2)) + try_cast(freight_value as decimal(10,2)) as total_item_value from fx_raw_order_items"),
+    "x7_day_diff": ("select order_id, p as purchased, d as delivered, cast(datediff('day', p, d) as int) as actual_delivery_days, "
+                    "cast(datediff('day', p, e) as int) as estimated_delivery_days, coalesce(d > e, false) as is_late_delivery from ("
+                    "select order_id, try_cast(order_purchase_timestamp as timestamp) as p, try_cast(order_delivered_customer_date as timestamp) as d, "
+                    "try_cast(order_estimated_delivery_date as timestamp) as e from fx_raw_orders)"),
+    "x22_surrogate_key": (f"select customer_key, {O.sk('customer_key', '_loaded_at')} as customer_sk, "
+                          f"md5(concat_ws('-', coalesce(cast(customer_key as varchar), {_TOK}), coalesce(cast(nation_key as varchar), {_TOK}))) as key_nation_sk "
+                          "from fx_customer"),
+}
+for _n in SINGLE_SQL:
+    OPS[_n] = (globals()[_n], (lambda n=_n: O.sql_for(SINGLE_SQL[n])))

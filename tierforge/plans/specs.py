@@ -1,7 +1,11 @@
 """Normalised output schema of each catalogued query (column, type);
 shared by the Spark finaliser and the SQL oracle."""
 
-SPECS = {'d1_unique': [('test_name', 'string'), ('value', 'string'), ('n_records', 'bigint')],
+SPECS = {'a5_multi_count_distinct': [('order_id', 'string'),
+                             ('items', 'bigint'),
+                             ('distinct_products', 'bigint'),
+                             ('distinct_sellers', 'bigint')],
+ 'd1_unique': [('test_name', 'string'), ('value', 'string'), ('n_records', 'bigint')],
  'd2_not_null': [('test_name', 'string'), ('null_rows', 'bigint')],
  'd3_accepted_values': [('test_name', 'string'), ('value', 'string'), ('n_records', 'bigint')],
  'd4_relationships': [('test_name', 'string'), ('value', 'string'), ('n_records', 'bigint')],
@@ -12,6 +16,43 @@ SPECS = {'d1_unique': [('test_name', 'string'), ('value', 'string'), ('n_records
                       ('column_name', 'string'),
                       ('failures', 'bigint'),
                       ('status', 'string')],
+ 'f1_high_water_strict': [('order_id', 'string'),
+                          ('order_item_id', 'string'),
+                          ('product_id', 'string'),
+                          ('seller_id', 'string'),
+                          ('price', 'string'),
+                          ('freight_value', 'string'),
+                          ('_loaded_at', 'ts'),
+                          ('shipping_limit_date', 'string'),
+                          ('_source_file', 'string'),
+                          ('_source_system', 'string'),
+                          ('_load_date', 'date'),
+                          ('_batch_id', 'string')],
+ 'f2_high_water_floor': [('order_key', 'bigint'),
+                         ('part_key', 'bigint'),
+                         ('supplier_key', 'bigint'),
+                         ('line_number', 'int'),
+                         ('quantity', 'double'),
+                         ('extended_price', 'double'),
+                         ('discount', 'double'),
+                         ('tax', 'double'),
+                         ('return_flag', 'string'),
+                         ('line_status', 'string'),
+                         ('ship_date', 'date'),
+                         ('commit_date', 'date'),
+                         ('receipt_date', 'date'),
+                         ('ship_instructions', 'string'),
+                         ('ship_mode', 'string'),
+                         ('_loaded_at', 'ts')],
+ 'f3_lookback_window': [('order_key', 'bigint'),
+                        ('customer_key', 'bigint'),
+                        ('order_status', 'string'),
+                        ('total_price', 'double'),
+                        ('order_date', 'date'),
+                        ('order_priority', 'string'),
+                        ('clerk', 'string'),
+                        ('ship_priority', 'int'),
+                        ('_loaded_at', 'ts')],
  'h5_scd2_hard_deletes': [('customer_key', 'bigint'),
                           ('customer_name', 'string'),
                           ('customer_address', 'string'),
@@ -24,6 +65,31 @@ SPECS = {'d1_unique': [('test_name', 'string'), ('value', 'string'), ('n_records
                           ('updated_at', 'ts'),
                           ('valid_from', 'ts'),
                           ('valid_to', 'ts')],
+ 'j1_anti_join': [('order_key', 'bigint'),
+                  ('customer_key', 'bigint'),
+                  ('order_status', 'string'),
+                  ('total_price', 'double'),
+                  ('order_date', 'date'),
+                  ('order_priority', 'string'),
+                  ('clerk', 'string'),
+                  ('ship_priority', 'int'),
+                  ('_loaded_at', 'ts')],
+ 'j2_anti_join_composite': [('order_key', 'bigint'),
+                            ('line_number', 'int'),
+                            ('part_key', 'bigint'),
+                            ('supplier_key', 'bigint'),
+                            ('quantity', 'double'),
+                            ('extended_price', 'double'),
+                            ('discount', 'double'),
+                            ('tax', 'double'),
+                            ('return_flag', 'string'),
+                            ('line_status', 'string'),
+                            ('ship_date', 'date'),
+                            ('commit_date', 'date'),
+                            ('receipt_date', 'date'),
+                            ('ship_instructions', 'string'),
+                            ('ship_mode', 'string'),
+                            ('_loaded_at', 'ts')],
  'l10_durations': [('event_id', 'bigint'),
                    ('dag_id', 'string'),
                    ('model_name', 'string'),
@@ -459,6 +525,30 @@ SPECS = {'d1_unique': [('test_name', 'string'), ('value', 'string'), ('n_records
                                ('avg_order_value', 'double'),
                                ('first_order_date', 'date'),
                                ('last_order_date', 'date')],
+ 's6_merge_single_key': [('customer_key', 'bigint'),
+                         ('customer_name', 'string'),
+                         ('customer_address', 'string'),
+                         ('nation_key', 'int'),
+                         ('customer_phone', 'string'),
+                         ('account_balance', 'double'),
+                         ('market_segment', 'string'),
+                         ('_loaded_at', 'ts')],
+ 's7_merge_composite_key': [('order_key', 'bigint'),
+                            ('line_number', 'int'),
+                            ('part_key', 'bigint'),
+                            ('supplier_key', 'bigint'),
+                            ('quantity', 'double'),
+                            ('extended_price', 'double'),
+                            ('discount', 'double'),
+                            ('tax', 'double'),
+                            ('return_flag', 'string'),
+                            ('line_status', 'string'),
+                            ('ship_date', 'date'),
+                            ('commit_date', 'date'),
+                            ('receipt_date', 'date'),
+                            ('ship_instructions', 'string'),
+                            ('ship_mode', 'string'),
+                            ('_loaded_at', 'ts')],
  's8_schema_sync': [('part_key', 'bigint'),
                     ('part_name', 'string'),
                     ('manufacturer', 'string'),
@@ -468,4 +558,49 @@ SPECS = {'d1_unique': [('test_name', 'string'), ('value', 'string'), ('n_records
                     ('retail_price', 'double'),
                     ('_loaded_at', 'ts'),
                     ('size_band', 'string')],
- 's9_clustered_layout': [('file', 'string'), ('min_ship_date', 'date'), ('max_ship_date', 'date'), ('rows', 'bigint')]}
+ 's9_clustered_layout': [('file', 'string'), ('min_ship_date', 'date'), ('max_ship_date', 'date'), ('rows', 'bigint')],
+ 'w1_dedup_latest': [('customer_key', 'bigint'),
+                     ('customer_name', 'string'),
+                     ('customer_address', 'string'),
+                     ('nation_key', 'int'),
+                     ('customer_phone', 'string'),
+                     ('account_balance', 'double'),
+                     ('market_segment', 'string'),
+                     ('_loaded_at', 'ts')],
+ 'w2_dedup_composite': [('order_key', 'bigint'),
+                        ('part_key', 'bigint'),
+                        ('supplier_key', 'bigint'),
+                        ('line_number', 'int'),
+                        ('quantity', 'double'),
+                        ('extended_price', 'double'),
+                        ('discount', 'double'),
+                        ('tax', 'double'),
+                        ('return_flag', 'string'),
+                        ('line_status', 'string'),
+                        ('ship_date', 'date'),
+                        ('commit_date', 'date'),
+                        ('receipt_date', 'date'),
+                        ('ship_instructions', 'string'),
+                        ('ship_mode', 'string'),
+                        ('_loaded_at', 'ts')],
+ 'x22_surrogate_key': [('customer_key', 'bigint'), ('customer_sk', 'string'), ('key_nation_sk', 'string')],
+ 'x3_initcap': [('customer_id', 'string'), ('customer_city', 'string')],
+ 'x4_try_number': [('product_id', 'string'),
+                   ('product_weight_g', 'double'),
+                   ('product_name_lenght', 'double'),
+                   ('product_photos_qty', 'double'),
+                   ('product_length_cm', 'double')],
+ 'x5_try_decimal': [('order_id', 'string'),
+                    ('order_item_id', 'string'),
+                    ('product_id', 'string'),
+                    ('seller_id', 'string'),
+                    ('_loaded_at', 'ts'),
+                    ('price', 'double'),
+                    ('freight_value', 'double'),
+                    ('total_item_value', 'double')],
+ 'x7_day_diff': [('order_id', 'string'),
+                 ('purchased', 'ts'),
+                 ('delivered', 'ts'),
+                 ('actual_delivery_days', 'int'),
+                 ('estimated_delivery_days', 'int'),
+                 ('is_late_delivery', 'boolean')]}
