@@ -92,7 +92,7 @@ def _model_query(name: str):
     domain, table, _ = MODELS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = built(spark, sf_dir, domain).get(table)
+        df = built(spark, sf_dir, domain, table).get(table)
         return finalize(df, SPECS.get(name))
 
     run.__name__ = name

@@ -35,7 +35,7 @@ TEST_TABLES = {
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {m: built(spark, sf_dir, d).get(t) for m, (d, t, _) in TEST_TABLES.items()}
+    return {m: built(spark, sf_dir, d).get(t) for m, (d, t, _) in TEST_TABLES.items()}  # whole domains
 
 
 def _checks(kind: str) -> list[Q.Check]:
@@ -283,7 +283,7 @@ S8_SQL_BODY = """select * from (
 
 def s9_clustered_layout(spark, sf_dir):
     """Files of the ship-date-clustered line fact with their date ranges."""
-    fl = built(spark, sf_dir, "tpch").get("fact_lineitem")
+    fl = built(spark, sf_dir, "tpch", "fact_lineitem").get("fact_lineitem")
     return fl.groupBy(F.input_file_name().alias("file")).agg(
         F.min("ship_date").alias("min_ship_date"), F.max("ship_date").alias("max_ship_date"), F.count(F.lit(1)).alias("rows"))
 

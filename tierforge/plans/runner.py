@@ -29,6 +29,42 @@ DAY_TS = {1: fx.DAY1_TS, 2: fx.DAY2_TS}
 DAY_DATE = {1: fx.DAY1_DATE, 2: fx.DAY2_DATE}
 TPCH_TABLES = ("customer", "lineitem", "nation", "orders", "part", "partsupp", "region", "supplier")
 
+# table -> tables it reads (within one day's run)
+DEPS: dict[str, tuple[str, ...]] = {
+    **{f"bronze_{t}": () for t in TPCH_TABLES},
+    **{f"silver_{t}": () for t in ("customer", "lineitem", "orders", "part", "partsupp", "supplier", "nation_region")},
+    "snap_customer": ("silver_customer",),
+    "snap_supplier": ("silver_supplier",),
+    "dim_customer": ("snap_customer", "silver_nation_region"),
+    "dim_supplier": ("snap_supplier", "silver_nation_region"),
+    "dim_part": ("silver_part", "silver_partsupp"),
+    "dim_date": (),
+    "fact_lineitem": ("silver_lineitem", "silver_orders"),
+    "fact_orders": ("fact_lineitem",),
+    "mart_sales_summary": ("fact_lineitem", "dim_customer", "dim_date"),
+    "mart_supplier_performance": ("fact_lineitem", "dim_supplier"),
+    "mart_customer_segment": ("fact_orders", "dim_customer"),
+    **{f"stg_{t}": () for t in ("customers", "order_items", "orders", "payments", "products")},
+    "dim_customer_retail": ("stg_customers",),
+    "dim_product": ("stg_products",),
+    "dim_date_retail": (),
+    "fct_orders": ("stg_orders", "stg_order_items", "stg_payments"),
+    "scd_fct_orders": ("fct_orders",),
+    "mart_revenue_kpis": ("fct_orders", "dim_customer_retail", "stg_order_items", "dim_product", "dim_date_retail"),
+}
+
+
+def closure(tables) -> set[str]:
+    """The tables plus everything upstream of them."""
+    out: set[str] = set()
+    todo = list(tables)
+    while todo:
+        t = todo.pop()
+        if t not in out:
+            out.add(t)
+            todo.extend(DEPS[t])
+    return out
+
 
 class Run:
     """One pipeline run over one input directory.
@@ -46,6 +82,7 @@ class Run:
         self.parallel = parallel or int(os.environ.get("TIERFORGE_PARALLEL", "4"))
         self.timings: dict[str, float] = defaultdict(float)
         self._lock = threading.Lock()
+        self.only: set[str] | None = None  # restrict to these tables (None: all)
 
     def fixture(self, name: str) -> DataFrame:
         return fx.fixture(self.spark, self.sf_dir, name)
@@ -61,6 +98,10 @@ class Run:
 
     def _wave(self, items: list[tuple]) -> None:
         """Run independent ``(name, build, how, kw)`` items concurrently."""
+        if self.only is not None:
+            items = [it for it in items if it[0] in self.only]
+        if not items:
+            return
         if self.parallel <= 1 or len(items) == 1:
             for it in items:
                 self._put(it[0], it[1], *it[2:3], **(it[3] if len(it) > 3 else {}))
@@ -157,7 +198,9 @@ class Run:
                 self.get("dim_product"), self.get("dim_date_retail"))),
         ])
 
-    def run(self, domains=("tpch", "retail"), days=(1, 2)) -> "Run":
+    def run(self, domains=("tpch", "retail"), days=(1, 2), only=None) -> "Run":
+        """Run the days; ``only`` limits the run to those tables' closure."""
+        self.only = closure(only) if only is not None else None
         for d in days:
             steps = [getattr(self, f"{dom}_day") for dom in domains]
             if self.parallel > 1 and len(steps) > 1:
@@ -170,15 +213,29 @@ class Run:
         return self
 
 
-_BUILT: dict[tuple[str, str, str], Run] = {}
+_BUILT: dict[tuple, Run] = {}
+_BUILD_LOCK = threading.Lock()
 
 
-def built(spark: SparkSession, sf_dir: str, domain: str) -> Run:
-    """The two-day run of one domain for this session and directory (memoised:
-    queries over the same warehouse share its tables)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), domain)
-    r = _BUILT.get(key)
-    if r is None:
+def built(spark: SparkSession, sf_dir: str, domain: str, table: str | None = None) -> Run:
+    """The two-day run of one domain for this session and directory, memoised
+    so that queries over the same warehouse share its tables.
+
+    The first request builds only the closure of ``table``; a later request
+    outside it builds the whole domain once.
+    """
+    base = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), domain)
+    with _BUILD_LOCK:
+        full = _BUILT.get(base + ("all",))
+        if full is not None:
+            return full
+        part = _BUILT.get(base + ("part",))
+        if table is not None and part is not None and part.store.exists(table):
+            return part
+        if table is not None and part is None:
+            r = Run(spark, sf_dir).run(domains=(domain,), only=[table])
+            _BUILT[base + ("part",)] = r
+            return r
         r = Run(spark, sf_dir).run(domains=(domain,))
-        _BUILT[key] = r
-    return r
+        _BUILT[base + ("all",)] = r
+        return r
