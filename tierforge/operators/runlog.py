@@ -10,10 +10,12 @@ rows_inserted, rows_updated``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpoint_root
+
 # --- fixed values ------------------------------------------------------------
 LAYERS = ("bronze", "silver", "snapshot", "gold")
 # (name prefix, layer); the first matching prefix wins
@@ -146,27 +148,21 @@ def rows_written(task_events: DataFrame, history: DataFrame, bucket_seconds: int
     mentions the model name (case-insensitive, literal match). The value is
     SUM(inserted + updated), NULL when nothing matched or the task failed.
 
-    The time condition is a range join. It runs as an equi-join on
-    (model name, time bucket): each task lists the buckets its window
-    touches, each query sits in one bucket, and the exact bounds are then
-    checked. The name condition needs no broadcast either: every
-    substring of the query text whose length equals some model-name length
-    is a candidate key (the set of name lengths is tiny), deduplicated per
-    query; when all names are identifiers the substrings are taken per
-    identifier token of the text, which is exact and far fewer. History is summed per (name, end time) before the join, so many
-    queries with one end time cost one row.
+    Name match without a broadcast or pairs: every substring of the query
+    text whose length equals some model-name length is a candidate key (the
+    set of name lengths is tiny), deduplicated per query and semi-joined to
+    the names; when all names are identifiers the substrings are taken per
+    identifier token, which is exact and far fewer. History is then summed
+    per (name, end time).
+
+    Time window as range sums, not a join: the windows' bounds and the
+    history points of one name are put on one time line; a running sum per
+    (name, minute bucket) plus the carried total of earlier buckets gives the
+    cumulative rows at each bound, and a window's value is the difference
+    at its two bounds. Work is linear; a hot name is split by bucket.
     """
     ev = with_model(task_events)
     ok = ev.filter(F.col("status") == "success")
-    lo = F.date_trunc("second", F.col("start_date") - F.expr(f"INTERVAL {WINDOW_PAD_SECONDS} SECONDS"))
-    hi = F.date_trunc("second", F.col("end_date") + F.expr(f"INTERVAL {WINDOW_PAD_SECONDS} SECONDS"))
-    win = ok.select(
-        "event_id", F.lower("model_name").alias("_name"),
-        lo.cast("timestamp_ntz").alias("_lo"), hi.cast("timestamp_ntz").alias("_hi"),
-    ).withColumn(
-        "_bucket",
-        F.explode(F.sequence(F.floor(_seconds(F.col("_lo")) / bucket_seconds), F.floor(_seconds(F.col("_hi")) / bucket_seconds))),
-    )
 
     prof = ok.agg(
         F.collect_set(F.length("model_name")).alias("lengths"),
@@ -179,7 +175,7 @@ def rows_written(task_events: DataFrame, history: DataFrame, bucket_seconds: int
         (F.col("execution_status") == "SUCCESS") & F.col("query_type").isin(*WRITE_QUERY_TYPES)
     ).select(
         "query_id", "end_time", F.lower("query_text").alias("_text"),
-        (F.coalesce("rows_inserted", F.lit(0)) + F.coalesce("rows_updated", F.lit(0))).alias("_rows"),
+        (F.coalesce("rows_inserted", F.lit(0)) + F.coalesce("rows_updated", F.lit(0))).cast("bigint").alias("_rows"),
     )
     if prof["words"] == 1:
         # identifier-only names can only occur inside one identifier token
@@ -187,21 +183,46 @@ def rows_written(task_events: DataFrame, history: DataFrame, bucket_seconds: int
     else:
         pieces = F.array(F.col("_text"))
     cands = F.flatten(F.transform(pieces, _substrings_of(lengths)))
-    q = q.select("query_id", "end_time", "_rows", F.explode(F.array_distinct(cands)).alias("_name"))
-    # keep only candidates that are model names (semi join: broadcast by AQE
-    # when the name set is small, shuffled otherwise) before aggregating
+    q = q.select("end_time", "_rows", F.explode(F.array_distinct(cands)).alias("_name"))
     names = ok.select(F.lower("model_name").alias("_name")).distinct()
-    q = q.join(names, "_name", "left_semi")
-    q = q.groupBy("_name", "end_time").agg(F.sum("_rows").alias("_rows")).withColumn(
-        "_bucket", F.floor(_seconds(F.col("end_time")) / bucket_seconds)
+    hist_pts = (
+        q.join(names, "_name", "left_semi")
+        .groupBy("_name", F.col("end_time").alias("_t"))
+        .agg(F.sum("_rows").alias("_s"), F.count(F.lit(1)).alias("_c"))
+        .select("_name", "_t", F.lit(1).alias("_kind"), "_s", "_c",
+                F.lit(None).cast("long").alias("event_id"))
     )
-    hits = (
-        win.join(q, ["_name", "_bucket"])
-        .filter((F.col("end_time") >= F.col("_lo")) & (F.col("end_time") <= F.col("_hi")))
-        .groupBy("event_id")
-        .agg(F.sum("_rows").cast("bigint").alias("rows_affected"))
+    # read twice below (running sums, bucket totals): write it once
+    checkpoint_root(hist_pts.sparkSession)
+    hist_pts = hist_pts.checkpoint(eager=True)
+
+    pad = F.expr(f"INTERVAL {WINDOW_PAD_SECONDS} SECONDS")
+    lo = F.date_trunc("second", F.col("start_date") - pad).cast("timestamp_ntz")
+    hi = F.date_trunc("second", F.col("end_date") + pad).cast("timestamp_ntz")
+    zero = [F.lit(0).cast("bigint").alias("_s"), F.lit(0).cast("bigint").alias("_c")]
+    bounds = ok.select(F.lower("model_name").alias("_name"), lo.alias("_lo"), hi.alias("_hi"), "event_id")
+    lo_pts = bounds.select("_name", F.col("_lo").alias("_t"), F.lit(0).alias("_kind"), *zero, "event_id")
+    hi_pts = bounds.select("_name", F.col("_hi").alias("_t"), F.lit(2).alias("_kind"), *zero, "event_id")
+
+    # kind orders ties: a window's lower bound (0) before points at the same
+    # instant (1, included), its upper bound (2) after them (included)
+    pts = hist_pts.unionByName(lo_pts).unionByName(hi_pts).withColumn(
+        "_b", F.floor(F.unix_micros(F.col("_t").cast("timestamp")) / (bucket_seconds * 1_000_000)))
+    carry_w = Window.partitionBy("_name").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        pts.groupBy("_name", "_b").agg(F.sum("_s").alias("_bs"), F.sum("_c").alias("_bc"))
+        .select("_name", "_b", F.coalesce(F.sum("_bs").over(carry_w), F.lit(0)).alias("_os"),
+                F.coalesce(F.sum("_bc").over(carry_w), F.lit(0)).alias("_oc"))
     )
-    return ev.select("event_id", "model_name").join(hits, "event_id", "left")
+    run_w = Window.partitionBy("_name", "_b").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pts = pts.select("*", F.sum("_s").over(run_w).alias("_rs"), F.sum("_c").over(run_w).alias("_rc"))
+    at = pts.filter(F.col("_kind") != 1).join(carry, ["_name", "_b"]).select(
+        "event_id", "_kind", (F.col("_rs") + F.col("_os")).alias("_cs"), (F.col("_rc") + F.col("_oc")).alias("_cc"))
+    per_event = at.groupBy("event_id").agg(
+        (F.sum(F.when(F.col("_kind") == 2, F.col("_cs")).otherwise(-F.col("_cs")))).alias("_sum"),
+        (F.sum(F.when(F.col("_kind") == 2, F.col("_cc")).otherwise(-F.col("_cc")))).alias("_n"),
+    ).select("event_id", F.when(F.col("_n") > 0, F.col("_sum")).cast("bigint").alias("rows_affected"))
+    return ev.select("event_id", "model_name").join(per_event, "event_id", "left")
 
 
 def _substrings_of(lengths: list[int]):
