@@ -83,9 +83,22 @@ class Run:
         self.timings: dict[str, float] = defaultdict(float)
         self._lock = threading.Lock()
         self.only: set[str] | None = None  # restrict to these tables (None: all)
+        self._staging: dict[str, threading.Lock] = {}
 
     def fixture(self, name: str) -> DataFrame:
-        return fx.fixture(self.spark, self.sf_dir, name)
+        """A source table of the run, staged once as Parquet in the store
+        (production sources are stored tables; deriving them from the driver
+        tables again for every model would repeat scans and shuffles)."""
+        table = f"source_{name}"
+        with self._lock:
+            lock = self._staging.setdefault(name, threading.Lock())
+        with lock:
+            if not self.store.exists(table):
+                t0 = time.perf_counter()
+                self.store.write(table, fx.fixture(self.spark, self.sf_dir, name))
+                with self._lock:
+                    self.timings["sources"] += time.perf_counter() - t0
+        return self.store.read(table)
 
     def _put(self, name: str, build: Callable[[], DataFrame], how: str = "write", **kw) -> DataFrame:
         """Compute a model (including its eager scalar jobs) and write it."""
