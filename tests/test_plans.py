@@ -52,3 +52,20 @@ def test_mart_broadcasts_the_calendar_and_aggregates_before_joining(spark):
     p = plan(tpch.mart_sales_summary(fact, cust, d))
     assert "BroadcastHashJoin" in p
     assert p.count("HashAggregate") >= 4  # per-order partial/final + mart partial/final
+
+
+def test_bucketed_target_is_not_shuffled_in_a_large_merge(spark, tmp_path):
+    from tierforge.sources.tables import TableStore
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.write("t", spark.range(50_000).selectExpr("id as k", "id * 2 as v"), bucket_by=["k"])
+    upd = spark.range(20).selectExpr("id * 3 as k", "-1L as v")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = merge_upsert(store.read("t"), upd, ["k"], broadcast_max_rows=0)  # force the large-batch path
+        phys = plan(out)
+        assert "SortMergeJoin" in phys
+        assert phys.count("Exchange hashpartitioning") == 1  # only the batch side
+        assert out.count() == 50_000 and out.filter("v = -1").count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -54,6 +54,21 @@ DEPS: dict[str, tuple[str, ...]] = {
 }
 
 
+# Keyed tables written bucketed by their merge / anti-join / SCD2 key, so the
+# next run's join on that key shuffles only the new batch. The line fact keeps
+# its ship-date clustering instead; small dimensions need neither.
+BUCKET_KEYS: dict[str, list[str]] = {
+    "bronze_customer": ["customer_key"], "bronze_lineitem": ["order_key", "line_number"],
+    "bronze_orders": ["order_key"], "bronze_part": ["part_key"], "bronze_partsupp": ["part_key", "supplier_key"],
+    "silver_customer": ["customer_key"], "silver_lineitem": ["order_key", "line_number"],
+    "silver_orders": ["order_key"], "silver_part": ["part_key"], "silver_partsupp": ["part_key", "supplier_key"],
+    "snap_customer": ["customer_key"], "dim_part": ["part_key"], "fact_orders": ["order_key"],
+    "stg_customers": ["customer_id"], "stg_order_items": ["order_id", "order_item_id"], "stg_orders": ["order_id"],
+    "stg_payments": ["order_id", "payment_sequential"], "stg_products": ["product_id"],
+    "fct_orders": ["order_id"], "scd_fct_orders": ["order_id"],
+}
+
+
 def closure(tables) -> set[str]:
     """The tables plus everything upstream of them."""
     out: set[str] = set()
@@ -83,6 +98,7 @@ class Run:
         self.timings: dict[str, float] = defaultdict(float)
         self._lock = threading.Lock()
         self.only: set[str] | None = None  # restrict to these tables (None: all)
+        self.bucketed = os.environ.get("TIERFORGE_BUCKETED", "1") == "1"
         self._staging: dict[str, threading.Lock] = {}
 
     def fixture(self, name: str) -> DataFrame:
@@ -104,7 +120,9 @@ class Run:
         """Compute a model (including its eager scalar jobs) and write it."""
         t0 = time.perf_counter()
         df = build()
-        out = self.store.append(name, df) if how == "append" else self.store.write(name, df, **kw)
+        if name in BUCKET_KEYS and self.bucketed:
+            kw = {**kw, "bucket_by": BUCKET_KEYS[name]}
+        out = self.store.append(name, df, **kw) if how == "append" else self.store.write(name, df, **kw)
         with self._lock:
             self.timings[name] += time.perf_counter() - t0
         return out

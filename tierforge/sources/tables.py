@@ -8,6 +8,13 @@ recomputing upstream models). Appends add files to the current version.
 
 ``root`` defaults to a folder under ``spark.checkpoint.dir`` (shared
 storage on a cluster).
+
+Keyed tables can be written bucketed by their merge key (``bucket_by``):
+the files then carry the key's hash partitioning, and a sort-merge join or
+anti join on exactly that key shuffles only the other side. Bucketing
+needs catalog metadata, so such versions are registered as external
+tables of the session's in-memory catalog; with any other catalog the
+store writes plain Parquet instead.
 """
 
 from __future__ import annotations
@@ -25,7 +32,8 @@ class TableStore:
         self.spark = spark
         self.root = (root or scratch_dir(spark, "tables")).rstrip("/")
         self._version: dict[str, int] = {}
-        self._rows: dict[str, int] = {}
+        self._ident: dict[str, str] = {}  # bucketed tables: current catalog name
+        self._tag = re.sub(r"\W", "_", os.path.basename(self.root))
 
     # -- paths ---------------------------------------------------------------
     def path(self, name: str, version: int | None = None) -> str:
@@ -39,28 +47,49 @@ class TableStore:
         """Current version, or ``None`` when the table was never written."""
         if name not in self._version:
             return None
+        if name in self._ident:
+            return self.spark.table(self._ident[name])
         return self.spark.read.parquet(self.path(name))
 
+    def _can_bucket(self) -> bool:
+        return self.spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "in-memory"
+
     # -- writes --------------------------------------------------------------
-    def write(self, name: str, df: DataFrame, cluster_by: str | None = None) -> DataFrame:
+    def write(self, name: str, df: DataFrame, cluster_by: str | None = None,
+              bucket_by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
         """Full rewrite as a new version (overwrite / merge / snapshot sinks).
 
         ``cluster_by`` range-partitions and sorts by that column, so each file
         covers a narrow value range and Parquet min/max statistics prune
-        row groups for range filters on it.
+        row groups for range filters on it. ``bucket_by`` writes the version
+        hash-bucketed (and sorted) by those key columns.
         """
         v = self._version.get(name, 0) + 1
-        if cluster_by:
-            df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
-        df.write.mode("overwrite").parquet(self.path(name, v))
+        path = self.path(name, v)
+        if bucket_by and self._can_bucket():
+            n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            ident = f"tf_{self._tag}_{name}_v{v}"
+            (df.write.mode("overwrite").format("parquet").option("path", path)
+             .bucketBy(n, *bucket_by).sortBy(*bucket_by).saveAsTable(ident))
+            self._ident[name] = ident
+        else:
+            if cluster_by:
+                df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
+            df.write.mode("overwrite").parquet(path)
+            self._ident.pop(name, None)
         self._version[name] = v
         return self.read(name)
 
-    def append(self, name: str, df: DataFrame) -> DataFrame:
-        """Append sink: new files in the current version (first write creates it)."""
+    def append(self, name: str, df: DataFrame, bucket_by: list[str] | None = None) -> DataFrame:
+        """Append sink: new files in the current version (first write creates it,
+        bucketed when ``bucket_by`` is given)."""
         if name not in self._version:
-            return self.write(name, df)
-        df.write.mode("append").parquet(self.path(name))
+            return self.write(name, df, bucket_by=bucket_by)
+        if name in self._ident:
+            cols = self.spark.table(self._ident[name]).columns
+            df.select(*cols).write.insertInto(self._ident[name])
+        else:
+            df.write.mode("append").parquet(self.path(name))
         return self.read(name)
 
     def view(self, name: str) -> str:
