@@ -27,8 +27,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Dynamic partition overwrite lets a merge rewrite only touched partitions.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # MAX(_loaded_at) for high-water marks from Parquet footers, not a column scan.
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
