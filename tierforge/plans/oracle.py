@@ -160,8 +160,6 @@ def _tpch_blocks() -> None:
            "cast(round(extended_price * (1 - discount) * (1 + tax), 2) as decimal(18,2)) as gross_revenue, "
            "cast(datediff('day', commit_date, receipt_date) as int) as days_late, _loaded_at",
            ["order_key", "line_number"], T["lineitem"], True)
-    for d in (1, 2):
-        pass
     status = case_map("order_status", ORDER_STATUS_LABEL, "Unknown")
     for d in (1, 2):
         block(f"sor_src{d}", f"select * from ({day_slice('fx_orders', d)}) where order_date <= {RUN_DATE[d]}")
