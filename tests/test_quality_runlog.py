@@ -90,3 +90,28 @@ def test_cycle_state_pending_clear(spark):
     assert L.clear_dag(L.cycle_state(ev), "d1").count() == 1
     d = {r.event_id: r.duration_seconds for r in L.durations(ev).collect()}
     assert d[1] == 60.0 and d[3] == 120.0
+
+
+def test_read_run_results_files(spark, tmp_path):
+    import json
+
+    from tierforge.sources.runlog_files import read_run_results
+    docs = {
+        "silver": {"results": [{"unique_id": "model.p.tpch_silver_a", "status": "success", "execution_time": 1.5,
+                                "adapter_response": {"rows_affected": 10}},
+                               {"unique_id": "model.p.tpch_silver_b", "status": "skipped", "execution_time": 0}]},
+        "gold": {"results": []},
+    }
+    for layer, doc in docs.items():
+        d = tmp_path / layer
+        d.mkdir()
+        (d / "run_results.json").write_text(json.dumps(doc, indent=2))
+    raw = read_run_results(spark, str(tmp_path / "*" / "run_results.json")).withColumn(
+        "layer", F.regexp_extract("source_file", r"/(\w+)/run_results\.json$", 1))
+    flat = L.flatten_results(raw)
+    got = {r.model_name: (r.layer, r.status, r.rows_affected) for r in flat.collect()}
+    assert got == {"tpch_silver_a": ("silver", "success", 10), "tpch_silver_b": ("silver", "skipped", None)}
+    roll = {r.layer: r.status for r in L.rollup(flat, keys=("layer",)).collect()}
+    assert roll == {"silver": "FAILED"}  # the empty document has no node rows
+    st = {r.layer: r.state for r in L.last_attempt_state_docs(spark, raw, "source_file").collect()}
+    assert st == {"silver": "FAILED", "gold": "SUCCESS", "bronze": "NONE", "snapshot": "NONE"}

@@ -125,6 +125,19 @@ def last_attempt_state(spark: SparkSession, results: DataFrame, layers: tuple[st
     )
 
 
+def last_attempt_state_docs(spark: SparkSession, docs: DataFrame, order_col: str,
+                            layers: tuple[str, ...] = LAYERS) -> DataFrame:
+    """NONE / FAILED / SUCCESS per layer from run-results documents
+    (``layer, <order_col>, doc``): the latest document of a layer decides;
+    a document with an empty result list is SUCCESS, a missing one NONE."""
+    results = F.from_json("doc", RESULTS_DOC_SCHEMA).getField("results")
+    bad = F.exists(F.coalesce(results, F.array()), lambda r: r.getField("status").isin(*FAILED_STATUSES))
+    latest = docs.groupBy("layer").agg(F.max_by(bad.cast("int"), F.col(order_col)).alias("bad"))
+    names = spark.createDataFrame([(x,) for x in layers], "layer string")
+    return F.broadcast(names).join(latest, "layer", "left").select(
+        "layer", F.when(F.col("bad").isNull(), "NONE").when(F.col("bad") == 1, "FAILED").otherwise("SUCCESS").alias("state"))
+
+
 def with_model(task_events: DataFrame) -> DataFrame:
     m = base_model_name(F.col("task_id"))
     return task_events.select("*", m.alias("model_name"), infer_layer(m).alias("layer"))
