@@ -78,16 +78,28 @@ def violations(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def run_suite(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per check: name, model, kind, column, failures, status."""
-    rows = [
-        violations(c, tables).agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(c.name).alias("test_name"), F.lit(c.model).alias("model"), F.lit(c.kind).alias("kind"),
-            F.lit(c.column).alias("column_name"), "failures",
-            F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"),
-        )
-        for c in checks
-    ]
-    return reduce(DataFrame.unionByName, rows)
+    """One row per check: name, model, kind, column, failures, status.
+
+    All not_null checks of one model share a single scan (one aggregate with
+    a NULL count per column); the other checks are one aggregate each.
+    """
+
+    def summary(c: Check, failures) -> list:
+        return [F.lit(c.name).alias("test_name"), F.lit(c.model).alias("model"), F.lit(c.kind).alias("kind"),
+                F.lit(c.column).alias("column_name"), failures.cast("bigint").alias("failures")]
+
+    parts = []
+    by_model: dict[str, list[Check]] = {}
+    for c in checks:
+        if c.kind == "not_null":
+            by_model.setdefault(c.model, []).append(c)
+        else:
+            parts.append(violations(c, tables).agg(F.count(F.lit(1)).alias("_n")).select(*summary(c, F.col("_n"))))
+    for m, cs in by_model.items():
+        counts = null_counts(tables[m], [c.column for c in cs])
+        parts.append(counts.select(F.explode(F.array(*[F.struct(*summary(c, F.col(c.column))) for c in cs])).alias("_s")).select("_s.*"))
+    out = reduce(DataFrame.unionByName, parts)
+    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
 # --- fixed values: the declared tests of the two model families ------------
