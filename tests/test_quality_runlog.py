@@ -115,3 +115,5 @@ def test_read_run_results_files(spark, tmp_path):
     assert roll == {"silver": "FAILED"}  # the empty document has no node rows
     st = {r.layer: r.state for r in L.last_attempt_state_docs(spark, raw, "source_file").collect()}
     assert st == {"silver": "FAILED", "gold": "SUCCESS", "bronze": "NONE", "snapshot": "NONE"}
+    acts = {r.layer: r.next_action for r in L.last_attempt_state_docs(spark, raw, "source_file").collect()}
+    assert acts == {"silver": "RETRY", "gold": "SKIP", "bronze": "BUILD", "snapshot": "BUILD"}

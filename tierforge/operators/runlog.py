@@ -119,10 +119,15 @@ def last_attempt_state(spark: SparkSession, results: DataFrame, layers: tuple[st
     per_run = results.groupBy("layer", "run_id").agg(F.max(F.col("status").isin(*FAILED_STATUSES).cast("int")).alias("bad"))
     latest = per_run.groupBy("layer").agg(F.max("run_id").alias("last_run_id"), F.max_by("bad", "run_id").alias("bad"))
     names = spark.createDataFrame([(x,) for x in layers], "layer string")
+    state = F.when(F.col("last_run_id").isNull(), "NONE").when(F.col("bad") == 1, "FAILED").otherwise("SUCCESS")
     return F.broadcast(names).join(latest, "layer", "left").select(
-        "layer", "last_run_id",
-        F.when(F.col("last_run_id").isNull(), "NONE").when(F.col("bad") == 1, "FAILED").otherwise("SUCCESS").alias("state"),
-    )
+        "layer", "last_run_id", state.alias("state"), next_action(state).alias("next_action"))
+
+
+def next_action(state: Column) -> Column:
+    """What a layer run does next: build when never run, retry the failed
+    nodes after a failure, skip after a clean attempt."""
+    return F.when(state == "NONE", "BUILD").when(state == "FAILED", "RETRY").otherwise("SKIP")
 
 
 def last_attempt_state_docs(spark: SparkSession, docs: DataFrame, order_col: str,
@@ -134,8 +139,8 @@ def last_attempt_state_docs(spark: SparkSession, docs: DataFrame, order_col: str
     bad = F.exists(F.coalesce(results, F.array()), lambda r: r.getField("status").isin(*FAILED_STATUSES))
     latest = docs.groupBy("layer").agg(F.max_by(bad.cast("int"), F.col(order_col)).alias("bad"))
     names = spark.createDataFrame([(x,) for x in layers], "layer string")
-    return F.broadcast(names).join(latest, "layer", "left").select(
-        "layer", F.when(F.col("bad").isNull(), "NONE").when(F.col("bad") == 1, "FAILED").otherwise("SUCCESS").alias("state"))
+    state = F.when(F.col("bad").isNull(), "NONE").when(F.col("bad") == 1, "FAILED").otherwise("SUCCESS")
+    return F.broadcast(names).join(latest, "layer", "left").select("layer", state.alias("state"), next_action(state).alias("next_action"))
 
 
 def with_model(task_events: DataFrame) -> DataFrame:

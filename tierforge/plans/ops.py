@@ -221,11 +221,12 @@ def l_sql(name: str) -> str:
         body = f"select event_id, task_id, model_name from {EV}"
     elif name == "l5_last_attempt_state":
         layers = ", ".join(f"('{x}')" for x in L.LAYERS)
-        body = f"""select l.layer, t.last_run_id, case when t.last_run_id is null then 'NONE' when t.bad = 1 then 'FAILED' else 'SUCCESS' end as state
+        body = f"""select layer, last_run_id, state, case state when 'NONE' then 'BUILD' when 'FAILED' then 'RETRY' else 'SKIP' end as next_action from (
+ select l.layer, t.last_run_id, case when t.last_run_id is null then 'NONE' when t.bad = 1 then 'FAILED' else 'SUCCESS' end as state
  from (values {layers}) l(layer) left join (
    select layer, max(run_id) as last_run_id, arg_max(bad, run_id) as bad from (
      select layer, run_id, max(case when status in ({bad}) then 1 else 0 end) as bad from fx_run_results group by layer, run_id)
-   group by layer) t on l.layer = t.layer"""
+   group by layer) t on l.layer = t.layer)"""
     elif name == "l6_rows_written":
         types = ", ".join(f"'{t}'" for t in L.WRITE_QUERY_TYPES)
         pad = L.WINDOW_PAD_SECONDS

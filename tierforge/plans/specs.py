@@ -112,7 +112,7 @@ SPECS = {'a5_multi_count_distinct': [('order_id', 'string'),
                         ('error_message', 'string')],
  'l3_infer_layer': [('event_id', 'bigint'), ('model_name', 'string'), ('layer', 'string')],
  'l4_base_model_name': [('event_id', 'bigint'), ('task_id', 'string'), ('model_name', 'string')],
- 'l5_last_attempt_state': [('layer', 'string'), ('last_run_id', 'bigint'), ('state', 'string')],
+ 'l5_last_attempt_state': [('layer', 'string'), ('last_run_id', 'bigint'), ('state', 'string'), ('next_action', 'string')],
  'l6_rows_written': [('event_id', 'bigint'), ('model_name', 'string'), ('rows_affected', 'bigint')],
  'l7_cycle_state': [('dag_id', 'string'),
                     ('model_name', 'string'),
