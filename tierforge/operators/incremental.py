@@ -21,7 +21,14 @@ class DuplicateMergeKeyError(ValueError):
     pick one of them arbitrarily)."""
 
 
+MARKS_ATTR = "_tierforge_marks"  # set by the table store on frames it reads back
+
+
 def _max_text(df: DataFrame, col: str) -> str | None:
+    # A stored table's mark was observed when it was written: no scan.
+    marks = getattr(df, MARKS_ATTR, None)
+    if marks is not None and col in marks:
+        return marks[col]
     # Max as text: avoids a Python datetime round trip (time zones) and lets
     # the literal be re-typed exactly.
     return df.agg(F.max(F.col(col)).cast("string").alias("m")).first()["m"]

@@ -15,17 +15,28 @@ anti join on exactly that key shuffles only the other side. Bucketing
 needs catalog metadata, so such versions are registered as external
 tables of the session's in-memory catalog; with any other catalog the
 store writes plain Parquet instead.
+
+High-water marks: while a version is written, ``MAX`` of each column in
+``MARK_COLUMNS`` that the table has is observed in the same job (Spark's
+``Observation``), and the frame returned by ``read`` carries it
+(``MARKS_ATTR``), so an incremental model reads its target's mark without
+scanning the target. Appends combine the old mark with the appended rows'.
 """
 
+
 from __future__ import annotations
 
 import os
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 
+MARK_COLUMNS = ("_loaded_at",)
+MARKS_ATTR = "_tierforge_marks"  # {column: max as text, or None for no rows}
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -33,6 +44,7 @@ class TableStore:
         self.root = (root or scratch_dir(spark, "tables")).rstrip("/")
         self._version: dict[str, int] = {}
         self._ident: dict[str, str] = {}  # bucketed tables: current catalog name
+        self._marks: dict[str, dict[str, str | None]] = {}
         self._tag = re.sub(r"\W", "_", os.path.basename(self.root))
 
     # -- paths ---------------------------------------------------------------
@@ -47,9 +59,28 @@ class TableStore:
         """Current version, or ``None`` when the table was never written."""
         if name not in self._version:
             return None
-        if name in self._ident:
-            return self.spark.table(self._ident[name])
-        return self.spark.read.parquet(self.path(name))
+        df = self.spark.table(self._ident[name]) if name in self._ident else self.spark.read.parquet(self.path(name))
+        setattr(df, MARKS_ATTR, dict(self._marks.get(name, {})))
+        return df
+
+    def _observed(self, df: DataFrame) -> tuple[DataFrame, Observation | None, list[str]]:
+        cols = [c for c in MARK_COLUMNS if c in df.columns]
+        if not cols:
+            return df, None, cols
+        obs = Observation()
+        return df.observe(obs, *[F.max(c).cast("string").alias(c) for c in cols]), obs, cols
+
+    def _record(self, name: str, obs: Observation | None, cols: list[str], combine: bool) -> None:
+        if obs is None:
+            self._marks.pop(name, None)
+            return
+        got = obs.get
+        old = self._marks.get(name, {}) if combine else {}
+        new = {}
+        for c in cols:
+            vals = [v for v in (old.get(c), got.get(c)) if v is not None]
+            new[c] = max(vals) if vals else None  # same-format timestamp text orders like the values
+        self._marks[name] = new
 
     def _can_bucket(self) -> bool:
         return self.spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "in-memory"
@@ -66,6 +97,7 @@ class TableStore:
         """
         v = self._version.get(name, 0) + 1
         path = self.path(name, v)
+        df, obs, cols = self._observed(df)
         if bucket_by and self._can_bucket():
             n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             ident = f"tf_{self._tag}_{name}_v{v}"
@@ -78,6 +110,7 @@ class TableStore:
             df.write.mode("overwrite").parquet(path)
             self._ident.pop(name, None)
         self._version[name] = v
+        self._record(name, obs, cols, combine=False)
         return self.read(name)
 
     def append(self, name: str, df: DataFrame, bucket_by: list[str] | None = None) -> DataFrame:
@@ -85,11 +118,13 @@ class TableStore:
         bucketed when ``bucket_by`` is given)."""
         if name not in self._version:
             return self.write(name, df, bucket_by=bucket_by)
+        df, obs, mcols = self._observed(df)
         if name in self._ident:
             cols = self.spark.table(self._ident[name]).columns
             df.select(*cols).write.insertInto(self._ident[name])
         else:
             df.write.mode("append").parquet(self.path(name))
+        self._record(name, obs, mcols, combine=True)
         return self.read(name)
 
     def view(self, name: str) -> str:
