@@ -69,3 +69,21 @@ def test_bucketed_target_is_not_shuffled_in_a_large_merge(spark, tmp_path):
         assert out.count() == 50_000 and out.filter("v = -1").count() == 20
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_scd2_join_of_bucketed_tables_needs_no_shuffle(spark, tmp_path):
+    from tierforge.operators.scd2 import scd2_apply
+    from tierforge.sources.tables import TableStore
+    store = TableStore(spark, str(tmp_path / "store"))
+    src = spark.range(20_000).selectExpr("id as k", "cast(id % 7 as string) as a")
+    hist = store.write("h", scd2_apply(None, src, "k", ["a"], "2024-01-01 00:00:00"), bucket_by=["k"])
+    new = store.write("s", spark.range(20_000).selectExpr("id as k", "cast(id % 5 as string) as a"), bucket_by=["k"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = scd2_apply(hist, new, "k", ["a"], "2024-01-02 00:00:00")
+        p = plan(out)
+        assert "SortMergeJoin" in p and "Exchange hashpartitioning" not in p
+        assert out.filter("valid_to is null").count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
