@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 
-MARK_COLUMNS = ("_loaded_at",)
+MARK_COLUMNS = ("_loaded_at", "order_date")  # stamps of the high-water and look-back filters
 MARKS_ATTR = "_tierforge_marks"  # {column: max as text, or None for no rows}
 
 
