@@ -59,3 +59,12 @@ def test_dayofweek_sunday_zero_and_iso_week(spark):
     df = spark.createDataFrame([(dt.date(2016, 1, 3),)], "d date")
     r = df.select(X.dow_sunday0("d").alias("w"), F.weekofyear("d").alias("iso")).first()
     assert (r.w, r.iso) == (0, 53)
+
+
+def test_literal_case_lookup_defaults(spark):
+    df = spark.createDataFrame([("SP",), ("ZZ",), (None,)], "s string")
+    got = [r.r for r in df.select(X.map_lookup("s", X.STATE_REGION, "Unknown").alias("r")).collect()]
+    assert got == ["Southeast", "Unknown", "Unknown"]
+    st = spark.createDataFrame([("O",), ("P",), ("X",)], "s string")
+    got = [r.r for r in st.select(X.map_lookup("s", X.ORDER_STATUS_LABEL, "Unknown").alias("r")).collect()]
+    assert got == ["Open", "Partially Filled", "Unknown"]
