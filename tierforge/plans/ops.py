@@ -429,3 +429,101 @@ SINGLE_SQL = {
 }
 for _n in SINGLE_SQL:
     OPS[_n] = (globals()[_n], (lambda n=_n: O.sql_for(SINGLE_SQL[n])))
+
+
+# ------------------------------------------------------- scalar functions ----
+
+def x1_trim_upper_lower(spark, sf_dir):
+    o = _fx(spark, sf_dir, "fx_raw_orders")
+    s = F.trim("order_status")
+    return o.select("order_id", s.alias("trimmed"), F.upper(s).alias("upper_status"), F.lower(s).alias("lower_status"))
+
+
+def x8_simple_case(spark, sf_dir):
+    c = _fx(spark, sf_dir, "fx_raw_customers")
+    st = F.upper(F.trim("customer_state"))
+    return c.select("customer_id", st.alias("customer_state"), X.map_lookup(st, X.STATE_REGION, "Unknown").alias("customer_region"))
+
+
+def x9_searched_case(spark, sf_dir):
+    p = _fx(spark, sf_dir, "fx_raw_products")
+    w = X.try_number("product_weight_g")
+    return p.select("product_id", w.alias("product_weight_g"), F.when(w < 500, "Light").when(w < 2000, "Medium")
+                    .when(w < 5000, "Heavy").otherwise("Very Heavy").alias("weight_class"))
+
+
+def x10_boolean_flags(spark, sf_dir):
+    p = _fx(spark, sf_dir, "fx_raw_payments")
+    return p.select("order_id", "payment_sequential", X.flag(F.upper(F.trim("payment_type")) == "CREDIT_CARD").alias("is_credit_card"),
+                    X.flag(X.try_number("payment_installments") > 1).alias("is_installment"))
+
+
+def x13_round_money(spark, sf_dir):
+    li = _fx(spark, sf_dir, "fx_lineitem")
+    net = F.col("extended_price") * (1 - F.col("discount"))
+    return li.select("order_key", "line_number", "part_key", "supplier_key", "_loaded_at",
+                     F.round(net, 2).cast("decimal(18,2)").alias("net_revenue"),
+                     F.round(net * (1 + F.col("tax")), 2).cast("decimal(18,2)").alias("gross_revenue"))
+
+
+def x16_x17_date_parts(spark, sf_dir):
+    o = _fx(spark, sf_dir, "fx_raw_orders")
+    ts = X.try_timestamp_ntz("order_purchase_timestamp")
+    return o.select("order_id", F.to_date(ts).alias("order_date"),
+                    F.date_trunc("month", ts).cast("timestamp_ntz").alias("order_month"),
+                    F.trunc(F.to_date(ts), "quarter").alias("first_day_of_quarter"),
+                    F.year(ts).alias("order_year"), F.month(ts).alias("order_month_num"),
+                    X.dow_sunday0(ts).alias("day_of_week"), F.weekofyear(ts).alias("week_num"))
+
+
+def x18_x19_calendar_names(spark, sf_dir):
+    o = _fx(spark, sf_dir, "fx_orders")
+    d = F.col("order_date")
+    return o.select("order_key", F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"),
+                    F.date_format(d, "MMM").alias("month_name"), F.dayofmonth(d).alias("day"),
+                    F.date_format(d, "EEE").alias("day_name"), F.weekofyear(d).alias("week_of_year"))
+
+
+def x20_date_add(spark, sf_dir):
+    o = _fx(spark, sf_dir, "fx_orders")
+    return o.select("order_key", F.date_add("order_date", 3).alias("plus_3"), F.date_sub("order_date", 3).alias("minus_3"))
+
+
+def x24_predicates(spark, sf_dir):
+    li = _fx(spark, sf_dir, "fx_lineitem")
+    return li.select(
+        "order_key", "line_number", "part_key", "supplier_key", "_loaded_at",
+        X.flag(F.col("discount").between(0, 1)).alias("discount_ok"),
+        X.flag(F.col("return_flag").isin("A", "N", "R")).alias("flag_ok"),
+        F.col("ship_date").isNotNull().alias("shipped"),
+        X.flag(F.col("receipt_date") >= F.col("ship_date")).alias("receipt_ok"),
+        X.flag(F.col("ship_mode") != "AIR").alias("not_air"))
+
+
+_STATE = "upper(trim(customer_state))"
+_W = "try_cast(product_weight_g as decimal(38,0))"
+_TSQ = "try_cast(order_purchase_timestamp as timestamp)"
+_NET = "extended_price * (1 - discount)"
+SCALAR_SQL = {
+    "x1_trim_upper_lower": "select order_id, trim(order_status) as trimmed, upper(trim(order_status)) as upper_status, lower(trim(order_status)) as lower_status from fx_raw_orders",
+    "x8_simple_case": f"select customer_id, {_STATE} as customer_state, {O.case_map(_STATE, X.STATE_REGION, 'Unknown')} as customer_region from fx_raw_customers",
+    "x9_searched_case": (f"select product_id, {_W} as product_weight_g, case when {_W} < 500 then 'Light' when {_W} < 2000 then 'Medium' "
+                         f"when {_W} < 5000 then 'Heavy' else 'Very Heavy' end as weight_class from fx_raw_products"),
+    "x10_boolean_flags": ("select order_id, payment_sequential, coalesce(upper(trim(payment_type)) = 'CREDIT_CARD', false) as is_credit_card, "
+                          "coalesce(try_cast(payment_installments as decimal(38,0)) > 1, false) as is_installment from fx_raw_payments"),
+    "x13_round_money": (f"select order_key, line_number, part_key, supplier_key, _loaded_at, cast(round({_NET}, 2) as decimal(18,2)) as net_revenue, "
+                        f"cast(round({_NET} * (1 + tax), 2) as decimal(18,2)) as gross_revenue from fx_lineitem"),
+    "x16_x17_date_parts": (f"select order_id, cast({_TSQ} as date) as order_date, date_trunc('month', {_TSQ}) as order_month, "
+                           f"cast(date_trunc('quarter', cast({_TSQ} as date)) as date) as first_day_of_quarter, cast(year({_TSQ}) as int) as order_year, "
+                           f"cast(month({_TSQ}) as int) as order_month_num, cast(dayofweek({_TSQ}) as int) as day_of_week, "
+                           f"cast(weekofyear({_TSQ}) as int) as week_num from fx_raw_orders"),
+    "x18_x19_calendar_names": ("select order_key, cast(year(order_date) as int) as year, cast(quarter(order_date) as int) as quarter, "
+                               "cast(month(order_date) as int) as month, strftime(order_date, '%b') as month_name, cast(day(order_date) as int) as day, "
+                               "strftime(order_date, '%a') as day_name, cast(weekofyear(order_date) as int) as week_of_year from fx_orders"),
+    "x20_date_add": "select order_key, cast(order_date + 3 as date) as plus_3, cast(order_date - 3 as date) as minus_3 from fx_orders",
+    "x24_predicates": ("select order_key, line_number, part_key, supplier_key, _loaded_at, coalesce(discount between 0 and 1, false) as discount_ok, "
+                       "coalesce(return_flag in ('A','N','R'), false) as flag_ok, ship_date is not null as shipped, "
+                       "coalesce(receipt_date >= ship_date, false) as receipt_ok, coalesce(ship_mode != 'AIR', false) as not_air from fx_lineitem"),
+}
+for _n in SCALAR_SQL:
+    OPS[_n] = (globals()[_n], (lambda n=_n: O.sql_for(SCALAR_SQL[n])))

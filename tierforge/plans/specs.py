@@ -112,7 +112,10 @@ SPECS = {'a5_multi_count_distinct': [('order_id', 'string'),
                         ('error_message', 'string')],
  'l3_infer_layer': [('event_id', 'bigint'), ('model_name', 'string'), ('layer', 'string')],
  'l4_base_model_name': [('event_id', 'bigint'), ('task_id', 'string'), ('model_name', 'string')],
- 'l5_last_attempt_state': [('layer', 'string'), ('last_run_id', 'bigint'), ('state', 'string'), ('next_action', 'string')],
+ 'l5_last_attempt_state': [('layer', 'string'),
+                           ('last_run_id', 'bigint'),
+                           ('state', 'string'),
+                           ('next_action', 'string')],
  'l6_rows_written': [('event_id', 'bigint'), ('model_name', 'string'), ('rows_affected', 'bigint')],
  'l7_cycle_state': [('dag_id', 'string'),
                     ('model_name', 'string'),
@@ -583,7 +586,49 @@ SPECS = {'a5_multi_count_distinct': [('order_id', 'string'),
                         ('ship_instructions', 'string'),
                         ('ship_mode', 'string'),
                         ('_loaded_at', 'ts')],
+ 'x10_boolean_flags': [('order_id', 'string'),
+                       ('payment_sequential', 'string'),
+                       ('is_credit_card', 'boolean'),
+                       ('is_installment', 'boolean')],
+ 'x13_round_money': [('order_key', 'bigint'),
+                     ('line_number', 'int'),
+                     ('part_key', 'bigint'),
+                     ('supplier_key', 'bigint'),
+                     ('_loaded_at', 'ts'),
+                     ('net_revenue', 'double'),
+                     ('gross_revenue', 'double')],
+ 'x16_x17_date_parts': [('order_id', 'string'),
+                        ('order_date', 'date'),
+                        ('order_month', 'ts'),
+                        ('first_day_of_quarter', 'date'),
+                        ('order_year', 'int'),
+                        ('order_month_num', 'int'),
+                        ('day_of_week', 'int'),
+                        ('week_num', 'int')],
+ 'x18_x19_calendar_names': [('order_key', 'bigint'),
+                            ('year', 'int'),
+                            ('quarter', 'int'),
+                            ('month', 'int'),
+                            ('month_name', 'string'),
+                            ('day', 'int'),
+                            ('day_name', 'string'),
+                            ('week_of_year', 'int')],
+ 'x1_trim_upper_lower': [('order_id', 'string'),
+                         ('trimmed', 'string'),
+                         ('upper_status', 'string'),
+                         ('lower_status', 'string')],
+ 'x20_date_add': [('order_key', 'bigint'), ('plus_3', 'date'), ('minus_3', 'date')],
  'x22_surrogate_key': [('customer_key', 'bigint'), ('customer_sk', 'string'), ('key_nation_sk', 'string')],
+ 'x24_predicates': [('order_key', 'bigint'),
+                    ('line_number', 'int'),
+                    ('part_key', 'bigint'),
+                    ('supplier_key', 'bigint'),
+                    ('_loaded_at', 'ts'),
+                    ('discount_ok', 'boolean'),
+                    ('flag_ok', 'boolean'),
+                    ('shipped', 'boolean'),
+                    ('receipt_ok', 'boolean'),
+                    ('not_air', 'boolean')],
  'x3_initcap': [('customer_id', 'string'), ('customer_city', 'string')],
  'x4_try_number': [('product_id', 'string'),
                    ('product_weight_g', 'double'),
@@ -603,4 +648,6 @@ SPECS = {'a5_multi_count_distinct': [('order_id', 'string'),
                  ('delivered', 'ts'),
                  ('actual_delivery_days', 'int'),
                  ('estimated_delivery_days', 'int'),
-                 ('is_late_delivery', 'boolean')]}
+                 ('is_late_delivery', 'boolean')],
+ 'x8_simple_case': [('customer_id', 'string'), ('customer_state', 'string'), ('customer_region', 'string')],
+ 'x9_searched_case': [('product_id', 'string'), ('product_weight_g', 'double'), ('weight_class', 'string')]}
