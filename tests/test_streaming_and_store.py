@@ -33,3 +33,16 @@ def test_store_versions_and_view(spark, tmp_path):
     assert store.read("t").count() == 1 and store.path("t").endswith("/v2")
     view = store.view("t")
     assert spark.table(view).count() == 1
+
+
+def test_runner_logs_each_model_attempt(spark):
+    from tierforge.operators import runlog as L
+    from tierforge.plans.runner import Run
+    r = Run(spark, SF_SMALL).run(domains=("tpch",), only=["silver_lineitem"])
+    log = r.run_log()
+    rows = {(x.run_id, x.model_name): x for x in log.collect()}
+    assert rows[(1, "silver_lineitem")].status == "success"
+    # day 1 writes every valid latest line of day 1; day 2 the merged table
+    assert rows[(2, "silver_lineitem")].rows_affected == 4272
+    roll = {(x.run_id, x.layer): x.status for x in L.rollup(log).collect()}
+    assert roll == {(1, "silver"): "SUCCESS", (2, "silver"): "SUCCESS"}

@@ -11,6 +11,7 @@ Layers run in the reference order: bronze, silver, snapshot, gold.
 
 from __future__ import annotations
 
+import datetime
 import os
 import threading
 import time
@@ -69,6 +70,17 @@ BUCKET_KEYS: dict[str, list[str]] = {
 }
 
 
+def layer_of(table: str) -> str:
+    """Layer of a stored table, from its name."""
+    if table.startswith("bronze_"):
+        return "bronze"
+    if table.startswith(("silver_", "stg_")):
+        return "silver"
+    if table.startswith(("snap_", "scd_")):
+        return "snapshot"
+    return "gold"
+
+
 def closure(tables) -> set[str]:
     """The tables plus everything upstream of them."""
     out: set[str] = set()
@@ -100,6 +112,8 @@ class Run:
         self.only: set[str] | None = None  # restrict to these tables (None: all)
         self.bucketed = os.environ.get("TIERFORGE_BUCKETED", "1") == "1"
         self._staging: dict[str, threading.Lock] = {}
+        self.day = 0
+        self.log: list[tuple] = []  # one row per model attempt
 
     def fixture(self, name: str) -> DataFrame:
         """A source table of the run, staged once as Parquet in the store
@@ -117,15 +131,25 @@ class Run:
         return self.store.read(table)
 
     def _put(self, name: str, build: Callable[[], DataFrame], how: str = "write", **kw) -> DataFrame:
-        """Compute a model (including its eager scalar jobs) and write it."""
-        t0 = time.perf_counter()
-        df = build()
-        if name in BUCKET_KEYS and self.bucketed:
-            kw = {**kw, "bucket_by": BUCKET_KEYS[name]}
-        out = self.store.append(name, df, **kw) if how == "append" else self.store.write(name, df, **kw)
-        with self._lock:
-            self.timings[name] += time.perf_counter() - t0
-        return out
+        """Compute a model (including its eager scalar jobs), write it and log
+        the attempt (status, start, end, rows written)."""
+        t0, start = time.perf_counter(), datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
+        status, rows, error = "success", None, None
+        try:
+            df = build()
+            if name in BUCKET_KEYS and self.bucketed:
+                kw = {**kw, "bucket_by": BUCKET_KEYS[name]}
+            out = self.store.append(name, df, **kw) if how == "append" else self.store.write(name, df, **kw)
+            rows = self.store.rows_written.get(name)
+            return out
+        except Exception as e:
+            status, error = "error", str(e)[:4000]
+            raise
+        finally:
+            end = datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
+            with self._lock:
+                self.timings[name] += time.perf_counter() - t0
+                self.log.append((self.day, layer_of(name), name, status, start, end, rows, error))
 
     def _wave(self, items: list[tuple]) -> None:
         """Run independent ``(name, build, how, kw)`` items concurrently."""
@@ -230,10 +254,20 @@ class Run:
                 self.get("dim_product"), self.get("dim_date_retail"))),
         ])
 
+    def run_log(self) -> DataFrame:
+        """This run's model log (one row per model attempt), shaped like the
+        run-log inputs of ``operators.runlog`` (``run_id`` = day)."""
+        return self.spark.createDataFrame(
+            self.log,
+            "run_id int, layer string, model_name string, status string, started_at timestamp_ntz, "
+            "ended_at timestamp_ntz, rows_affected long, message string",
+        )
+
     def run(self, domains=("tpch", "retail"), days=(1, 2), only=None) -> "Run":
         """Run the days; ``only`` limits the run to those tables' closure."""
         self.only = closure(only) if only is not None else None
         for d in days:
+            self.day = d
             steps = [getattr(self, f"{dom}_day") for dom in domains]
             if self.parallel > 1 and len(steps) > 1:
                 with ThreadPoolExecutor(max_workers=len(steps)) as ex:

@@ -45,6 +45,7 @@ class TableStore:
         self._version: dict[str, int] = {}
         self._ident: dict[str, str] = {}  # bucketed tables: current catalog name
         self._marks: dict[str, dict[str, str | None]] = {}
+        self.rows_written: dict[str, int] = {}  # rows of the last write / append, observed while writing
         self._tag = re.sub(r"\W", "_", os.path.basename(self.root))
 
     # -- paths ---------------------------------------------------------------
@@ -63,18 +64,15 @@ class TableStore:
         setattr(df, MARKS_ATTR, dict(self._marks.get(name, {})))
         return df
 
-    def _observed(self, df: DataFrame) -> tuple[DataFrame, Observation | None, list[str]]:
+    def _observed(self, df: DataFrame) -> tuple[DataFrame, Observation, list[str]]:
         cols = [c for c in MARK_COLUMNS if c in df.columns]
-        if not cols:
-            return df, None, cols
         obs = Observation()
-        return df.observe(obs, *[F.max(c).cast("string").alias(c) for c in cols]), obs, cols
+        metrics = [F.count(F.lit(1)).alias("_rows")] + [F.max(c).cast("string").alias(c) for c in cols]
+        return df.observe(obs, *metrics), obs, cols
 
-    def _record(self, name: str, obs: Observation | None, cols: list[str], combine: bool) -> None:
-        if obs is None:
-            self._marks.pop(name, None)
-            return
+    def _record(self, name: str, obs: Observation, cols: list[str], combine: bool) -> None:
         got = obs.get
+        self.rows_written[name] = int(got.get("_rows") or 0)
         old = self._marks.get(name, {}) if combine else {}
         new = {}
         for c in cols:
