@@ -253,14 +253,20 @@ def fact_lineitem(silver_lineitem_df: DataFrame, silver_orders_df: DataFrame, ta
                   cluster_by: str | None = "ship_date") -> DataFrame:
     """New silver lines enriched with their order, deduplicated, merged.
 
-    lineitem and orders meet in one shuffle on order_key; the dedup window on
-    (order_key, line_number) is satisfied by that partitioning, so there is no
-    second exchange.
+    The latest line per (order_key, line_number) is picked before the join
+    and the order side is made unique per order_key, so the left join is
+    1:1 and equals joining first and deduplicating after. Picking first
+    keeps the top-1 partial before its shuffle and leaves nothing above the
+    join that needs its partitioning, so AQE can split a hot order_key; the
+    order-side dedup reuses the join's exchange on order_key.
     """
     li = newer_than(silver_lineitem_df, target, "_loaded_at", floor=FLOOR_TS)
-    o = silver_orders_df.select("order_key", "customer_key", "order_date", "order_status", "order_priority")
-    joined = li.join(o, "order_key", "left").select(*FACT_LINEITEM_COLUMNS)
-    out = dedup_latest(joined, ["order_key", "line_number"], tie_break=TIE_BREAK["lineitem"])
+    li = dedup_latest(li, ["order_key", "line_number"], tie_break=TIE_BREAK["lineitem"])
+    o = dedup_latest(
+        silver_orders_df.select("order_key", "customer_key", "order_date", "order_status", "order_priority", "_loaded_at"),
+        ["order_key"], tie_break=["customer_key", "order_date"],
+    ).drop("_loaded_at")
+    out = li.join(o, "order_key", "left").select(*FACT_LINEITEM_COLUMNS)
     if target is not None and cluster_by:
         # Only the new batch is range-clustered; kept rows stream through the
         # (broadcast) anti join in file order, so their row groups stay narrow
