@@ -1,10 +1,13 @@
 """Incremental loading: high-water marks, look-back windows, append of
 unseen keys, keyed merge (upsert) and schema sync.
 
-All operators are pure: they take the previous target (``None`` on the
-first run) and return the rows to write. The only driver round trip is the
-scalar high-water mark, which comes back as text and goes into the plan as
-a typed literal so that Parquet scans see a pushed-down comparison.
+All operators take the previous target (``None`` on the first run) and
+return the rows to write. Driver round trips carry scalars only: the
+high-water mark (normally the mark the table store observed when it wrote
+the target), which goes into the plan as a typed literal so Parquet scans
+see a pushed-down comparison, and a merge batch's profile (row count,
+duplicate keys). A merge checkpoints its batch once (reliable checkpoint in
+``spark.checkpoint.dir``) because three plan branches read it.
 """
 
 from __future__ import annotations
