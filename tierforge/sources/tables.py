@@ -97,7 +97,7 @@ class TableStore:
         path = self.path(name, v)
         df, obs, cols = self._observed(df)
         if bucket_by and self._can_bucket():
-            n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            n = buckets or int(self.spark.conf.get("tierforge.buckets", None) or self.spark.conf.get("spark.sql.shuffle.partitions"))
             ident = f"tf_{self._tag}_{name}_v{v}"
             (df.write.mode("overwrite").format("parquet").option("path", path)
              .bucketBy(n, *bucket_by).sortBy(*bucket_by).saveAsTable(ident))
