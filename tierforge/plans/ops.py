@@ -17,7 +17,7 @@ from ..operators.scd2 import scd2_apply
 from ..sources import fixtures as fx
 from . import oracle as O
 from . import tpch
-from .runner import built
+from .runner import built, staged_source
 
 # stored table of each tested model (Spark) and its oracle block (SQL)
 TEST_TABLES = {
@@ -139,7 +139,7 @@ def d6_sql() -> str:
 # ---------------------------------------------------------------- run log ----
 
 def _fx(spark, sf_dir, name):
-    return fx.fixture(spark, sf_dir, name)
+    return staged_source(spark, sf_dir, name)
 
 
 def l1_run_rollup(spark, sf_dir):

@@ -111,24 +111,16 @@ class Run:
         self._lock = threading.Lock()
         self.only: set[str] | None = None  # restrict to these tables (None: all)
         self.bucketed = os.environ.get("TIERFORGE_BUCKETED", "1") == "1"
-        self._staging: dict[str, threading.Lock] = {}
         self.day = 0
         self.log: list[tuple] = []  # one row per model attempt
 
     def fixture(self, name: str) -> DataFrame:
-        """A source table of the run, staged once as Parquet in the store
-        (production sources are stored tables; deriving them from the driver
-        tables again for every model would repeat scans and shuffles)."""
-        table = f"source_{name}"
+        """A source table of the run (staged once per session and directory)."""
+        t0 = time.perf_counter()
+        df = staged_source(self.spark, self.sf_dir, name)
         with self._lock:
-            lock = self._staging.setdefault(name, threading.Lock())
-        with lock:
-            if not self.store.exists(table):
-                t0 = time.perf_counter()
-                self.store.write(table, fx.fixture(self.spark, self.sf_dir, name))
-                with self._lock:
-                    self.timings["sources"] += time.perf_counter() - t0
-        return self.store.read(table)
+            self.timings["sources"] += time.perf_counter() - t0
+        return df
 
     def _put(self, name: str, build: Callable[[], DataFrame], how: str = "write", **kw) -> DataFrame:
         """Compute a model (including its eager scalar jobs), write it and log
@@ -279,6 +271,30 @@ class Run:
         return self
 
 
+_SOURCE_STORES: dict[tuple, TableStore] = {}
+_SOURCE_LOCKS: dict[tuple, threading.Lock] = {}
+_SOURCES_LOCK = threading.Lock()
+
+
+def staged_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fixture staged once as a Parquet table per session and directory.
+
+    Production sources are stored tables; deriving them from the driver
+    tables again for every model and query would repeat scans, casts and
+    shuffles (e.g. the DISTINCT behind partsupp)."""
+    base = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _SOURCES_LOCK:
+        store = _SOURCE_STORES.get(base)
+        if store is None:
+            store = _SOURCE_STORES[base] = TableStore(prepare(spark))
+        lock = _SOURCE_LOCKS.setdefault(base + (name,), threading.Lock())
+    table = f"source_{name}"
+    with lock:
+        if not store.exists(table):
+            store.write(table, fx.fixture(spark, sf_dir, name))
+    return store.read(table)
+
+
 _BUILT: dict[tuple, Run] = {}
 _BUILD_LOCK = threading.Lock()
 
