@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding.
 
 Texts are cut into pieces by a pattern; each piece is encoded on its own, exactly as merging byte pairs by
-rank would. Bytes become Latin-1 characters, so one Aho-Corasick automaton finds every vocabulary entry in
-the new pieces of a batch at once. A piece is then encoded from its longest matches: a token is accepted if it
+rank would. Bytes become Latin-1 characters, so an Aho-Corasick automaton over strings finds every vocabulary
+entry in a piece. It is then encoded from its longest matches: a token is accepted if it
 is compatible with the token before it (merging the two tokens' bytes gives just these two, memoised);
 otherwise the next shorter prefix is tried, and when none is left the token before is shortened. A position
 found to lead nowhere is not entered again, so the work is linear in the piece. A sequence whose neighbours are all
@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from struct import pack
 
 import ahocorasick
 import numpy as np
@@ -22,10 +23,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .text import steps, utf8
+
 KEPT_PIECES = 400_000  # encoded pieces a worker keeps
 KEPT_PAIRS = 1_000_000  # judged token pairs a worker keeps
 KEPT_CHARS = 64  # longer pieces are not kept
-_GAP = "Ā"  # no byte: nothing matches across it
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -38,12 +40,27 @@ def load_ranks(path: str) -> list[bytes]:
     return tokens
 
 
+class _Pieces(dict):
+    """Encoded pieces, filled when first asked for."""
+
+    def __init__(self, codec: Codec):
+        self.codec = codec
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.codec.piece(piece)
+        if len(piece) <= KEPT_CHARS:
+            if len(self) >= KEPT_PIECES:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Codec:
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens = tokens
         self.pattern = regex.compile(pattern)
         self.rank = {t: i for i, t in enumerate(tokens) if t}
-        self._pieces: dict[str, bytes] = {}
+        self._pieces = _Pieces(self)
         self._pairs: dict[int, bool] = {}
         self._shorter: dict[int, int] = {}
         # A few entries may be out of the merges' reach; they count only as whole pieces.
@@ -89,11 +106,11 @@ class Codec:
             self._shorter[token] = found
         return found
 
-    def _walk(self, longest: list[int], lo: int, hi: int) -> list[int]:
-        """Ids of the piece at [lo, hi); longest[p]: the longest token that starts at p."""
+    def _walk(self, longest: list[int], size: int) -> list[int]:
+        """Ids of a piece; longest[p]: the longest token that starts at byte p."""
         out: list[int] = []
         dead: set[int] = set()
-        tokens, pos, token = self.tokens, lo, longest[lo]
+        tokens, pos, token = self.tokens, 0, longest[0]
         while True:
             while token >= 0:
                 end = pos + len(tokens[token])
@@ -106,49 +123,25 @@ class Codec:
                 pos -= len(tokens[token])
                 continue
             out.append(token)
-            if end == hi:
+            if end == size:
                 return out
             pos, token = end, longest[end]
 
-    def _learn(self, pieces: set[str], table: dict[str, bytes]) -> None:
-        """Encode ``pieces`` into ``table``."""
-        hard: list[tuple[str, bytes]] = []
-        for piece in pieces:
-            raw = piece.encode()
-            whole = self.rank.get(raw)
-            if whole is not None:
-                table[piece] = whole.to_bytes(4, "little")
-            else:
-                hard.append((piece, raw))
-        for lo in range(0, len(hard), 4096):
-            some = hard[lo:lo + 4096]
-            line = _GAP.join(raw.decode("latin-1") for _, raw in some)
-            longest = [-1] * len(line)
-            for end, (back, token) in self._find.iter(line):  # by end, so a longer match of a start comes later
-                longest[end - back] = token
-            at = 0
-            for piece, raw in some:
-                table[piece] = np.array(self._walk(longest, at, at + len(raw)), "<u4").tobytes()
-                at += len(raw) + 1
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        cut = [self.pattern.findall(t) for t in texts]
-        table = self._pieces
-        new = {p for pieces in cut for p in pieces if p not in table}
-        long = {p for p in new if len(p) > KEPT_CHARS}
-        new -= long
-        if len(table) + len(new) > KEPT_PIECES:
-            table.clear()
-            new = {p for pieces in cut for p in pieces} - long
-        self._learn(new, table)
-        if long:
-            aside: dict[str, bytes] = {}
-            self._learn(long, aside)
-            get = lambda p: table.get(p) or aside[p]
-        else:
-            get = table.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+    def piece(self, piece: str) -> bytes:
+        """Little-endian 32-bit ids of one piece."""
+        raw = piece.encode()
+        whole = self.rank.get(raw)
+        if whole is not None:
+            return whole.to_bytes(4, "little")
+        longest = [-1] * len(raw)
+        for end, (back, token) in self._find.iter(raw.decode("latin-1")):  # by end, so a longer match of a start comes later
+            longest[end - back] = token
+        ids = self._walk(longest, len(raw))
+        return pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian 32-bit ids of a text."""
+        return b"".join(map(self._pieces.__getitem__, self.pattern.findall(text)))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -164,19 +157,6 @@ def _codec(tokens: list[bytes], pattern: str) -> Codec:
     return _CODECS[key]
 
 
-def _runs(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of about ``limit`` characters; null is empty."""
-    lo, some, size = 0, [], 0
-    for k, value in enumerate(column):
-        some.append(value.as_py() or "")
-        size += len(some[-1])
-        if size >= limit:
-            yield lo, some
-            lo, some, size = k + 1, [], 0
-    if some:
-        yield lo, some
-
-
 def encoded(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, token_ids (binary, little-endian 32-bit) and the decoded bytes' equality with the text.
 
@@ -215,9 +195,9 @@ def _mapped(docs, ranks_path, pattern, doc_id, text, schema, columns) -> DataFra
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value, pattern)
         for batch in batches:
-            for lo, texts in _runs(batch.column(1)):
-                ids = codec.encode(texts)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(texts)), *columns(codec, texts, ids)], names)
+            for lo, hi in steps(utf8(batch.column(1))[1], 4 << 20):
+                texts = [x or "" for x in batch.column(1).slice(lo, hi - lo).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *columns(codec, texts, [codec.encode(t) for t in texts])], names)
 
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return slim.mapInArrow(work, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, {schema}")
