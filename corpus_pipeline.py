@@ -2,26 +2,50 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierforge.llm import quality, simhash
+from tierforge.llm import bpe, mixing, pii, quality, simhash
 from tierforge.llm.common import read, stored
 from tierforge.llm.queries import ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
+    ship(spark)
     return quality.judged(docs, column="__kept").filter("__kept").drop("__kept")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    ship(spark)
     return simhash.one_per_component(docs, shingle=3, distance=2)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data masked; n_chars follows the text."""
+    clean = pii.sanitised(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: each document as often as its source's target takes it, as that many rows; those taken no time go."""
+    return mixing.repeated(docs, weights=(1, 2, 3), share=1.0, most=3)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row of the mix, and whether they decode to its text."""
+    ship(spark)
+    return bpe.encoded(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("SimHash near-dedup", near_dedup),
+    ("PII", personal_data),
+    ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE encoding and decoding", encode),
 ]
 
 ORACLE_SQL = None  # fingerprints, rounding and BPE have no SQL form; tests/llm holds the run against brute force

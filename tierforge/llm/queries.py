@@ -11,7 +11,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, simhash
+from . import bpe, mixing, pii, quality, simhash
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.statistics(read(ship(spark), sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read(ship(spark), sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mixed(read(ship(spark), sf_dir, "documents"), weights=(1, 2, 3), share=1.0, most=3)
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(read(ship(spark), sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -47,6 +56,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_pii": op2_pii,
+    "op6_mixing": op6_mixing,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_simhash": op9_simhash,
 }
