@@ -18,7 +18,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     executor costs no more than the running stage, and later uses don't compute it anew."""
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a ``stored`` table that nothing reads any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def in_fold(column: str, folds: int) -> "F.Column":

@@ -11,8 +11,8 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, pii, quality, simhash
-from .common import read
+from . import bpe, katz, mixing, pii, quality, simhash
+from .common import in_fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 _SHIPPED: set[str] = set()
@@ -54,10 +54,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(ship(spark), sf_dir, "documents"), shingle=3, distance=2)
 
 
+def op10_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.scores(read(ship(spark), sf_dir, "documents"), held_out=in_fold("doc_id", 7) == 2)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
     "op6_mixing": op6_mixing,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_simhash": op9_simhash,
+    "op10_katz_scoring": op10_katz_scoring,
 }
