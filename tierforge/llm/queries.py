@@ -11,7 +11,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, katz, mixing, pii, quality, simhash
+from . import bpe, katz, kneser_ney, langid, mixing, pii, quality, simhash, suffix
 from .common import in_fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(ship(spark), sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeats(read(ship(spark), sf_dir, "documents"), length=200)
+
+
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.judged(read(ship(spark), sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mixed(read(ship(spark), sf_dir, "documents"), weights=(1, 2, 3), share=1.0, most=3)
     return rows.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -50,6 +58,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(ship(spark), sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(read(ship(spark), sf_dir, "documents"), held_out=in_fold("doc_id", 5) == 0)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(ship(spark), sf_dir, "documents"), shingle=3, distance=2)
 
@@ -61,8 +73,11 @@ def op10_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op5_kneser_ney": op5_kneser_ney,
     "op6_mixing": op6_mixing,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_katz_scoring": op10_katz_scoring,
 }
