@@ -10,8 +10,9 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, katz, kneser_ney, langid, mixing, pii, quality, simhash, suffix
+from . import ann, bpe, katz, kneser_ney, langid, mixing, pii, quality, simhash, suffix
 from .common import in_fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +45,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeats(read(ship(spark), sf_dir, "documents"), length=200)
 
 
+def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(read(ship(spark), sf_dir, "embeddings"), is_query=F.col("vec_id") % 50 == 0, k=5)
+
+
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.judged(read(ship(spark), sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_pii": op2_pii,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_cross_polytope": op4_cross_polytope,
     "op5_kneser_ney": op5_kneser_ney,
     "op6_mixing": op6_mixing,
     "op7_byte_bpe": op7_byte_bpe,
