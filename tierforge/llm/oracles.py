@@ -1,3 +1,38 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express; the others are held against brute force in tests/llm."""
 
-ORACLES: dict[str, str] = {}
+OP1_QUALITY_RULES = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM docs
+), windows AS (
+  SELECT r, unnest(range(1, len(words) - 1)) AS i, words FROM split WHERE len(words) >= 3
+), grams AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) AS n FROM windows
+), hit AS (
+  SELECT r, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM grams WHERE n > 1) GROUP BY r
+), top AS (
+  SELECT r, max(c) AS n_top FROM (SELECT r, w, count(*) AS c FROM (SELECT r, unnest(words) AS w FROM split) GROUP BY r, w) GROUP BY r
+), counted AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words,
+         coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_top, 0) AS n_top,
+         length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_upper,
+         length(text) - length(replace(text, '!', '')) AS n_exclaims
+  FROM split LEFT JOIN hit USING (r) LEFT JOIN top USING (r)
+), based AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (10 * n_symbols > n_words) AND NOT (2 * n_dup_lines > n_lines)
+       AND NOT (word_chars < 2 * n_words OR word_chars > 12 * n_words) AND NOT (10 * n_top > 3 * n_words)
+       AND NOT (10 * n_upper > 4 * word_chars) AND NOT (2 * n_exclaims > n_words) AS kept
+FROM based
+"""
+
+ORACLES: dict[str, str] = {"op1_quality_rules": OP1_QUALITY_RULES}
