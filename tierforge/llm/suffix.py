@@ -34,7 +34,7 @@ from .text import Spans, mix, utf8
 
 LENGTH = 200  # bytes; four q-grams
 BLOCK = 4 << 20  # bytes of text
-_PIECE = 1 << 20  # string starts that one vectorised step holds
+_PIECE = 1 << 18  # string starts that one vectorised step holds
 _PLACE = np.uint64(21)  # bits for a position in a piece
 _U = np.uint64
 
@@ -245,9 +245,9 @@ def _strings(texts: Texts, first: np.ndarray, last: np.ndarray, length: int) ->
     return tuple(_joined(out, (np.int64, _U, np.uint32)))
 
 
-def _refine(bits: int, length: int):
-    """A block with its anchors judged: finished rows of documents without open strings; for the others what is
-    known, and the strings to sort."""
+def _refine(length: int):
+    """A block with its anchors judged: finished rows of documents without open strings; the others with what is
+    known and the strings to sort."""
 
     def work(rows: pa.Table) -> pa.Table:
         number = rows["block"][0].as_py()
@@ -273,17 +273,27 @@ def _refine(bits: int, length: int):
             known, open_ = sure & unsettled[doc], verdict == 2
             first, last = first - shift[doc], last - shift[doc]
             out.append(row(number, 6, -1, pickle.dumps((rest.dumped(), *[pack(x) for x in (first[known], last[known], first[open_], last[open_])]))))
-            _, keys, other = _strings(rest, first[open_], last[open_], length)
-            unique, at, n = np.unique(keys, return_index=True, return_counts=True)
-            cut = cuts(unique, bits)
-            for s, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
-                if b > a:
-                    out.append(row(number, 3, s, pickle.dumps((pack_keys(unique[a:b]), pack(n[a:b] > 1), pack(other[at[a:b]])))))
         return pa.Table.from_batches([batch_of(out)])
 
     return work
 
 
+def _send_strings(bits: int, length: int):
+    """The open strings of each block's unsettled documents."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, data in zip(batch.column(0).to_pylist(), batch.column(3)):
+                dumped, _, _, first, last = pickle.loads(data.as_py())
+                _, keys, other = _strings(Texts.loaded(*dumped), unpack(first, np.int64), unpack(last, np.int64), length)
+                unique, at, n = np.unique(keys, return_index=True, return_counts=True)
+                cut = cuts(unique, bits)
+                yield batch_of([row(number, 3, s, pickle.dumps((pack_keys(unique[a:b]), pack(n[a:b] > 1), pack(other[at[a:b]]))))
+                                for s, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a])
+
+    return work
+
+
 def _finish(length: int):
     def work(rows: pa.Table) -> pa.Table:
         dumped, *packed = _payload(rows, 6)
@@ -316,10 +326,11 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     bits = max(4, (2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     packed = stored(_pack_documents(slim, block), "suffix-blocks")
     judged = packed.mapInArrow(_send(bits, length), ROW).groupBy("shard").applyInArrow(_judge_anchors, ROW)
-    refined_ = stored(packed.union(judged).groupBy("block").applyInArrow(_refine(bits, length), ROW), "suffix-refined")
+    refined_ = stored(packed.union(judged).groupBy("block").applyInArrow(_refine(length), ROW), "suffix-refined")
     discard(packed)
     schema = f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     done = refined_.filter("kind = 5").select("data").mapInArrow(_unwrap, schema)
-    judged = refined_.filter("kind = 3").groupBy("shard").applyInArrow(_judge_strings, ROW)
-    rest = refined_.filter("kind = 6").union(judged).groupBy("block").applyInArrow(_finish(length), schema)
+    unsettled = refined_.filter("kind = 6")
+    judged = unsettled.mapInArrow(_send_strings(bits, length), ROW).groupBy("shard").applyInArrow(_judge_strings, ROW)
+    rest = unsettled.union(judged).groupBy("block").applyInArrow(_finish(length), schema)
     return done.union(rest)
