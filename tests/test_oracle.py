@@ -10,10 +10,11 @@ from conftest import SF_SMALL
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 import __spark_entry__ as E  # noqa: E402
+from tierforge.plans import catalog  # noqa: E402
 from oracle_check import TABLES, rows_multiset  # noqa: E402
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = catalog.queries()
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")

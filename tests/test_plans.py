@@ -54,36 +54,28 @@ def test_mart_broadcasts_the_calendar_and_aggregates_before_joining(spark):
     assert p.count("HashAggregate") >= 4  # per-order partial/final + mart partial/final
 
 
-def test_bucketed_target_is_not_shuffled_in_a_large_merge(spark, tmp_path):
+def test_daily_run_reads_only_what_is_newer(spark, tmp_path):
+    """The filter on the target's mark reaches the scan of the stored table that a model reads."""
     from tierforge.sources.tables import TableStore
     store = TableStore(spark, str(tmp_path / "store"))
-    store.write("t", spark.range(50_000).selectExpr("id as k", "id * 2 as v"), bucket_by=["k"])
-    upd = spark.range(20).selectExpr("id * 3 as k", "-1L as v")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = merge_upsert(store.read("t"), upd, ["k"], broadcast_max_rows=0)  # force the large-batch path
-        phys = plan(out)
-        assert "SortMergeJoin" in phys
-        assert phys.count("Exchange hashpartitioning") == 1  # only the batch side
-        assert out.count() == 50_000 and out.filter("v = -1").count() == 20
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
-def test_scd2_join_of_bucketed_tables_needs_no_shuffle(spark, tmp_path):
-    from tierforge.operators.scd2 import scd2_apply
-    from tierforge.sources.tables import TableStore
-    store = TableStore(spark, str(tmp_path / "store"))
-    src = spark.range(20_000).selectExpr("id as k", "cast(id % 7 as string) as a")
-    hist = store.write("h", scd2_apply(None, src, "k", ["a"], "2024-01-01 00:00:00"), bucket_by=["k"])
-    new = store.write("s", spark.range(20_000).selectExpr("id as k", "cast(id % 5 as string) as a"), bucket_by=["k"])
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = scd2_apply(hist, new, "k", ["a"], "2024-01-02 00:00:00")
-        p = plan(out)
-        assert "SortMergeJoin" in p and "Exchange hashpartitioning" not in p
-        assert out.filter("valid_to is null").count() == 20_000
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    li = fx.fixture(spark, SF_SMALL, "fx_lineitem")
+    store.write("bronze", li, keys=["order_key", "line_number"])
+    store.write("silver", tpch.silver_lineitem(fx.day_slice(store.read("bronze"), 1), None), month_of="ship_date")
+    src = tpch.newer_than(store.read("bronze"), store.read("silver"), "_loaded_at", floor=tpch.FLOOR_TS)
+    assert "GreaterThan(_loaded_at,2024-01-01T00:00)" in plan(src)
+
+
+def test_kpi_mart_counts_orders_without_a_distinct(spark):
+    from tierforge.plans import retail
+    from tierforge.plans.runner import built
+    get = built(spark, SF_SMALL, "retail").get
+    df = retail.mart_revenue_kpis(get("fct_orders"), get("dim_customer_retail"), get("stg_order_items"), get("dim_product"), get("dim_date_retail"))
+    p = plan(df)
+    assert "Expand" not in p and "LeftSemi" in p
+
+
+def test_source_filter_reaches_the_source_scan(spark):
+    """Sources are views over the given files: no staged copy stands between."""
+    src = fx.fixture(spark, SF_SMALL, "src_customer").filter("c_nationkey = 3").select("c_custkey")
+    p = plan(src)
+    assert "EqualTo(c_nationkey,3)" in p and "ReadSchema: struct<c_custkey:bigint,c_nationkey" in p

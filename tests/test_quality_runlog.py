@@ -71,7 +71,7 @@ def test_rows_written_window_and_null(spark):
         (5, T(2024, 1, 1, 0, 1, 0), "insert STG_TPCH__A", "FAIL", "INSERT", 100, None),           # failed
     ], "query_id long, end_time timestamp_ntz, query_text string, execution_status string, query_type string, "
        "rows_inserted long, rows_updated long")
-    got = {r.event_id: r.rows_affected for r in L.rows_written(ev, hist, bucket_seconds=30).collect()}
+    got = {r.event_id: r.rows_affected for r in L.rows_written(ev, hist).collect()}
     assert got == {1: 7, 2: None, 3: None}
 
 

@@ -49,3 +49,13 @@ def test_scd2_ids_are_unique(spark):
     day2 = spark.createDataFrame([(1, "z", "y", "n"), (2, "x", "y", "n")], S)
     h = scd2_apply(scd2_apply(None, day1, "k", ["a"], T1), day2, "k", ["a"], T2)
     assert h.select("scd_id").distinct().count() == h.count() == 3
+
+
+def test_new_and_vanished_columns(spark):
+    day1 = spark.createDataFrame([(1, "x", "old"), (2, "x", "old")], "k int, a string, gone string")
+    day2 = spark.createDataFrame([(1, "y", 5), (2, "x", 6), (3, "z", 7)], "k int, a string, fresh int")
+    h = scd2_apply(scd2_apply(None, day1, "k", ["a"], T1), day2, "k", ["a"], T2)
+    got = {(r.k, str(r.valid_to) != "None"): (r.a, r.gone, r.fresh) for r in h.collect()}
+    assert got == {(1, True): ("x", "old", None), (1, False): ("y", None, 5), (2, False): ("x", "old", None), (3, False): ("z", None, 7)}
+    again = scd2_apply(h, day2, "k", ["a"], T3)
+    assert again.count() == 4

@@ -1,48 +1,221 @@
+"""The table store's state on disk, partition-scoped merges, and streams that continue."""
+
+import datetime as dt
+import os
+import subprocess
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
+from tierforge.operators.incremental import append_new, high_water, merge_upsert
+from tierforge.operators.scd2 import scd2_apply
 from tierforge.plans import tpch
 from tierforge.sources import fixtures as fx
-from tierforge.sources.tables import TableStore
+from tierforge.sources.tables import TableStore, WriteConflict
 from tierforge.streaming.microbatch import run_available
 
 
-def test_stream_runs_match_batch_runs(spark, tmp_path):
+def files(store, name):
+    out = set()
+    for folders in store.files_of(name).values():
+        for f in folders:
+            out |= {os.path.join(f, x) for x in os.listdir(f.replace("file:", "")) if x.endswith(".parquet")}
+    return out
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_reopened_store_appends_and_merges(spark, tmp_path):
+    root = str(tmp_path / "s")
+    a = TableStore(spark, root, buckets=4)
+    a.write("t", spark.range(10).selectExpr("id as k", "id as v"), keys=["k"])
+    a.append("t", spark.range(10, 15).selectExpr("id as k", "id as v"))
+    b = TableStore(spark, root, buckets=99)  # the layout of the first write stays
+    assert b.exists("t") and b.count("t") == 15
+    b.append("t", append_new(spark.range(12, 16).selectExpr("id as k", "id as v"), b.read("t"), ["k"]))
+    assert b.read("t").count() == 16
+    c = TableStore(spark, root)
+    c.write("t", merge_upsert(c.read("t"), spark.range(3).selectExpr("id as k", "-1L as v"), ["k"]))
+    d = TableStore(spark, root).read("t")
+    assert d.count() == 16 and d.filter("v = -1").count() == 3
+
+
+def test_reopened_history(spark, tmp_path):
+    root = str(tmp_path / "s")
+    schema = "k int, a string"
+    a = TableStore(spark, root, buckets=4)
+    one = spark.createDataFrame([(i, "x") for i in range(20)], schema)
+    two = spark.createDataFrame([(i, "y" if i == 3 else "x") for i in range(20)], schema)
+    a.write("h", scd2_apply(None, one, "k", ["a"], "2024-01-01 00:00:00"), keys=["k"])
+    b = TableStore(spark, root)
+    before = files(b, "h")
+    b.write("h", scd2_apply(b.read("h"), two, "k", ["a"], "2024-01-02 00:00:00"))
+    got = TableStore(spark, root).read("h")
+    assert got.count() == 21 and got.filter("k = 3").count() == 2 and b.rows_written["h"] == 2
+    # the three buckets without a change keep their files
+    assert len(files(b, "h") & before) == len(before) - 1
+
+
+def test_second_process_continues(tmp_path):
+    """Day 1 and day 2 of one table in two processes."""
+    code = """
+import sys
+from pyspark.sql import SparkSession
+from tierforge.session import prepare
+from tierforge.sources.tables import TableStore
+from tierforge.operators.incremental import append_new
+spark = prepare(SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate())
+store = TableStore(spark, sys.argv[1])
+src = spark.range(int(sys.argv[2])).selectExpr("id as k", "cast('2024-01-0" + sys.argv[3] + "' as timestamp_ntz) as _loaded_at")
+store.append("bronze", append_new(src, store.read("bronze"), ["k"]), keys=["k"])
+print("ROWS", store.read("bronze").count(), store.read("bronze").filter("_loaded_at = timestamp_ntz'2024-01-01'").count())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = [subprocess.run([sys.executable, "-c", code, str(tmp_path / "w"), n, day], cwd=root, capture_output=True, text=True, timeout=300).stdout for n, day in (("10", "1"), ("25", "2"))]
+    assert "ROWS 10 10" in out[0] and "ROWS 25 10" in out[1]
+
+
+def test_versions_are_never_replaced_and_old_ones_go(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    for n in range(1, 5):
+        store.write("t", spark.range(n))
+    assert sorted(x for x in os.listdir(tmp_path / "s" / "t") if x[0] == "v") == ["v3", "v4"]
+    assert store.read("t").count() == 4
+    state = store.state("t")
+    with pytest.raises(WriteConflict):
+        store._commit("t", state)
+    assert spark.table(store.view("t")).count() == 4
+
+
+def test_half_written_version_is_ignored(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    store.write("t", spark.range(3))
+    spark.range(100).write.parquet(str(tmp_path / "s" / "t" / "v2" / "_p=0"))  # a write that died before its commit
+    assert TableStore(spark, store.root).read("t").count() == 3
+    store.append("t", spark.range(3, 5))
+    assert store.read("t").count() == 5
+
+
+def test_merge_rewrites_touched_buckets_only(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"), buckets=16)
+    store.write("t", spark.range(5000).selectExpr("id as k", "id * 2 as v").repartition(8), keys=["k"])
+    before = files(store, "t")
+    assert len(before) <= 16
+    store.write("t", merge_upsert(store.read("t"), spark.createDataFrame([(7, -1), (9999, -1)], "k long, v long"), ["k"]))
+    after = files(store, "t")
+    assert len(before & after) >= 14 and len(after) <= 16
+    got = store.read("t")
+    assert got.count() == 5001 and got.filter("v = -1").count() == 2
+    assert rows(store.delta("t")) == ["Row(k=7, v=-1)", "Row(k=9999, v=-1)"]
+
+
+def test_null_keys_are_spread(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"), buckets=8)
+    store.write("t", spark.range(4000).selectExpr("cast(null as bigint) as k", "id as v"), keys=["k"])
+    per = [p["rows"] for p in store.state("t")["parts"].values()]
+    assert len(per) == 8 and max(per) < 1000
+
+
+def test_schema_sync_reaches_untouched_buckets(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"), buckets=8)
+    store.write("t", spark.range(100).selectExpr("id as k", "id as v"), keys=["k"])
+    upd = spark.createDataFrame([(1, "n")], "k long, w string")
+    store.write("t", merge_upsert(store.read("t"), upd, ["k"], sync_schema=True))
+    got = store.read("t")
+    assert got.columns == ["k", "w"] and got.count() == 100 and got.filter("w is not null").count() == 1
+
+
+def test_month_layout_lasts(spark, tmp_path):
+    """After three merges, also of rows that move to another month, a file holds one month."""
+    store = TableStore(spark, str(tmp_path / "s"))
+    base = spark.range(2000).selectExpr("id as k", "date_add(date'2024-01-15', cast(id % 300 as int)) as d", "0 as v")
+    store.write("t", base, month_of="d")
+    for n in range(1, 4):
+        upd = spark.range(0, 2000, 97 * n).selectExpr("id as k", f"date_add(date'2024-02-01', cast(id % 290 as int)) as d", f"{n} as v")
+        store.write("t", merge_upsert(store.read("t"), upd, ["k"]))
+    got = store.read("t")
+    assert got.count() == 2000 and got.select("k").distinct().count() == 2000
+    months = got.groupBy(F.input_file_name().alias("f")).agg(F.count_distinct(F.date_format("d", "yyyy-MM")).alias("n"))
+    assert months.filter("n > 1").count() == 0
+    of_day = got.filter("d = date'2024-05-05'").select(F.input_file_name()).distinct().count()
+    assert of_day <= len([f for f in files(store, "t") if "_p=2024-05" in f])
+
+
+def test_row_counts_and_typed_marks(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    store.write("t", spark.range(50_000).selectExpr("id as k", "id as _loaded_at", "date_add(date'2024-01-01', cast(id % 99 as int)) as d"), month_of="d")
+    assert store.rows_written["t"] == store.count("t") == store.read("t").count() == 50_000
+    store.write("n", spark.createDataFrame([(1, 9), (2, 10)], "k long, _loaded_at long"), keys=["k"])
+    store.append("n", spark.createDataFrame([(3, 8)], "k long, _loaded_at long"))
+    assert spark.range(1).select(high_water(store.read("n"), "_loaded_at")).first()[0] == 10
+
+
+def test_empty_tables(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    store.write("t", spark.range(0).selectExpr("id as k", "id as v"), keys=["k"])
+    assert store.exists("t") and store.read("t").count() == 0 and store.read("none") is None
+    store.write("t", merge_upsert(store.read("t"), spark.range(2).selectExpr("id as k", "id as v"), ["k"]))
+    assert store.read("t").count() == 2
+
+
+def landing(spark, tmp_path):
     li = fx.fixture(spark, SF_SMALL, "fx_lineitem")
-    landing = str(tmp_path / "landing")
-    fx.day_slice(li, 1).write.parquet(f"{landing}/day=1")
-    store = TableStore(spark, str(tmp_path / "store"))
-    schema = spark.read.parquet(f"{landing}/day=1").schema
-    src = f"{landing}/*"
-    ckpt = run_available(spark, src, schema, tpch.silver_lineitem, store, "silver_lineitem",
-                         checkpoint_location=str(tmp_path / "ckpt"))
-    li.filter("_loaded_at > timestamp_ntz'2024-01-01 00:00:00'").write.parquet(f"{landing}/day=2")
-    run_available(spark, src, schema, tpch.silver_lineitem, store, "silver_lineitem", checkpoint_location=ckpt)
+    src = str(tmp_path / "landing")
+    fx.day_slice(li, 1).write.parquet(f"{src}/day=1")
+    return li, src, spark.read.parquet(f"{src}/day=1").schema
+
+
+def test_restarted_stream_continues(spark, tmp_path):
+    li, src, schema = landing(spark, tmp_path)
+    root, ckpt = str(tmp_path / "store"), str(tmp_path / "ckpt")
+    run_available(spark, f"{src}/*", schema, tpch.silver_lineitem, TableStore(spark, root), "silver_lineitem", checkpoint_location=ckpt)
+    li.filter("_loaded_at > timestamp_ntz'2024-01-01 00:00:00'").write.parquet(f"{src}/day=2")
+    again = TableStore(spark, root)  # a new process has a new store on the same root
+    run_available(spark, f"{src}/*", schema, tpch.silver_lineitem, again, "silver_lineitem", checkpoint_location=ckpt)
 
     batch = tpch.silver_lineitem(fx.day_slice(li, 2), tpch.silver_lineitem(fx.day_slice(li, 1), None))
-    got = store.read("silver_lineitem")
+    got = again.read("silver_lineitem")
     assert got.count() == batch.count() == 4272
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
 
 
-def test_store_versions_and_view(spark, tmp_path):
+def test_replayed_batch_is_skipped(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "s"))
-    df = spark.range(3)
-    store.write("t", df)
-    store.append("t", spark.range(3, 5))
-    assert store.read("t").count() == 5
-    store.write("t", spark.range(1))
-    assert store.read("t").count() == 1 and store.path("t").endswith("/v2")
-    view = store.view("t")
-    assert spark.table(view).count() == 1
+    batch = spark.createDataFrame([(1, "a"), (None, "n")], "k long, v string")
+    for _ in range(2):  # NULL keys match nothing, so a plain second append would insert them again
+        store.append("t", append_new(batch, store.read("t"), ["k"]), keys=["k"], batch="stream#0")
+    assert store.read("t").count() == 2
+    store.append("t", append_new(batch, store.read("t"), ["k"]), batch="stream#1")
+    assert store.read("t").count() == 3
 
 
 def test_runner_logs_each_model_attempt(spark):
     from tierforge.operators import runlog as L
-    from tierforge.plans.runner import Run
-    r = Run(spark, SF_SMALL).run(domains=("tpch",), only=["silver_lineitem"])
-    log = r.run_log()
-    rows = {(x.run_id, x.model_name): x for x in log.collect()}
-    assert rows[(1, "silver_lineitem")].status == "success"
-    # day 1 writes every valid latest line of day 1; day 2 the merged table
-    assert rows[(2, "silver_lineitem")].rows_affected == 4272
-    roll = {(x.run_id, x.layer): x.status for x in L.rollup(log).collect()}
-    assert roll == {(1, "silver"): "SUCCESS", (2, "silver"): "SUCCESS"}
+    from tierforge.plans.runner import built
+
+    run = built(spark, SF_SMALL, "tpch")
+    seen = {(x.run_id, x.model_name): x for x in run.run_log().collect()}
+    assert seen[(1, "silver_lineitem")].status == "success"
+    # day 2 puts in the update rows, not the merged table
+    assert 0 < seen[(2, "silver_lineitem")].rows_affected < run.store.count("silver_lineitem")
+    assert seen[(1, "fact_lineitem")].rows_affected == seen[(1, "silver_lineitem")].rows_affected
+    roll = {(x.run_id, x.layer): x.status for x in L.rollup(run.run_log()).collect()}
+    assert set(roll.values()) == {"SUCCESS"} and {layer for _, layer in roll} == {"bronze", "silver", "snapshot", "gold"}
+
+
+def test_changed_input_is_not_served_from_memory(spark, tmp_path):
+    import shutil
+
+    from tierforge.plans.runner import input_state
+
+    shutil.copytree(SF_SMALL, tmp_path / "in")
+    first = input_state(spark, str(tmp_path / "in"))
+    p = tmp_path / "in" / "region.parquet"
+    os.chmod(p, 0o644)
+    t = dt.datetime.now().timestamp() + 60
+    os.utime(p, (t, t))
+    assert input_state(spark, str(tmp_path / "in")) != first

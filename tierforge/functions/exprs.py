@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,16 +53,8 @@ def initcap_words(c: str | Column) -> Column:
     """INITCAP with the warehouse's delimiters: lower-case everything, then
     upper-case the first character and every character after a delimiter
     (whitespace or punctuation). Spark's own initcap splits on spaces only."""
-    s = F.lower(col_(c))
-    chars = F.split(s, "")
-    delims = F.lit(INITCAP_DELIMITERS)
-
-    def cap(ch: Column, i: Column) -> Column:
-        prev = F.element_at(chars, i)  # 1-based: the character before index i
-        starts_word = (i == 0) | (F.instr(delims, prev) > 0) | (F.regexp_like(prev, F.lit(r"^\s$")))
-        return F.when(starts_word, F.upper(ch)).otherwise(ch)
-
-    return F.when(s.isNull(), F.lit(None).cast("string")).otherwise(F.array_join(F.transform(chars, cap), ""))
+    words = F.split(F.lower(col_(c)), "(?<=[" + re.escape(INITCAP_DELIMITERS) + r"\s])", -1)
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))), "")
 
 
 def map_lookup(c: str | Column, mapping: dict[str, str], default: str) -> Column:
@@ -124,9 +118,5 @@ def avg_exact(c: str | Column) -> Column:
     return F.sum(cc).cast("double") / F.nullif(F.count(cc), F.lit(0)).cast("double")
 
 
-def any_of(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds)
-
-
 def all_of(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)

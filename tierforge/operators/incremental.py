@@ -3,11 +3,11 @@ unseen keys, keyed merge (upsert) and schema sync.
 
 All operators take the previous target (``None`` on the first run) and
 return the rows to write. Driver round trips carry scalars only: the
-high-water mark (normally the mark the table store observed when it wrote
+high-water mark (normally the one the table store recorded when it wrote
 the target), which goes into the plan as a typed literal so Parquet scans
-see a pushed-down comparison, and a merge batch's profile (row count,
-duplicate keys). A merge checkpoints its batch once (reliable checkpoint in
-``spark.checkpoint.dir``) because three plan branches read it.
+see a pushed-down comparison, and whether a merge batch has duplicate keys.
+A merge writes its batch once below the checkpoint folder, because the
+check, the key side and the insert side read it.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
-from .joins import BROADCAST_MAX_ROWS, sized_broadcast
+from ..session import scratch_dir
+from ..sources.tables import MARKS_ATTR, MERGE_ATTR
 
 
 class DuplicateMergeKeyError(ValueError):
@@ -24,9 +24,6 @@ class DuplicateMergeKeyError(ValueError):
     pick one of them arbitrarily)."""
 
 
-MARKS_ATTR = "_tierforge_marks"  # set by the table store on frames it reads back
-
-
 def _max_text(df: DataFrame, col: str) -> str | None:
     # A stored table's mark was observed when it was written: no scan.
     marks = getattr(df, MARKS_ATTR, None)
@@ -91,13 +88,6 @@ def append_new(src: DataFrame, target: DataFrame | None, keys: list[str]) -> Dat
     return src.join(target.select(*keys), on=keys, how="left_anti")
 
 
-def sync_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Project ``df`` onto ``columns``: missing ones become NULL (typed from
-    nothing known, so string), surplus ones are dropped."""
-    have = set(df.columns)
-    return df.select(*[F.col(c) if c in have else F.lit(None).alias(c) for c in columns])
-
-
 def _align(updates: DataFrame, target: DataFrame, sync_schema: bool) -> tuple[DataFrame, DataFrame]:
     """Bring target and updates to one column list.
 
@@ -120,36 +110,17 @@ def _align(updates: DataFrame, target: DataFrame, sync_schema: bool) -> tuple[Da
     return target, u
 
 
-def batch_profile(updates: DataFrame, keys: list[str]) -> tuple[int, bool]:
-    """(rows, has duplicate non-NULL keys) of an update batch, in one job."""
-    per_key = updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    r = per_key.agg(
-        F.sum("n").alias("rows"),
-        F.max(F.when(_all_not_null(keys), F.col("n"))).alias("mx"),
-    ).first()
-    return int(r["rows"] or 0), (r["mx"] or 0) > 1
-
-
-def check_merge_keys(target: DataFrame, updates: DataFrame, keys: list[str], has_dups: bool | None = None) -> None:
+def check_merge_keys(target: DataFrame, updates: DataFrame, keys: list[str]) -> None:
     """Raise if two update rows share a key that exists in the target.
 
     Duplicate keys that are new are all inserted, as a warehouse MERGE does;
     duplicates that would update one target row are an error there. The
     target is only read when the batch has duplicate keys at all.
     """
-    if has_dups is None:
-        has_dups = batch_profile(updates, keys)[1]
-    if not has_dups:
+    twice = updates.filter(_all_not_null(keys)).groupBy(*keys).count().filter(F.col("count") > 1).select(*keys)
+    if twice.isEmpty():
         return
-    dup = (
-        updates.filter(_all_not_null(keys))
-        .groupBy(*keys)
-        .count()
-        .filter(F.col("count") > 1)
-        .select(*keys)
-        .join(target.select(*keys), on=keys, how="left_semi")
-    )
-    row = dup.limit(1).collect()
+    row = target.select(*keys).join(twice, on=keys, how="left_semi").limit(1).collect()
     if row:
         raise DuplicateMergeKeyError(f"duplicate update rows for existing key {row[0].asDict()}")
 
@@ -167,32 +138,27 @@ def merge_upsert(
     keys: list[str],
     sync_schema: bool = False,
     check_duplicates: bool = True,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-    stage: bool = True,
+    match: list[str] | None = None,
 ) -> DataFrame:
     """Keyed MERGE: matched target rows are replaced by the update row,
     unmatched update rows are inserted, other target rows stay.
 
-    Built as ``target LEFT ANTI updates(keys) UNION ALL updates``. One job
-    profiles the batch (row count, duplicate keys); when the batch has at
-    most ``broadcast_max_rows`` rows its keys are broadcast and the target
-    is scanned and written without a shuffle, otherwise both sides shuffle
-    on the key (sort-merge anti join, AQE splits skewed partitions). NULL
-    keys never match, so NULL-keyed updates are inserted again each run.
+    ``target LEFT ANTI updates(keys) UNION ALL updates``; the planner and AQE
+    choose the join by the sides' bytes. NULL keys never match, so NULL-keyed
+    updates are inserted again each run. The result carries its update rows,
+    so the table store rewrites the partitions they touch and no others.
+    ``match`` names the columns that identify a row where these are not
+    ``keys`` (a version of a key).
     """
     if target is None:
         return updates
     t, u = _align(updates, target, sync_schema)
-    if stage:
-        # The batch feeds three consumers (profile, key side, insert side):
-        # write it once to the checkpoint folder instead of recomputing it.
-        checkpoint_root(u.sparkSession)
-        u = u.checkpoint(eager=True)
-    rows, has_dups = batch_profile(u, keys)
+    path = scratch_dir(u.sparkSession, "merge-batch")
+    u.write.parquet(path)
+    u = u.sparkSession.read.schema(u.schema).parquet(path)
+    on = match or keys
     if check_duplicates:
-        check_merge_keys(t, u, keys, has_dups)
-    # A batch of proven small size is broadcast: the target is then streamed
-    # through the anti join without being shuffled.
-    ukeys = sized_broadcast(u.select(*keys), known_rows=rows, max_rows=broadcast_max_rows)
-    kept = t.join(ukeys, on=keys, how="left_anti")
-    return kept.unionByName(u)
+        check_merge_keys(t, u, on)
+    out = t.join(u.select(*on), on=on, how="left_anti").select(*t.columns).unionByName(u)
+    setattr(out, MERGE_ATTR, (target, u, keys, match))
+    return out

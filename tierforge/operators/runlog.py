@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_root
 
 # --- fixed values ------------------------------------------------------------
 LAYERS = ("bronze", "silver", "snapshot", "gold")
@@ -154,113 +153,77 @@ def durations(task_events: DataFrame) -> DataFrame:
     return with_model(task_events).select("event_id", "dag_id", "model_name", secs.alias("duration_seconds"))
 
 
-def _seconds(c: Column) -> Column:
-    return F.unix_seconds(c.cast("timestamp"))
+def _mentions(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """Distinct ``texts(_text)`` and ``names(_name)`` (both lower case) to the pairs for which the text is LIKE
+    ``%name%``: ``_`` in a name stands for any one character.
 
+    Names are grouped by shape: length and places of ``_``. Of each text, the stretches of a shape's length, with ``_``
+    put at its places, are looked up among the names, so work follows the length of distinct texts times
+    the shapes, which alone come to the driver (a naming convention has a few).
+    """
+    places = F.filter(F.sequence(F.lit(1), F.length("_name")), lambda i: F.substring("_name", i, F.lit(1)) == "_")
+    shapes = names.filter(F.length("_name") > 0).select(F.length("_name").alias("n"), places.alias("at")).distinct().collect()
+    if not shapes:
+        return texts.join(names, F.lit(False)).select("_text", "_name")
+    known = F.array(*[F.struct(F.lit(r["n"]).alias("n"), F.array(*[F.lit(i) for i in r["at"]]).cast("array<int>").alias("at")) for r in shapes])
+
+    def stretches(shape: Column) -> Column:
+        last = F.length("_text") - shape["n"] + 1
+        starts = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.aggregate(
+            shape["at"], F.substring("_text", i, shape["n"]), lambda s, p: F.overlay(s, F.lit("_"), p, F.lit(1))))
+
+    found = texts.select("_text", F.explode(F.array_distinct(F.flatten(F.transform(known, stretches)))).alias("_name"))
+    return found.join(names, "_name", "left_semi")
 
-def rows_written(task_events: DataFrame, history: DataFrame, bucket_seconds: int = 60) -> DataFrame:
+
+def rows_written(task_events: DataFrame, history: DataFrame) -> DataFrame:
     """Rows written per successful task, from the query history.
 
     A query counts for a task when it ended inside [start - 10 s, end + 10 s]
     (bounds truncated to whole seconds), succeeded, is a write, and its text
-    mentions the model name (case-insensitive, literal match). The value is
-    SUM(inserted + updated), NULL when nothing matched or the task failed.
-
-    Name match without a broadcast or pairs: every substring of the query
-    text whose length equals some model-name length is a candidate key (the
-    set of name lengths is tiny), deduplicated per query and semi-joined to
-    the names; when all names are identifiers the substrings are taken per
-    identifier token, which is exact and far fewer. History is then summed
-    per (name, end time).
-
-    Time window as range sums, not a join: the windows' bounds and the
-    history points of one name are put on one time line; a running sum per
-    (name, minute bucket) plus the carried total of earlier buckets gives the
-    cumulative rows at each bound, and a window's value is the difference
-    at its two bounds. Work is linear; a hot name is split by bucket.
+    mentions the model name (ILIKE ``%name%``). The value is SUM(inserted + updated), NULL when
+    nothing matched, the task failed or one of its times is missing.
+
+    The window is a difference of range sums, not a join. Bounds are whole seconds, so a query counts at its second
+    or between two seconds: time ``2 s`` or ``2 s + 1``. History is summed per (name, time), and running
+    sums within a minute (at most 240 times), over a day's minutes and over days give the rows up to any bound:
+    no window holds more than that, however hot a model or a minute is.
     """
     ev = with_model(task_events)
-    ok = ev.filter(F.col("status") == "success")
-
-    prof = ok.agg(
-        F.collect_set(F.length("model_name")).alias("lengths"),
-        F.coalesce(F.min(F.col("model_name").rlike(r"^[A-Za-z0-9_]+$").cast("int")), F.lit(1)).alias("words"),
-    ).first()
-    lengths = sorted(n for n in (prof["lengths"] or []) if n)
-    if not lengths:
-        return ev.select("event_id", "model_name", F.lit(None).cast("bigint").alias("rows_affected"))
-    q = history.filter(
-        (F.col("execution_status") == "SUCCESS") & F.col("query_type").isin(*WRITE_QUERY_TYPES)
-    ).select(
-        "query_id", "end_time", F.lower("query_text").alias("_text"),
-        (F.coalesce("rows_inserted", F.lit(0)) + F.coalesce("rows_updated", F.lit(0))).cast("bigint").alias("_rows"),
-    )
-    if prof["words"] == 1:
-        # identifier-only names can only occur inside one identifier token
-        pieces = F.filter(F.split(F.col("_text"), r"[^a-z0-9_]+"), lambda t: F.length(t) > 0)
-    else:
-        pieces = F.array(F.col("_text"))
-    cands = F.flatten(F.transform(pieces, _substrings_of(lengths)))
-    q = q.select("end_time", "_rows", F.explode(F.array_distinct(cands)).alias("_name"))
-    names = ok.select(F.lower("model_name").alias("_name")).distinct()
-    hist_pts = (
-        q.join(names, "_name", "left_semi")
-        .groupBy("_name", F.col("end_time").alias("_t"))
-        .agg(F.sum("_rows").alias("_s"), F.count(F.lit(1)).alias("_c"))
-        .select("_name", "_t", F.lit(1).alias("_kind"), "_s", "_c",
-                F.lit(None).cast("long").alias("event_id"))
-    )
-    # read twice below (running sums, bucket totals): write it once
-    checkpoint_root(hist_pts.sparkSession)
-    hist_pts = hist_pts.checkpoint(eager=True)
-
     pad = F.expr(f"INTERVAL {WINDOW_PAD_SECONDS} SECONDS")
-    lo = F.date_trunc("second", F.col("start_date") - pad).cast("timestamp_ntz")
-    hi = F.date_trunc("second", F.col("end_date") + pad).cast("timestamp_ntz")
-    zero = [F.lit(0).cast("bigint").alias("_s"), F.lit(0).cast("bigint").alias("_c")]
-    bounds = ok.select(F.lower("model_name").alias("_name"), lo.alias("_lo"), hi.alias("_hi"), "event_id")
-    lo_pts = bounds.select("_name", F.col("_lo").alias("_t"), F.lit(0).alias("_kind"), *zero, "event_id")
-    hi_pts = bounds.select("_name", F.col("_hi").alias("_t"), F.lit(2).alias("_kind"), *zero, "event_id")
-
-    # kind orders ties: a window's lower bound (0) before points at the same
-    # instant (1, included), its upper bound (2) after them (included)
-    pts = hist_pts.unionByName(lo_pts).unionByName(hi_pts).withColumn(
-        "_b", F.floor(F.unix_micros(F.col("_t").cast("timestamp")) / (bucket_seconds * 1_000_000)))
-    carry_w = Window.partitionBy("_name").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        pts.groupBy("_name", "_b").agg(F.sum("_s").alias("_bs"), F.sum("_c").alias("_bc"))
-        .select("_name", "_b", F.coalesce(F.sum("_bs").over(carry_w), F.lit(0)).alias("_os"),
-                F.coalesce(F.sum("_bc").over(carry_w), F.lit(0)).alias("_oc"))
-    )
-    run_w = Window.partitionBy("_name", "_b").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pts = pts.select("*", F.sum("_s").over(run_w).alias("_rs"), F.sum("_c").over(run_w).alias("_rc"))
-    at = pts.filter(F.col("_kind") != 1).join(carry, ["_name", "_b"]).select(
-        "event_id", "_kind", (F.col("_rs") + F.col("_os")).alias("_cs"), (F.col("_rc") + F.col("_oc")).alias("_cc"))
-    per_event = at.groupBy("event_id").agg(
-        (F.sum(F.when(F.col("_kind") == 2, F.col("_cs")).otherwise(-F.col("_cs")))).alias("_sum"),
-        (F.sum(F.when(F.col("_kind") == 2, F.col("_cc")).otherwise(-F.col("_cc")))).alias("_n"),
-    ).select("event_id", F.when(F.col("_n") > 0, F.col("_sum")).cast("bigint").alias("rows_affected"))
-    return ev.select("event_id", "model_name").join(per_event, "event_id", "left")
-
-
-def _substrings_of(lengths: list[int]):
-    """piece -> every substring of the piece whose length is in ``lengths``.
-
-    One-argument lambdas throughout: F.transform passes (element, index) to
-    two-argument ones."""
-
-    def per_piece(p: Column) -> Column:
-        arrs = []
-        for n in lengths:
-            starts = F.sequence(F.lit(1), F.greatest(F.length(p) - n + 1, F.lit(1)))
-            arrs.append(F.transform(starts, _substring_at(p, n)))
-        return F.flatten(F.array(*arrs))
-
-    return per_piece
-
-
-def _substring_at(p: Column, n: int):
-    return lambda i: F.substring(p, i, n)
+    second = lambda c: F.unix_seconds(F.date_trunc("second", c).cast("timestamp"))
+    ok = ev.filter((F.col("status") == "success") & F.col("start_date").isNotNull() & F.col("end_date").isNotNull()).select(
+        "event_id", F.lower("model_name").alias("_name"),
+        (2 * second(F.col("start_date") - pad) - 1).alias("_before"), (2 * second(F.col("end_date") + pad)).alias("_until"))
+    micros = F.unix_micros(F.col("end_time").cast("timestamp"))
+    at = 2 * F.floor(micros / 1_000_000) + F.when(F.pmod(micros, F.lit(1_000_000)) > 0, 1).otherwise(0)
+    span = ok.agg(F.min("_before").alias("low"), F.max("_until").alias("high")).first()
+    queries = history.filter((F.col("execution_status") == "SUCCESS") & F.col("query_type").isin(*WRITE_QUERY_TYPES)).select(
+        at.cast("bigint").alias("_t"), F.lower("query_text").alias("_text"),
+        (F.coalesce("rows_inserted", F.lit(0)) + F.coalesce("rows_updated", F.lit(0))).cast("bigint").alias("_rows"),
+    ).filter(F.col("_t").between(span["low"] or 0, span["high"] or 0)).groupBy("_text", "_t").agg(F.sum("_rows").alias("_s"), F.count(F.lit(1)).alias("_c"))
+    pairs = _mentions(queries.select("_text").distinct(), ok.select("_name").distinct())
+    points = queries.join(pairs, "_text").select("_name", "_t", "_s", "_c")
+    none = [F.lit(0).cast("bigint").alias("_s"), F.lit(0).cast("bigint").alias("_c")]
+    marks = ok.select("_name", F.col("_before").alias("_t")).union(ok.select("_name", "_until")).distinct().select("_name", "_t", *none)
+    times = points.union(marks).groupBy("_name", "_t").agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
+    times = times.withColumn("_m", F.floor(F.col("_t") / 120)).withColumn("_d", F.floor(F.col("_t") / 172_800))
+
+    def running(df: DataFrame, by: list[str], order: str, upto: int, s: str, c: str) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, upto)
+        return df.withColumns({s: F.coalesce(F.sum("_s").over(w), F.lit(0)), c: F.coalesce(F.sum("_c").over(w), F.lit(0))})
+
+    total = lambda df, *by: df.groupBy(*by).agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
+    minutes = total(times, "_name", "_d", "_m")
+    days = running(total(minutes, "_name", "_d"), ["_name"], "_d", -1, "_s3", "_c3").drop("_s", "_c")
+    minutes = running(minutes, ["_name", "_d"], "_m", -1, "_s2", "_c2").drop("_s", "_c")
+    times = running(times, ["_name", "_m"], "_t", 0, "_s1", "_c1").join(minutes, ["_name", "_d", "_m"]).join(days, ["_name", "_d"])
+    upto = times.select("_name", "_t", (F.col("_s1") + F.col("_s2") + F.col("_s3")).alias("_sum"), (F.col("_c1") + F.col("_c2") + F.col("_c3")).alias("_n"))
+    bound = lambda t, k: upto.select("_name", F.col("_t").alias(t), F.col("_sum").alias(f"_sum{k}"), F.col("_n").alias(f"_n{k}"))
+    rows = ok.join(bound("_before", 0), ["_name", "_before"]).join(bound("_until", 1), ["_name", "_until"])
+    rows = rows.select("event_id", F.when(F.col("_n1") > F.col("_n0"), F.col("_sum1") - F.col("_sum0")).cast("bigint").alias("rows_affected"))
+    return ev.select("event_id", "model_name").join(rows, "event_id", "left")
 
 
 def cycle_state(task_events: DataFrame, key: str = "model_name") -> DataFrame:

@@ -8,16 +8,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import surrogate_key_ts
+from ..sources.tables import MARKS_ATTR, TABLE_ATTR
+from .incremental import merge_upsert
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
 
 
-def _new_versions(df: DataFrame, key: str, run_ts) -> DataFrame:
-    ts = F.lit(run_ts).cast("timestamp_ntz") if isinstance(run_ts, str) else run_ts
+def _new_versions(df: DataFrame, key: str, ts: Column) -> DataFrame:
     return df.select(
         "*",
         surrogate_key_ts(F.col(key), ts).alias("scd_id"),
@@ -44,46 +45,44 @@ def scd2_apply(
     * with ``hard_deletes``, an open key missing from the source closes.
 
     Changes in other columns open no version. One full outer join of the
-    open versions with the source on the key; each joined row yields the
-    old version (possibly closed) and/or a new one via a single explode.
+    open versions with the source on the key yields the versions that close
+    and those that open; these alone are merged into the history (by
+    ``scd_id``), so versions that stay as they are are not rewritten in
+    partitions without a change.
     """
     ts = F.lit(run_ts).cast("timestamp_ntz")
     if history is None:
         return _new_versions(source, key, ts)
 
+    # One column list: new source columns are NULL in old versions, vanished ones NULL in new versions.
+    gone = [c for c in history.columns if c not in source.columns and c not in META]
+    source = source.select("*", *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in gone])
     cols = source.columns
-    hist_cols = cols + META
-    open_ = history.filter(F.col("valid_to").isNull())
-    closed = history.filter(F.col("valid_to").isNotNull()).select(*hist_cols)
-
-    c = open_.select(F.col(key).alias("_k"), F.struct(*[F.col(x) for x in hist_cols]).alias("_c"))
+    had = set(history.columns)
+    history_now = history.select(
+        *[F.col(c).cast(source.schema[c].dataType).alias(c) if c in had else F.lit(None).cast(source.schema[c].dataType).alias(c) for c in cols], *META)
+    for attr in (MARKS_ATTR, TABLE_ATTR):
+        if hasattr(history, attr):
+            setattr(history_now, attr, getattr(history, attr))
+
+    c = history_now.filter(F.col("valid_to").isNull()).select(F.col(key).alias("_k"), F.struct(*[F.col(x) for x in cols + META]).alias("_c"))
     s = source.select(F.col(key).alias("_k"), F.struct(*[F.col(x) for x in cols]).alias("_s"))
     j = c.join(s, on="_k", how="full_outer")
 
     differs = reduce(lambda a, b: a | b, [~F.col(f"_c.{x}").eqNullSafe(F.col(f"_s.{x}")) for x in check_cols])
-    both = F.col("_c").isNotNull() & F.col("_s").isNotNull()
-    changed = both & differs
-    close_now = changed | (F.col("_s").isNull() & F.lit(hard_deletes))
-
-    old_version = F.when(
-        F.col("_c").isNotNull(),
-        F.struct(
-            *[F.col(f"_c.{x}").alias(x) for x in cols + ["scd_id", "updated_at", "valid_from"]],
-            F.when(close_now, ts).otherwise(F.col("_c.valid_to")).alias("valid_to"),
-        ),
-    )
-    new_version = F.when(
-        F.col("_s").isNotNull() & (F.col("_c").isNull() | changed),
-        F.struct(
-            *[F.col(f"_s.{x}").alias(x) for x in cols],
-            surrogate_key_ts(F.col("_s").getField(key), ts).alias("scd_id"),
-            ts.alias("updated_at"),
-            ts.alias("valid_from"),
-            F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-        ),
-    )
-    out = j.select(F.explode(F.array_compact(F.array(old_version, new_version))).alias("_v")).select("_v.*")
-    return closed.unionByName(out)
+    changed = F.col("_c").isNotNull() & F.col("_s").isNotNull() & differs
+    close_now = changed | (F.col("_c").isNotNull() & F.col("_s").isNull() & F.lit(hard_deletes))
+    closed = F.when(close_now, F.struct(
+        *[F.col(f"_c.{x}").alias(x) for x in cols + ["scd_id", "updated_at", "valid_from"]], ts.alias("valid_to")))
+    opened = F.when(F.col("_s").isNotNull() & (F.col("_c").isNull() | changed), F.struct(
+        *[F.col(f"_s.{x}").alias(x) for x in cols],
+        surrogate_key_ts(F.col("_s").getField(key), ts).alias("scd_id"),
+        ts.alias("updated_at"),
+        ts.alias("valid_from"),
+        F.lit(None).cast("timestamp_ntz").alias("valid_to"),
+    ))
+    moved = j.select(F.explode(F.array_compact(F.array(closed, opened))).alias("_v")).select("_v.*")
+    return merge_upsert(history_now, moved, [key], check_duplicates=False, match=["scd_id"])
 
 
 def current_versions(history: DataFrame) -> DataFrame:

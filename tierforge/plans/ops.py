@@ -17,7 +17,7 @@ from ..operators.scd2 import scd2_apply
 from ..sources import fixtures as fx
 from . import oracle as O
 from . import tpch
-from .runner import built, staged_source
+from .runner import built
 
 # stored table of each tested model (Spark) and its oracle block (SQL)
 TEST_TABLES = {
@@ -139,7 +139,7 @@ def d6_sql() -> str:
 # ---------------------------------------------------------------- run log ----
 
 def _fx(spark, sf_dir, name):
-    return staged_source(spark, sf_dir, name)
+    return fx.fixture(spark, sf_dir, name)
 
 
 def l1_run_rollup(spark, sf_dir):
@@ -230,12 +230,12 @@ def l_sql(name: str) -> str:
     elif name == "l6_rows_written":
         types = ", ".join(f"'{t}'" for t in L.WRITE_QUERY_TYPES)
         pad = L.WINDOW_PAD_SECONDS
-        body = f"""select e.event_id, e.model_name, case when e.status = 'success' then (
+        body = f"""select e.event_id, e.model_name, case when e.status = 'success' and e.start_date is not null and e.end_date is not null then (
    select cast(sum(coalesce(q.rows_inserted, 0) + coalesce(q.rows_updated, 0)) as bigint) from fx_query_history q
    where q.execution_status = 'SUCCESS' and q.query_type in ({types})
      and q.end_time >= date_trunc('second', e.start_date - interval {pad} second)
      and q.end_time <= date_trunc('second', e.end_date + interval {pad} second)
-     and contains(lower(q.query_text), lower(e.model_name))) end as rows_affected
+     and q.query_text ilike '%' || e.model_name || '%') end as rows_affected
  from {EV} e"""
     elif name == "l7_cycle_state":
         body = STATE_SQL.format(key="model_name")
@@ -269,24 +269,49 @@ def s8_schema_sync(spark, sf_dir):
     """Merge whose update rows gained a column and lost one: the table takes
     the new column list; untouched rows get NULL in the new column."""
     part = _fx(spark, sf_dir, "fx_part")
-    target = part.filter(F.col("part_key") % 2 == 0)
+    target = part
     updates = part.filter(F.col("part_key") % 3 == 0).drop("container").withColumn(
         "size_band", F.when(F.col("part_size") < 25, "S").otherwise("L"))
     return merge_upsert(target, updates, ["part_key"], sync_schema=True)
 
 
 S8_SQL_BODY = """select * from (
- select t.* exclude (container), cast(null as varchar) as size_band from (select * from fx_part where part_key % 2 = 0) t
+ select t.* exclude (container), cast(null as varchar) as size_band from fx_part t
  where not exists (select 1 from fx_part u where u.part_key % 3 = 0 and u.part_key = t.part_key)
  union all by name
  select * exclude (container), case when part_size < 25 then 'S' else 'L' end as size_band from fx_part where part_key % 3 = 0)"""
 
 
 def s9_clustered_layout(spark, sf_dir):
-    """Files of the ship-date-clustered line fact with their date ranges."""
-    fl = built(spark, sf_dir, "tpch", "fact_lineitem").get("fact_lineitem")
-    return fl.groupBy(F.input_file_name().alias("file")).agg(
-        F.min("ship_date").alias("min_ship_date"), F.max("ship_date").alias("max_ship_date"), F.count(F.lit(1)).alias("rows"))
+    """Per ship month of the two month-clustered line tables: rows, and how many of the files that hold them also
+    hold another month."""
+    run = built(spark, sf_dir, "tpch")
+    out = []
+    for name in ("silver_lineitem", "fact_lineitem"):
+        per = run.get(name).groupBy(F.input_file_name().alias("file"), F.date_format("ship_date", "yyyy-MM").alias("ship_month")).agg(F.count(F.lit(1)).alias("n"))
+        mixed = per.groupBy("file").agg(F.count(F.lit(1)).alias("months"))
+        out.append(per.join(mixed, "file").groupBy("ship_month").agg(
+            F.sum("n").alias("rows"), F.sum(F.when(F.col("months") > 1, 1).otherwise(0)).cast("bigint").alias("mixed_files"))
+            .select(F.lit(name).alias("table_name"), "ship_month", "rows", "mixed_files"))
+    return out[0].unionByName(out[1])
+
+
+S9_SQL_BODY = """select 'silver_lineitem' as table_name, strftime(ship_date, '%Y-%m') as ship_month, count(*) as rows, cast(0 as bigint) as mixed_files from sli_2 group by all
+ union all select 'fact_lineitem', strftime(ship_date, '%Y-%m'), count(*), cast(0 as bigint) from fli_2 group by all"""
+
+
+def h_scd2_new_column(spark, sf_dir):
+    """Customer history over a second load that gained a column and lost one."""
+    first = _fx(spark, sf_dir, "fx_customer")
+    second = _fx(spark, sf_dir, "fx_customer_v2").drop("market_segment").withColumn("tier", F.when(F.col("account_balance") > 5000, "A").otherwise("B"))
+    check = ["customer_address", "customer_phone"]
+    h1 = scd2_apply(None, first, "customer_key", check, fx.DAY1_TS)
+    return scd2_apply(h1, second, "customer_key", check, fx.DAY2_TS)
+
+
+O.block("hnc_1", "select *, cast(null as varchar) as tier from fx_customer")
+O.block("hnc_2", "select * replace (cast(null as varchar) as market_segment), case when account_balance > 5000 then 'A' else 'B' end as tier from fx_customer_v2")
+O.scd2("hnv", "hnc", "customer_key", ["customer_address", "customer_phone"], False)
 
 
 OPS = {
@@ -298,7 +323,8 @@ OPS = {
     "d6_quality_suite": (d6_quality_suite, d6_sql),
     "h5_scd2_hard_deletes": (h5_scd2_hard_deletes, lambda: O.sql_for("select * from hsc_2")),
     "s8_schema_sync": (s8_schema_sync, lambda: O.sql_for(S8_SQL_BODY)),
-    "s9_clustered_layout": (s9_clustered_layout, None),
+    "s9_clustered_layout": (s9_clustered_layout, lambda: O.sql_for(S9_SQL_BODY)),
+    "h_scd2_new_column": (h_scd2_new_column, lambda: O.sql_for("select * from hnv_2")),
 }
 for _n in ("l1_run_rollup", "l2_flatten_results", "l3_infer_layer", "l4_base_model_name", "l5_last_attempt_state",
            "l6_rows_written", "l7_cycle_state", "l8_pending", "l9_clear_dag", "l10_durations"):

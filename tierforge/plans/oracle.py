@@ -125,6 +125,11 @@ from {src}_2 s left join {prefix}_open o on o.{key} = s.{key}
 where o.{key} is null or ({differs})""")
 
 
+def bronze_rows(t: str) -> dict[int, str]:
+    """What the silver model of ``t`` reads: the bronze table, on day 2 with the changed rows."""
+    return {1: f"select * from brz_{t}_1", 2: f"select * from brz_{t}_2 union all by name select * from fx_{t}_v2"}
+
+
 def day_slice(fixture: str, day: int) -> str:
     return f"select * from {fixture} where _loaded_at <= {TS[day]}"
 
@@ -145,12 +150,12 @@ def _bronze_blocks() -> None:
 def _tpch_blocks() -> None:
     _bronze_blocks()
     T = tpch.TIE_BREAK
-    silver("scu", {1: "select * from fx_customer", 2: "select * from fx_customer union all by name select * from fx_customer_v2"},
+    silver("scu", bronze_rows("customer"),
            "customer_key is not null and trim(customer_name) != '' and account_balance is not null",
            "customer_key, trim(customer_name) as customer_name, trim(customer_address) as customer_address, nation_key, "
            "customer_phone, account_balance, upper(trim(market_segment)) as market_segment, _loaded_at",
            ["customer_key"], T["customer"], True)
-    silver("sli", {1: day_slice("fx_lineitem", 1), 2: day_slice("fx_lineitem", 2)},
+    silver("sli", bronze_rows("lineitem"),
            "order_key is not null and line_number is not null and quantity > 0 and extended_price >= 0 "
            "and discount between 0 and 1 and tax between 0 and 1 and return_flag in ('A','N','R') "
            "and line_status in ('O','F') and ship_date is not null and receipt_date >= ship_date",
@@ -162,25 +167,25 @@ def _tpch_blocks() -> None:
            ["order_key", "line_number"], T["lineitem"], True)
     status = case_map("order_status", ORDER_STATUS_LABEL, "Unknown")
     for d in (1, 2):
-        block(f"sor_src{d}", f"select * from ({day_slice('fx_orders', d)}) where order_date <= {RUN_DATE[d]}")
+        block(f"sor_src{d}", f"select * from ({bronze_rows('orders')[d]}) where order_date <= {RUN_DATE[d]}")
     silver("sor", {1: "select * from sor_src1", 2: "select * from sor_src2"},
            "order_key is not null and customer_key is not null and total_price >= 0 and order_date is not null",
            f"order_key, customer_key, {status} as order_status, total_price, order_date, order_priority, clerk, ship_priority, "
            "cast(year(order_date) as int) as order_year, cast(month(order_date) as int) as order_month, _loaded_at",
            ["order_key"], T["orders"], True)
-    silver("spa", {1: "select * from fx_part", 2: "select * from fx_part"}, "part_key is not null and retail_price >= 0",
+    silver("spa", bronze_rows("part"), "part_key is not null and retail_price >= 0",
            "part_key, part_name, manufacturer, brand, part_type, part_size, container, retail_price, _loaded_at",
            ["part_key"], T["part"], True)
-    silver("sps", {1: "select * from fx_partsupp", 2: "select * from fx_partsupp"}, "available_qty >= 0 and supply_cost >= 0",
+    silver("sps", bronze_rows("partsupp"), "available_qty >= 0 and supply_cost >= 0",
            "part_key, supplier_key, available_qty, supply_cost, _loaded_at", ["part_key", "supplier_key"], T["partsupp"], True)
-    silver("ssu", {1: "select * from fx_supplier", 2: "select * from fx_supplier"},
+    silver("ssu", bronze_rows("supplier"),
            "supplier_key is not null and trim(supplier_name) != ''",
            "supplier_key, trim(supplier_name) as supplier_name, trim(supplier_address) as supplier_address, nation_key, "
            "supplier_phone, account_balance, _loaded_at", ["supplier_key"], T["supplier"], True)
-    nr = dedup("(select n.nation_key, n.nation_name, r.region_key, r.region_name, n._loaded_at from fx_nation n "
-               "join fx_region r on n.region_key = r.region_key)", ["nation_key"], T["nation_region"])
-    block("snr_1", nr)
-    block("snr_u2", nr)
+    for d in (1, 2):
+        block(f"snr_{'1' if d == 1 else 'u2'}", dedup(
+            f"(select n.nation_key, n.nation_name, r.region_key, r.region_name, n._loaded_at from brz_nation_{d} n "
+            f"join brz_region_{d} r on n.region_key = r.region_key)", ["nation_key"], T["nation_region"]))
     block("snr_2", merge("snr_1", "snr_u2", ["nation_key"]))
 
     scd2("snc", "scu", "customer_key", tpch.CUSTOMER_CHECK, False)
@@ -267,7 +272,7 @@ def _retail_blocks() -> None:
                   f"cast(datediff('day', {ts['order_purchase_timestamp']}, {ts['order_delivered_customer_date']}) as int) as actual_delivery_days, "
                   f"cast(datediff('day', {ts['order_purchase_timestamp']}, {ts['order_estimated_delivery_date']}) as int) as estimated_delivery_days, "
                   f"coalesce({ts['order_delivered_customer_date']} > {ts['order_estimated_delivery_date']}, false) as is_late_delivery, {META}",
-                  ["order_id"], day2="select * from fx_raw_orders union all by name select * from fx_raw_orders_v2")
+                  ["order_id"])
     ptype, inst = "upper(trim(payment_type))", "try_cast(payment_installments as decimal(38,0))"
     _retail_stage("rpy", "fx_raw_payments", ["order_id", "payment_sequential"], T["payments"], "order_id is not null",
                   f"order_id, try_cast(payment_sequential as decimal(38,0)) as payment_sequential, {ptype} as payment_type, "
@@ -331,10 +336,10 @@ def _retail_blocks() -> None:
  where f.order_status = 'DELIVERED' group by all""")
 
 
-def _retail_stage(prefix, fixture, raw_keys, tie, keep, project, merge_keys, day2=None) -> None:
+def _retail_stage(prefix, fixture, raw_keys, tie, keep, project, merge_keys) -> None:
     """Retail silver: strict high-water, dedup on raw keys, key check, parse, merge on parsed keys."""
     d1 = day_slice(fixture, 1)
-    d2 = day2 or day_slice(fixture, 2)
+    d2 = f"{day_slice(fixture, 2)} union all by name select * from {fixture}_v2"
     block(f"{prefix}_1", f"select {project} from ({dedup(f'({d1})', raw_keys, tie)}) where {keep}")
     block(f"{prefix}_in2", newer(f"({d2})", f"{prefix}_1", False))
     block(f"{prefix}_u2", f"select {project} from ({dedup(f'{prefix}_in2', raw_keys, tie)}) where {keep}")

@@ -1,21 +1,13 @@
-"""Day-by-day runner for the two-day scenario.
+"""The two-day scenario: day 1 is the first run of every model, day 2 an incremental run over the stored tables.
 
-Day 1 is the first run of every model (no target yet); day 2 is an
-incremental run over the tables written on day 1. Inputs per day come
-from the fixtures (``sources.fixtures``); every model output is written to
-the table store and read back, which is what a scheduled pipeline does and
-what keeps each model's plan short.
-
-Layers run in the reference order: bronze, silver, snapshot, gold.
+``layers`` lists the models of one day in order; each is computed from the sources and the stored tables, written
+and read back. Models within a layer are independent of each other and are submitted together.
 """
 
 from __future__ import annotations
 
 import datetime
-import os
 import threading
-import time
-from collections import defaultdict
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -29,134 +21,102 @@ from . import retail, tpch
 DAY_TS = {1: fx.DAY1_TS, 2: fx.DAY2_TS}
 DAY_DATE = {1: fx.DAY1_DATE, 2: fx.DAY2_DATE}
 TPCH_TABLES = ("customer", "lineitem", "nation", "orders", "part", "partsupp", "region", "supplier")
-
-# table -> tables it reads (within one day's run)
-DEPS: dict[str, tuple[str, ...]] = {
-    **{f"bronze_{t}": () for t in TPCH_TABLES},
-    **{f"silver_{t}": () for t in ("customer", "lineitem", "orders", "part", "partsupp", "supplier", "nation_region")},
-    "snap_customer": ("silver_customer",),
-    "snap_supplier": ("silver_supplier",),
-    "dim_customer": ("snap_customer", "silver_nation_region"),
-    "dim_supplier": ("snap_supplier", "silver_nation_region"),
-    "dim_part": ("silver_part", "silver_partsupp"),
-    "dim_date": (),
-    "fact_lineitem": ("silver_lineitem", "silver_orders"),
-    "fact_orders": ("fact_lineitem",),
-    "mart_sales_summary": ("fact_lineitem", "dim_customer", "dim_date"),
-    "mart_supplier_performance": ("fact_lineitem", "dim_supplier"),
-    "mart_customer_segment": ("fact_orders", "dim_customer"),
-    **{f"stg_{t}": () for t in ("customers", "order_items", "orders", "payments", "products")},
-    "dim_customer_retail": ("stg_customers",),
-    "dim_product": ("stg_products",),
-    "dim_date_retail": (),
-    "fct_orders": ("stg_orders", "stg_order_items", "stg_payments"),
-    "scd_fct_orders": ("fct_orders",),
-    "mart_revenue_kpis": ("fct_orders", "dim_customer_retail", "stg_order_items", "dim_product", "dim_date_retail"),
-}
-
-
-# Keyed tables written bucketed by their merge / anti-join / SCD2 key, so the
-# next run's join on that key shuffles only the new batch. The line fact keeps
-# its ship-date clustering instead; small dimensions need neither.
-BUCKET_KEYS: dict[str, list[str]] = {
-    "bronze_customer": ["customer_key"], "bronze_lineitem": ["order_key", "line_number"],
-    "bronze_orders": ["order_key"], "bronze_part": ["part_key"], "bronze_partsupp": ["part_key", "supplier_key"],
-    "silver_customer": ["customer_key"], "silver_lineitem": ["order_key", "line_number"],
-    "silver_orders": ["order_key"], "silver_part": ["part_key"], "silver_partsupp": ["part_key", "supplier_key"],
-    "snap_customer": ["customer_key"], "dim_part": ["part_key"], "fact_orders": ["order_key"],
-    "stg_customers": ["customer_id"], "stg_order_items": ["order_id", "order_item_id"], "stg_orders": ["order_id"],
-    "stg_payments": ["order_id", "payment_sequential"], "stg_products": ["product_id"],
-    "fct_orders": ["order_id"], "scd_fct_orders": ["order_id"],
+AT_ONCE = 4  # models of a layer that are submitted together
+
+# Layout of each stored table: buckets of its merge key, or months of a date. The others are small or replaced whole.
+LAYOUT: dict[str, dict] = {
+    "bronze_customer": {"keys": ["customer_key"]}, "bronze_lineitem": {"keys": ["order_key", "line_number"]},
+    "bronze_orders": {"keys": ["order_key"]}, "bronze_part": {"keys": ["part_key"]},
+    "bronze_partsupp": {"keys": ["part_key", "supplier_key"]}, "bronze_supplier": {"keys": ["supplier_key"]},
+    "silver_customer": {"keys": ["customer_key"]}, "silver_lineitem": {"month_of": "ship_date"},
+    "silver_orders": {"keys": ["order_key"]}, "silver_part": {"keys": ["part_key"]},
+    "silver_partsupp": {"keys": ["part_key", "supplier_key"]}, "silver_supplier": {"keys": ["supplier_key"]},
+    "snap_customer": {"keys": ["customer_key"]}, "snap_supplier": {"keys": ["supplier_key"]},
+    "dim_part": {"keys": ["part_key"]}, "fact_lineitem": {"month_of": "ship_date"}, "fact_orders": {"keys": ["order_key"]},
+    "stg_customers": {"keys": ["customer_id"]}, "stg_order_items": {"keys": ["order_id", "order_item_id"]},
+    "stg_orders": {"keys": ["order_id"]}, "stg_payments": {"keys": ["order_id", "payment_sequential"]},
+    "stg_products": {"keys": ["product_id"]}, "fct_orders": {"keys": ["order_id"]}, "scd_fct_orders": {"keys": ["order_id"]},
 }
 
-
-def layer_of(table: str) -> str:
-    """Layer of a stored table, from its name."""
-    if table.startswith("bronze_"):
-        return "bronze"
-    if table.startswith(("silver_", "stg_")):
-        return "silver"
-    if table.startswith(("snap_", "scd_")):
-        return "snapshot"
-    return "gold"
-
-
-def closure(tables) -> set[str]:
-    """The tables plus everything upstream of them."""
-    out: set[str] = set()
-    todo = list(tables)
-    while todo:
-        t = todo.pop()
-        if t not in out:
-            out.add(t)
-            todo.extend(DEPS[t])
-    return out
+Model = tuple[str, Callable[[], DataFrame]]
+
+
+def tpch_layers(day: int, source: Callable[[str], DataFrame], stored: Callable[[str], DataFrame | None]) -> dict[str, list[Model]]:
+    ts, run_date = DAY_TS[day], DAY_DATE[day]
+
+    def bronze(t: str) -> DataFrame:
+        src = source(f"src_{t}")
+        return tpch.bronze(t, src.filter("in_day1") if day == 1 else src, stored(f"bronze_{t}"), ts)
+
+    def rows(t: str) -> DataFrame:
+        """The stored bronze table; on day 2 changed rows have come into it too (append alone never lets them in)."""
+        held = stored(f"bronze_{t}")
+        return held.unionByName(source(f"fx_{t}_v2"), allowMissingColumns=True) if day == 2 else held
+
+    def silver(t: str, model, *more) -> Model:
+        return f"silver_{t}", lambda: model(rows(t), stored(f"silver_{t}"), *more)
+
+    return {
+        "bronze": [(f"bronze_{t}", lambda t=t: bronze(t)) for t in TPCH_TABLES],
+        "silver": [
+            silver("customer", tpch.silver_customer), silver("lineitem", tpch.silver_lineitem),
+            silver("orders", tpch.silver_orders, run_date), silver("part", tpch.silver_part),
+            silver("partsupp", tpch.silver_partsupp), silver("supplier", tpch.silver_supplier),
+            ("silver_nation_region", lambda: tpch.silver_nation_region(stored("bronze_nation"), stored("bronze_region"), stored("silver_nation_region"))),
+        ],
+        "snapshot": [
+            ("snap_customer", lambda: tpch.snapshot_customer(stored("snap_customer"), stored("silver_customer"), ts)),
+            ("snap_supplier", lambda: tpch.snapshot_supplier(stored("snap_supplier"), stored("silver_supplier"), ts)),
+        ],
+        "gold": [
+            ("dim_customer", lambda: tpch.dim_customer(stored("snap_customer"), stored("silver_nation_region"))),
+            ("dim_supplier", lambda: tpch.dim_supplier(stored("snap_supplier"), stored("silver_nation_region"))),
+            ("dim_part", lambda: tpch.dim_part(stored("silver_part"), stored("silver_partsupp"), stored("dim_part"))),
+            ("dim_date", lambda: tpch.dim_date(SparkSession.active())),
+            ("fact_lineitem", lambda: tpch.fact_lineitem(stored("silver_lineitem"), stored("silver_orders"), stored("fact_lineitem"))),
+        ],
+        "mart": [
+            ("fact_orders", lambda: tpch.fact_orders(stored("fact_lineitem"), stored("fact_orders"))),
+            ("mart_sales_summary", lambda: tpch.mart_sales_summary(stored("fact_lineitem"), stored("dim_customer"), stored("dim_date"))),
+            ("mart_supplier_performance", lambda: tpch.mart_supplier_performance(stored("fact_lineitem"), stored("dim_supplier"))),
+        ],
+        "mart of marts": [("mart_customer_segment", lambda: tpch.mart_customer_segment(stored("fact_orders"), stored("dim_customer")))],
+    }
+
+
+def retail_layers(day: int, source: Callable[[str], DataFrame], stored: Callable[[str], DataFrame | None]) -> dict[str, list[Model]]:
+    def raw(n: str) -> DataFrame:
+        held = fx.day_slice(source(f"fx_raw_{n}"), day)
+        return held.unionByName(source(f"fx_raw_{n}_v2")) if day == 2 else held
+
+    def staged(n: str, model) -> Model:
+        return f"stg_{n}", lambda: model(raw(n), stored(f"stg_{n}"))
+
+    return {
+        "silver": [staged("customers", retail.stg_customers), staged("order_items", retail.stg_order_items),
+                   staged("orders", retail.stg_orders), staged("payments", retail.stg_payments), staged("products", retail.stg_products)],
+        "gold": [
+            ("dim_customer_retail", lambda: retail.dim_customer(stored("stg_customers"))),
+            ("dim_product", lambda: retail.dim_product(stored("stg_products"))),
+            ("dim_date_retail", lambda: retail.dim_date(SparkSession.active())),
+            ("fct_orders", lambda: retail.fct_orders(stored("stg_orders"), stored("stg_order_items"), stored("stg_payments"), stored("fct_orders"))),
+        ],
+        "snapshot": [("scd_fct_orders", lambda: retail.snapshot_orders(stored("scd_fct_orders"), stored("fct_orders"), DAY_TS[day]))],
+        "mart": [("mart_revenue_kpis", lambda: retail.mart_revenue_kpis(
+            stored("fct_orders"), stored("dim_customer_retail"), stored("stg_order_items"), stored("dim_product"), stored("dim_date_retail")))],
+    }
+
+
+FAMILIES = {"tpch": tpch_layers, "retail": retail_layers}
 
 
 class Run:
-    """One pipeline run over one input directory.
+    """The tables of one warehouse, and a log row for each model attempt."""
 
-    Models of one layer that do not depend on each other are submitted
-    concurrently (``parallel`` threads, one Spark job each); the two model
-    families run side by side. Small jobs leave most cores idle, so this
-    matters at small scale; on a large cluster each job fills it anyway.
-    """
-
-    def __init__(self, spark: SparkSession, sf_dir: str, store: TableStore | None = None, parallel: int | None = None):
-        self.spark = prepare(spark)
-        self.sf_dir = sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, store: TableStore | None = None):
+        self.spark, self.sf_dir = prepare(spark), sf_dir
         self.store = store or TableStore(spark)
-        self.parallel = parallel or int(os.environ.get("TIERFORGE_PARALLEL", "4"))
-        self.timings: dict[str, float] = defaultdict(float)
-        self._lock = threading.Lock()
-        self.only: set[str] | None = None  # restrict to these tables (None: all)
-        self.bucketed = os.environ.get("TIERFORGE_BUCKETED", "1") == "1"
-        self.day = 0
-        self.log: list[tuple] = []  # one row per model attempt
-
-    def fixture(self, name: str) -> DataFrame:
-        """A source table of the run (staged once per session and directory)."""
-        t0 = time.perf_counter()
-        df = staged_source(self.spark, self.sf_dir, name)
-        with self._lock:
-            self.timings["sources"] += time.perf_counter() - t0
-        return df
-
-    def _put(self, name: str, build: Callable[[], DataFrame], how: str = "write", **kw) -> DataFrame:
-        """Compute a model (including its eager scalar jobs), write it and log
-        the attempt (status, start, end, rows written)."""
-        t0, start = time.perf_counter(), datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
-        status, rows, error = "success", None, None
-        try:
-            df = build()
-            if name in BUCKET_KEYS and self.bucketed:
-                kw = {**kw, "bucket_by": BUCKET_KEYS[name]}
-            out = self.store.append(name, df, **kw) if how == "append" else self.store.write(name, df, **kw)
-            rows = self.store.rows_written.get(name)
-            return out
-        except Exception as e:
-            status, error = "error", str(e)[:4000]
-            raise
-        finally:
-            end = datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
-            with self._lock:
-                self.timings[name] += time.perf_counter() - t0
-                self.log.append((self.day, layer_of(name), name, status, start, end, rows, error))
-
-    def _wave(self, items: list[tuple]) -> None:
-        """Run independent ``(name, build, how, kw)`` items concurrently."""
-        if self.only is not None:
-            items = [it for it in items if it[0] in self.only]
-        if not items:
-            return
-        if self.parallel <= 1 or len(items) == 1:
-            for it in items:
-                self._put(it[0], it[1], *it[2:3], **(it[3] if len(it) > 3 else {}))
-            return
-        with ThreadPoolExecutor(max_workers=min(self.parallel, len(items))) as ex:
-            futs = [ex.submit(self._put, it[0], it[1], *it[2:3], **(it[3] if len(it) > 3 else {})) for it in items]
-            for f in futs:
-                f.result()
+        self.log: list[tuple] = []
 
     def get(self, name: str) -> DataFrame:
         df = self.store.read(name)
@@ -164,160 +124,62 @@ class Run:
             raise KeyError(name)
         return df
 
-    # ------------------------------------------------------------ TPC-H ----
-    def tpch_day(self, day: int) -> None:
-        ts, run_date, s = DAY_TS[day], DAY_DATE[day], self.store
-
-        # bronze: append unseen keys of the source as it stands that day
-        def bronze(t):
-            src = self.fixture(f"src_{t}")
-            if day == 1:
-                src = src.filter("in_day1")
-            return tpch.bronze(t, src, s.read(f"bronze_{t}"), ts)
-
-        self._wave([(f"bronze_{t}", (lambda t=t: bronze(t)), "append") for t in TPCH_TABLES])
-
-        # silver: reads the bronze-shaped fixtures as they stand that day
-        def cust_in():
-            c = self.fixture("fx_customer")
-            return c.unionByName(self.fixture("fx_customer_v2")) if day == 2 else c
-
-        self._wave([
-            ("silver_customer", lambda: tpch.silver_customer(cust_in(), s.read("silver_customer"))),
-            ("silver_lineitem", lambda: tpch.silver_lineitem(fx.day_slice(self.fixture("fx_lineitem"), day), s.read("silver_lineitem"))),
-            ("silver_orders", lambda: tpch.silver_orders(fx.day_slice(self.fixture("fx_orders"), day), s.read("silver_orders"), run_date)),
-            ("silver_part", lambda: tpch.silver_part(self.fixture("fx_part"), s.read("silver_part"))),
-            ("silver_partsupp", lambda: tpch.silver_partsupp(self.fixture("fx_partsupp"), s.read("silver_partsupp"))),
-            ("silver_supplier", lambda: tpch.silver_supplier(self.fixture("fx_supplier"), s.read("silver_supplier"))),
-            ("silver_nation_region", lambda: tpch.silver_nation_region(self.fixture("fx_nation"), self.fixture("fx_region"), s.read("silver_nation_region"))),
-        ])
-
-        # snapshots
-        self._wave([
-            ("snap_customer", lambda: tpch.snapshot_customer(s.read("snap_customer"), self.get("silver_customer"), ts)),
-            ("snap_supplier", lambda: tpch.snapshot_supplier(s.read("snap_supplier"), self.get("silver_supplier"), ts)),
-        ])
-
-        # gold
-        nr = lambda: self.get("silver_nation_region")
-        self._wave([
-            ("dim_customer", lambda: tpch.dim_customer(self.get("snap_customer"), nr())),
-            ("dim_supplier", lambda: tpch.dim_supplier(self.get("snap_supplier"), nr())),
-            ("dim_part", lambda: tpch.dim_part(self.get("silver_part"), self.get("silver_partsupp"), s.read("dim_part"))),
-            ("dim_date", lambda: tpch.dim_date(self.spark)),
-            # full range layout on the first write; later runs cluster only the batch
-            ("fact_lineitem", lambda: tpch.fact_lineitem(self.get("silver_lineitem"), self.get("silver_orders"), s.read("fact_lineitem")),
-             "write", {"cluster_by": "ship_date"} if not s.exists("fact_lineitem") else {}),
-        ])
-        self._wave([
-            ("fact_orders", lambda: tpch.fact_orders(self.get("fact_lineitem"), s.read("fact_orders"))),
-            ("mart_sales_summary", lambda: tpch.mart_sales_summary(self.get("fact_lineitem"), self.get("dim_customer"), self.get("dim_date"))),
-            ("mart_supplier_performance", lambda: tpch.mart_supplier_performance(self.get("fact_lineitem"), self.get("dim_supplier"))),
-        ])
-        self._wave([("mart_customer_segment", lambda: tpch.mart_customer_segment(self.get("fact_orders"), self.get("dim_customer")))])
-
-    # ----------------------------------------------------------- retail ----
-    def retail_day(self, day: int) -> None:
-        ts, s = DAY_TS[day], self.store
-
-        def raw(n):
-            if n == "orders":
-                o = self.fixture("fx_raw_orders")
-                return o.unionByName(self.fixture("fx_raw_orders_v2")) if day == 2 else o
-            return fx.day_slice(self.fixture(f"fx_raw_{n}"), day)
-
-        self._wave([
-            ("stg_customers", lambda: retail.stg_customers(raw("customers"), s.read("stg_customers"))),
-            ("stg_order_items", lambda: retail.stg_order_items(raw("order_items"), s.read("stg_order_items"))),
-            ("stg_orders", lambda: retail.stg_orders(raw("orders"), s.read("stg_orders"))),
-            ("stg_payments", lambda: retail.stg_payments(raw("payments"), s.read("stg_payments"))),
-            ("stg_products", lambda: retail.stg_products(raw("products"), s.read("stg_products"))),
-        ])
-        self._wave([
-            ("dim_customer_retail", lambda: retail.dim_customer(self.get("stg_customers"))),
-            ("dim_product", lambda: retail.dim_product(self.get("stg_products"))),
-            ("dim_date_retail", lambda: retail.dim_date(self.spark)),
-            ("fct_orders", lambda: retail.fct_orders(self.get("stg_orders"), self.get("stg_order_items"), self.get("stg_payments"), s.read("fct_orders"))),
-        ])
-        self._wave([
-            ("scd_fct_orders", lambda: retail.snapshot_orders(s.read("scd_fct_orders"), self.get("fct_orders"), ts)),
-            ("mart_revenue_kpis", lambda: retail.mart_revenue_kpis(
-                self.get("fct_orders"), self.get("dim_customer_retail"), self.get("stg_order_items"),
-                self.get("dim_product"), self.get("dim_date_retail"))),
-        ])
+    def put(self, day: int, layer: str, name: str, build: Callable[[], DataFrame]) -> None:
+        """Compute a model (including its scalar jobs), write it and log the attempt."""
+        now = lambda: datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
+        start, status, error = now(), "error", None
+        try:
+            df, layout = build(), LAYOUT.get(name, {})
+            if layer == "bronze":
+                self.store.append(name, df, **layout)
+            else:
+                self.store.write(name, df, **layout)
+            status = "success"
+        except Exception as e:
+            error = str(e)[:4000]
+            raise
+        finally:
+            rows = self.store.rows_written.get(name) if status == "success" else None
+            self.log.append((day, "gold" if layer.startswith("mart") else layer, name, status, start, now(), rows, error))
+
+    def run(self, domains: tuple[str, ...] = ("tpch", "retail"), days: tuple[int, ...] = (1, 2), at_once: int = AT_ONCE) -> Run:
+        source = lambda n: fx.fixture(self.spark, self.sf_dir, n)
+        with ThreadPoolExecutor(at_once) as pool:
+            for day in days:
+                for domain in domains:
+                    for layer, models in FAMILIES[domain](day, source, self.store.read).items():
+                        for done in [pool.submit(self.put, day, layer, n, f) for n, f in models]:
+                            done.result()
+        return self
 
     def run_log(self) -> DataFrame:
-        """This run's model log (one row per model attempt), shaped like the
-        run-log inputs of ``operators.runlog`` (``run_id`` = day)."""
+        """This run's model log, shaped like the run-log inputs of ``operators.runlog`` (``run_id`` = day)."""
         return self.spark.createDataFrame(
             self.log,
             "run_id int, layer string, model_name string, status string, started_at timestamp_ntz, "
             "ended_at timestamp_ntz, rows_affected long, message string",
         )
 
-    def run(self, domains=("tpch", "retail"), days=(1, 2), only=None) -> "Run":
-        """Run the days; ``only`` limits the run to those tables' closure."""
-        self.only = closure(only) if only is not None else None
-        for d in days:
-            self.day = d
-            steps = [getattr(self, f"{dom}_day") for dom in domains]
-            if self.parallel > 1 and len(steps) > 1:
-                with ThreadPoolExecutor(max_workers=len(steps)) as ex:
-                    for f in [ex.submit(step, d) for step in steps]:
-                        f.result()
-            else:
-                for step in steps:
-                    step(d)
-        return self
-
-
-_SOURCE_STORES: dict[tuple, TableStore] = {}
-_SOURCE_LOCKS: dict[tuple, threading.Lock] = {}
-_SOURCES_LOCK = threading.Lock()
-
-
-def staged_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fixture staged once as a Parquet table per session and directory.
-
-    Production sources are stored tables; deriving them from the driver
-    tables again for every model and query would repeat scans, casts and
-    shuffles (e.g. the DISTINCT behind partsupp)."""
-    base = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    with _SOURCES_LOCK:
-        store = _SOURCE_STORES.get(base)
-        if store is None:
-            store = _SOURCE_STORES[base] = TableStore(prepare(spark))
-        lock = _SOURCE_LOCKS.setdefault(base + (name,), threading.Lock())
-    table = f"source_{name}"
-    with lock:
-        if not store.exists(table):
-            store.write(table, fx.fixture(spark, sf_dir, name))
-    return store.read(table)
-
 
 _BUILT: dict[tuple, Run] = {}
-_BUILD_LOCK = threading.Lock()
-
-
-def built(spark: SparkSession, sf_dir: str, domain: str, table: str | None = None) -> Run:
-    """The two-day run of one domain for this session and directory, memoised
-    so that queries over the same warehouse share its tables.
-
-    The first request builds only the closure of ``table``; a later request
-    outside it builds the whole domain once.
-    """
-    base = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), domain)
-    with _BUILD_LOCK:
-        full = _BUILT.get(base + ("all",))
-        if full is not None:
-            return full
-        part = _BUILT.get(base + ("part",))
-        if table is not None and part is not None and part.store.exists(table):
-            return part
-        if table is not None and part is None:
-            r = Run(spark, sf_dir).run(domains=(domain,), only=[table])
-            _BUILT[base + ("part",)] = r
-            return r
-        r = Run(spark, sf_dir).run(domains=(domain,))
-        _BUILT[base + ("all",)] = r
-        return r
+_LOCK = threading.Lock()
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input files."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for s in fs.listStatus(root):
+        files = fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+        out += [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in files]
+    return tuple(sorted(out))
+
+
+def built(spark: SparkSession, sf_dir: str, domain: str) -> Run:
+    """The two-day run of one domain, kept for the session as long as the input files stay as they are."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), domain, input_state(spark, sf_dir))
+    with _LOCK:
+        if key not in _BUILT:
+            _BUILT[key] = Run(spark, sf_dir).run(domains=(domain,))
+        return _BUILT[key]

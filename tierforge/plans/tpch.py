@@ -15,7 +15,6 @@ from ..functions import exprs as X
 from ..operators.calendar import date_spine
 from ..operators.dedup import dedup_latest
 from ..operators.incremental import append_new, lookback, merge_upsert, newer_than
-from ..operators.joins import sized_broadcast
 from ..operators.scd2 import scd2_apply
 
 # --- fixed values ------------------------------------------------------------
@@ -167,7 +166,7 @@ def silver_nation_region(nation: DataFrame, region: DataFrame, target: DataFrame
     """Full recompute each run (no high-water filter), merged on nation_key.
     Nation and region are fixed-size TPC-H tables (25 and 5 rows)."""
     n = nation.select("nation_key", "nation_name", "region_key", "_loaded_at")
-    r = sized_broadcast(region.select("region_key", "region_name"))
+    r = region.select("region_key", "region_name")
     joined = n.join(r, "region_key").select("nation_key", "nation_name", "region_key", "region_name", "_loaded_at")
     return merge_upsert(target, dedup_latest(joined, ["nation_key"], tie_break=TIE_BREAK["nation_region"]), ["nation_key"])
 
@@ -185,7 +184,7 @@ def snapshot_supplier(history: DataFrame | None, silver: DataFrame, run_ts: str)
 # ------------------------------------------------------------------ gold ----
 
 def _scd2_dim(snap: DataFrame, nation_region: DataFrame, key: str, cols: list[str], sk: str) -> DataFrame:
-    nr = sized_broadcast(nation_region.select("nation_key", "nation_name", "region_name"))
+    nr = nation_region.select("nation_key", "nation_name", "region_name")
     return snap.join(nr, "nation_key", "left").select(
         X.surrogate_key_ts(key, "valid_from").alias(sk),
         key, *cols, "nation_name", "region_name",
@@ -240,8 +239,6 @@ def dim_date(spark) -> DataFrame:
     )
 
 
-DIM_DATE_ROWS = 2556  # days in [SPINE_START, SPINE_END)
-
 FACT_LINEITEM_COLUMNS = [
     "order_key", "line_number", "part_key", "supplier_key", "customer_key", "ship_date", "commit_date",
     "receipt_date", "order_date", "quantity", "extended_price", "discount", "tax", "net_revenue", "gross_revenue",
@@ -249,8 +246,7 @@ FACT_LINEITEM_COLUMNS = [
 ]
 
 
-def fact_lineitem(silver_lineitem_df: DataFrame, silver_orders_df: DataFrame, target: DataFrame | None,
-                  cluster_by: str | None = "ship_date") -> DataFrame:
+def fact_lineitem(silver_lineitem_df: DataFrame, silver_orders_df: DataFrame, target: DataFrame | None) -> DataFrame:
     """New silver lines enriched with their order, deduplicated, merged.
 
     The latest line per (order_key, line_number) is picked before the join
@@ -267,11 +263,6 @@ def fact_lineitem(silver_lineitem_df: DataFrame, silver_orders_df: DataFrame, ta
         ["order_key"], tie_break=["customer_key", "order_date"],
     ).drop("_loaded_at")
     out = li.join(o, "order_key", "left").select(*FACT_LINEITEM_COLUMNS)
-    if target is not None and cluster_by:
-        # Only the new batch is range-clustered; kept rows stream through the
-        # (broadcast) anti join in file order, so their row groups stay narrow
-        # and the full table is not re-shuffled on every run.
-        out = out.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
     return merge_upsert(target, out, ["order_key", "line_number"])
 
 
@@ -300,7 +291,7 @@ def mart_sales_summary(fact: DataFrame, dim_cust: DataFrame, dim_dt: DataFrame)
         F.sum("quantity").alias("q"), F.sum("net_revenue").alias("n"), F.sum("gross_revenue").alias("g"),
     )
     cust = current_versions_dim(dim_cust).select("customer_key", "region_name", "nation_name", "market_segment")
-    d = sized_broadcast(dim_dt.select("date_key", "year", "quarter"), known_rows=DIM_DATE_ROWS)
+    d = dim_dt.select("date_key", "year", "quarter")
     j = per_order.join(cust, "customer_key").join(d, per_order["order_date"] == d["date_key"])
     return j.groupBy("year", "quarter", "region_name", "nation_name", "market_segment").agg(
         F.countDistinct("order_key").alias("order_count"),

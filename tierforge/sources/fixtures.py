@@ -87,6 +87,30 @@ select s_suppkey as supplier_key, case when s_suppkey % 50 = 49 then '  ' else c
 select p_partkey as part_key, p_name as part_name, concat('Manufacturer#', cast(1 + p_partkey % 5 as varchar(5))) as manufacturer, p_brand as brand, p_type as part_type, p_size as part_size, 'JUMBO BOX' as container, cast(p_retailprice as decimal(12,2)) as retail_price, timestamp '2024-01-01 00:00:00' as _loaded_at from {part}""",
     "fx_nation": "select n_nationkey as nation_key, n_name as nation_name, n_regionkey as region_key, timestamp '2024-01-01 00:00:00' as _loaded_at from {nation}",
     "fx_region": "select r_regionkey as region_key, r_name as region_name, timestamp '2024-01-01 00:00:00' as _loaded_at from {region}",
+    # Day-2 changes of bronze rows, with one broken row of each validity rule among them
+    # (a broken row must not replace the row that is there).
+    "fx_supplier_v2": """
+select supplier_key, case when supplier_key % 35 = 0 then '   ' else supplier_name end as supplier_name, concat(supplier_address, ' moved') as supplier_address, nation_key,
+ case when supplier_key % 10 = 0 then null else supplier_phone end as supplier_phone, account_balance, timestamp '2024-01-02 00:00:00' as _loaded_at from {fx_supplier} where supplier_key % 5 = 0
+union all select cast(null as bigint) as supplier_key, supplier_name, supplier_address, nation_key, supplier_phone, account_balance, timestamp '2024-01-02 00:00:00' as _loaded_at from {fx_supplier} where supplier_key % 20 = 1""",
+    "fx_part_v2": """
+select case when part_key % 30 = 6 then null else part_key end as part_key, part_name, manufacturer, brand, part_type, part_size, container,
+ cast(case when part_key % 30 = 12 then -1 else retail_price + 10 end as decimal(12,2)) as retail_price, timestamp '2024-01-02 00:00:00' as _loaded_at from {fx_part} where part_key % 6 = 0""",
+    "fx_partsupp_v2": """
+select part_key, supplier_key, cast(case when part_key % 27 = 9 then -5 else 7 end as int) as available_qty,
+ cast(case when part_key % 27 = 18 then -1 else supply_cost + 1 end as decimal(12,2)) as supply_cost, timestamp '2024-01-02 00:00:00' as _loaded_at from {fx_partsupp} where part_key % 9 = 0""",
+    "fx_orders_v2": """
+select case when order_key % 50 = 5 then null else order_key end as order_key, case when order_key % 50 = 15 then null else customer_key end as customer_key,
+ case when order_key % 100 = 45 then 'Z' else 'F' end as order_status, cast(case when order_key % 50 = 25 then -1 else total_price + 5 end as decimal(12,2)) as total_price,
+ case when order_key % 100 = 35 then null when order_key % 100 = 85 then date '2099-01-01' else order_date end as order_date, order_priority, clerk, ship_priority,
+ timestamp '2024-01-02 00:00:00' as _loaded_at from {fx_orders} where order_key % 10 = 5""",
+    "fx_lineitem_v2": """
+select case when order_key % 100 = 8 then null else order_key end as order_key, part_key, supplier_key, case when order_key % 100 = 16 then null else line_number end as line_number,
+ cast(case when order_key % 100 = 24 then 0 else quantity + 1 end as decimal(12,2)) as quantity, cast(case when order_key % 100 = 32 then -1 else extended_price + 100 end as decimal(12,2)) as extended_price,
+ cast(case when order_key % 100 = 40 then 1.5 else discount end as decimal(12,2)) as discount, cast(case when order_key % 100 = 48 then -0.5 else tax end as decimal(12,2)) as tax,
+ case when order_key % 100 = 56 then 'X' else return_flag end as return_flag, case when order_key % 100 = 64 then 'P' else line_status end as line_status,
+ case when order_key % 100 = 72 then null else ship_date end as ship_date, commit_date, case when order_key % 100 = 80 then ship_date - 1 else ship_date + 3 end as receipt_date,
+ ship_instructions, ship_mode, timestamp '2024-01-02 00:00:00' as _loaded_at from {fx_lineitem} where order_key % 8 = 0""",
     # Online-retail raw (text) tables.
     "fx_raw_orders": """
 select cast(o_orderkey as varchar(20)) as order_id, cast(o_custkey as varchar(20)) as customer_id,
@@ -108,7 +132,9 @@ select order_id, customer_id,
  from {fx_raw_orders} where cast(order_id as bigint) % 9 = 0 or cast(order_id as bigint) % 6 = 0""",
     "fx_raw_customers": """
 select cast(c_custkey as varchar(20)) as customer_id, md5(c_name) as customer_unique_id, concat('  ', c_mktsegment, ' city ') as customer_city,
- concat(' ', substr('sprjmgesprscrsmtmsgodfbacemapbpepirnsealamparorracapxx', cast(1 + 2 * c_nationkey as int), 2), ' ') as customer_state, timestamp '2024-01-01 00:00:00' as _loaded_at,
+ concat(' ', case c_nationkey when 0 then 'sp' when 1 then 'rj' when 2 then 'mg' when 3 then 'es' when 4 then 'pr' when 5 then 'sc' when 6 then 'rs' when 7 then 'mt' when 8 then 'ms'
+  when 9 then 'go' when 10 then 'df' when 11 then 'ba' when 12 then 'ce' when 13 then 'ma' when 14 then 'pb' when 15 then 'pe' when 16 then 'pi' when 17 then 'rn' when 18 then 'se' when 19 then 'al'
+  when 20 then 'am' when 21 then 'pa' when 22 then 'ro' when 23 then 'rr' when 24 then 'ac' else 'xx' end, ' ') as customer_state, timestamp '2024-01-01 00:00:00' as _loaded_at,
  cast((c_custkey * 37) % 100000 as varchar(10)) as customer_zip_code_prefix, 'customers.csv' as _source_file, 'synthetic' as _source_system, date '2024-01-01' as _load_date, 'b1' as _batch_id from {customer}""",
     "fx_raw_products": """
 select cast(p_partkey as varchar(20)) as product_id, concat(' ', p_type, ' ') as product_category_name,
@@ -124,7 +150,25 @@ select cast(l_orderkey as varchar(20)) as order_id, cast(l_linenumber as varchar
 select cast(o_orderkey as varchar(20)) as order_id, cast(s.n as varchar(20)) as payment_sequential,
  case (o_orderkey + s.n) % 4 when 0 then ' credit_card' when 1 then 'boleto' when 2 then 'voucher ' else 'debit_card' end as payment_type,
  cast((o_orderkey + s.n) % 12 as varchar(20)) as payment_installments, cast(cast(o_totalprice as decimal(12,2)) as varchar(20)) as payment_value, timestamp '2024-01-01 00:00:00' as _loaded_at, 'payments.csv' as _source_file, 'synthetic' as _source_system, date '2024-01-01' as _load_date, 'b1' as _batch_id
- from {orders} cross join (values (1),(2),(3)) as s(n) where s.n <= o_orderkey % 4""",
+ from {orders} join (values (1),(2),(3)) as s(n) on s.n <= o_orderkey % 4""",
+    # Day-2 deliveries of the other raw tables: changed rows, NULL keys, names with punctuation.
+    "fx_raw_customers_v2": """
+select case when cast(customer_id as bigint) % 16 = 0 then null else customer_id end as customer_id, customer_unique_id,
+ concat('  vila-nova d''OESTE (', trim(customer_city), ')/sul & norte_', customer_id, ' ') as customer_city, customer_state, timestamp '2024-01-02 00:00:00' as _loaded_at,
+ customer_zip_code_prefix, 'customers_v2.csv' as _source_file, _source_system, date '2024-01-02' as _load_date, 'b2' as _batch_id from {fx_raw_customers} where cast(customer_id as bigint) % 4 = 0""",
+    "fx_raw_products_v2": """
+select case when cast(product_id as bigint) % 21 = 0 then null else product_id end as product_id, product_category_name,
+ case cast(product_id as bigint) % 4 when 0 then '499.5' when 1 then '1999.4' when 2 then ' 2500 ' else 'heavy' end as product_weight_g, timestamp '2024-01-02 00:00:00' as _loaded_at,
+ product_name_lenght, product_description_lenght, product_photos_qty, '12.5' as product_length_cm, product_height_cm, product_width_cm,
+ 'products_v2.csv' as _source_file, _source_system, date '2024-01-02' as _load_date, 'b2' as _batch_id from {fx_raw_products} where cast(product_id as bigint) % 7 = 0""",
+    "fx_raw_order_items_v2": """
+select case when cast(order_id as bigint) % 40 = 0 then null else order_id end as order_id, case when cast(order_id as bigint) % 40 = 20 then null else order_item_id end as order_item_id, product_id, seller_id,
+ '19.99' as price, freight_value, timestamp '2024-01-02 00:00:00' as _loaded_at, shipping_limit_date, 'order_items_v2.csv' as _source_file, _source_system, date '2024-01-02' as _load_date, 'b2' as _batch_id
+ from {fx_raw_order_items} where cast(order_id as bigint) % 20 = 0 and order_item_id = '1'""",
+    "fx_raw_payments_v2": """
+select case when cast(order_id as bigint) % 30 = 15 then null else order_id end as order_id, payment_sequential, 'CREDIT_CARD' as payment_type, '6' as payment_installments, '10.50' as payment_value,
+ timestamp '2024-01-02 00:00:00' as _loaded_at, 'payments_v2.csv' as _source_file, _source_system, date '2024-01-02' as _load_date, 'b2' as _batch_id
+ from {fx_raw_payments} where cast(order_id as bigint) % 15 = 0 and payment_sequential = '1'""",
     # Run-log inputs derived from the events table.
     "fx_run_results": """
 select event_id as result_id, user_id as run_id, case user_id % 4 when 0 then 'bronze' when 1 then 'silver' when 2 then 'snapshot' else 'gold' end as layer,
@@ -136,7 +180,8 @@ select event_id, concat('dag', cast(user_id % 3 as varchar(5))) as dag_id,
  concat(concat(case user_id % 4 when 0 then 'stg_tpch__' when 1 then 'tpch_silver_' when 2 then 'snap_tpch_' else 'tpch_fact_' end, 'm', cast(event_id % 9 as varchar(5))),
   case event_id % 4 when 0 then '.run' when 1 then '_run' when 2 then '_test' else '_snapshot' end) as task_id,
  case when event_type = 'error' then 'error' else 'success' end as status,
- ts as start_date, ts + interval '30' second as end_date from {events}""",
+ case when event_id % 17 = 3 then null else ts end as start_date,
+ case when event_id % 19 = 4 then null when event_id % 23 = 5 then ts - interval '45' second else ts + interval '30' second end as end_date from {events}""",
     "fx_query_history": """
 select event_id as query_id, ts + interval '5' second as end_time,
  concat('MERGE INTO ', upper(concat(case user_id % 4 when 0 then 'stg_tpch__' when 1 then 'tpch_silver_' when 2 then 'snap_tpch_' else 'tpch_fact_' end, 'm', cast(event_id % 9 as varchar(5)))), ' USING x') as query_text,

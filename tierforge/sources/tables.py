@@ -1,132 +1,251 @@
-"""Versioned Parquet table store (the sinks).
-
-Each table lives in ``<root>/<name>/v<N>``. A rewrite (merge, full refresh,
-SCD2) goes to a new version directory and is read back from there, so a
-job never overwrites the files it is reading, and every model's lineage
-is cut at the table boundary (executor loss re-reads Parquet instead of
-recomputing upstream models). Appends add files to the current version.
-
-``root`` defaults to a folder under ``spark.checkpoint.dir`` (shared
-storage on a cluster).
-
-Keyed tables can be written bucketed by their merge key (``bucket_by``):
-the files then carry the key's hash partitioning, and a sort-merge join or
-anti join on exactly that key shuffles only the other side. Bucketing
-needs catalog metadata, so such versions are registered as external
-tables of the session's in-memory catalog; with any other catalog the
-store writes plain Parquet instead.
-
-High-water marks: while a version is written, ``MAX`` of each column in
-``MARK_COLUMNS`` that the table has is observed in the same job (Spark's
-``Observation``), and the frame returned by ``read`` carries it
-(``MARKS_ATTR``), so an incremental model reads its target's mark without
-scanning the target. Appends combine the old mark with the appended rows'.
+"""Durable Parquet tables (the sinks).
+
+A table is a folder: ``v<N>/`` holds the files that write N produced, split by the
+partition column ``_p``, and ``state/<N>.json``, written last, says which writes hold
+each partition's rows, the schema, the row counts and the high-water marks. The highest
+readable state is the table, so a second process continues where the first one ended, and a
+write that dies half-way changes nothing. Files of a state are never overwritten; what only
+older states than the previous one need is deleted after a commit.
+
+``_p`` is a hash bucket of the key columns (``keys``; rows with a NULL key are spread by
+their other columns, as they match nothing) or the month of a date (``month_of``). A frame from
+``merge_upsert`` or ``scd2_apply`` carries its update rows; writing it then rewrites only the
+partitions that these touch, and keeps them as the run's delta. Other frames replace the table.
 """
 
-
 from __future__ import annotations
 
-import os
+import json
 import re
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_dir
 
+PART = "_p"
 MARK_COLUMNS = ("_loaded_at", "order_date")  # stamps of the high-water and look-back filters
 MARKS_ATTR = "_tierforge_marks"  # {column: max as text, or None for no rows}
+TABLE_ATTR = "_tierforge_table"  # (store, name) of a frame read from a store
+MERGE_ATTR = "_tierforge_merge"  # (target, updates, keys, match or None) of a merge's result
+
+
+class WriteConflict(RuntimeError):
+    """Another writer committed the same version first."""
+
+
+def _later(values: list[str | None], kind: T.DataType) -> str | None:
+    """The greatest of values given as text, compared as ``kind``."""
+    known = [v for v in values if v is not None]
+    order = Decimal if isinstance(kind, T.NumericType) else str  # dates and timestamps: ISO text
+    return max(known, key=order) if known else None
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.root = (root or scratch_dir(spark, "tables")).rstrip("/")
-        self._version: dict[str, int] = {}
-        self._ident: dict[str, str] = {}  # bucketed tables: current catalog name
-        self._marks: dict[str, dict[str, str | None]] = {}
-        self.rows_written: dict[str, int] = {}  # rows of the last write / append, observed while writing
-        self._tag = re.sub(r"\W", "_", os.path.basename(self.root))
+        conf = spark.conf.get("tierforge.buckets", None) or spark.conf.get("spark.sql.shuffle.partitions")
+        self.buckets = buckets or int(conf)
+        self.rows_written: dict[str, int] = {}  # rows that each table's last write, append or merge put in
+
+    # -- files ---------------------------------------------------------------
+    def _path(self, *parts: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
+
+    def _fs(self):
+        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _names(self, *parts: str) -> list[str]:
+        p = self._path(*parts)
+        return [s.getPath().getName() for s in self._fs().listStatus(p)] if self._fs().exists(p) else []
+
+    def state(self, name: str) -> dict | None:
+        """The current state, ``None`` for a table that was never written."""
+        numbers = sorted((int(n[:-5]) for n in self._names(name, "state") if re.fullmatch(r"\d+\.json", n)), reverse=True)
+        return self._load(name, numbers[0]) if numbers else None
+
+    def _load(self, name: str, number: int) -> dict:
+        source = self._fs().open(self._path(name, "state", f"{number}.json"))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
+        finally:
+            source.close()
+
+    def _commit(self, name: str, state: dict) -> None:
+        fs, number = self._fs(), state["version"]
+        final, draft = self._path(name, "state", f"{number}.json"), self._path(name, f"state-{number}.draft")
+        out = fs.create(draft, True)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        fs.mkdirs(self._path(name, "state"))
+        if fs.exists(final) or not fs.rename(draft, final):
+            raise WriteConflict(f"{name}: version {number} is already committed")
+        self._sweep(name, state)
+
+    def _sweep(self, name: str, state: dict) -> None:
+        """Delete what neither this state nor the one before needs."""
+        keep = {state["version"], state["version"] - 1}
+        live = {v for p in state["parts"].values() for v in p["in"]}
+        if f"{state['version'] - 1}.json" in self._names(name, "state"):
+            live |= {v for p in self._load(name, state["version"] - 1)["parts"].values() for v in p["in"]}
+        for folder in self._names(name):
+            m = re.fullmatch(r"(v|delta)(\d+)", folder)
+            if m and int(m[2]) not in (live if m[1] == "v" else set()) | keep:
+                self._fs().delete(self._path(name, folder), True)
+        for n in self._names(name, "state"):
+            if int(n.split(".")[0]) not in keep:
+                self._fs().delete(self._path(name, "state", n), False)
+
+    # -- reads ---------------------------------------------------------------
+    def exists(self, name: str) -> bool:
+        return self.state(name) is not None
 
-    # -- paths ---------------------------------------------------------------
-    def path(self, name: str, version: int | None = None) -> str:
-        v = self._version.get(name) if version is None else version
-        return f"{self.root}/{name}/v{v}"
+    def files_of(self, name: str) -> dict[str, list[str]]:
+        """Partition -> folders that hold its rows."""
+        return {p: [f"{self.root}/{name}/v{v}/{PART}={p}" for v in s["in"]] for p, s in self.state(name)["parts"].items()}
 
-    def exists(self, name: str) -> bool:
-        return name in self._version
+    def _frame(self, state: dict, folders: list[str]) -> DataFrame:
+        schema = T.StructType.fromJson(state["schema"])
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+    def _folders(self, name: str, state: dict, only: set[str] | None = None) -> list[str]:
+        return [f"{self.root}/{name}/v{v}/{PART}={p}" for p, s in sorted(state["parts"].items()) if only is None or p in only for v in s["in"]]
 
     def read(self, name: str) -> DataFrame | None:
-        """Current version, or ``None`` when the table was never written."""
-        if name not in self._version:
+        """The table, with its high-water marks; ``None`` when it was never written."""
+        state = self.state(name)
+        if state is None:
             return None
-        df = self.spark.table(self._ident[name]) if name in self._ident else self.spark.read.parquet(self.path(name))
-        setattr(df, MARKS_ATTR, dict(self._marks.get(name, {})))
+        df = self._frame(state, self._folders(name, state))
+        marks = {}
+        for f in df.schema.fields:
+            if f.name in MARK_COLUMNS:
+                marks[f.name] = _later([p["marks"].get(f.name) for p in state["parts"].values()], f.dataType)
+        setattr(df, MARKS_ATTR, marks)
+        setattr(df, TABLE_ATTR, (self, name))
         return df
 
-    def _observed(self, df: DataFrame) -> tuple[DataFrame, Observation, list[str]]:
-        cols = [c for c in MARK_COLUMNS if c in df.columns]
-        obs = Observation()
-        metrics = [F.count(F.lit(1)).alias("_rows")] + [F.max(c).cast("string").alias(c) for c in cols]
-        return df.observe(obs, *metrics), obs, cols
-
-    def _record(self, name: str, obs: Observation, cols: list[str], combine: bool) -> None:
-        got = obs.get
-        self.rows_written[name] = int(got.get("_rows") or 0)
-        old = self._marks.get(name, {}) if combine else {}
-        new = {}
-        for c in cols:
-            vals = [v for v in (old.get(c), got.get(c)) if v is not None]
-            new[c] = max(vals) if vals else None  # same-format timestamp text orders like the values
-        self._marks[name] = new
-
-    def _can_bucket(self) -> bool:
-        return self.spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "in-memory"
+    def delta(self, name: str) -> DataFrame | None:
+        """The rows that the last write put in: a merge's updates, an append's rows, or the whole table after a replacement."""
+        state = self.state(name)
+        if state is None:
+            return None
+        if state["delta"]:
+            return self._frame(state, [f"{self.root}/{name}/delta{state['version']}"])
+        return self._frame(state, [f"{self.root}/{name}/v{v}/{PART}={p}" for p, s in state["parts"].items() for v in s["in"] if v == state["version"]])
+
+    def count(self, name: str) -> int:
+        return sum(p["rows"] for p in self.state(name)["parts"].values())
+
+    def view(self, name: str) -> str:
+        """View sink: register the current version as a temp view."""
+        view = re.sub(r"\W", "_", f"{self.root.rsplit('/', 1)[-1]}_{name}")
+        self.read(name).createOrReplaceTempView(view)
+        return view
 
     # -- writes --------------------------------------------------------------
-    def write(self, name: str, df: DataFrame, cluster_by: str | None = None,
-              bucket_by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
-        """Full rewrite as a new version (overwrite / merge / snapshot sinks).
-
-        ``cluster_by`` range-partitions and sorts by that column, so each file
-        covers a narrow value range and Parquet min/max statistics prune
-        row groups for range filters on it. ``bucket_by`` writes the version
-        hash-bucketed (and sorted) by those key columns.
+    def _part(self, df: DataFrame, layout: dict) -> Column:
+        if layout["month_of"]:
+            return F.coalesce(F.date_format(layout["month_of"], "yyyy-MM"), F.lit("none"))
+        if not layout["keys"]:
+            return F.lit("0")
+        keyed = F.lit(True)
+        for k in layout["keys"]:
+            keyed = keyed & F.col(k).isNotNull()
+        rest = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        spread = F.when(keyed, F.xxhash64(*layout["keys"])).otherwise(F.xxhash64(*rest))
+        return F.pmod(spread, F.lit(layout["buckets"])).cast("string")
+
+    def _save(self, df: DataFrame, folder: str, layout: dict, sort: list[str] | None = None) -> dict[str, dict]:
+        """Write rows split by partition; what each partition got (from the written files: one narrow scan)."""
+        marked = df.withColumn(PART, self._part(df, layout))
+        if layout["keys"] or layout["month_of"]:
+            marked = marked.hint("rebalance", F.col(PART))  # one task a partition, large ones split by size
+            marked = marked.sortWithinPartitions(PART, *(sort or [layout["month_of"]] if layout["month_of"] else layout["keys"]))
+        marked.write.partitionBy(PART).parquet(folder)
+        return self._inspect(folder, df.schema)
+
+    def _inspect(self, folder: str, schema: T.StructType) -> dict[str, dict]:
+        marks = [f for f in schema.fields if f.name in MARK_COLUMNS]
+        known = T.StructType([*marks, T.StructField(PART, T.StringType())])
+        got = self.spark.read.schema(known).parquet(folder).groupBy(PART).agg(
+            F.count(F.lit(1)).alias("rows"), *[F.max(f.name).cast("string").alias(f"m_{f.name}") for f in marks])
+        return {r[PART]: {"rows": r["rows"], "marks": {f.name: r[f"m_{f.name}"] for f in marks}} for r in got.collect()}
+
+    def write(self, name: str, df: DataFrame, keys: list[str] | None = None, month_of: str | None = None, batch: str | None = None) -> DataFrame:
+        """Commit ``df`` as the table's next version.
+
+        ``keys`` or ``month_of`` set the layout of a first write (later ones keep it). The result of a merge
+        into this table rewrites the touched partitions only. ``batch`` names a source batch: one that the
+        table already holds is skipped.
         """
-        v = self._version.get(name, 0) + 1
-        path = self.path(name, v)
-        df, obs, cols = self._observed(df)
-        if bucket_by and self._can_bucket():
-            n = buckets or int(self.spark.conf.get("tierforge.buckets", None) or self.spark.conf.get("spark.sql.shuffle.partitions"))
-            ident = f"tf_{self._tag}_{name}_v{v}"
-            (df.write.mode("overwrite").format("parquet").option("path", path)
-             .bucketBy(n, *bucket_by).sortBy(*bucket_by).saveAsTable(ident))
-            self._ident[name] = ident
+        old = self.state(name)
+        if old and batch is not None and batch in old["batches"]:
+            self.rows_written[name] = 0
+            return self.read(name)
+        layout = old["layout"] if old else {"keys": keys or [], "month_of": month_of, "buckets": self.buckets}
+        number = old["version"] + 1 if old else 1
+        merge = getattr(df, MERGE_ATTR, None)
+        mine = merge and getattr(merge[0], TABLE_ATTR, None)
+        self._clear(name, number)
+        if old and mine and mine[0].root == self.root and mine[1] == name and df.columns == [f["name"] for f in old["schema"]["fields"]]:
+            state = self._merge(name, old, number, df.schema, *merge[1:])
         else:
-            if cluster_by:
-                df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
-            df.write.mode("overwrite").parquet(path)
-            self._ident.pop(name, None)
-        self._version[name] = v
-        self._record(name, obs, cols, combine=False)
+            got = self._save(df, f"{self.root}/{name}/v{number}", layout)
+            state = {"parts": {p: {**s, "in": [number]} for p, s in got.items()}, "delta": False}
+            self.rows_written[name] = sum(s["rows"] for s in got.values())
+        self._finish(name, old, state, number, layout, df.schema, batch)
         return self.read(name)
 
-    def append(self, name: str, df: DataFrame, bucket_by: list[str] | None = None) -> DataFrame:
-        """Append sink: new files in the current version (first write creates it,
-        bucketed when ``bucket_by`` is given)."""
-        if name not in self._version:
-            return self.write(name, df, bucket_by=bucket_by)
-        df, obs, mcols = self._observed(df)
-        if name in self._ident:
-            cols = self.spark.table(self._ident[name]).columns
-            df.select(*cols).write.insertInto(self._ident[name])
-        else:
-            df.write.mode("append").parquet(self.path(name))
-        self._record(name, obs, mcols, combine=True)
+    def _merge(self, name: str, old: dict, number: int, schema: T.StructType, updates: DataFrame, keys: list[str], match: list[str] | None) -> dict:
+        """Rewrite the touched partitions. ``match`` finds the rows to replace; the same ``keys`` mean the same bucket."""
+        layout, folder = old["layout"], f"{self.root}/{name}"
+        updates.write.parquet(f"{folder}/delta{number}")
+        batch = self.spark.read.schema(updates.schema).parquet(f"{folder}/delta{number}")
+        on = match or keys
+        target = lambda only: self._frame(old, self._folders(name, old, only))
+        touched = {r[0] for r in batch.select(self._part(batch, layout)).distinct().collect()}
+        if layout["month_of"] or not set(layout["keys"]) <= set(keys):
+            # A row may move to another partition: find where the replaced rows are (a scan of the keys only).
+            rows = target(None)
+            held = rows.select(*on, self._part(rows, layout).alias(PART)).join(batch.select(*on), on, "left_semi")
+            touched |= {r[0] for r in held.select(PART).distinct().collect()}
+        kept = target(touched).join(batch.select(*on), on, "left_anti")
+        out = kept.unionByName(batch.select(*kept.columns)).select(*schema.names)
+        got = self._save(out, f"{folder}/v{number}", layout)
+        parts = {p: s for p, s in old["parts"].items() if p not in touched}
+        self.rows_written[name] = batch.count()
+        return {"parts": {**parts, **{p: {**s, "in": [number]} for p, s in got.items()}}, "delta": True}
+
+    def append(self, name: str, df: DataFrame, keys: list[str] | None = None, batch: str | None = None) -> DataFrame:
+        """Append sink: new files beside the current ones (the first write creates the table)."""
+        old = self.state(name)
+        if old is None:
+            return self.write(name, df, keys=keys, batch=batch)
+        if batch is not None and batch in old["batches"]:
+            self.rows_written[name] = 0
+            return self.read(name)
+        number, schema = old["version"] + 1, T.StructType.fromJson(old["schema"])
+        self._clear(name, number)
+        got = self._save(df.select(*schema.names), f"{self.root}/{name}/v{number}", old["layout"])
+        parts = dict(old["parts"])
+        for p, s in got.items():
+            was = parts.get(p, {"rows": 0, "marks": {}, "in": []})
+            marks = {f.name: _later([was["marks"].get(f.name), s["marks"][f.name]], f.dataType) for f in schema.fields if f.name in MARK_COLUMNS}
+            parts[p] = {"rows": was["rows"] + s["rows"], "marks": marks, "in": [*was["in"], number]}
+        self.rows_written[name] = sum(s["rows"] for s in got.values())
+        self._finish(name, old, {"parts": parts, "delta": False}, number, old["layout"], schema, batch)
         return self.read(name)
 
-    def view(self, name: str) -> str:
-        """View sink: register the current version as a temp view."""
-        view = re.sub(r"\W", "_", f"{os.path.basename(self.root)}_{name}")
-        self.read(name).createOrReplaceTempView(view)
-        return view
+    def _clear(self, name: str, number: int) -> None:
+        """Remove what an uncommitted write of this version left."""
+        for folder in (f"v{number}", f"delta{number}"):
+            self._fs().delete(self._path(name, folder), True)
+
+    def _finish(self, name: str, old: dict | None, state: dict, number: int, layout: dict, schema: T.StructType, batch: str | None) -> None:
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+        batches = [*(old["batches"] if old else []), *([batch] if batch is not None else [])][-100:]  # streams replay the latest only
+        self._commit(name, {"version": number, "schema": json.loads(nullable.json()), "layout": layout, "batches": batches, **state})

@@ -7,8 +7,8 @@ landed and stops, which is the streaming form of a scheduled run; the
 stream checkpoint records which files were consumed, so a restarted run
 resumes where the last one stopped.
 
-Replays are safe: a merge of the same batch twice gives the same table,
-and an append of unseen keys adds nothing the second time.
+The batch's number is committed with the table version, so a batch that is
+replayed after a failure is skipped, NULL keys included.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ def run_available(
     table: str,
     checkpoint_location: str | None = None,
     append: bool = False,
+    keys: list[str] | None = None,
 ) -> str:
     """Apply ``model`` to every not-yet-consumed file of ``source_dir``.
 
@@ -43,11 +44,15 @@ def run_available(
     stream = spark.readStream.schema(schema).parquet(source_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
+        name = f"{ckpt}#{epoch_id}"
+        state = store.state(table)
+        if state and name in state["batches"]:
+            return
         out = model(batch, store.read(table))
         if append:
-            store.append(table, out)
+            store.append(table, out, keys=keys, batch=name)
         else:
-            store.write(table, out)
+            store.write(table, out, keys=keys, batch=name)
 
     q = (
         stream.writeStream.foreachBatch(apply)
