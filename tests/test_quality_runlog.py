@@ -11,7 +11,7 @@ def test_quality_checks_fail_and_pass(spark):
     good = spark.createDataFrame([(1, "A"), (2, "B")], "k int, s string")
     assert Q.unique(bad, "k").count() == 1 and Q.unique(good, "k").count() == 0  # NULLs ignored
     assert Q.not_null(bad, "k").count() == 2 and Q.not_null(good, "k").count() == 0
-    assert Q.accepted_values(bad, "s", ["A", "B"]).count() == 1 and Q.accepted_values(good, "s", ["A", "B"]).count() == 0
+    assert [tuple(r) for r in Q.accepted_values(bad.unionByName(bad), "s", ["A", "B"]).collect()] == [("Z", 2)] and Q.accepted_values(good, "s", ["A", "B"]).count() == 0
     parent = spark.createDataFrame([(1,)], "p int")
     assert Q.relationships(bad, "k", parent, "p").count() == 0  # NULL child keys ignored
     assert Q.relationships(good, "k", parent, "p").count() == 1
@@ -45,7 +45,7 @@ def test_flatten_and_rollup(spark):
     ]
     res = spark.createDataFrame(rows, "result_id long, run_id long, layer string, unique_id string, status string, "
                                       "execution_time double, message string, rows_affected int, started_at timestamp_ntz")
-    flat = {r.result_id: r for r in L.flatten_results(L.results_documents(res)).collect()}
+    flat = {r.result_id: r for r in L.flatten_results(L.results_documents(res, ["result_id", "run_id", "layer"])).collect()}
     assert flat[1].model_name == "tpch_fact_a" and flat[1].resource_type == "model" and flat[1].rows_affected == 5
     assert len(flat[2].error_message) == 4000
     assert flat[3].error_message is None
@@ -117,3 +117,26 @@ def test_read_run_results_files(spark, tmp_path):
     assert st == {"silver": "FAILED", "gold": "SUCCESS", "bronze": "NONE", "snapshot": "NONE"}
     acts = {r.layer: r.next_action for r in L.last_attempt_state_docs(spark, raw, "source_file").collect()}
     assert acts == {"silver": "RETRY", "gold": "SKIP", "bronze": "BUILD", "snapshot": "BUILD"}
+
+
+def test_declared_tests_pass_on_the_pipeline_and_fail_on_dirty_copies(spark):
+    from conftest import SF_SMALL
+    from tierforge.plans import ops
+
+    clean = Q.run_suite(Q.DECLARED_TESTS, ops.clean_tables(spark, SF_SMALL)).collect()
+    assert len(clean) == 30 and {r.status for r in clean} == {"pass"}
+    dirty = Q.run_suite(Q.DECLARED_TESTS, ops._tables(spark, SF_SMALL)).collect()
+    failing = {r.test_name for r in dirty if r.status == "fail"}
+    assert {"unique_stg_orders_order_id", "accepted_values_stg_orders_order_status", "relationships_fact_lineitem_part_key",
+            "unique_combination_fact_lineitem_order_key__line_number", "not_null_dim_part_part_key"} <= failing
+
+
+def test_documents_hold_several_results(spark):
+    from conftest import SF_SMALL
+    from tierforge.sources import fixtures as fx
+
+    res = fx.fixture(spark, SF_SMALL, "fx_run_results")
+    docs = L.results_documents(res, ["run_id", "layer"])
+    flat = L.flatten_results(docs)
+    assert docs.count() < res.count() == flat.count()
+    assert sorted(L.rollup(flat).collect()) == sorted(L.rollup(res).collect())

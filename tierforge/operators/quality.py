@@ -35,8 +35,8 @@ def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def accepted_values(df: DataFrame, col: str, values: list[str]) -> DataFrame:
-    """Rows whose value is outside ``values`` (NULL is not a violation)."""
-    return df.filter(~F.col(col).isin(*values))
+    """Values outside ``values`` with their row counts (NULL is not a violation)."""
+    return df.filter(~F.col(col).isin(*values)).groupBy(col).agg(F.count(F.lit(1)).alias("n_records"))
 
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:

@@ -62,14 +62,15 @@ def base_model_name(task_id: Column) -> Column:
     return name
 
 
-def results_documents(results: DataFrame) -> DataFrame:
-    """One run-results JSON document per result row (``run_id, layer, doc``),
-    shaped like the build tool's file: ``{"results": [{...}]}``."""
+def results_documents(results: DataFrame, by: list[str]) -> DataFrame:
+    """One run-results JSON document for each value of ``by``, shaped like the build tool's file:
+    ``{"results": [{...}, ...]}``. The columns ``by`` stay beside ``doc``; choose them so that a document is one
+    attempt's nodes."""
     item = F.struct(
         "unique_id", "status", "execution_time", "message",
         F.struct(F.col("rows_affected").cast("long").alias("rows_affected")).alias("adapter_response"),
     )
-    return results.select("result_id", "run_id", "layer", F.to_json(F.struct(F.array(item).alias("results"))).alias("doc"))
+    return results.groupBy(*by).agg(F.to_json(F.struct(F.collect_list(item).alias("results"))).alias("doc"))
 
 
 def flatten_results(docs: DataFrame) -> DataFrame:

@@ -34,10 +34,48 @@ TEST_TABLES = {
 }
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+# Violations put into a copy of each tested table: of every 40th key (by remainder) the row comes twice (3), has NULL
+# in the listed columns (7) or the listed wrong values (11).
+DIRT = {
+    "stg_orders": ("cast(order_id as bigint)", ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "is_late_delivery"], {"order_status": "'LOST'"}),
+    "fct_orders": ("cast(order_id as bigint)", ["order_id", "customer_id", "order_status", "total_payment_value"], {}),
+    "dim_customer_retail": ("cast(customer_id as bigint)", ["customer_id"], {}),
+    "dim_product": ("cast(product_id as bigint)", ["product_id"], {}),
+    "dim_date_retail": ("day(date_id)", ["date_id"], {}),
+    "dim_customer": ("customer_key", ["customer_sk", "customer_key"], {}),
+    "dim_supplier": ("supplier_key", ["supplier_sk", "supplier_key"], {}),
+    "dim_part": ("part_key", ["part_key"], {}),
+    "fact_lineitem": ("order_key", ["part_key"], {"part_key": "-part_key"}),
+    "fact_orders": ("order_key", ["order_key"], {}),
+}
+
+
+def clean_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {m: built(spark, sf_dir, d).get(t) for m, (d, t, _) in TEST_TABLES.items()}  # whole domains
 
 
+def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tested tables with violations of every declared test."""
+    out = {}
+    for name, df in clean_tables(spark, sf_dir).items():
+        key, nulls, wrong = DIRT[name]
+        of = lambda r: df.filter(F.expr(f"{key} % 40 = {r}"))  # noqa: E731, B023
+        out[name] = (df.unionByName(of(3))
+                     .unionByName(of(7).withColumns({c: F.lit(None).cast(df.schema[c].dataType) for c in nulls}))
+                     .unionByName(of(11).withColumns({c: F.expr(v).cast(df.schema[c].dataType) for c, v in wrong.items()})))
+    return out
+
+
+def _dirty_sql(name: str) -> str:
+    """The same in SQL."""
+    key, nulls, wrong = DIRT[name]
+    t = TEST_TABLES[name][2]
+    replaced = lambda xs: f"select * replace ({', '.join(xs)})" if xs else "select *"
+    return (f"(select * from {t} union all by name select * from {t} where {key} % 40 = 3 "
+            f"union all by name {replaced([f'null as {c}' for c in nulls])} from {t} where {key} % 40 = 7 "
+            f"union all by name {replaced([f'{v} as {c}' for c, v in wrong.items()])} from {t} where {key} % 40 = 11)")
+
+
 def _checks(kind: str) -> list[Q.Check]:
     return [c for c in Q.DECLARED_TESTS if c.kind == kind]
 
@@ -68,8 +106,8 @@ def d2_not_null(spark, sf_dir):
 
 def d3_accepted_values(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    parts = [Q.accepted_values(t[c.model], c.column, list(c.arg)).groupBy(F.col(c.column).cast("string").alias("value"))
-             .agg(F.count(F.lit(1)).alias("n_records")).select(F.lit(c.name).alias("test_name"), "value", "n_records")
+    parts = [Q.accepted_values(t[c.model], c.column, list(c.arg))
+             .select(F.lit(c.name).alias("test_name"), F.col(c.column).cast("string").alias("value"), "n_records")
              for c in _checks("accepted_values")]
     return reduce(DataFrame.unionByName, parts)
 
@@ -97,7 +135,7 @@ def d6_quality_suite(spark, sf_dir):
 
 
 def _viol_sql(c: Q.Check) -> str:
-    t = TEST_TABLES[c.model][2]
+    t = _dirty_sql(c.model)
     if c.kind == "unique":
         return f"select {c.column} as value, count(*) as n_records from {t} where {c.column} is not null group by {c.column} having count(*) > 1"
     if c.kind == "not_null":
@@ -106,7 +144,7 @@ def _viol_sql(c: Q.Check) -> str:
         vals = ", ".join(f"'{v}'" for v in c.arg)
         return f"select {c.column} as value, count(*) as n_records from {t} where {c.column} not in ({vals}) group by {c.column}"
     if c.kind == "relationships":
-        p = TEST_TABLES[c.arg[0]][2]
+        p = _dirty_sql(c.arg[0])
         return (f"select c.{c.column} as value, count(*) as n_records from {t} c where c.{c.column} is not null and not exists "
                 f"(select 1 from {p} p where p.{c.arg[1]} = c.{c.column}) group by c.{c.column}")
     cols = c.column.split(",")
@@ -128,9 +166,11 @@ def d_sql(kind: str) -> str:
 
 
 def d6_sql() -> str:
+    """A relationships test fails by rows, the others by what ``_viol_sql`` lists."""
+    failures = lambda c: "coalesce(sum(n_records), 0)" if c.kind == "relationships" else "count(*)"
     body = _union_sql([
         f"select '{c.name}' as test_name, '{c.model}' as model, '{c.kind}' as kind, '{c.column}' as column_name, "
-        f"count(*) as failures, case when count(*) = 0 then 'pass' else 'fail' end as status from ({_viol_sql(c)})"
+        f"{failures(c)} as failures, case when count(*) = 0 then 'pass' else 'fail' end as status from ({_viol_sql(c)})"
         for c in Q.DECLARED_TESTS
     ])
     return O.sql_for(body)
@@ -143,11 +183,12 @@ def _fx(spark, sf_dir, name):
 
 
 def l1_run_rollup(spark, sf_dir):
-    return L.rollup(_fx(spark, sf_dir, "fx_run_results"))
+    results = _fx(spark, sf_dir, "fx_run_results").withColumn("part", F.floor(F.col("result_id") / 40))
+    return L.rollup(L.flatten_results(L.results_documents(results, ["run_id", "layer", "part"])))
 
 
 def l2_flatten_results(spark, sf_dir):
-    return L.flatten_results(L.results_documents(_fx(spark, sf_dir, "fx_run_results")))
+    return L.flatten_results(L.results_documents(_fx(spark, sf_dir, "fx_run_results"), ["result_id", "run_id", "layer"]))
 
 
 def l3_infer_layer(spark, sf_dir):
@@ -183,15 +224,22 @@ def l10_durations(spark, sf_dir):
     return L.durations(_fx(spark, sf_dir, "fx_task_events"))
 
 
+# --- fixed values of the SQL side, spelled out and not shared with the operators
+_SUFFIXES = ("_run", "_test", "_snapshot")
+_PREFIXES = (("stg_tpch__", "bronze"), ("snap_tpch_", "snapshot"), ("tpch_silver_", "silver"), ("tpch_dim_", "gold"),
+             ("tpch_fact_", "gold"), ("tpch_mart_", "gold"), ("tpch_date", "gold"))
+_ERRORS, _FAILURES = "'error', 'fail'", "'error', 'fail', 'skipped'"
+
+
 def _model_sql(col: str = "task_id") -> str:
     n = f"split_part({col}, '.', 1)"
-    for s in L.TASK_SUFFIXES:
+    for s in _SUFFIXES:
         n = f"(case when ends_with({n}, '{s}') then left({n}, length({n}) - {len(s)}) else {n} end)"
     return n
 
 
 def _layer_sql(m: str) -> str:
-    whens = " ".join(f"when starts_with({m}, '{p}') then '{lay}'" for p, lay in L.LAYER_PREFIXES)
+    whens = " ".join(f"when starts_with({m}, '{p}') then '{lay}'" for p, lay in _PREFIXES)
     return f"case {whens} else 'unknown' end"
 
 
@@ -202,15 +250,14 @@ STATE_SQL = f"""select dag_id, {{key}}, {_layer_sql('model_name')} as layer,
 
 
 def l_sql(name: str) -> str:
-    err = ", ".join(f"'{s}'" for s in L.ERROR_STATUSES)
-    bad = ", ".join(f"'{s}'" for s in L.FAILED_STATUSES)
+    err, bad = _ERRORS, _FAILURES
     if name == "l1_run_rollup":
         body = f"""select run_id, layer, count(*) as models_total, count(*) filter (where status = 'success') as models_success,
  count(*) filter (where status in ({err})) as models_error, count(*) filter (where status = 'skipped') as models_skipped,
  case when count(*) filter (where status in ({err})) = 0 and count(*) filter (where status = 'skipped') = 0 then 'SUCCESS' else 'FAILED' end as status
  from fx_run_results group by run_id, layer"""
     elif name == "l2_flatten_results":
-        msg = f"substr(coalesce(message, ''), 1, {L.MESSAGE_MAX})"
+        msg = "substr(coalesce(message, ''), 1, 4000)"
         body = f"""select result_id, run_id, layer, split_part(coalesce(unique_id, ''), '.', -1) as model_name,
  case when coalesce(unique_id, '') = '' then 'unknown' else split_part(unique_id, '.', 1) end as resource_type, status,
  coalesce(execution_time, 0.0) as execution_time_seconds, cast(rows_affected as bigint) as rows_affected,
@@ -220,7 +267,7 @@ def l_sql(name: str) -> str:
     elif name == "l4_base_model_name":
         body = f"select event_id, task_id, model_name from {EV}"
     elif name == "l5_last_attempt_state":
-        layers = ", ".join(f"('{x}')" for x in L.LAYERS)
+        layers = "('bronze'), ('silver'), ('snapshot'), ('gold')"
         body = f"""select layer, last_run_id, state, case state when 'NONE' then 'BUILD' when 'FAILED' then 'RETRY' else 'SKIP' end as next_action from (
  select l.layer, t.last_run_id, case when t.last_run_id is null then 'NONE' when t.bad = 1 then 'FAILED' else 'SUCCESS' end as state
  from (values {layers}) l(layer) left join (
@@ -228,8 +275,7 @@ def l_sql(name: str) -> str:
      select layer, run_id, max(case when status in ({bad}) then 1 else 0 end) as bad from fx_run_results group by layer, run_id)
    group by layer) t on l.layer = t.layer)"""
     elif name == "l6_rows_written":
-        types = ", ".join(f"'{t}'" for t in L.WRITE_QUERY_TYPES)
-        pad = L.WINDOW_PAD_SECONDS
+        types, pad = "'INSERT', 'MERGE', 'CREATE_TABLE_AS_SELECT', 'UPDATE'", 10
         body = f"""select e.event_id, e.model_name, case when e.status = 'success' and e.start_date is not null and e.end_date is not null then (
    select cast(sum(coalesce(q.rows_inserted, 0) + coalesce(q.rows_updated, 0)) as bigint) from fx_query_history q
    where q.execution_status = 'SUCCESS' and q.query_type in ({types})
@@ -262,7 +308,7 @@ def h5_scd2_hard_deletes(spark, sf_dir):
 
 O.block("hcu_1", "select * from fx_customer")
 O.block("hcu_2", "select * from fx_customer_v2")
-O.scd2("hsc", "hcu", "customer_key", tpch.CUSTOMER_CHECK, True)
+O.scd2("hsc", "hcu", "customer_key", O.CUSTOMER_CHECK, True)
 
 
 def s8_schema_sync(spark, sf_dir):
@@ -366,7 +412,7 @@ def j2_anti_join_composite(spark, sf_dir):
 
 def w1_dedup_latest(spark, sf_dir):
     both = _fx(spark, sf_dir, "fx_customer").unionByName(_fx(spark, sf_dir, "fx_customer_v2"))
-    return dedup_latest(both, ["customer_key"], tie_break=tpch.TIE_BREAK["customer"])
+    return dedup_latest(both, ["customer_key"], tie_break=O.TIE["customer"])
 
 
 def w2_dedup_composite(spark, sf_dir):
@@ -422,7 +468,7 @@ def x22_surrogate_key(spark, sf_dir):
 
 
 _TS1 = O.TS[1]
-_LI_TIE = tpch.TIE_BREAK["lineitem"]
+_LI_TIE = O.TIE["lineitem"]
 _TOK = f"'{X.SURROGATE_NULL}'"
 SINGLE_SQL = {
     "f1_high_water_strict": f"select * from fx_raw_order_items where _loaded_at > (select max(_loaded_at) from fx_raw_order_items where _loaded_at <= {_TS1})",
@@ -431,7 +477,7 @@ SINGLE_SQL = {
     "j1_anti_join": f"select * from fx_orders s where not exists (select 1 from fx_orders t where t._loaded_at <= {_TS1} and t.order_key = s.order_key)",
     "j2_anti_join_composite": (f"select * from fx_lineitem s where not exists (select 1 from fx_lineitem t where t._loaded_at <= {_TS1} "
                                "and t.order_key = s.order_key and t.line_number = s.line_number)"),
-    "w1_dedup_latest": O.dedup("(select * from fx_customer union all by name select * from fx_customer_v2)", ["customer_key"], tpch.TIE_BREAK["customer"]),
+    "w1_dedup_latest": O.dedup("(select * from fx_customer union all by name select * from fx_customer_v2)", ["customer_key"], O.TIE["customer"]),
     "w2_dedup_composite": O.dedup("fx_lineitem", ["order_key", "line_number"], _LI_TIE),
     "s6_merge_single_key": O.merge("fx_customer", "fx_customer_v2", ["customer_key"]),
     "s7_merge_composite_key": O.merge(f"({O.dedup(f'(select * from fx_lineitem where _loaded_at <= {_TS1})', ['order_key', 'line_number'], _LI_TIE)})",

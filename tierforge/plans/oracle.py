@@ -11,13 +11,74 @@ one ``WITH`` query.
 
 from __future__ import annotations
 
-from ..functions.exprs import INITCAP_DELIMITERS, ORDER_STATUS_LABEL, STATE_REGION, SURROGATE_NULL
 from ..sources import fixtures as fx
-from . import retail, tpch
 
-TS = {1: f"timestamp '{fx.DAY1_TS}'", 2: f"timestamp '{fx.DAY2_TS}'"}
-RUN_DATE = {1: f"date '{fx.DAY1_DATE}'", 2: f"date '{fx.DAY2_DATE}'"}
-FLOOR = f"timestamp '{tpch.FLOOR_TS}'"
+# --- fixed values, spelled out here and not shared with the plans ---------------
+BRONZE = {  # source column as bronze column; keys of the table
+    "customer": ("c_custkey as customer_key, c_name as customer_name, c_address as customer_address, c_nationkey as nation_key, c_phone as "
+         "customer_phone, c_acctbal as account_balance, c_mktsegment as market_segment, c_comment as customer_comment",
+         [("customer_key", "c_custkey")]),
+    "lineitem": ("l_orderkey as order_key, l_partkey as part_key, l_suppkey as supplier_key, l_linenumber as line_number, l_quantity as "
+         "quantity, l_extendedprice as extended_price, l_discount as discount, l_tax as tax, l_returnflag as return_flag, "
+         "l_linestatus as line_status, l_shipdate as ship_date, l_commitdate as commit_date, l_receiptdate as receipt_date, "
+         "l_shipinstruct as ship_instructions, l_shipmode as ship_mode",
+         [("order_key", "l_orderkey"), ("line_number", "l_linenumber")]),
+    "nation": ("n_nationkey as nation_key, n_name as nation_name, n_regionkey as region_key",
+         [("nation_key", "n_nationkey")]),
+    "orders": ("o_orderkey as order_key, o_custkey as customer_key, o_orderstatus as order_status, o_totalprice as total_price, "
+         "o_orderdate as order_date, o_orderpriority as order_priority, o_clerk as clerk, o_shippriority as ship_priority",
+         [("order_key", "o_orderkey")]),
+    "part": ("p_partkey as part_key, p_name as part_name, p_mfgr as manufacturer, p_brand as brand, p_type as part_type, p_size as "
+         "part_size, p_container as container, p_retailprice as retail_price",
+         [("part_key", "p_partkey")]),
+    "partsupp": ("ps_partkey as part_key, ps_suppkey as supplier_key, ps_availqty as available_qty, ps_supplycost as supply_cost",
+         [("part_key", "ps_partkey"), ("supplier_key", "ps_suppkey")]),
+    "region": ("r_regionkey as region_key, r_name as region_name",
+         [("region_key", "r_regionkey")]),
+    "supplier": ("s_suppkey as supplier_key, s_name as supplier_name, s_address as supplier_address, s_nationkey as nation_key, s_phone as "
+         "supplier_phone, s_acctbal as account_balance",
+         [("supplier_key", "s_suppkey")]),
+}
+TIE = {  # after _loaded_at, the latest row has the largest of these
+    "lineitem": ["extended_price", "part_key", "supplier_key"],
+    "orders": ["total_price", "customer_key"],
+    "customer": ["account_balance", "customer_name"],
+    "part": ["retail_price", "part_name"],
+    "partsupp": ["supply_cost", "available_qty"],
+    "supplier": ["account_balance", "supplier_name"],
+    "nation_region": ["region_key"],
+    "raw_customers": ["customer_zip_code_prefix", "customer_unique_id"],
+    "raw_order_items": ["price", "product_id", "seller_id"],
+    "raw_orders": ["order_status", "customer_id"],
+    "raw_payments": ["payment_value", "payment_type"],
+    "raw_products": ["product_weight_g", "product_category_name"],
+}
+CUSTOMER_CHECK = ["customer_name", "customer_address", "nation_key", "customer_phone", "account_balance", "market_segment"]
+SUPPLIER_CHECK = ["supplier_name", "supplier_address", "nation_key", "supplier_phone", "account_balance"]
+FACT_LINEITEM_COLUMNS = [
+    "order_key", "line_number", "part_key", "supplier_key", "customer_key", "ship_date", "commit_date", "receipt_date", "order_date",
+    "quantity", "extended_price", "discount", "tax", "net_revenue", "gross_revenue", "return_flag", "line_status", "ship_mode",
+    "days_late", "order_status", "order_priority", "_loaded_at"
+]
+ORDER_SNAPSHOT_CHECK = ["order_status", "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date"]
+ORDER_SNAPSHOT_COLUMNS = [
+    "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
+    "order_delivered_customer_date", "order_estimated_delivery_date", "actual_delivery_days", "is_late_delivery",
+    "total_payment_value", "total_order_value", "order_date", "order_year", "order_month_num", "_loaded_at"
+]
+META = "_source_file, _source_system, _loaded_at, _load_date, _batch_id"
+SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
+INITCAP_DELIMITERS = '!?@"^#$&~_,.:;+-*%/|\\[](){}<>'
+ORDER_STATUS_LABEL = {"O": "Open", "F": "Fulfilled", "P": "Partially Filled"}
+STATE_REGION = {
+    "SP": "Southeast", "RJ": "Southeast", "MG": "Southeast", "ES": "Southeast", "PR": "South", "SC": "South", "RS": "South",
+    "MT": "Centre-West", "MS": "Centre-West", "GO": "Centre-West", "DF": "Centre-West", "BA": "Northeast", "CE": "Northeast",
+    "MA": "Northeast", "PB": "Northeast", "PE": "Northeast", "PI": "Northeast", "RN": "Northeast", "SE": "Northeast", "AL":
+    "Northeast", "AM": "North", "PA": "North", "RO": "North", "RR": "North", "AC": "North", "AP": "North", "TO": "North"
+}
+TS = {1: "timestamp '2024-01-01 00:00:00'", 2: "timestamp '2024-01-02 00:00:00'"}
+RUN_DATE = {1: "date '2024-01-01'", 2: "date '2024-01-02'"}
+FLOOR = "timestamp '1900-01-01 00:00:00'"
 
 BLOCKS: dict[str, str] = {}
 
@@ -137,19 +198,16 @@ def day_slice(fixture: str, day: int) -> str:
 # ---------------------------------------------------------------- TPC-H ----
 
 def _bronze_blocks() -> None:
-    for t, cols in tpch.BRONZE_COLUMNS.items():
-        keys = tpch.BRONZE_KEYS[t]
-        sel = ", ".join(f"{a} as {b}" for a, b in cols)
+    for t, (sel, keys) in BRONZE.items():
         block(f"brz_{t}_1", f"select {sel}, {TS[1]} as _loaded_at from src_{t} where in_day1")
-        src_keys = {b: a for a, b in cols}
-        cond = " and ".join(f"b.{k} = s.{src_keys[k]}" for k in keys)
+        cond = " and ".join(f"b.{k} = s.{source}" for k, source in keys)
         block(f"brz_{t}_2", f"select * from brz_{t}_1 union all by name select {sel}, {TS[2]} as _loaded_at from src_{t} s "
                             f"where not exists (select 1 from brz_{t}_1 b where {cond})")
 
 
 def _tpch_blocks() -> None:
     _bronze_blocks()
-    T = tpch.TIE_BREAK
+    T = TIE
     silver("scu", bronze_rows("customer"),
            "customer_key is not null and trim(customer_name) != '' and account_balance is not null",
            "customer_key, trim(customer_name) as customer_name, trim(customer_address) as customer_address, nation_key, "
@@ -188,8 +246,8 @@ def _tpch_blocks() -> None:
             f"join brz_region_{d} r on n.region_key = r.region_key)", ["nation_key"], T["nation_region"]))
     block("snr_2", merge("snr_1", "snr_u2", ["nation_key"]))
 
-    scd2("snc", "scu", "customer_key", tpch.CUSTOMER_CHECK, False)
-    scd2("sns", "ssu", "supplier_key", tpch.SUPPLIER_CHECK, False)
+    scd2("snc", "scu", "customer_key", CUSTOMER_CHECK, False)
+    scd2("sns", "ssu", "supplier_key", SUPPLIER_CHECK, False)
 
     for d in (1, 2):
         block(f"dimc_{d}", f"select {sk('sc.customer_key', 'sc.valid_from')} as customer_sk, sc.customer_key, sc.customer_name, "
@@ -206,13 +264,13 @@ def _tpch_blocks() -> None:
                             f"from spa_{d} p left join sps_{d} ps on p.part_key = ps.part_key group by all")
     block("dimp_1", "select * from dimp_u1")
     block("dimp_2", merge("dimp_1", "dimp_u2", ["part_key"]))
-    block("dimd", f"""select date_key, cast(year(date_key) as int) as year, cast(quarter(date_key) as int) as quarter,
+    block("dimd", """select date_key, cast(year(date_key) as int) as year, cast(quarter(date_key) as int) as quarter,
  cast(month(date_key) as int) as month, strftime(date_key, '%b') as month_name, cast(day(date_key) as int) as day,
  strftime(date_key, '%a') as day_name, cast(weekofyear(date_key) as int) as week_of_year
- from (select cast(d as date) as date_key from generate_series(date '{tpch.SPINE_START}', date '{tpch.SPINE_END}' - 1, interval 1 day) g(d))""")
+ from (select cast(d as date) as date_key from generate_series(date '1992-01-01', date '1998-12-31' - 1, interval 1 day) g(d))""")
 
     cols = ", ".join(("o." if c in ("customer_key", "order_date", "order_status", "order_priority") else "li.") + c
-                     for c in tpch.FACT_LINEITEM_COLUMNS)
+                     for c in FACT_LINEITEM_COLUMNS)
     fact_keys = ["order_key", "line_number"]
     block("fli_1", dedup(f"(select {cols} from sli_1 li left join sor_1 o on li.order_key = o.order_key)", fact_keys, T["lineitem"]))
     block("fli_in2", newer("sli_2", "fli_1", True))
@@ -247,11 +305,9 @@ def _tpch_blocks() -> None:
 
 # --------------------------------------------------------------- retail ----
 
-META = ", ".join(retail.META)
-
 
 def _retail_blocks() -> None:
-    T = retail.TIE_BREAK
+    T = {k[4:]: v for k, v in TIE.items() if k.startswith("raw_")}
     state = "upper(trim(customer_state))"
     _retail_stage("rcu", "fx_raw_customers", ["customer_id"], T["customers"], "customer_id is not null",
                   f"customer_id, customer_unique_id, customer_zip_code_prefix, {initcap('trim(customer_city)')} as customer_city, "
@@ -295,7 +351,7 @@ def _retail_blocks() -> None:
  strftime(date_id, '%b') as month_name, cast(quarter(date_id) as int) as quarter, cast(weekofyear(date_id) as int) as week_num,
  cast(dayofweek(date_id) as int) as day_of_week, strftime(date_id, '%a') as day_name, dayofweek(date_id) in (0, 6) as is_weekend,
  cast(date_trunc('month', date_id) as date) as first_day_of_month, cast(date_trunc('quarter', date_id) as date) as first_day_of_quarter
- from (select cast(date '{retail.CALENDAR_START}' + cast(i as int) as date) as date_id from range({retail.CALENDAR_DAYS}) t(i))""")
+ from (select cast(date '2016-01-01' + cast(i as int) as date) as date_id from range(1461) t(i))""")
 
     fct = """select o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp, o.order_approved_at,
  o.order_delivered_carrier_date, o.order_delivered_customer_date, o.order_estimated_delivery_date, o.actual_delivery_days,
@@ -318,10 +374,10 @@ def _retail_blocks() -> None:
     block("rfo_in2", newer("rod_2", "rfo_1", False))
     block("rfo_u2", fct.format(orders="rfo_in2", d=2))
     block("rfo_2", merge("rfo_1", "rfo_u2", ["order_id"]))
-    cols = ", ".join(retail.ORDER_SNAPSHOT_COLUMNS)
+    cols = ", ".join(ORDER_SNAPSHOT_COLUMNS)
     block("rfs_1", f"select {cols} from rfo_1")
     block("rfs_2", f"select {cols} from rfo_2")
-    scd2("rscd", "rfs", "order_id", retail.ORDER_SNAPSHOT_CHECK, True)
+    scd2("rscd", "rfs", "order_id", ORDER_SNAPSHOT_CHECK, True)
 
     block("rkpi", f"""select f.order_year, f.order_month_num, d.month_name, c.customer_state, c.customer_region, p.product_category_name,
  count(distinct f.order_id) as total_orders, count(distinct f.customer_id) as unique_customers,
