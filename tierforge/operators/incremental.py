@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import stored
 from ..sources.tables import MARKS_ATTR, MERGE_ATTR
 
 
@@ -153,9 +153,7 @@ def merge_upsert(
     if target is None:
         return updates
     t, u = _align(updates, target, sync_schema)
-    path = scratch_dir(u.sparkSession, "merge-batch")
-    u.write.parquet(path)
-    u = u.sparkSession.read.schema(u.schema).parquet(path)
+    u = stored(u, "merge-batch")
     on = match or keys
     if check_duplicates:
         check_merge_keys(t, u, on)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
 
 # --- fixed values ------------------------------------------------------------
 LAYERS = ("bronze", "silver", "snapshot", "gold")
@@ -197,6 +198,7 @@ def rows_written(task_events: DataFrame, history: DataFrame) -> DataFrame:
     ok = ev.filter((F.col("status") == "success") & F.col("start_date").isNotNull() & F.col("end_date").isNotNull()).select(
         "event_id", F.lower("model_name").alias("_name"),
         (2 * second(F.col("start_date") - pad) - 1).alias("_before"), (2 * second(F.col("end_date") + pad)).alias("_until"))
+    ok = stored(ok, "runlog-windows")
     micros = F.unix_micros(F.col("end_time").cast("timestamp"))
     at = 2 * F.floor(micros / 1_000_000) + F.when(F.pmod(micros, F.lit(1_000_000)) > 0, 1).otherwise(0)
     span = ok.agg(F.min("_before").alias("low"), F.max("_until").alias("high")).first()
@@ -207,9 +209,10 @@ def rows_written(task_events: DataFrame, history: DataFrame) -> DataFrame:
     pairs = _mentions(queries.select("_text").distinct(), ok.select("_name").distinct())
     points = queries.join(pairs, "_text").select("_name", "_t", "_s", "_c")
     none = [F.lit(0).cast("bigint").alias("_s"), F.lit(0).cast("bigint").alias("_c")]
-    marks = ok.select("_name", F.col("_before").alias("_t")).union(ok.select("_name", "_until")).distinct().select("_name", "_t", *none)
-    times = points.union(marks).groupBy("_name", "_t").agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
-    times = times.withColumn("_m", F.floor(F.col("_t") / 120)).withColumn("_d", F.floor(F.col("_t") / 172_800))
+    ends = F.array(F.struct(F.col("_before").alias("_t"), F.lit(-1).alias("_k")), F.struct(F.col("_until").alias("_t"), F.lit(1).alias("_k")))
+    marks = ok.select("event_id", "_name", F.inline(ends))
+    times = points.union(marks.select("_name", "_t", *none)).groupBy("_name", "_t").agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
+    times = stored(times.withColumn("_m", F.floor(F.col("_t") / 120)).withColumn("_d", F.floor(F.col("_t") / 172_800)), "runlog-times")
 
     def running(df: DataFrame, by: list[str], order: str, upto: int, s: str, c: str) -> DataFrame:
         w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, upto)
@@ -221,9 +224,8 @@ def rows_written(task_events: DataFrame, history: DataFrame) -> DataFrame:
     minutes = running(minutes, ["_name", "_d"], "_m", -1, "_s2", "_c2").drop("_s", "_c")
     times = running(times, ["_name", "_m"], "_t", 0, "_s1", "_c1").join(minutes, ["_name", "_d", "_m"]).join(days, ["_name", "_d"])
     upto = times.select("_name", "_t", (F.col("_s1") + F.col("_s2") + F.col("_s3")).alias("_sum"), (F.col("_c1") + F.col("_c2") + F.col("_c3")).alias("_n"))
-    bound = lambda t, k: upto.select("_name", F.col("_t").alias(t), F.col("_sum").alias(f"_sum{k}"), F.col("_n").alias(f"_n{k}"))
-    rows = ok.join(bound("_before", 0), ["_name", "_before"]).join(bound("_until", 1), ["_name", "_until"])
-    rows = rows.select("event_id", F.when(F.col("_n1") > F.col("_n0"), F.col("_sum1") - F.col("_sum0")).cast("bigint").alias("rows_affected"))
+    rows = marks.join(upto, ["_name", "_t"]).groupBy("event_id").agg(F.sum(F.col("_k") * F.col("_sum")).alias("_sum"), F.sum(F.col("_k") * F.col("_n")).alias("_n"))
+    rows = rows.select("event_id", F.when(F.col("_n") > 0, F.col("_sum")).cast("bigint").alias("rows_affected"))
     return ev.select("event_id", "model_name").join(rows, "event_id", "left")
 
 

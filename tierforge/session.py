@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the models rely on for correct results (not tuning knobs).
 REQUIRED_CONF = {
@@ -25,8 +25,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Dynamic partition overwrite lets a merge rewrite only touched partitions.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -83,3 +81,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unique folder below the checkpoint root."""
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once below the checkpoint root and read back: later uses don't compute it again, and a
+    lost executor costs no more than the running stage."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
