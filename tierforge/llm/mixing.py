@@ -182,9 +182,13 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     one, many = plan.filter("__n = 1 and __copies > 0"), plan.filter("__n > 1")
     same = F.col(doc_id).eqNullSafe(F.col("__id")) & F.col(source).eqNullSafe(F.col("__source")) & (F.col("__rowsize") == F.col("__size"))
     rows = docs.withColumn("__rowsize", size).join(one.union(many), same)
-    order = W.partitionBy("__id", "__source", "__size").orderBy(F.xxhash64(text))
-    single = rows.filter("__n = 1").withColumn("__times", F.col("__copies"))
-    shared = rows.filter("__n > 1").withColumn("__k", F.row_number().over(order)).withColumn(
-        "__times", F.floor(F.col("__copies") / F.col("__n")) + F.when(F.col("__k") <= F.pmod("__copies", "__n"), 1).otherwise(0)).drop("__k")
-    rows = single.select(*docs.columns, "__times").union(shared.select(*docs.columns, "__times"))
-    return rows.filter("__times > 0").withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*docs.columns)
+    single = rows.filter("__n = 1").select(*docs.columns, F.col("__copies").alias("__times"))
+    # Equal rows are one with a count (combined before the shuffle); the rest of the division goes to the first rows.
+    group = [*docs.columns, "__id", "__source", "__size", "__copies", "__n"]
+    shared = rows.filter("__n > 1").groupBy(*group).agg(F.count(F.lit(1)).alias("__m"))
+    order = W.partitionBy("__id", "__source", "__size").orderBy(F.xxhash64(text)).rowsBetween(W.unboundedPreceding, 0)
+    last = F.sum("__m").over(order)
+    rest = F.pmod(F.col("__copies"), F.col("__n"))
+    extra = F.least(last, rest) - F.least(last - F.col("__m"), rest)
+    shared = shared.withColumn("__times", F.col("__m") * F.floor(F.col("__copies") / F.col("__n")) + extra).select(*docs.columns, "__times")
+    return single.union(shared).filter("__times > 0").withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*docs.columns)
