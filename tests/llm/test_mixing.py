@@ -59,16 +59,15 @@ def test_repeated_follows_the_plan(docs, awkward):
         assert got == +plan
 
 
-def test_expectation_of_one_document(shipped):
-    """Over many seeds a document is taken as often as its probability says."""
-    sizes = shipped.createDataFrame([(i, "a" if i < 8 else "b", 3 + i) for i in range(16)], "doc_id long, source string, size long")
-    n, total = 40, collections.Counter()
+def test_expectation_does_not_depend_on_size(shipped):
+    """Short and long documents of a source are taken equally often on average."""
+    sizes = shipped.createDataFrame([(i, "ab"[i % 2], 3 + 40 * (i % 4 // 2)) for i in range(400)], "doc_id long, source string, size long")
+    taken, rate, n = collections.Counter(), {}, 6
     for seed in range(n):
-        for r in M.mixed_sizes(sizes, block=4, seed=1000 + seed).collect():
-            total[r["doc_id"]] += r["copies"]
-            rate = r["target"] / r["source_size"]
-            total[r["doc_id"], "p"] = rate
-    assert all(abs(total[i] / n - total[i, "p"]) < 0.35 for i in range(16))
+        for r in M.mixed_sizes(sizes, block=16, seed=1000 + seed).collect():
+            taken[r["source"], r["size"]] += r["copies"]
+            rate[r["source"]] = r["target"] / r["source_size"]
+    assert all(abs(c / (100 * n) - rate[s]) < 0.1 for (s, _), c in taken.items())
 
 
 def test_native_plan(docs):
