@@ -85,7 +85,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once below the checkpoint root and read back: later uses don't compute it again, and a
-    lost executor costs no more than the running stage."""
+    lost executor costs no more than the running stage. ``stored_at`` of the result is its folder."""
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a ``stored`` table that nothing reads any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
