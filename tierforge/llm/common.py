@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import discard, stored
+
+__all__ = ["connected_components", "discard", "in_fold", "read", "stored"]
 
 
 
@@ -13,22 +15,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below the shared checkpoint folder and read it again: cuts the lineage, so a lost
-    executor costs no more than the running stage, and later uses don't compute it anew."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
-    back.stored_at = path
-    return back
-
-
-def discard(df: DataFrame) -> None:
-    """Delete a ``stored`` table that nothing reads any more."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def in_fold(column: str, folds: int) -> "F.Column":
     """crc32 of the id as text, modulo ``folds`` (a null id: fold 0 of its empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
