@@ -1,12 +1,6 @@
-import os
-import sys
-
 import pytest
 
-
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-from brute import AWKWARD  # noqa: E402
+from .brute import AWKWARD
 
 
 @pytest.fixture(scope="session")

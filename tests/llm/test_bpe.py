@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from brute import AWKWARD
+from .brute import AWKWARD
 
 from tierforge.llm import bpe as B
 

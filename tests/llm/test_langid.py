@@ -1,7 +1,7 @@
 import zlib
 
 import pytest
-from brute import AWKWARD
+from .brute import AWKWARD
 from pyspark.sql import functions as F
 
 from tierforge.llm import langid as L

@@ -1,7 +1,7 @@
 import collections
 
 import pytest
-from brute import AWKWARD, targets, words
+from .brute import AWKWARD, targets, words
 
 from tierforge.llm import mixing as M
 

@@ -1,6 +1,6 @@
 import hashlib
 
-from brute import AWKWARD, pii
+from .brute import AWKWARD, pii
 
 from tierforge.llm import pii as P
 

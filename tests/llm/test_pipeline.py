@@ -6,7 +6,7 @@ import __spark_entry__ as E
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
-from brute import components, fingerprint
+from .brute import components, fingerprint
 
 from tierforge.llm import bpe, mixing, pii, quality
 from tierforge.llm.common import stored

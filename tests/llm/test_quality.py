@@ -1,7 +1,7 @@
 import duckdb
 import numpy as np
 import pyarrow as pa
-from brute import AWKWARD, quality
+from .brute import AWKWARD, quality
 
 from tierforge.llm import quality as Q
 from tierforge.llm.oracles import OP1_QUALITY_RULES

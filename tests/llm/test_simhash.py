@@ -1,6 +1,6 @@
 import random
 
-from brute import AWKWARD, components, fingerprint
+from .brute import AWKWARD, components, fingerprint
 from pyspark.sql import functions as F
 
 from tierforge.llm import simhash as S

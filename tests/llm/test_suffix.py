@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import AWKWARD, repeats
+from .brute import AWKWARD, repeats
 
 from tierforge.llm import suffix as S
 
