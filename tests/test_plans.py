@@ -79,3 +79,21 @@ def test_source_filter_reaches_the_source_scan(spark):
     src = fx.fixture(spark, SF_SMALL, "src_customer").filter("c_nationkey = 3").select("c_custkey")
     p = plan(src)
     assert "EqualTo(c_nationkey,3)" in p and "ReadSchema: struct<c_custkey:bigint,c_nationkey" in p
+
+
+def test_second_day_reads_only_partitions_with_newer_rows(spark, tmp_path):
+    """A model that reads a stored table by mark leaves out the partitions without newer rows, after one run or several."""
+    from tierforge.operators.incremental import lookback, newer_than
+    from tierforge.sources.tables import TableStore
+    store = TableStore(spark, str(tmp_path / "store"), buckets=16)
+    src = spark.range(1000).selectExpr("id as k", "cast('2024-01-01' as timestamp_ntz) as _loaded_at", "date_add(date'2024-01-01', cast(id % 300 as int)) as order_date")
+    store.write("silver", src, keys=["k"])
+    store.write("fact", store.read("silver"), month_of="order_date")
+    for day in (2, 3):
+        upd = src.filter(f"k = {day}").withColumn("_loaded_at", F.expr(f"cast('2024-01-0{day}' as timestamp_ntz)"))
+        store.write("silver", merge_upsert(store.read("silver"), upd, ["k"]))
+    new = newer_than(store.read("silver"), store.read("fact"), "_loaded_at")
+    assert sorted(r.k for r in new.collect()) == [2, 3]
+    assert len({f.split("_p=")[1].split("/")[0] for f in new.inputFiles()}) <= 2
+    late = lookback(store.read("fact"), store.read("fact"), "order_date", 3)
+    assert late.count() == 12 and all("_p=2024-10" in f for f in late.inputFiles())

@@ -12,11 +12,13 @@ check, the key side and the insert side read it.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from ..sources.tables import MARKS_ATTR, MERGE_ATTR
+from ..sources.tables import MARK_COLUMNS, MARKS_ATTR, MERGE_ATTR, TABLE_ATTR
 
 
 class DuplicateMergeKeyError(ValueError):
@@ -63,7 +65,14 @@ def newer_than(src: DataFrame, target: DataFrame | None, col: str = "_loaded_at"
     hw = high_water(target, col, floor)
     if hw is None:
         return src.filter(F.lit(False))
-    return src.filter(F.col(col) > hw.cast(src.schema[col].dataType))
+    mark = _max_text(target, col) or floor
+    return _partitions_since(src, col, mark).filter(F.col(col) > hw.cast(src.schema[col].dataType))
+
+
+def _partitions_since(src: DataFrame, col: str, mark: str, inclusive: bool = False) -> DataFrame:
+    """A frame as read from the table store, without the partitions that hold nothing past ``mark``."""
+    table = getattr(src, TABLE_ATTR, None)
+    return table[0].since(table[1], col, mark, inclusive) if table and col in MARK_COLUMNS else src
 
 
 def lookback(src: DataFrame, target: DataFrame | None, date_col: str, days: int = 3, floor: str = "1900-01-01") -> DataFrame:
@@ -73,8 +82,8 @@ def lookback(src: DataFrame, target: DataFrame | None, date_col: str, days: int
     if target is None:
         return src
     m = _max_text(target, date_col)
-    cutoff = F.date_sub(F.lit(m).cast("date"), days) if m is not None else F.lit(floor).cast("date")
-    return src.filter(F.col(date_col) >= cutoff)
+    cutoff = date.fromisoformat(m[:10]) - timedelta(days) if m is not None else date.fromisoformat(floor)
+    return _partitions_since(src, date_col, cutoff.isoformat(), inclusive=True).filter(F.col(date_col) >= F.lit(cutoff))
 
 
 def append_new(src: DataFrame, target: DataFrame | None, keys: list[str]) -> DataFrame:

@@ -128,6 +128,18 @@ class TableStore:
         setattr(df, TABLE_ATTR, (self, name))
         return df
 
+    def since(self, name: str, column: str, mark: str, inclusive: bool = False) -> DataFrame:
+        """The table without the partitions whose recorded greatest ``column`` is not past ``mark`` (text): what a
+        filter ``column > mark`` (``>=`` if ``inclusive``) needs to read, however many runs were missed."""
+        state = self.state(name)
+        kind = T.StructType.fromJson(state["schema"])[column].dataType
+
+        def past(p: str) -> bool:
+            top = state["parts"][p]["marks"].get(column)
+            return top is not None and (_later([top, mark], kind) != mark or inclusive and _later([top], kind) == mark)
+
+        return self._frame(state, self._folders(name, state, {p for p in state["parts"] if past(p)}))
+
     def delta(self, name: str) -> DataFrame | None:
         """The rows that the last write put in: a merge's updates, an append's rows, or the whole table after a replacement."""
         state = self.state(name)
