@@ -35,4 +35,66 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM based
 """
 
-ORACLES: dict[str, str] = {"op1_quality_rules": OP1_QUALITY_RULES}
+OP2_PII = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), kinds(kind, name, pat) AS (
+  VALUES (0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'), (1, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+         (2, 'card', '[0-9]([\x20-]?[0-9])+'), (3, 'phone', '\+[0-9][\x20().0-9-]+[0-9]')
+), hits AS (
+  SELECT r, kind, name, regexp_extract_all(t, pat) AS ms, string_split_regex(t, pat) AS gaps FROM docs, kinds WHERE regexp_matches(t, pat)
+), each AS (
+  SELECT r, kind, name, i, gaps[i] AS gap, ms[i] AS v FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM hits)
+), placed AS (
+  SELECT r, kind, name, v, sum(length(gap) + length(v)) OVER (PARTITION BY r, kind ORDER BY i) AS e, regexp_replace(v, '[^0-9]', '', 'g') AS d FROM each
+), base AS (
+  SELECT r, kind, name, v, d, (e - length(v))::BIGINT AS s, e::BIGINT AS e FROM placed
+  WHERE CASE kind
+    WHEN 0 THEN true
+    WHEN 1 THEN len(list_filter(string_split(v, '.'), lambda x: length(ltrim(x, '0')) > 3 OR try_cast(ltrim(x, '0') AS INTEGER) > 255)) = 0
+    WHEN 2 THEN length(d) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, length(d) + 1), lambda i:
+      CASE WHEN i % 2 = 1 THEN d[length(d) + 1 - i]::INTEGER WHEN d[length(d) + 1 - i]::INTEGER > 4 THEN 2 * d[length(d) + 1 - i]::INTEGER - 9
+           ELSE 2 * d[length(d) + 1 - i]::INTEGER END)) % 10 = 0
+    ELSE length(d) BETWEEN 10 AND 15 END
+), mentions AS (
+  SELECT row_number() OVER () AS m, r, name || ':' || CASE kind WHEN 0 THEN lower(v) WHEN 1 THEN v ELSE d END AS entity, e AS high, greatest(s - 100, 0) AS low0,
+         substr(t, greatest(s - 100, 0) + 1, s - greatest(s - 100, 0)) AS left0,
+         CASE WHEN e + 100 < length(t) THEN regexp_replace(substr(t, e + 1, 100), '\p{L}+$', '') ELSE substr(t, e + 1, 100) END AS rgt
+  FROM base JOIN docs USING (r)
+), cut AS (
+  SELECT *, CASE WHEN low0 > 0 THEN length(regexp_extract(left0, '^\p{L}+')) ELSE 0 END AS c FROM mentions
+), chunks AS (
+  SELECT m, r, entity, low0 + c AS origin, substr(left0, c + 1) AS chunk, substr(left0, c + 1) AS lft, rgt FROM cut
+  UNION ALL SELECT m, r, entity, high, rgt, substr(left0, c + 1), rgt FROM cut
+), parts AS (
+  SELECT *, unnest(range(1, len(ms) + 1)) AS i
+  FROM (SELECT row_number() OVER () AS k, *, regexp_extract_all(chunk, '\p{L}{4,}') AS ms, string_split_regex(chunk, '\p{L}{4,}') AS gaps FROM chunks)
+), terms AS (
+  SELECT r, entity, lft, rgt, lower(ms[i]) AS term, length(ms[i]) AS n, origin + sum(length(gaps[i]) + length(ms[i])) OVER (PARTITION BY k ORDER BY i) AS e FROM parts
+), near AS (
+  SELECT r, entity, lft, rgt, term, (e - n)::BIGINT AS s, e::BIGINT AS e FROM terms
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = terms.r AND b.s < terms.e AND b.e > terms.e - terms.n)
+), pairs AS (
+  SELECT entity, term, count(DISTINCT r) AS both_n FROM near GROUP BY entity, term HAVING count(DISTINCT (lft, rgt)) >= 3
+), entities AS (
+  SELECT entity, count(DISTINCT r) AS e_n FROM mentions GROUP BY entity
+), words AS (
+  SELECT term, count(*) AS t_n FROM (SELECT r, unnest(list_distinct(list_transform(regexp_extract_all(t, '\p{L}{4,}'), lambda x: lower(x)))) AS term FROM docs) GROUP BY term
+), strong AS (
+  SELECT entity, term FROM pairs JOIN entities USING (entity) JOIN words USING (term), (SELECT greatest(1, count(*))::DOUBLE AS n FROM docs)
+  WHERE e_n < n AND log2(both_n * n / (e_n * t_n)) / log2(n / e_n) >= 0.9
+), found AS (
+  SELECT r, kind, name, s, e FROM base UNION ALL SELECT DISTINCT r, 4, 'term', s, e FROM near JOIN strong USING (entity, term)
+), summed AS (
+  SELECT r, string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind, e) AS spans,
+         coalesce(string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind, e) FILTER (kind < 4), '') AS base_spans,
+         count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip, count(*) FILTER (kind = 2) AS n_card,
+         count(*) FILTER (kind = 3) AS n_phone, count(*) FILTER (kind = 4) AS n_term
+  FROM found GROUP BY r
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_term, 0) AS n_term
+FROM docs LEFT JOIN summed USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op1_quality_rules": OP1_QUALITY_RULES, "op2_pii": OP2_PII}
