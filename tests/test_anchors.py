@@ -41,3 +41,16 @@ def test_fixture_anchors(spark):
     assert (deleted, changed, j.count() - changed) == (14, 29, 107)
     st = {r.status: r["count"] for r in fx.fixture(spark, SF_SMALL, "fx_run_results").groupBy("status").count().collect()}
     assert (st["error"], st["pass"], st["skipped"], st["success"]) == (201, 210, 199, 390)
+
+
+def test_large_sums_keep_their_cents(spark):
+    """Stored marts hold exact decimals, also above 2**53 cents."""
+    import datetime as dt
+    from decimal import Decimal
+
+    from tierforge.plans import tpch
+
+    big = Decimal("90071992547409.93")
+    fact = spark.createDataFrame([(7, big, 1, i) for i in range(3)], "supplier_key long, net_revenue decimal(18,2), days_late int, k int").withColumn("d", tpch.F.lit(dt.date(2024, 1, 1)))
+    sup = spark.createDataFrame([(7, "S", "N", "R", True)], "supplier_key long, supplier_name string, nation_name string, region_name string, is_current boolean")
+    assert tpch.mart_supplier_performance(fact, sup).first()["net_revenue"] == 3 * big

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_dir
+from ..session import discard, scratch_dir
 
 PART = "_p"
 MARK_COLUMNS = ("_loaded_at", "order_date")  # stamps of the high-water and look-back filters
@@ -191,8 +191,8 @@ class TableStore:
         """Commit ``df`` as the table's next version.
 
         ``keys`` or ``month_of`` set the layout of a first write (later ones keep it). The result of a merge
-        into this table rewrites the touched partitions only. ``batch`` names a source batch: one that the
-        table already holds is skipped.
+        into this table rewrites the touched partitions only; its staged batch is deleted then, so use the returned
+        frame from here on. ``batch`` names a source batch: one that the table already holds is skipped.
         """
         old = self.state(name)
         if old and batch is not None and batch in old["batches"]:
@@ -210,6 +210,8 @@ class TableStore:
             state = {"parts": {p: {**s, "in": [number]} for p, s in got.items()}, "delta": False}
             self.rows_written[name] = sum(s["rows"] for s in got.values())
         self._finish(name, old, state, number, layout, df.schema, batch)
+        if state["delta"] and hasattr(merge[1], "stored_at"):
+            discard(merge[1])  # the batch that the merge had staged; the delta holds it now
         return self.read(name)
 
     def _merge(self, name: str, old: dict, number: int, schema: T.StructType, updates: DataFrame, keys: list[str], match: list[str] | None) -> dict:
