@@ -81,3 +81,16 @@ def test_against_sql(shipped, awkward, docs):
         want = duckdb.connect().execute(OP2_PII).fetchall()
         got = P.report(table).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term").collect()
         assert sorted(str((int(w[0]) if w[0] == w[0] and w[0] is not None else None, *w[1:])) for w in want) == sorted(str(tuple(r)) for r in got)
+
+
+def test_far_terms_are_found_and_removed(shipped):
+    """The name stands far from the address, and again in a document where both are apart."""
+    fill = " ".join(f"filler{'abcdefgh'[i % 8]} words about matters" for i in range(20))
+    rows = [(i, f"Zebulonius heads entry {i}. {fill} {i} mail zeb@mail.org now {i}. {fill} Signed Zebulonius") for i in range(6)]
+    rows += [(100 + i, f"entry {i} {fill} mail other{i}@mail.org") for i in range(60)] + [(300 + i, f"plain {fill} {i}") for i in range(200)]
+    table = shipped.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in P.report(table).collect()}
+    second = rows[0][1].rindex("Zebulonius")
+    assert got[0]["n_term"] >= 2 and {"term:0:10", f"term:{second}:{second + 10}"} <= set(got[0]["spans"].split(","))
+    assert all(got[100 + i]["n_term"] == 0 for i in range(60))
+    assert all("Zebulonius" not in r["text"] for r in P.sanitised(table).collect())

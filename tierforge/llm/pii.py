@@ -3,9 +3,10 @@
 Emails, IP addresses, card and phone numbers are protected entities. A term (a run of ``TERM_LETTERS`` letters
 or more) discloses an entity as far as knowing the term removes the uncertainty about it: the pointwise mutual
 information of entity and term, estimated from their document frequencies over the whole corpus, against the
-entity's own information content ``log2(D / df(entity))``. Terms within ``WINDOW`` characters of a mention whose
-share reaches ``GENERALISE`` are generalised, those that reach ``REMOVE`` are removed. A pair counts only with
-``SUPPORT`` different contexts (copies of one passage are one observation).
+entity's own information content ``log2(D / df(entity))``. Both stand in the same document, however far apart.
+In every document that holds the entity, every occurrence of a term whose share reaches ``GENERALISE`` is
+generalised, of one that reaches ``REMOVE`` removed. A pair counts only with ``SUPPORT`` different contexts of the
+mentions, ``WINDOW`` characters on either side (copies of one passage are one observation).
 
 The patterns are possessive forms of the plain ones: the classes next to each other are disjoint, so nothing that
 the plain pattern matches is lost, and a scan stays linear in the text. Positions are code points: the lengths
@@ -14,7 +15,7 @@ of what lies between the matches, and of the matches, summed up.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -33,6 +34,8 @@ SUPPORT = 3  # different contexts
 GENERALISE = 0.9
 REMOVE = 0.97
 _LETTERS = r"\p{L}{4,}"
+_MASK = "\ufdd0"  # stands for a letter of a span; no character
+_FREE = rf"(?<![\p{{L}}{_MASK}])\p{{L}}{{4,}}+(?!{_MASK})"  # a term that reaches into no span
 
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
 MATCH = "struct<start:bigint,end:bigint,value:string>"
@@ -95,15 +98,23 @@ def _written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(name, s["kind"] + 1), s["start"], s["end"])), ",")
 
 
-def _terms(chunk: Column, origin: Column) -> Column:
-    """Terms of a piece of text with their positions in the whole."""
-    return F.transform(_matches(chunk, _LETTERS), lambda m: F.struct(
-        F.lower(m["value"]).alias("term"), (m["start"] + origin).alias("start"), (m["end"] + origin).alias("end")))
+def _plain(text: Column, spans: Column) -> Column:
+    """The text at its length, spans blanked; their letters are masked, so that a run that goes on into one is known."""
+
+    def blank(state: Column, s: Column) -> Column:
+        low = F.greatest(s["start"], state["pos"])
+        before = F.substring(text, (state["pos"] + 1).cast("int"), (low - state["pos"]).cast("int"))
+        inside = F.substring(text, (low + 1).cast("int"), F.greatest(s["end"] - low, F.lit(0)).cast("int"))
+        inside = F.regexp_replace(F.regexp_replace(inside, r"\p{L}", _MASK), f"(?s)[^{_MASK}]", " ")
+        return F.struct(F.greatest(state["pos"], s["end"]).alias("pos"), F.concat(state["out"], F.array(F.when(s["end"] > state["pos"], F.concat(before, inside)).otherwise(""))).alias("out"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("pos"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(spans, start, blank, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, (s["pos"] + 1).cast("int"), F.length(text))))
 
 
 def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One stored row for each row of ``docs``: a row number, doc_id, the text's hash, the base spans and the
-    mentions with what stands around them."""
+    """One stored row for each row of ``docs``: a row number, doc_id, the text's hash, the base spans, the
+    mentions with what stands around them and, if there are any, the text without its spans."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select("doc_id", "text", *[m.alias(k) for k, m in base_matches(F.col("text")).items()])
     of_kind = lambda i: lambda m: F.struct(m["start"].alias("start"), F.lit(i).alias("kind"), m["end"].alias("end"))
@@ -119,45 +130,53 @@ def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             cut = F.when(low > 0, F.length(F.regexp_extract(left, r"^\p{L}+", 0))).otherwise(0)
             left = F.substring(left, (cut + 1).cast("int"), F.lit(WINDOW))
             right = F.when(m["end"] + WINDOW < size, F.regexp_replace(right, r"\p{L}++$", "")).otherwise(right)
-            return F.struct(_entity(kind, m["value"]).alias("entity"), left.alias("left"), (low + cut).alias("low"), right.alias("right"), m["end"].alias("high"))
+            return F.struct(_entity(kind, m["value"]).alias("entity"), F.xxhash64(left, right).alias("context"))
         return make
 
     mentions = F.concat(*[F.transform(k, around(k)) for k in KINDS])
-    rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.array_sort(spans).cast(f"array<{SPAN}>").alias("spans"), mentions.alias("mentions"),
+    rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.array_sort(spans).cast(f"array<{SPAN}>").alias("spans"), mentions.alias("mentions"), "text",
                        *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS])
-    return stored(rows.withColumn("row", F.monotonically_increasing_id()), "pii-spans")
+    plain = F.when(F.size("spans") > 0, _plain(F.col("text"), F.col("spans")))
+    return stored(rows.withColumn("plain", plain).drop("text").withColumn("row", F.monotonically_increasing_id()), "pii-spans")
 
 
 def disclosing_spans(found: DataFrame, docs: DataFrame, text: str = "text", support: int = SUPPORT, generalise: float = GENERALISE,
                      remove: float = REMOVE) -> DataFrame:
-    """(row, start, end, share) of the terms in the mentions' contexts that disclose their entity."""
-    mention = found.select("row", "spans", F.explode("mentions").alias("m")).select(
-        "row", "spans", "m.entity", F.xxhash64("m.left", "m.right").alias("context"),
-        F.explode(F.concat(_terms(F.col("m.left"), F.col("m.low")), _terms(F.col("m.right"), F.col("m.high")))).alias("t"),
-    ).filter(~F.exists("spans", lambda s: (s["start"] < F.col("t.end")) & (s["end"] > F.col("t.start"))))
-    near = stored(mention.select("row", "entity", "context", "t.term", "t.start", "t.end"), "pii-contexts")
-    pair = near.groupBy("entity", "term").agg(F.count_distinct("row").alias("df_both"), F.count_distinct("context").alias("contexts"))
+    """(row, start, end, share) of all occurrences of the terms that disclose an entity of their row."""
+    rows = found.count()
+    n = F.lit(float(max(1, rows)))
+    mention = found.select("row", F.explode("mentions").alias("m")).select("row", "m.entity", "m.context")
+    # an entity with too few contexts has no pair with enough
+    entities = mention.groupBy("entity").agg(F.count_distinct("row").alias("df_entity"), F.count_distinct("context").alias("contexts"))
+    entities = stored(entities.filter((F.col("contexts") >= support) & (F.col("df_entity") < n)).drop("contexts"), "pii-entities")
+    held = stored(mention.distinct().join(entities.select("entity"), "entity"), "pii-mentions")
+    words = found.join(held.select("row").distinct(), "row", "left_semi")
+    words = words.select("row", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("plain", F.lit(_FREE), F.lit(0)), F.lower))).alias("term"))
+    pair = held.join(words, "row").groupBy("entity", "term").agg(F.count_distinct("row").alias("df_both"), F.count_distinct("context").alias("contexts"))
     pair = stored(pair.filter(F.col("contexts") >= support), "pii-pairs")
-    entities = (
-        found.select("row", F.explode("mentions.entity").alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
-    )
     every = docs.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(_LETTERS), F.lit(0)), F.lower))).alias("term"))
     terms = every.groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
-    n = F.lit(float(max(1, found.count())))
     strong = (
         pair.join(entities, "entity").join(terms, "term")
         .withColumn("pmi", F.log2(F.col("df_both") * n / (F.col("df_entity") * F.col("df_term"))))
         .withColumn("share", F.col("pmi") / F.log2(n / F.col("df_entity")))
-        .filter((F.col("df_entity") < n) & (F.col("share") >= generalise)).select("entity", "term", "share")
+        .filter(F.col("share") >= generalise).select("entity", "term", "share")
     )
-    return near.join(strong, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
+    hit = held.select("row", "entity").distinct().join(strong, "entity").groupBy("row", "term").agg(F.max("share").alias("share"))
+    hit = stored(hit, "pii-hits")
+    gaps = F.transform(F.split("plain", _FREE, -1), F.length)
+    placed = found.join(hit.select("row").distinct(), "row", "left_semi").select(
+        "row", F.posexplode(F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all("plain", F.lit(_FREE), F.lit(0)).alias("m"))).alias("i", "t"))
+    end = F.sum(F.col("t.gap") + F.length("t.m")).over(Window.partitionBy("row").orderBy("i"))
+    placed = placed.filter("t.m is not null").select("row", F.lower("t.m").alias("term"), (end - F.length("t.m")).alias("start"), end.alias("end"))
+    return placed.join(hit, ["row", "term"]).select("row", "start", "end", "share")
 
 
 def all_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **thresholds) -> DataFrame:
     """One row for each row of ``docs``: doc_id, text_hash, the base spans, the terms' (start, end, share) and the base counts."""
     found = found_spans(docs, doc_id, text)
     terms = disclosing_spans(found, docs, text, **thresholds).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
-    return found.drop("mentions").join(terms, "row", "left").withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start:bigint,end:bigint,share:double>>")))
+    return found.drop("mentions", "plain").join(terms, "row", "left").withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start:bigint,end:bigint,share:double>>")))
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **thresholds) -> DataFrame:
