@@ -49,3 +49,13 @@ def test_nothing_learned(awkward):
 def test_empty_table(awkward, model):
     assert L.predicted(awkward.filter("false"), model).collect() == []
     assert L.identified(awkward.filter("false"), in_fold("doc_id", 5) == 0).collect() == []
+
+
+def test_sets_of_all_languages(shipped, model):
+    docs = shipped.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) > 2000").orderBy("doc_id").collect()
+    assert len(model.langs) == 4
+    parts = [next(r["text"] for r in docs if r["lang"] == x)[:600] for x in model.langs]
+    table = shipped.createDataFrame([(1, " ".join(parts)), (2, " ".join(parts[:3])), (3, parts[0])], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in L.predicted(table, model).collect()}
+    found = {i: {x.split(":")[0] for x in r["langs"].split(",")} for i, r in rows.items()}
+    assert found == {1: set(model.langs), 2: set(model.langs[:3]), 3: {model.langs[0]}} and rows[1]["score"] < 0.4

@@ -4,6 +4,7 @@ Each language has a multinomial over hashed letter 4-grams (bytes), learned from
 learning. A document is a mixture: expectation-maximisation finds the languages' proportions from its
 4-grams' likelihoods. The languages are then put in the order of their proportions, and of the sets of the
 first one, two, ... the one with the largest likelihood less a penalty per language is taken and fitted again.
+Sets grow, up to all languages, until the penalty outweighs all that any further language could still add.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from .text import steps, utf8
 GRAM_BITS = 16  # hash buckets of the 4-grams, fewer beyond CELLS / 2**GRAM_BITS languages
 CELLS = 1 << 22  # bound of buckets x languages, and so of what is broadcast (32 MB)
 ROUNDS = 10
-MOST = 3  # languages of a set that are looked at
 PENALTY = 4.0  # times half the logarithm of the number of 4-grams, per further language
 SMOOTH = 0.5
 UNKNOWN = "und"
@@ -96,19 +96,29 @@ class Model:
             likely = np.log(np.einsum("ij,ij->i", chance, np.repeat(share.astype(np.float32), size, axis=0)))
             return share, np.add.reduceat(times * likely, begin).astype(np.float64)
 
-        every, _ = fit(np.full((len(begin), k), 1 / k), ROUNDS)
+        every, likely = fit(np.full((len(begin), k), 1 / k), ROUNDS)
+        # no set's likelihood is larger: the mixtures' likelihood is concave, and this is the most that its slope allows
+        part = chance * (times / np.einsum("ij,ij->i", chance, np.repeat(every.astype(np.float32), size, axis=0)))[:, None]
+        most = likely + total * np.log((np.add.reduceat(part, begin, axis=0) / total[:, None]).max(axis=1))
+        penalty = PENALTY * 0.5 * np.log(np.maximum(total, 2))
         rank = np.argsort(np.argsort(-every, axis=1, kind="stable"), axis=1)
-        best, value = None, None
-        for m in range(1, min(MOST, k) + 1):
+        best, value = np.zeros((len(begin), k)), np.full(len(begin), -np.inf)
+        where, places = doc[begin], np.arange(len(begin))
+        for m in range(1, k + 1):
+            left = most - (m - 1) * penalty > value[places]
+            if not left.any():
+                break
+            if not left.all():  # the others are settled
+                cells = np.repeat(left, size)
+                chance, times, every, rank, total, most, penalty, places, size = (
+                    chance[cells], times[cells], every[left], rank[left], total[left], most[left], penalty[left], places[left], size[left])
+                begin = np.cumsum(size) - size
             start = np.where(rank < m, np.maximum(every, 1e-6), 0.0)
             share, likely = fit(start / start.sum(axis=1, keepdims=True), 0 if m == 1 else 3)
-            likely = likely - (m - 1) * PENALTY * 0.5 * np.log(np.maximum(total, 2))
-            if best is None:
-                best, value = share, likely
-            else:
-                more = likely > value
-                best[more], value[more] = share[more], likely[more]
-        out[doc[begin]] = best
+            likely = likely - (m - 1) * penalty
+            more = likely > value[places]
+            best[places[more]], value[places[more]] = share[more], likely[more]
+        out[where] = best
         return out
 
 
