@@ -97,4 +97,42 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM docs LEFT JOIN summed USING (r)
 """
 
-ORACLES: dict[str, str] = {"op1_quality_rules": OP1_QUALITY_RULES, "op2_pii": OP2_PII}
+OP13_FILTER_AUDIT = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), lows AS (
+  SELECT t, min(doc_id) AS low FROM texts GROUP BY t
+), good AS (
+  SELECT DISTINCT doc_id FROM labels WHERE quality = 1
+), toxic AS (
+  SELECT DISTINCT doc_id FROM labels WHERE toxic = 1
+), marked AS (
+  SELECT part, good.doc_id IS NOT NULL AS is_good, toxic.doc_id IS NOT NULL AS is_toxic, MAP {
+    'A': len(w) < 100, 'B': 100 * len(list_distinct(w)) < 80 * len(w),
+    'C': 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t),
+    'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(low < doc_id, false)} AS fails
+  FROM texts JOIN lows USING (t) LEFT JOIN good USING (doc_id) LEFT JOIN toxic USING (doc_id)
+), letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), groups AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (is_good) AS good, count(*) FILTER (is_toxic) AS toxic FROM marked GROUP BY part, fails
+), steps AS (
+  SELECT part, filter_order, step, filter_order[step] AS f, n, good, toxic, fails[filter_order[step]] AS hit,
+         len(list_filter(string_split(filter_order[1:step - 1], ''), lambda y: y <> '' AND fails[y])) > 0 AS gone,
+         len(list_filter(map_values(fails), lambda v: v)) AS n_failed
+  FROM groups, orders, (SELECT unnest(range(1, 6)) AS step)
+), counted AS (
+  SELECT part, filter_order, step::INTEGER AS step, f,
+         coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (hit AND n_failed = 1), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM steps GROUP BY part, filter_order, step, f
+)
+SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM counted
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": OP1_QUALITY_RULES, "op2_pii": OP2_PII, "op13_filter_audit": OP13_FILTER_AUDIT,
+}
