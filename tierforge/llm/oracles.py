@@ -97,6 +97,101 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM docs LEFT JOIN summed USING (r)
 """
 
+
+
+def _above(z: str) -> str:
+    """SQL for the chance of a standard normal value above ``z``."""
+    x = f"(abs({z}) / sqrt(2))"
+    t = f"(1 / (1 + 0.5 * {x}))"
+    # fixed values: Chebyshev fit of the complementary error function
+    poly = "-1.26551223"
+    for i, c in enumerate((1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277)):
+        poly += f" + {t} * ({c}"
+    half = f"(0.5 * {t} * exp({poly}{')' * (i + 1)} - {x} * {x}))"
+    return f"(CASE WHEN {z} >= 0 THEN {half} ELSE 1 - {half} END)"
+
+
+OP11_SECRET_SCAN = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), kinds(kind, name, pat) AS (
+  VALUES (0, 'assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+         (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]+'), (3, 'random', '[A-Za-z0-9+/_-]{{16,}}={{0,2}}')
+), hits AS (
+  SELECT r, kind, name, pat, regexp_extract_all(t, pat) AS ms, string_split_regex(t, pat) AS gaps FROM docs, kinds WHERE regexp_matches(t, pat)
+), each AS (
+  SELECT r, kind, name, pat, i, gaps[i] AS gap, ms[i] AS v FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM hits)
+), placed AS (
+  SELECT r, kind, name, pat, v, sum(length(gap) + length(v)) OVER (PARTITION BY r, kind ORDER BY i) AS e FROM each
+), spans AS (
+  SELECT r, kind, name, v, (e - length(v))::BIGINT AS s, e::BIGINT AS e FROM placed
+  WHERE CASE kind WHEN 0 THEN length(regexp_extract(v, pat, 2)) >= 8 WHEN 1 THEN length(v) >= 16 WHEN 2 THEN length(v) >= 32 ELSE true END
+), sets(size, encoding, symbols) AS (
+  SELECT row_number() OVER (), a, b FROM (VALUES
+    ('decimal', '0123456789'), ('hex', '0123456789abcdef'), ('HEX', '0123456789ABCDEF'), ('lower', 'abcdefghijklmnopqrstuvwxyz'),
+    ('upper', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), ('base32', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'), ('base36', '0123456789abcdefghijklmnopqrstuvwxyz'),
+    ('BASE36', '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ'), ('letters', 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'),
+    ('base62', '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'),
+    ('base64', 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/'),
+    ('base64url', 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_'),
+    ('mixed', 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_')) x(a, b)
+), letters AS (
+  SELECT c, count(*)::DOUBLE AS m FROM (SELECT unnest(string_split(t, '')) AS c FROM docs) WHERE regexp_full_match(c, '[A-Za-z0-9+/_-]') GROUP BY c
+), cased AS (
+  SELECT c, m, false AS folded FROM letters UNION ALL SELECT lower(c), sum(m), true FROM letters GROUP BY lower(c)
+), moments AS (
+  SELECT encoding, coalesce(sum(m * m) / (sum(m) * sum(m)), 1) AS two, coalesce(sum(m * m * m) / pow(sum(m), 3), 1) AS three
+  FROM sets LEFT JOIN cased ON folded = (symbols IN (lower(symbols), upper(symbols))) AND contains(CASE WHEN folded THEN lower(symbols) ELSE symbols END, c)
+  GROUP BY encoding
+), tokens AS (
+  SELECT v, regexp_replace(v, '=+$', '') AS s FROM (SELECT DISTINCT v FROM spans WHERE kind = 3)
+), coded AS (
+  SELECT v, s, arg_min(encoding, size) AS encoding, arg_min(symbols, size) AS symbols
+  FROM tokens, sets WHERE translate(s, symbols, '') = '' GROUP BY v, s
+), halved AS (
+  SELECT *, length(s)::DOUBLE AS n, length(symbols)::DOUBLE AS k, list_transform(string_split(s, ''), lambda c: instr(symbols, c)) AS places,
+         translate(s, symbols, repeat('0', length(symbols) // 2) || repeat('1', length(symbols) - length(symbols) // 2)) AS side
+  FROM coded
+), counted AS (
+  SELECT v, encoding, n, k, list_sum(list_transform(string_split(symbols, ''), lambda c: (length(s) - length(replace(s, c, ''))) ** 2))::DOUBLE AS squares,
+         (n - length(replace(side, '01', ''))) / 2 + (n - length(replace(side, '10', ''))) / 2 AS turns, length(replace(side, '0', ''))::DOUBLE AS ones,
+         list_sum(places)::DOUBLE AS total, list_sum(list_transform(places, lambda x: x * x))::DOUBLE AS own,
+         list_sum(list_transform(range(1, len(places) + 1), lambda i: places[i] * places[i % len(places) + 1]))::DOUBLE AS nxt
+  FROM halved
+), varied AS (
+  SELECT *, 2 * ones * (n - ones) / n + 1 AS mean, n * own - total * total AS size, n * (n - 1) / 2 AS pairs,
+         n * (n - 1) / 2 * (two - two * two) + n * (n - 1) * (n - 2) * (three - two * two) AS spread
+  FROM counted JOIN moments USING (encoding)
+), scored AS (
+  SELECT *, (pow((k * squares / n - n) / (k - 1), 1 / 3.0::DOUBLE) - (1 - 2 / (9 * (k - 1)))) / sqrt(2 / (9 * (k - 1))) AS z_even,
+         CASE WHEN (mean - 1) * (mean - 2) > 0 THEN abs(1 + turns - mean) / sqrt((mean - 1) * (mean - 2) / (n - 1)) END AS z_runs,
+         CASE WHEN size > 0 THEN abs((n * nxt - total * total) / size + 1 / (n - 1)) / sqrt(n * n / ((n - 1) * (n - 1) * (n - 2))) END AS z_serial,
+         CASE WHEN spread > 0 THEN -((squares - n) / 2 - pairs * two) / sqrt(spread) END AS z_text
+  FROM varied
+), tested AS (
+  SELECT v, length(bin(n::BIGINT)) AS class, least(floor(-100 * log10(greatest(CASE
+      WHEN {_above("z_even")} >= 0.001 / 3 AND coalesce(2 * {_above("z_runs")}, 0) >= 0.001 / 3 AND coalesce(2 * {_above("z_serial")}, 0) >= 0.001 / 3
+      THEN coalesce({_above("z_text")}, 1) ELSE 1 END, 1e-300))), 30000) AS place
+  FROM scored
+), ranked AS (
+  SELECT class, place, count(*) OVER (PARTITION BY class) AS m, count(*) OVER (PARTITION BY class ORDER BY place DESC RANGE UNBOUNDED PRECEDING) AS as_small FROM tested
+), cuts AS (
+  SELECT class, min(place) AS cut FROM ranked WHERE pow(10, -place / 100.0::DOUBLE) <= 0.01 * as_small / m GROUP BY class
+), strange AS (
+  SELECT v FROM tested JOIN cuts USING (class) WHERE place >= cut
+), found AS (
+  SELECT r, kind, name, s, e FROM spans WHERE kind < 3 OR v IN (SELECT v FROM strange)
+), summed AS (
+  SELECT r, string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind) AS spans,
+         string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind) FILTER (kind < 3) AS base,
+         count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex, count(*) FILTER (kind = 3) AS n_random
+  FROM found GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, coalesce(n_random, 0) AS n_random,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN summed USING (r)
+"""
+
 OP13_FILTER_AUDIT = r"""
 WITH texts AS (
   SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -134,5 +229,5 @@ SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shaple
 """
 
 ORACLES: dict[str, str] = {
-    "op1_quality_rules": OP1_QUALITY_RULES, "op2_pii": OP2_PII, "op13_filter_audit": OP13_FILTER_AUDIT,
+    "op1_quality_rules": OP1_QUALITY_RULES, "op2_pii": OP2_PII, "op11_secret_scan": OP11_SECRET_SCAN, "op13_filter_audit": OP13_FILTER_AUDIT,
 }

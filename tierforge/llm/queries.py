@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, audit, bpe, katz, kneser_ney, langid, mixing, pii, quality, simhash, suffix
+from . import ann, audit, bpe, katz, kneser_ney, langid, mixing, pii, quality, secret_scan, simhash, suffix
 from .common import in_fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,10 @@ def op10_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.scores(read(ship(spark), sf_dir, "documents"), held_out=in_fold("doc_id", 7) == 2)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(read(ship(spark), sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audited(read(ship(spark), sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -90,5 +94,6 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_katz_scoring": op10_katz_scoring,
+    "op11_secret_scan": op11_secret_scan,
     "op13_filter_audit": op13_filter_audit,
 }
