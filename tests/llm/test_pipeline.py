@@ -48,7 +48,7 @@ def test_run_equals_stages(shipped):
 
 def test_registry(shipped):
     names = [n for n in E.queries() if n.startswith("op")]
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] and "pipeline" in E.queries()
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] and "pipeline" in E.queries()
 
 
 def test_awkward_documents(shipped, awkward):

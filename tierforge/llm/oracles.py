@@ -192,6 +192,32 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN summed USING (r)
 """
 
+OP12_LEXICAL_SEARCH = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), items AS (
+  SELECT row_number() OVER () AS q, item_id,
+         list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS words
+  FROM benchmark
+), totals AS (
+  SELECT count(*) FILTER (len(words) > 0)::BIGINT AS n_all, sum(len(words))::BIGINT AS n_terms FROM docs
+), tfs AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(words) AS term FROM docs) GROUP BY r, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * n_all + 2) / (2.0::DOUBLE * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), totals
+), scores AS (
+  SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * len(docs.words) * n_all) // n_terms)))))::BIGINT AS score
+  FROM (SELECT q, item_id, unnest(words) AS term FROM items) JOIN tfs USING (term) JOIN weights USING (term) JOIN docs USING (r), totals
+  GROUP BY q, item_id, r, doc_id
+), placed AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
+"""
+
 OP13_FILTER_AUDIT = r"""
 WITH texts AS (
   SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -229,5 +255,6 @@ SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shaple
 """
 
 ORACLES: dict[str, str] = {
-    "op1_quality_rules": OP1_QUALITY_RULES, "op2_pii": OP2_PII, "op11_secret_scan": OP11_SECRET_SCAN, "op13_filter_audit": OP13_FILTER_AUDIT,
+    "op1_quality_rules": OP1_QUALITY_RULES, "op2_pii": OP2_PII, "op11_secret_scan": OP11_SECRET_SCAN,
+    "op12_lexical_search": OP12_LEXICAL_SEARCH, "op13_filter_audit": OP13_FILTER_AUDIT,
 }

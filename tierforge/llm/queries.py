@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, audit, bpe, katz, kneser_ney, langid, mixing, pii, quality, secret_scan, simhash, suffix
+from . import ann, audit, bpe, katz, kneser_ney, langid, lexical, mixing, pii, quality, secret_scan, simhash, suffix
 from .common import in_fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,10 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(read(ship(spark), sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(read(ship(spark), sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audited(read(ship(spark), sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -95,5 +99,6 @@ QUERIES: dict[str, Query] = {
     "op9_simhash": op9_simhash,
     "op10_katz_scoring": op10_katz_scoring,
     "op11_secret_scan": op11_secret_scan,
+    "op12_lexical_search": op12_lexical_search,
     "op13_filter_audit": op13_filter_audit,
 }
