@@ -44,8 +44,9 @@ def duplicates(docs: DataFrame, doc_id: str, text: str, row: str) -> DataFrame:
     """
     keyed = docs.select(row, F.col(doc_id).alias("id"), F.xxhash64(text).alias("hash"), F.col(text).alias("body"))
     twice = keyed.groupBy("hash").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("hash")
-    again = stored(keyed.join(twice, "hash", "left_semi"), "audit-again")  # its own step: the join can split a hot hash
-    first = again.groupBy("hash", "body").agg(F.min("id").alias("low"))
+    # both joins are steps of their own, without aggregates, so that they can split a hot hash
+    again = stored(keyed.join(stored(twice, "audit-hashes"), "hash", "left_semi"), "audit-again")
+    first = stored(again.groupBy("hash", "body").agg(F.min("id").alias("low")), "audit-first")
     a, b = again.alias("a"), first.alias("b")
     smaller = (F.col("b.hash") == F.col("a.hash")) & (F.col("b.body") == F.col("a.body")) & (F.col("b.low") < F.col("a.id"))
     return a.join(b, smaller, "left_semi").select(row)
