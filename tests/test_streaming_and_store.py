@@ -1,11 +1,12 @@
 """The table store's state on disk, partition-scoped merges, and streams that continue."""
 
 import datetime as dt
+import json
 import os
 import subprocess
 import sys
+from glob import glob
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -13,16 +14,14 @@ from tierforge.operators.incremental import append_new, high_water, merge_upsert
 from tierforge.operators.scd2 import scd2_apply
 from tierforge.plans import tpch
 from tierforge.sources import fixtures as fx
-from tierforge.sources.tables import TableStore, WriteConflict
+from tierforge.sources import tables
+from tierforge.sources.tables import TableStore
 from tierforge.streaming.microbatch import run_available
 
 
 def files(store, name):
-    out = set()
-    for folders in store.files_of(name).values():
-        for f in folders:
-            out |= {os.path.join(f, x) for x in os.listdir(f.replace("file:", "")) if x.endswith(".parquet")}
-    return out
+    """Data files of a table."""
+    return set(glob(f"{store.root}/{name}/data-*/_p=*/*.parquet"))
 
 
 def rows(df):
@@ -35,7 +34,7 @@ def test_reopened_store_appends_and_merges(spark, tmp_path):
     a.write("t", spark.range(10).selectExpr("id as k", "id as v"), keys=["k"])
     a.append("t", spark.range(10, 15).selectExpr("id as k", "id as v"))
     b = TableStore(spark, root, buckets=99)  # the layout of the first write stays
-    assert b.exists("t") and b.count("t") == 15
+    assert b.exists("t") and b.read("t").count() == 15
     b.append("t", append_new(spark.range(12, 16).selectExpr("id as k", "id as v"), b.read("t"), ["k"]))
     assert b.read("t").count() == 16
     c = TableStore(spark, root)
@@ -50,7 +49,7 @@ def test_reopened_history(spark, tmp_path):
     a = TableStore(spark, root, buckets=4)
     one = spark.createDataFrame([(i, "x") for i in range(20)], schema)
     two = spark.createDataFrame([(i, "y" if i == 3 else "x") for i in range(20)], schema)
-    a.write("h", scd2_apply(None, one, "k", ["a"], "2024-01-01 00:00:00"), keys=["k"])
+    a.write("h", scd2_apply(None, one, "k", ["a"], "2024-01-01 00:00:00"), keys=["k"], open_until="valid_to")
     b = TableStore(spark, root)
     before = files(b, "h")
     b.write("h", scd2_apply(b.read("h"), two, "k", ["a"], "2024-01-02 00:00:00"))
@@ -60,6 +59,24 @@ def test_reopened_history(spark, tmp_path):
     assert len(files(b, "h") & before) == len(before) - 1
 
 
+def test_closed_versions_stay_as_they_are(spark, tmp_path):
+    """Runs with changes, a hard delete of a bucket's only key and a return: no closed row is rewritten, none is lost."""
+    store = TableStore(spark, str(tmp_path / "s"), buckets=3)
+    load = lambda v, keys: spark.createDataFrame([(k, v.get(k, "x")) for k in keys], "k int, a string")
+    loads = [load({}, range(6)), load({1: "y"}, range(6)), load({1: "z"}, [0, 1, 2, 4, 5]), load({1: "z"}, [1]), load({1: "z", 3: "back"}, [1, 3])]
+    whole, closed = None, set()
+    for day, rows_ in enumerate(loads, 1):
+        at = f"2024-01-0{day} 00:00:00"
+        whole = scd2_apply(whole, rows_, "k", ["a"], at, hard_deletes=True)
+        store.write("h", scd2_apply(store.read("h"), rows_, "k", ["a"], at, hard_deletes=True), keys=["k"], open_until="valid_to")
+        now = {f: os.path.getmtime(f) for f in files(store, "h") if "_p=closed" in f}
+        assert closed <= set(now.items())
+        closed = set(now.items())
+        assert rows(store.read("h")) == rows(whole)
+        assert store.read("h", still_open=True).filter("valid_to is not null").count() == 0
+    assert len({f.split("_p=")[1].split("/")[0] for f, _ in closed}) == 3  # one partition a run that closed any
+
+
 def test_second_process_continues(tmp_path):
     """Day 1 and day 2 of one table in two processes."""
     code = """
@@ -79,45 +96,66 @@ print("ROWS", store.read("bronze").count(), store.read("bronze").filter("_loaded
     assert "ROWS 10 10" in out[0] and "ROWS 25 10" in out[1]
 
 
-def test_versions_are_never_replaced_and_old_ones_go(spark, tmp_path):
+def test_replacement_goes_to_a_new_folder(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "s"))
     for n in range(1, 5):
         store.write("t", spark.range(n))
-    assert sorted(x for x in os.listdir(tmp_path / "s" / "t") if x[0] == "v") == ["v3", "v4"]
-    assert store.read("t").count() == 4
-    state = store.state("t")
-    with pytest.raises(WriteConflict):
-        store._commit("t", state)
-    assert spark.table(store.view("t")).count() == 4
-
-
-def test_half_written_version_is_ignored(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path / "s"))
-    store.write("t", spark.range(3))
-    spark.range(100).write.parquet(str(tmp_path / "s" / "t" / "v2" / "_p=0"))  # a write that died before its commit
-    assert TableStore(spark, store.root).read("t").count() == 3
-    store.append("t", spark.range(3, 5))
-    assert store.read("t").count() == 5
+    assert sorted(x for x in os.listdir(tmp_path / "s" / "t") if x.startswith("data")) == ["data-4"]
+    assert store.read("t").count() == 4 and spark.table(store.view("t")).count() == 4
+    spark.range(100).write.parquet(str(tmp_path / "s" / "t" / "data-5" / "_p=0"))  # a write that died before its marker
+    again = TableStore(spark, store.root)
+    assert again.read("t").count() == 4
+    again.write("t", again.read("t").filter("id > 0"))
+    assert again.read("t").count() == 3
 
 
-def test_merge_rewrites_touched_buckets_only(spark, tmp_path):
+def test_merge_overwrites_touched_buckets_only(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "s"), buckets=16)
     store.write("t", spark.range(5000).selectExpr("id as k", "id * 2 as v").repartition(8), keys=["k"])
     before = files(store, "t")
     assert len(before) <= 16
-    store.write("t", merge_upsert(store.read("t"), spark.createDataFrame([(7, -1), (9999, -1)], "k long, v long"), ["k"]))
+    store.write("t", merge_upsert(store.read("t"), spark.createDataFrame([(7, -1), (9999, -1)], "k int, v long"), ["k"]))
     after = files(store, "t")
-    assert len(before & after) >= 14 and len(after) <= 16
+    assert len(before & after) >= 14 and len(after) <= 16 and store.rows_written["t"] == 2
     got = store.read("t")
     assert got.count() == 5001 and got.filter("v = -1").count() == 2
-    assert rows(store.delta("t")) == ["Row(k=7, v=-1)", "Row(k=9999, v=-1)"]
+
+
+def test_merge_that_died_is_repeated(spark, tmp_path):
+    """The marker of a merge is lost after its files were moved: the batch, given again, leaves the same rows."""
+    store = TableStore(spark, str(tmp_path / "s"), buckets=4)
+    store.write("t", spark.range(100).selectExpr("id as k", "id as v"), keys=["k"])
+    marker = glob(f"{store.root}/t/runs/1.json")[0]
+    text = open(marker).read()
+    batch = spark.createDataFrame([(7, -1), (500, -1)], "k long, v long")
+    store.write("t", merge_upsert(store.read("t"), batch, ["k"]))
+    want = rows(store.read("t"))
+    os.remove(f"{store.root}/t/runs/2.json")
+    with open(marker, "w") as f:
+        f.write(text)
+    for crc in glob(f"{store.root}/t/runs/.*.crc"):
+        os.remove(crc)
+    store.write("t", merge_upsert(store.read("t"), batch, ["k"]))
+    assert rows(store.read("t")) == want
+
+
+def test_appends_stay_few_files(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"), buckets=2)
+    for n in range(50):
+        source = spark.range(10 * n + 10).selectExpr("id as k", f"{n} as v").coalesce(1)
+        store.append("t", append_new(source, store.read("t"), ["k"]), keys=["k"])
+        assert store.rows_written["t"] == 10
+    per = {p: len(glob(f"{p}/*.parquet")) for p in glob(f"{store.root}/t/data-*/_p=*")}
+    assert len(per) == 2 and max(per.values()) <= tables.SMALL_FILES
+    got = store.read("t")
+    assert got.count() == 500 and got.select("k").distinct().count() == 500 and got.filter("v <> floor(k / 10)").count() == 0
 
 
 def test_null_keys_are_spread(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "s"), buckets=8)
     store.write("t", spark.range(4000).selectExpr("cast(null as bigint) as k", "id as v"), keys=["k"])
-    per = [p["rows"] for p in store.state("t")["parts"].values()]
-    assert len(per) == 8 and max(per) < 1000
+    per = [spark.read.parquet(f).count() for f in files(store, "t")]
+    assert len(per) == 8 and sum(per) == 4000 and max(per) < 1000
 
 
 def test_schema_sync_reaches_untouched_buckets(spark, tmp_path):
@@ -133,7 +171,7 @@ def test_month_layout_lasts(spark, tmp_path):
     """After three merges, also of rows that move to another month, a file holds one month."""
     store = TableStore(spark, str(tmp_path / "s"))
     base = spark.range(2000).selectExpr("id as k", "date_add(date'2024-01-15', cast(id % 300 as int)) as d", "0 as v")
-    store.write("t", base, month_of="d")
+    store.write("t", base, month_of="d", keys=["k"])
     for n in range(1, 4):
         upd = spark.range(0, 2000, 97 * n).selectExpr("id as k", f"date_add(date'2024-02-01', cast(id % 290 as int)) as d", f"{n} as v")
         store.write("t", merge_upsert(store.read("t"), upd, ["k"]))
@@ -145,10 +183,44 @@ def test_month_layout_lasts(spark, tmp_path):
     assert of_day <= len([f for f in files(store, "t") if "_p=2024-05" in f])
 
 
+def test_merge_into_months_opens_touched_months_only(spark, tmp_path):
+    """The files of other months, and other buckets of the keys' months, are unreadable: the merge does not notice."""
+    store = TableStore(spark, str(tmp_path / "s"), buckets=32)
+    base = spark.range(300).selectExpr("id as k", "add_months(date'2024-01-15', cast(id % 6 as int)) as d", "0 as v")
+    store.write("t", base, month_of="d", keys=["k"])
+    upd = spark.createDataFrame([(1, dt.date(2024, 2, 20), 1), (7, dt.date(2024, 4, 2), 1), (900, dt.date(2024, 4, 3), 1)], "k long, d date, v int")
+    part = store._part(upd, store.state("t/months")["layout"], 0)
+    mine = {r[0] for r in upd.select(part).collect()}
+    broken = {f for f in files(store, "t") if f.split("_p=")[1][:7] not in ("2024-02", "2024-04")}
+    broken |= {f for f in files(store, "t/months") if f.split("_p=")[1].split("/")[0] not in mine}
+    saved = {f: open(f, "rb").read() for f in broken}
+    for f in broken:
+        with open(f, "wb") as out:
+            out.write(b"broken")
+    store.write("t", merge_upsert(store.read("t"), upd, ["k"]))
+    for f, data in saved.items():
+        with open(f, "wb") as out:
+            out.write(data)
+        crc = os.path.join(os.path.dirname(f), f".{os.path.basename(f)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    got = {r["k"]: r["d"] for r in store.read("t").filter("k in (1, 7, 900)").collect()}
+    assert got == {1: dt.date(2024, 2, 20), 7: dt.date(2024, 4, 2), 900: dt.date(2024, 4, 3)} and store.read("t").count() == 301
+    held = {r["k"]: r["month"] for r in store.read("t/months").collect()}
+    assert len(held) == 301 and held[7] == held[900] == "2024-04" and held[1] == "2024-02" and held[2] == "2024-03"
+
+
+def test_month_that_loses_its_last_row_goes(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    store.write("t", spark.sql("select 1L as k, date'2024-01-05' as d union all select 2L, date'2024-02-05'"), month_of="d", keys=["k"])
+    store.write("t", merge_upsert(store.read("t"), spark.sql("select 1L as k, date'2024-02-07' as d"), ["k"]))
+    assert rows(store.read("t")) == ["Row(k=1, d=datetime.date(2024, 2, 7))", "Row(k=2, d=datetime.date(2024, 2, 5))"]
+
+
 def test_row_counts_and_typed_marks(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "s"))
-    store.write("t", spark.range(50_000).selectExpr("id as k", "id as _loaded_at", "date_add(date'2024-01-01', cast(id % 99 as int)) as d"), month_of="d")
-    assert store.rows_written["t"] == store.count("t") == store.read("t").count() == 50_000
+    store.write("t", spark.range(50_000).selectExpr("id as k", "id as _loaded_at", "date_add(date'2024-01-01', cast(id % 99 as int)) as d"), month_of="d", keys=["k"])
+    assert store.rows_written["t"] == store.read("t").count() == 50_000
     store.write("n", spark.createDataFrame([(1, 9), (2, 10)], "k long, _loaded_at long"), keys=["k"])
     store.append("n", spark.createDataFrame([(3, 8)], "k long, _loaded_at long"))
     assert spark.range(1).select(high_water(store.read("n"), "_loaded_at")).first()[0] == 10
@@ -193,6 +265,24 @@ def test_replayed_batch_is_skipped(spark, tmp_path):
     assert store.read("t").count() == 3
 
 
+def test_slow_stream_among_fast_ones(spark, tmp_path):
+    """A batch of one stream stays known however many batches other streams bring."""
+    store = TableStore(spark, str(tmp_path / "s"))
+    one = spark.createDataFrame([(None, "n")], "k long, v string")
+    store.append("t", one, keys=["k"], batch="slow#0")
+    state = store.state("t")
+    path = glob(f"{store.root}/t/runs/*.json")[0]
+    state["streams"].update({f"fast{i}": 10_000 for i in range(200)})
+    for crc in glob(f"{store.root}/t/runs/.*.crc"):
+        os.remove(crc)
+    with open(path, "w") as f:
+        json.dump(state, f)
+    store.append("t", one, batch="slow#0")
+    assert store.read("t").count() == 1 and store.rows_written["t"] == 0
+    store.append("t", one, batch="slow#1")
+    assert store.read("t").count() == 2
+
+
 def test_runner_logs_each_model_attempt(spark):
     from tierforge.operators import runlog as L
     from tierforge.plans.runner import built
@@ -201,7 +291,7 @@ def test_runner_logs_each_model_attempt(spark):
     seen = {(x.run_id, x.model_name): x for x in run.run_log().collect()}
     assert seen[(1, "silver_lineitem")].status == "success"
     # day 2 puts in the update rows, not the merged table
-    assert 0 < seen[(2, "silver_lineitem")].rows_affected < run.store.count("silver_lineitem")
+    assert 0 < seen[(2, "silver_lineitem")].rows_affected < run.store.read("silver_lineitem").count()
     assert seen[(1, "fact_lineitem")].rows_affected == seen[(1, "silver_lineitem")].rows_affected
     roll = {(x.run_id, x.layer): x.status for x in L.rollup(run.run_log()).collect()}
     assert set(roll.values()) == {"SUCCESS"} and {layer for _, layer in roll} == {"bronze", "silver", "snapshot", "gold"}

@@ -3,9 +3,9 @@ unseen keys, keyed merge (upsert) and schema sync.
 
 All operators take the previous target (``None`` on the first run) and
 return the rows to write. Driver round trips carry scalars only: the
-high-water mark (normally the one the table store recorded when it wrote
-the target), which goes into the plan as a typed literal so Parquet scans
-see a pushed-down comparison, and whether a merge batch has duplicate keys.
+high-water mark (a scan of that one column of the target), which goes into
+the plan as a typed literal so Parquet scans see a pushed-down comparison,
+and whether a merge batch has duplicate keys.
 A merge writes its batch once below the checkpoint folder, because the
 check, the key side and the insert side read it.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from ..sources.tables import MARK_COLUMNS, MARKS_ATTR, MERGE_ATTR, TABLE_ATTR
+from ..sources.tables import MERGE_ATTR
 
 
 class DuplicateMergeKeyError(ValueError):
@@ -27,10 +27,6 @@ class DuplicateMergeKeyError(ValueError):
 
 
 def _max_text(df: DataFrame, col: str) -> str | None:
-    # A stored table's mark was observed when it was written: no scan.
-    marks = getattr(df, MARKS_ATTR, None)
-    if marks is not None and col in marks:
-        return marks[col]
     # Max as text: avoids a Python datetime round trip (time zones) and lets
     # the literal be re-typed exactly.
     return df.agg(F.max(F.col(col)).cast("string").alias("m")).first()["m"]
@@ -65,14 +61,7 @@ def newer_than(src: DataFrame, target: DataFrame | None, col: str = "_loaded_at"
     hw = high_water(target, col, floor)
     if hw is None:
         return src.filter(F.lit(False))
-    mark = _max_text(target, col) or floor
-    return _partitions_since(src, col, mark).filter(F.col(col) > hw.cast(src.schema[col].dataType))
-
-
-def _partitions_since(src: DataFrame, col: str, mark: str, inclusive: bool = False) -> DataFrame:
-    """A frame as read from the table store, without the partitions that hold nothing past ``mark``."""
-    table = getattr(src, TABLE_ATTR, None)
-    return table[0].since(table[1], col, mark, inclusive) if table and col in MARK_COLUMNS else src
+    return src.filter(F.col(col) > hw.cast(src.schema[col].dataType))
 
 
 def lookback(src: DataFrame, target: DataFrame | None, date_col: str, days: int = 3, floor: str = "1900-01-01") -> DataFrame:
@@ -83,7 +72,7 @@ def lookback(src: DataFrame, target: DataFrame | None, date_col: str, days: int
         return src
     m = _max_text(target, date_col)
     cutoff = date.fromisoformat(m[:10]) - timedelta(days) if m is not None else date.fromisoformat(floor)
-    return _partitions_since(src, date_col, cutoff.isoformat(), inclusive=True).filter(F.col(date_col) >= F.lit(cutoff))
+    return src.filter(F.col(date_col) >= F.lit(cutoff))
 
 
 def append_new(src: DataFrame, target: DataFrame | None, keys: list[str]) -> DataFrame:
@@ -155,7 +144,7 @@ def merge_upsert(
     ``target LEFT ANTI updates(keys) UNION ALL updates``; the planner and AQE
     choose the join by the sides' bytes. NULL keys never match, so NULL-keyed
     updates are inserted again each run. The result carries its update rows,
-    so the table store rewrites the partitions they touch and no others.
+    so the table store overwrites the partitions they touch and no others.
     ``match`` names the columns that identify a row where these are not
     ``keys`` (a version of a key).
     """

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import surrogate_key_ts
-from ..sources.tables import MARKS_ATTR, TABLE_ATTR
+from ..sources.tables import TABLE_ATTR
 from .incremental import merge_upsert
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
@@ -47,8 +47,8 @@ def scd2_apply(
     Changes in other columns open no version. One full outer join of the
     open versions with the source on the key yields the versions that close
     and those that open; these alone are merged into the history (by
-    ``scd_id``), so versions that stay as they are are not rewritten in
-    partitions without a change.
+    ``scd_id``). A stored history with ``open_until="valid_to"`` reads and
+    rewrites partitions of open versions only; closed ones are added.
     """
     ts = F.lit(run_ts).cast("timestamp_ntz")
     if history is None:
@@ -59,13 +59,14 @@ def scd2_apply(
     source = source.select("*", *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in gone])
     cols = source.columns
     had = set(history.columns)
-    history_now = history.select(
+    aligned = lambda df: df.select(
         *[F.col(c).cast(source.schema[c].dataType).alias(c) if c in had else F.lit(None).cast(source.schema[c].dataType).alias(c) for c in cols], *META)
-    for attr in (MARKS_ATTR, TABLE_ATTR):
-        if hasattr(history, attr):
-            setattr(history_now, attr, getattr(history, attr))
+    history_now, table = aligned(history), getattr(history, TABLE_ATTR, None)
+    if table:
+        setattr(history_now, TABLE_ATTR, table)
+    now_open = aligned(table[0].read(table[1], still_open=True)) if table else history_now
 
-    c = history_now.filter(F.col("valid_to").isNull()).select(F.col(key).alias("_k"), F.struct(*[F.col(x) for x in cols + META]).alias("_c"))
+    c = now_open.filter(F.col("valid_to").isNull()).select(F.col(key).alias("_k"), F.struct(*[F.col(x) for x in cols + META]).alias("_c"))
     s = source.select(F.col(key).alias("_k"), F.struct(*[F.col(x) for x in cols]).alias("_s"))
     j = c.join(s, on="_k", how="full_outer")
 

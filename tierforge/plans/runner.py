@@ -23,19 +23,20 @@ DAY_DATE = {1: fx.DAY1_DATE, 2: fx.DAY2_DATE}
 TPCH_TABLES = ("customer", "lineitem", "nation", "orders", "part", "partsupp", "region", "supplier")
 AT_ONCE = 4  # models of a layer that are submitted together
 
-# Layout of each stored table: buckets of its merge key, or months of a date. The others are small or replaced whole.
+# Layout of each stored table: buckets of its merge key, or months of a date; histories keep closed versions apart. The
+# others are small or replaced whole.
 LAYOUT: dict[str, dict] = {
     "bronze_customer": {"keys": ["customer_key"]}, "bronze_lineitem": {"keys": ["order_key", "line_number"]},
     "bronze_orders": {"keys": ["order_key"]}, "bronze_part": {"keys": ["part_key"]},
     "bronze_partsupp": {"keys": ["part_key", "supplier_key"]}, "bronze_supplier": {"keys": ["supplier_key"]},
-    "silver_customer": {"keys": ["customer_key"]}, "silver_lineitem": {"month_of": "ship_date"},
+    "silver_customer": {"keys": ["customer_key"]}, "silver_lineitem": {"month_of": "ship_date", "keys": ["order_key", "line_number"]},
     "silver_orders": {"keys": ["order_key"]}, "silver_part": {"keys": ["part_key"]},
     "silver_partsupp": {"keys": ["part_key", "supplier_key"]}, "silver_supplier": {"keys": ["supplier_key"]},
-    "snap_customer": {"keys": ["customer_key"]}, "snap_supplier": {"keys": ["supplier_key"]},
-    "dim_part": {"keys": ["part_key"]}, "fact_lineitem": {"month_of": "ship_date"}, "fact_orders": {"keys": ["order_key"]},
+    "snap_customer": {"keys": ["customer_key"], "open_until": "valid_to"}, "snap_supplier": {"keys": ["supplier_key"], "open_until": "valid_to"},
+    "dim_part": {"keys": ["part_key"]}, "fact_lineitem": {"month_of": "ship_date", "keys": ["order_key", "line_number"]}, "fact_orders": {"keys": ["order_key"]},
     "stg_customers": {"keys": ["customer_id"]}, "stg_order_items": {"keys": ["order_id", "order_item_id"]},
     "stg_orders": {"keys": ["order_id"]}, "stg_payments": {"keys": ["order_id", "payment_sequential"]},
-    "stg_products": {"keys": ["product_id"]}, "fct_orders": {"keys": ["order_id"]}, "scd_fct_orders": {"keys": ["order_id"]},
+    "stg_products": {"keys": ["product_id"]}, "fct_orders": {"keys": ["order_id"]}, "scd_fct_orders": {"keys": ["order_id"], "open_until": "valid_to"},
 }
 
 Model = tuple[str, Callable[[], DataFrame]]

@@ -1,265 +1,205 @@
-"""Durable Parquet tables (the sinks).
-
-A table is a folder: ``v<N>/`` holds the files that write N produced, split by the
-partition column ``_p``, and ``state/<N>.json``, written last, says which writes hold
-each partition's rows, the schema, the row counts and the high-water marks. The highest
-readable state is the table, so a second process continues where the first one ended, and a
-write that dies half-way changes nothing. Files of a state are never overwritten; what only
-older states than the previous one need is deleted after a commit.
-
-``_p`` is a hash bucket of the key columns (``keys``; rows with a NULL key are spread by
-their other columns, as they match nothing) or the month of a date (``month_of``). A frame from
-``merge_upsert`` or ``scd2_apply`` carries its update rows; writing it then rewrites only the
-partitions that these touch, and keeps them as the run's delta. Other frames replace the table.
+"""Durable tables (the sinks) on plain Parquet.
+
+A table is a folder. Its rows are in ``data-<n>``, split by the partition column ``_p`` and found by partition discovery;
+``runs/<n>.json``, written last, marks a finished run: schema, layout, data folder and the last batch of each stream. A second
+process continues from the last marker. ``_p`` is a hash bucket of the key columns (rows with a NULL key are spread by
+their other columns, as they match nothing) or, with ``month_of``, the month of a date, with the months of all keys in a
+table of their own, ``months``. With ``open_until`` only rows where that column is NULL are in buckets; the others
+(closed versions) are in one partition for each run that closed them and stay as they are.
+
+A frame from ``merge_upsert`` or ``scd2_apply`` carries its update rows; writing it to the table it came from overwrites the
+partitions that these touch (dynamic partition overwrite). Appends add files; a partition with more than ``SMALL_FILES`` of
+them is written anew. Other frames go to a new data folder. A merge that dies while Spark moves its files is
+repeated with its batch: rows come out the same by their keys; only new rows with a NULL key may come twice.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from decimal import Decimal
+from collections import Counter
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import discard, scratch_dir
+from ..session import discard, scratch_dir, stored
 
 PART = "_p"
-MARK_COLUMNS = ("_loaded_at", "order_date")  # stamps of the high-water and look-back filters
-MARKS_ATTR = "_tierforge_marks"  # {column: max as text, or None for no rows}
+SMALL_FILES, SMALL_BYTES = 16, 32 << 20
 TABLE_ATTR = "_tierforge_table"  # (store, name) of a frame read from a store
 MERGE_ATTR = "_tierforge_merge"  # (target, updates, keys, match or None) of a merge's result
 
 
-class WriteConflict(RuntimeError):
-    """Another writer committed the same version first."""
-
-
-def _later(values: list[str | None], kind: T.DataType) -> str | None:
-    """The greatest of values given as text, compared as ``kind``."""
-    known = [v for v in values if v is not None]
-    order = Decimal if isinstance(kind, T.NumericType) else str  # dates and timestamps: ISO text
-    return max(known, key=order) if known else None
-
-
 class TableStore:
     def __init__(self, spark: SparkSession, root: str | None = None, buckets: int | None = None):
-        self.spark = spark
-        self.root = (root or scratch_dir(spark, "tables")).rstrip("/")
-        conf = spark.conf.get("tierforge.buckets", None) or spark.conf.get("spark.sql.shuffle.partitions")
-        self.buckets = buckets or int(conf)
+        self.spark, self.root = spark, (root or scratch_dir(spark, "tables")).rstrip("/")
+        self.buckets = buckets or int(spark.conf.get("tierforge.buckets", None) or spark.conf.get("spark.sql.shuffle.partitions"))
         self.rows_written: dict[str, int] = {}  # rows that each table's last write, append or merge put in
 
-    # -- files ---------------------------------------------------------------
     def _path(self, *parts: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
-
-    def _fs(self):
-        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _names(self, *parts: str) -> list[str]:
-        p = self._path(*parts)
-        return [s.getPath().getName() for s in self._fs().listStatus(p)] if self._fs().exists(p) else []
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def state(self, name: str) -> dict | None:
-        """The current state, ``None`` for a table that was never written."""
-        numbers = sorted((int(n[:-5]) for n in self._names(name, "state") if re.fullmatch(r"\d+\.json", n)), reverse=True)
-        return self._load(name, numbers[0]) if numbers else None
-
-    def _load(self, name: str, number: int) -> dict:
-        source = self._fs().open(self._path(name, "state", f"{number}.json"))
+        """The marker of the last run, ``None`` for a table that was never written."""
+        fs, runs = self._path(name, "runs")
+        numbers = [int(s.getPath().getName()[:-5]) for s in fs.listStatus(runs) if s.getPath().getName().endswith(".json")] if fs.exists(runs) else []
+        if not numbers:
+            return None
+        source = fs.open(self._path(name, "runs", f"{max(numbers)}.json")[1])
         try:
             return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
         finally:
             source.close()
 
-    def _commit(self, name: str, state: dict) -> None:
-        fs, number = self._fs(), state["version"]
-        final, draft = self._path(name, "state", f"{number}.json"), self._path(name, f"state-{number}.draft")
+    def _commit(self, name: str, old: dict | None, folder: str, layout: dict, schema: T.StructType, batch: str | None) -> None:
+        streams = dict(old["streams"]) if old else {}
+        if batch is not None:
+            streams.update([self._stream(batch)])
+        columns = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+        run = {"run": old["run"] + 1 if old else 1, "folder": folder, "layout": layout, "streams": streams, "schema": json.loads(columns.json())}
+        fs, draft = self._path(name, "runs", f"{run['run']}.draft")
         out = fs.create(draft, True)
-        out.write(bytearray(json.dumps(state).encode()))
+        out.write(bytearray(json.dumps(run).encode()))
         out.close()
-        fs.mkdirs(self._path(name, "state"))
-        if fs.exists(final) or not fs.rename(draft, final):
-            raise WriteConflict(f"{name}: version {number} is already committed")
-        self._sweep(name, state)
-
-    def _sweep(self, name: str, state: dict) -> None:
-        """Delete what neither this state nor the one before needs."""
-        keep = {state["version"], state["version"] - 1}
-        live = {v for p in state["parts"].values() for v in p["in"]}
-        if f"{state['version'] - 1}.json" in self._names(name, "state"):
-            live |= {v for p in self._load(name, state["version"] - 1)["parts"].values() for v in p["in"]}
-        for folder in self._names(name):
-            m = re.fullmatch(r"(v|delta)(\d+)", folder)
-            if m and int(m[2]) not in (live if m[1] == "v" else set()) | keep:
-                self._fs().delete(self._path(name, folder), True)
-        for n in self._names(name, "state"):
-            if int(n.split(".")[0]) not in keep:
-                self._fs().delete(self._path(name, "state", n), False)
+        if not fs.rename(draft, self._path(name, "runs", f"{run['run']}.json")[1]):
+            raise RuntimeError(f"{name}: run {run['run']} was finished by another writer")
+        if old:
+            fs.delete(self._path(name, "runs", f"{old['run']}.json")[1], False)
+        if old and old["folder"] != folder:
+            fs.delete(self._path(name, old["folder"])[1], True)
+
+    @staticmethod
+    def _stream(batch: str) -> tuple[str, int]:
+        stream, _, number = batch.rpartition("#")
+        return stream, int(number)
+
+    def has(self, name: str, batch: str | None) -> bool:
+        """Whether the table holds ``batch``, named ``<stream>#<number>`` with growing numbers."""
+        old = self.state(name)
+        return bool(old and batch is not None and old["streams"].get(self._stream(batch)[0], -1) >= self._stream(batch)[1])
 
-    # -- reads ---------------------------------------------------------------
     def exists(self, name: str) -> bool:
         return self.state(name) is not None
 
-    def files_of(self, name: str) -> dict[str, list[str]]:
-        """Partition -> folders that hold its rows."""
-        return {p: [f"{self.root}/{name}/v{v}/{PART}={p}" for v in s["in"]] for p, s in self.state(name)["parts"].items()}
-
-    def _frame(self, state: dict, folders: list[str]) -> DataFrame:
-        schema = T.StructType.fromJson(state["schema"])
-        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
-
-    def _folders(self, name: str, state: dict, only: set[str] | None = None) -> list[str]:
-        return [f"{self.root}/{name}/v{v}/{PART}={p}" for p, s in sorted(state["parts"].items()) if only is None or p in only for v in s["in"]]
+    def _rows(self, name: str, state: dict, only: set[str] | None = None) -> DataFrame:
+        """The rows with their partition, of the partitions ``only``."""
+        schema = T.StructType.fromJson(state["schema"]).add(PART, T.StringType())
+        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{name}/{state['folder']}")
+        return rows if only is None else rows.filter(F.col(PART).isin(sorted(only)))
 
-    def read(self, name: str) -> DataFrame | None:
-        """The table, with its high-water marks; ``None`` when it was never written."""
+    def read(self, name: str, still_open: bool = False) -> DataFrame | None:
+        """The table (of a history, if asked, the partitions of its open versions); ``None`` when it was never written."""
         state = self.state(name)
         if state is None:
             return None
-        df = self._frame(state, self._folders(name, state))
-        marks = {}
-        for f in df.schema.fields:
-            if f.name in MARK_COLUMNS:
-                marks[f.name] = _later([p["marks"].get(f.name) for p in state["parts"].values()], f.dataType)
-        setattr(df, MARKS_ATTR, marks)
+        rows = self._rows(name, state)
+        df = (rows.filter(F.col(PART).startswith("open-")) if still_open and state["layout"]["open_until"] else rows).drop(PART)
         setattr(df, TABLE_ATTR, (self, name))
         return df
 
-    def since(self, name: str, column: str, mark: str, inclusive: bool = False) -> DataFrame:
-        """The table without the partitions whose recorded greatest ``column`` is not past ``mark`` (text): what a
-        filter ``column > mark`` (``>=`` if ``inclusive``) needs to read, however many runs were missed."""
-        state = self.state(name)
-        kind = T.StructType.fromJson(state["schema"])[column].dataType
-
-        def past(p: str) -> bool:
-            top = state["parts"][p]["marks"].get(column)
-            return top is not None and (_later([top, mark], kind) != mark or inclusive and _later([top], kind) == mark)
-
-        return self._frame(state, self._folders(name, state, {p for p in state["parts"] if past(p)}))
-
-    def delta(self, name: str) -> DataFrame | None:
-        """The rows that the last write put in: a merge's updates, an append's rows, or the whole table after a replacement."""
-        state = self.state(name)
-        if state is None:
-            return None
-        if state["delta"]:
-            return self._frame(state, [f"{self.root}/{name}/delta{state['version']}"])
-        return self._frame(state, [f"{self.root}/{name}/v{v}/{PART}={p}" for p, s in state["parts"].items() for v in s["in"] if v == state["version"]])
-
-    def count(self, name: str) -> int:
-        return sum(p["rows"] for p in self.state(name)["parts"].values())
-
     def view(self, name: str) -> str:
-        """View sink: register the current version as a temp view."""
+        """View sink: register the table as a temp view."""
         view = re.sub(r"\W", "_", f"{self.root.rsplit('/', 1)[-1]}_{name}")
         self.read(name).createOrReplaceTempView(view)
         return view
 
-    # -- writes --------------------------------------------------------------
-    def _part(self, df: DataFrame, layout: dict) -> Column:
+    def _part(self, df: DataFrame, layout: dict, run: int) -> Column:
         if layout["month_of"]:
             return F.coalesce(F.date_format(layout["month_of"], "yyyy-MM"), F.lit("none"))
         if not layout["keys"]:
             return F.lit("0")
-        keyed = F.lit(True)
-        for k in layout["keys"]:
-            keyed = keyed & F.col(k).isNotNull()
-        rest = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-        spread = F.when(keyed, F.xxhash64(*layout["keys"])).otherwise(F.xxhash64(*rest))
-        return F.pmod(spread, F.lit(layout["buckets"])).cast("string")
-
-    def _save(self, df: DataFrame, folder: str, layout: dict, sort: list[str] | None = None) -> dict[str, dict]:
-        """Write rows split by partition; what each partition got (from the written files: one narrow scan)."""
-        marked = df.withColumn(PART, self._part(df, layout))
+        keyed = reduce(Column.__and__, [F.col(k).isNotNull() for k in layout["keys"]])
+        rest = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType) and f.name != PART]
+        bucket = F.pmod(F.when(keyed, F.xxhash64(*layout["keys"])).otherwise(F.xxhash64(*rest)), F.lit(layout["buckets"])).cast("string")
+        if not layout["open_until"]:
+            return bucket
+        return F.when(F.col(layout["open_until"]).isNull(), F.concat(F.lit("open-"), bucket)).otherwise(f"closed-{run}")
+
+    def _save(self, df: DataFrame, folder: str, layout: dict, run: int, mode: str = "overwrite") -> int:
+        """Write rows by partition, replacing those that they are in (or beside them with ``mode`` append); the number of rows."""
+        seen, out = Observation(), df.withColumn(PART, self._part(df, layout, run))
         if layout["keys"] or layout["month_of"]:
-            marked = marked.hint("rebalance", F.col(PART))  # one task a partition, large ones split by size
-            marked = marked.sortWithinPartitions(PART, *(sort or [layout["month_of"]] if layout["month_of"] else layout["keys"]))
-        marked.write.partitionBy(PART).parquet(folder)
-        return self._inspect(folder, df.schema)
-
-    def _inspect(self, folder: str, schema: T.StructType) -> dict[str, dict]:
-        marks = [f for f in schema.fields if f.name in MARK_COLUMNS]
-        known = T.StructType([*marks, T.StructField(PART, T.StringType())])
-        got = self.spark.read.schema(known).parquet(folder).groupBy(PART).agg(
-            F.count(F.lit(1)).alias("rows"), *[F.max(f.name).cast("string").alias(f"m_{f.name}") for f in marks])
-        return {r[PART]: {"rows": r["rows"], "marks": {f.name: r[f"m_{f.name}"] for f in marks}} for r in got.collect()}
-
-    def write(self, name: str, df: DataFrame, keys: list[str] | None = None, month_of: str | None = None, batch: str | None = None) -> DataFrame:
-        """Commit ``df`` as the table's next version.
-
-        ``keys`` or ``month_of`` set the layout of a first write (later ones keep it). The result of a merge
-        into this table rewrites the touched partitions only; its staged batch is deleted then, so use the returned
-        frame from here on. ``batch`` names a source batch: one that the table already holds is skipped.
-        """
-        old = self.state(name)
-        if old and batch is not None and batch in old["batches"]:
+            out = out.hint("rebalance", F.col(PART))  # one task a partition, large ones split by size
+        out = out.observe(seen, F.count(F.lit(1)).alias("rows")).sortWithinPartitions(PART, *([layout["month_of"]] if layout["month_of"] else layout["keys"]))
+        out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(folder)
+        return seen.get["rows"]
+
+    def write(self, name: str, df: DataFrame, keys: list[str] | None = None, month_of: str | None = None, open_until: str | None = None,
+              batch: str | None = None) -> DataFrame:
+        """Write ``df`` as the table's new state. ``keys``, ``month_of`` and ``open_until`` set the layout of a first write (later ones
+        keep it). The result of a merge into this table overwrites the touched partitions only; its staged batch is deleted
+        then, so use the returned frame from here on. A ``batch`` that the table already holds is skipped."""
+        if self.has(name, batch):
             self.rows_written[name] = 0
             return self.read(name)
-        layout = old["layout"] if old else {"keys": keys or [], "month_of": month_of, "buckets": self.buckets}
-        number = old["version"] + 1 if old else 1
-        merge = getattr(df, MERGE_ATTR, None)
+        old = self.state(name)
+        layout = old["layout"] if old else {"keys": keys or [], "month_of": month_of, "open_until": open_until, "buckets": self.buckets}
+        merge, run = getattr(df, MERGE_ATTR, None), old["run"] + 1 if old else 1
         mine = merge and getattr(merge[0], TABLE_ATTR, None)
-        self._clear(name, number)
         if old and mine and mine[0].root == self.root and mine[1] == name and df.columns == [f["name"] for f in old["schema"]["fields"]]:
-            state = self._merge(name, old, number, df.schema, *merge[1:])
+            folder = old["folder"]
+            self.rows_written[name] = self._merge(name, old, *merge[1:])
         else:
-            got = self._save(df, f"{self.root}/{name}/v{number}", layout)
-            state = {"parts": {p: {**s, "in": [number]} for p, s in got.items()}, "delta": False}
-            self.rows_written[name] = sum(s["rows"] for s in got.values())
-        self._finish(name, old, state, number, layout, df.schema, batch)
-        if state["delta"] and hasattr(merge[1], "stored_at"):
-            discard(merge[1])  # the batch that the merge had staged; the delta holds it now
+            folder = f"data-{run}"
+            self.rows_written[name] = self._save(df, f"{self.root}/{name}/{folder}", layout, run)
+            if layout["month_of"]:
+                held = self._rows(name, {"schema": json.loads(df.schema.json()), "folder": folder}).select(*layout["keys"], F.col(PART).alias("month"))
+                self.write(f"{name}/months", held.dropna(subset=layout["keys"]), keys=layout["keys"])
+        self._commit(name, old, folder, layout, df.schema, batch)
+        if old and folder == old["folder"] and hasattr(merge[1], "stored_at"):
+            discard(merge[1])
         return self.read(name)
 
-    def _merge(self, name: str, old: dict, number: int, schema: T.StructType, updates: DataFrame, keys: list[str], match: list[str] | None) -> dict:
-        """Rewrite the touched partitions. ``match`` finds the rows to replace; the same ``keys`` mean the same bucket."""
-        layout, folder = old["layout"], f"{self.root}/{name}"
-        updates.write.parquet(f"{folder}/delta{number}")
-        batch = self.spark.read.schema(updates.schema).parquet(f"{folder}/delta{number}")
-        on = match or keys
-        target = lambda only: self._frame(old, self._folders(name, old, only))
-        touched = {r[0] for r in batch.select(self._part(batch, layout)).distinct().collect()}
-        if layout["month_of"] or not set(layout["keys"]) <= set(keys):
-            # A row may move to another partition: find where the replaced rows are (a scan of the keys only).
-            rows = target(None)
-            held = rows.select(*on, self._part(rows, layout).alias(PART)).join(batch.select(*on), on, "left_semi")
-            touched |= {r[0] for r in held.select(PART).distinct().collect()}
-        kept = target(touched).join(batch.select(*on), on, "left_anti")
-        out = kept.unionByName(batch.select(*kept.columns)).select(*schema.names)
-        got = self._save(out, f"{folder}/v{number}", layout)
-        parts = {p: s for p, s in old["parts"].items() if p not in touched}
-        self.rows_written[name] = batch.count()
-        return {"parts": {**parts, **{p: {**s, "in": [number]} for p, s in got.items()}}, "delta": True}
+    def _merge(self, name: str, old: dict, updates: DataFrame, keys: list[str], match: list[str] | None) -> int:
+        """Overwrite the partitions that the update rows touch. ``match`` finds the rows to replace; the same ``keys`` mean the same bucket."""
+        layout, run, on = old["layout"], old["run"] + 1, match or keys
+        batch = updates.select(*[F.col(f.name).cast(f.dataType) for f in T.StructType.fromJson(old["schema"]).fields])
+        parts = lambda df, how: {r[0] for r in df.select(self._part(df, how, run)).distinct().collect()}
+        filled = parts(batch, layout)
+        touched = set(filled)
+        if layout["open_until"]:  # closed versions are added, and replace open ones
+            touched = {"open-" + p for p in parts(batch, {**layout, "open_until": None})}
+        if layout["month_of"]:
+            touched |= self._moved(f"{name}/months", batch.withColumn("month", self._part(batch, layout, run)), keys)
+        kept = self._rows(name, old, touched).join(batch.select(*on), on, "left_anti")
+        left = touched - filled  # partitions that may have lost their last row
+        left -= {r[0] for r in kept.filter(F.col(PART).isin(sorted(left))).select(PART).distinct().collect()} if left else set()
+        self._save(kept.select(*batch.columns).unionByName(batch), f"{self.root}/{name}/{old['folder']}", layout, run)
+        for p in left:
+            fs, path = self._path(name, old["folder"], f"{PART}={p}")
+            fs.delete(path, True)
+        return batch.count()
+
+    def _moved(self, name: str, batch: DataFrame, keys: list[str]) -> set[str]:
+        """The months that hold the keys of ``batch`` so far, looked up in their buckets; the lookup table then holds the new ones."""
+        state = self.state(name)
+        now = stored(batch.select(*keys, "month").dropna(subset=keys), "months")
+        buckets = {r[0] for r in now.select(self._part(now, state["layout"], 0)).distinct().collect()}
+        held = stored(self._rows(name, state, buckets).drop(PART).join(now.select(*keys), keys, "left_semi"), "months")
+        changed = stored(now.join(held, [*keys, "month"], "left_anti"), "months")
+        if not changed.isEmpty():
+            self._merge(name, state, changed, keys, None)
+        months = {r[0] for r in held.select("month").distinct().collect()}
+        for df in (now, held, changed):
+            discard(df)
+        return months
 
     def append(self, name: str, df: DataFrame, keys: list[str] | None = None, batch: str | None = None) -> DataFrame:
-        """Append sink: new files beside the current ones (the first write creates the table)."""
+        """Append sink: new files beside the current ones (the first write creates the table); partitions of many small files are joined."""
         old = self.state(name)
         if old is None:
             return self.write(name, df, keys=keys, batch=batch)
-        if batch is not None and batch in old["batches"]:
-            self.rows_written[name] = 0
-            return self.read(name)
-        number, schema = old["version"] + 1, T.StructType.fromJson(old["schema"])
-        self._clear(name, number)
-        got = self._save(df.select(*schema.names), f"{self.root}/{name}/v{number}", old["layout"])
-        parts = dict(old["parts"])
-        for p, s in got.items():
-            was = parts.get(p, {"rows": 0, "marks": {}, "in": []})
-            marks = {f.name: _later([was["marks"].get(f.name), s["marks"][f.name]], f.dataType) for f in schema.fields if f.name in MARK_COLUMNS}
-            parts[p] = {"rows": was["rows"] + s["rows"], "marks": marks, "in": [*was["in"], number]}
-        self.rows_written[name] = sum(s["rows"] for s in got.values())
-        self._finish(name, old, {"parts": parts, "delta": False}, number, old["layout"], schema, batch)
+        self.rows_written[name] = 0
+        if not self.has(name, batch):
+            schema, folder = T.StructType.fromJson(old["schema"]), f"{self.root}/{name}/{old['folder']}"
+            self.rows_written[name] = self._save(df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), folder, old["layout"], old["run"] + 1, "append")
+            fs, files = self._path(name, old["folder"], f"{PART}=*", "*.parquet")
+            small = Counter(s.getPath().getParent().getName()[len(PART) + 1:] for s in fs.globStatus(files) if s.getLen() < SMALL_BYTES)
+            many = {p for p, n in small.items() if n > SMALL_FILES}
+            if many:
+                self._save(self._rows(name, old, many).drop(PART), folder, old["layout"], old["run"] + 1)
+            self._commit(name, old, old["folder"], old["layout"], schema, batch)
         return self.read(name)
-
-    def _clear(self, name: str, number: int) -> None:
-        """Remove what an uncommitted write of this version left."""
-        for folder in (f"v{number}", f"delta{number}"):
-            self._fs().delete(self._path(name, folder), True)
-
-    def _finish(self, name: str, old: dict | None, state: dict, number: int, layout: dict, schema: T.StructType, batch: str | None) -> None:
-        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
-        batches = [*(old["batches"] if old else []), *([batch] if batch is not None else [])][-100:]  # streams replay the latest only
-        self._commit(name, {"version": number, "schema": json.loads(nullable.json()), "layout": layout, "batches": batches, **state})

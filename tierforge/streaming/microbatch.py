@@ -7,8 +7,8 @@ landed and stops, which is the streaming form of a scheduled run; the
 stream checkpoint records which files were consumed, so a restarted run
 resumes where the last one stopped.
 
-The batch's number is committed with the table version, so a batch that is
-replayed after a failure is skipped, NULL keys included.
+The number of the stream's last batch is in the table's marker, so a batch that
+is replayed after its run was finished is skipped, NULL keys included.
 """
 
 from __future__ import annotations
@@ -45,8 +45,7 @@ def run_available(
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         name = f"{ckpt}#{epoch_id}"
-        state = store.state(table)
-        if state and name in state["batches"]:
+        if store.has(table, name):
             return
         out = model(batch, store.read(table))
         if append:
