@@ -140,3 +140,25 @@ def test_documents_hold_several_results(spark):
     flat = L.flatten_results(docs)
     assert docs.count() < res.count() == flat.count()
     assert sorted(L.rollup(flat).collect()) == sorted(L.rollup(res).collect())
+
+
+def test_mentions_by_wildcards_in_long_texts(spark):
+    """Against a regular expression for each pair: wildcards in names, short and empty names, 10,000-character texts."""
+    import random
+    import re
+
+    rnd = random.Random(11)
+    names = ["stg_a", "x", "_", "", "%", "a%b", "st%_z", "tpch__silver", "é_x", "back\\slash", "no match here", "a.b", "zz%zz%zz", "__", "1%", "%%_"]
+    alphabet = "abstgx_z .é%\\1\n"
+    texts = ["", "x", "tpch--silver", "stg-a", "back\\slash", "st 123 zz", "a\nb", "é x", "axb", "a.b"]
+    texts += ["".join(rnd.choices(alphabet, k=rnd.randrange(40))) for _ in range(150)]
+    texts += ["".join(rnd.choices("qwertyuiop ", k=10_000)) + tail for tail in ("stg_a", "tpch_1silver", "zz q zz q zz", "")]
+    texts = sorted(set(texts))
+    found = L._mentions(spark.createDataFrame([(t,) for t in texts], "_text string"), spark.createDataFrame([(n,) for n in [*names, None]], "_name string"))
+    got = sorted((r._text, r._name) for r in found.collect())
+
+    def like(text, name):
+        return re.search("".join("." if c == "_" else ".*" if c == "%" else re.escape(c) for c in name), text, re.S)
+
+    assert got == sorted((t, n) for t in texts for n in names if like(t, n))
+    assert L._mentions(found.select("_text").limit(0), found.select("_name")).count() == 0

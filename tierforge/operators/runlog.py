@@ -155,28 +155,34 @@ def durations(task_events: DataFrame) -> DataFrame:
     return with_model(task_events).select("event_id", "dag_id", "model_name", secs.alias("duration_seconds"))
 
 
+def _grams(chars: Column, size: int) -> Column:
+    """All stretches of ``size`` characters."""
+    starts = F.when(F.size(chars) >= size, F.sequence(F.lit(1), F.greatest(F.size(chars) - size + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.concat(*[F.element_at(chars, i + k) for k in range(size)]))
+
+
 def _mentions(texts: DataFrame, names: DataFrame) -> DataFrame:
     """Distinct ``texts(_text)`` and ``names(_name)`` (both lower case) to the pairs for which the text is LIKE
-    ``%name%``: ``_`` in a name stands for any one character.
+    ``%name%``: in a name, ``_`` stands for any one character and ``%`` for any number.
 
-    Names are grouped by shape: length and places of ``_``. Of each text, the stretches of a shape's length, with ``_``
-    put at its places, are looked up among the names, so work follows the length of distinct texts times
-    the shapes, which alone come to the driver (a naming convention has a few).
+    An inverted index: a text is found under each of its distinct stretches of at most three characters that a name has
+    between its wildcards, and a name is looked up by the one of its stretches that the fewest texts have. Only
+    those pairs are compared. A name without any other character is looked up under the empty stretch.
     """
-    places = F.filter(F.sequence(F.lit(1), F.length("_name")), lambda i: F.substring("_name", i, F.lit(1)) == "_")
-    shapes = names.filter(F.length("_name") > 0).select(F.length("_name").alias("n"), places.alias("at")).distinct().collect()
-    if not shapes:
-        return texts.join(names, F.lit(False)).select("_text", "_name")
-    known = F.array(*[F.struct(F.lit(r["n"]).alias("n"), F.array(*[F.lit(i) for i in r["at"]]).cast("array<int>").alias("at")) for r in shapes])
-
-    def stretches(shape: Column) -> Column:
-        last = F.length("_text") - shape["n"] + 1
-        starts = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.aggregate(
-            shape["at"], F.substring("_text", i, shape["n"]), lambda s, p: F.overlay(s, F.lit("_"), p, F.lit(1))))
-
-    found = texts.select("_text", F.explode(F.array_distinct(F.flatten(F.transform(known, stretches)))).alias("_name"))
-    return found.join(names, "_name", "left_semi")
+    texts = stored(texts.select("_text", F.monotonically_increasing_id().alias("_id")), "runlog-texts")
+    pieces = names.select("_name", F.explode(F.split("_name", "[_%]")).alias("_piece")).withColumn("_n", F.least(F.length("_piece"), F.lit(3)))
+    longest = Window.partitionBy("_name")
+    pieces = pieces.withColumn("_most", F.max("_n").over(longest)).filter("_n = _most").withColumn("_c", F.split("_piece", ""))
+    of_size = F.when(F.col("_n") == 3, _grams(F.col("_c"), 3)).when(F.col("_n") == 2, _grams(F.col("_c"), 2)).otherwise(F.array("_piece"))
+    wanted = stored(pieces.select("_name", F.explode(of_size).alias("_gram")).distinct(), "runlog-grams")
+    chars = F.split("_text", "")
+    every = F.array_distinct(F.concat(F.array(F.lit("")), F.array_distinct(chars), F.array_distinct(_grams(chars, 2)), _grams(chars, 3)))
+    found = texts.select("_id", F.explode(every).alias("_gram")).join(wanted.select("_gram").distinct(), "_gram", "left_semi")
+    found = stored(found, "runlog-found")
+    held = wanted.join(found.groupBy("_gram").agg(F.count(F.lit(1)).alias("_texts")), "_gram", "left")
+    rarest = held.groupBy("_name").agg(F.min_by("_gram", F.struct(F.coalesce("_texts", F.lit(0)), F.col("_gram"))).alias("_gram"))
+    like = F.concat(F.lit("%"), F.replace(F.col("_name"), F.lit("\\"), F.lit("\\\\")), F.lit("%"))
+    return found.join(rarest, "_gram").join(texts, "_id").filter(F.call_function("like", F.col("_text"), like)).select("_text", "_name")
 
 
 def rows_written(task_events: DataFrame, history: DataFrame) -> DataFrame:
