@@ -328,6 +328,11 @@ S8_SQL_BODY = """select * from (
  select * exclude (container), case when part_size < 25 then 'S' else 'L' end as size_band from fx_part where part_key % 3 = 0)"""
 
 
+def s4_view_sink(spark, sf_dir):
+    """The stored silver customers, read through the registered view."""
+    return spark.table(built(spark, sf_dir, "tpch").store.view("silver_customer"))
+
+
 def s9_clustered_layout(spark, sf_dir):
     """Per ship month of the two month-clustered line tables: rows, and how many of the files that hold them also
     hold another month."""
@@ -368,6 +373,7 @@ OPS = {
     "d5_unique_combination": (d5_unique_combination, lambda: d_sql("unique_combination")),
     "d6_quality_suite": (d6_quality_suite, d6_sql),
     "h5_scd2_hard_deletes": (h5_scd2_hard_deletes, lambda: O.sql_for("select * from hsc_2")),
+    "s4_view_sink": (s4_view_sink, lambda: O.sql_for("select * from scu_2")),
     "s8_schema_sync": (s8_schema_sync, lambda: O.sql_for(S8_SQL_BODY)),
     "s9_clustered_layout": (s9_clustered_layout, lambda: O.sql_for(S9_SQL_BODY)),
     "h_scd2_new_column": (h_scd2_new_column, lambda: O.sql_for("select * from hnv_2")),
@@ -382,6 +388,7 @@ for _n in ("l1_run_rollup", "l2_flatten_results", "l3_infer_layer", "l4_base_mod
 # batch stamps (``_loaded_at``) as in the models.
 from ..functions import exprs as X  # noqa: E402
 from ..operators.dedup import dedup_latest  # noqa: E402
+from ..operators.distinct import sums_and_distincts  # noqa: E402
 from ..operators.incremental import append_new, lookback, newer_than  # noqa: E402
 
 
@@ -432,9 +439,8 @@ def s7_merge_composite_key(spark, sf_dir):
 
 
 def a5_multi_count_distinct(spark, sf_dir):
-    return _fx(spark, sf_dir, "fx_raw_order_items").groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("items"), F.countDistinct("product_id").alias("distinct_products"),
-        F.countDistinct("seller_id").alias("distinct_sellers"))
+    return sums_and_distincts(_fx(spark, sf_dir, "fx_raw_order_items"), "order_id", {"items": F.lit(1)},
+                              {"distinct_products": "product_id", "distinct_sellers": "seller_id"})
 
 
 def x3_initcap(spark, sf_dir):

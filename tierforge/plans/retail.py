@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators.calendar import calendar
 from ..operators.dedup import dedup_latest
+from ..operators.distinct import sums_and_distincts
 from ..operators.incremental import merge_upsert, newer_than
 from ..operators.scd2 import scd2_apply
 
@@ -162,13 +163,10 @@ def fct_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, target:
         F.countDistinct("payment_type").alias("payment_type_count"),
         F.max(F.when(F.col("is_credit_card"), 1).otherwise(0)).alias("has_credit_card"),
     )
-    i = items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("item_count"),
-        F.sum("price").alias("total_items_price"),
-        F.sum("freight_value").alias("total_freight_value"),
-        F.sum("total_item_value").alias("total_order_value"),
-        F.countDistinct("product_id").alias("distinct_products"),
-        F.countDistinct("seller_id").alias("distinct_sellers"),
+    i = sums_and_distincts(
+        items, "order_id",
+        {"item_count": F.lit(1), "total_items_price": F.col("price"), "total_freight_value": F.col("freight_value"), "total_order_value": F.col("total_item_value")},
+        {"distinct_products": "product_id", "distinct_sellers": "seller_id"},
     )
     z = F.lit(0)
     out = o.join(i, "order_id", "left").join(p, "order_id", "left").select(

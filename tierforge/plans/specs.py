@@ -195,4 +195,5 @@ _COLUMNS = {
         "customer_key bigint, customer_name string, customer_address string, nation_key int, customer_phone string, account_balance double, "
         "_loaded_at ts, tier string, market_segment string, scd_id string, updated_at ts, valid_from ts, valid_to ts",
 }
+_COLUMNS["s4_view_sink"] = _COLUMNS["m19_silver_customer"]
 SPECS = {query: [tuple(c.split(" ")) for c in columns.split(", ")] for query, columns in _COLUMNS.items()}
