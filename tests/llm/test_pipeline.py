@@ -60,3 +60,26 @@ def test_awkward_documents(shipped, awkward):
     for name, stage in corpus_pipeline.STAGES:
         empty = stored(stage(shipped, empty, SF), "test-stage")
     assert empty.count() == 0
+
+
+def test_clashing_columns(shipped, docs):
+    """Extra columns named like those that the stages make: each stage keeps them and gives the same rows."""
+    names = ("__kept", "_kept", "__fp", "__root", "__id", "__hash", "__edits", "__n", "__times", "_id", "_body", "_n", "fp", "row", "size", "TEXT", "_aside_0")
+    wide = docs.selectExpr("*", *[f"'{i}' as `{c}`" for i, c in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(shipped, wide, SF)
+        assert out.columns == wide.columns, name
+        got = out.collect()
+        assert all(tuple(r)[5:] == tuple(map(str, range(len(names)))) for r in got)
+        assert sorted(str(tuple(r)[:5]) for r in got) == sorted(str(tuple(r)) for r in stage(shipped, docs, SF).collect()), name
+
+
+def test_repeated_rows_and_ids(shipped):
+    """Of equal rows one stays; of one id with two texts the smaller hash; a null id gives way."""
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, long), (1, long), (2, long), (None, long), (3, "other " + long[::-1]), (3, "other " + long[::-1]), (None, "a lone one"), (5, None), (6, ""), (6, None)]
+    table = shipped.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    from tierforge.llm import simhash
+
+    out = [r["doc_id"] for r in simhash.one_per_component(table).collect()]
+    assert sorted(map(str, out)) == ["1", "3", "5", "None"]

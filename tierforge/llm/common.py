@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import discard, stored
 
-__all__ = ["connected_components", "discard", "in_fold", "read", "stored"]
+__all__ = ["connected_components", "discard", "in_fold", "read", "set_aside", "stored"]
+
 
+def set_aside(df: DataFrame, *keep: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` whose columns but ``keep`` have names that no operator uses, and how a frame of these columns gets them back."""
+    names, seen = df.columns, set()
+    inner = []
+    for i, c in enumerate(names):
+        inner.append(c if c in keep and c not in seen else f"_aside_{i}")
+        seen.add(c)
+    return df.toDF(*inner), lambda out: out.toDF(*names)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import set_aside, stored
 
 BLOCK = 128
 RANGES = 64  # range partitions of the table of sources
@@ -175,20 +175,22 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     Equal documents (same id, source and size) share what they take: each row of theirs comes ``copies / rows`` times, the
     first ones once more; a text of no words comes once.
     """
+    plain, restored = set_aside(docs, doc_id, text, source)
     size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("bigint")
-    taken = mixed(docs, doc_id, text, source, **options)
+    taken = mixed(plain, doc_id, text, source, **options)
     plan = taken.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__n"))
     plan = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "__copies", "__n")
     one, many = plan.filter("__n = 1 and __copies > 0"), plan.filter("__n > 1")
     same = F.col(doc_id).eqNullSafe(F.col("__id")) & F.col(source).eqNullSafe(F.col("__source")) & (F.col("__rowsize") == F.col("__size"))
-    rows = docs.withColumn("__rowsize", size).join(one.union(many), same)
-    single = rows.filter("__n = 1").select(*docs.columns, F.col("__copies").alias("__times"))
+    rows = plain.withColumn("__rowsize", size).join(one.union(many), same)
+    single = rows.filter("__n = 1").select(*plain.columns, F.col("__copies").alias("__times"))
     # Equal rows are one with a count (combined before the shuffle); the rest of the division goes to the first rows.
-    group = [*docs.columns, "__id", "__source", "__size", "__copies", "__n"]
+    group = [*plain.columns, "__id", "__source", "__size", "__copies", "__n"]
     shared = rows.filter("__n > 1").groupBy(*group).agg(F.count(F.lit(1)).alias("__m"))
     order = W.partitionBy("__id", "__source", "__size").orderBy(F.xxhash64(text)).rowsBetween(W.unboundedPreceding, 0)
     last = F.sum("__m").over(order)
     rest = F.pmod(F.col("__copies"), F.col("__n"))
     extra = F.least(last, rest) - F.least(last - F.col("__m"), rest)
-    shared = shared.withColumn("__times", F.col("__m") * F.floor(F.col("__copies") / F.col("__n")) + extra).select(*docs.columns, "__times")
-    return single.union(shared).filter("__times > 0").withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*docs.columns)
+    shared = shared.withColumn("__times", F.col("__m") * F.floor(F.col("__copies") / F.col("__n")) + extra).select(*plain.columns, "__times")
+    out = single.union(shared).filter("__times > 0").withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).select(*plain.columns)
+    return restored(out)

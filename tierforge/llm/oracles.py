@@ -61,30 +61,30 @@ WITH docs AS (
          substr(t, greatest(s - 100, 0) + 1, s - greatest(s - 100, 0)) AS left0,
          CASE WHEN e + 100 < length(t) THEN regexp_replace(substr(t, e + 1, 100), '\p{L}+$', '') ELSE substr(t, e + 1, 100) END AS rgt
   FROM base JOIN docs USING (r)
-), cut AS (
-  SELECT *, CASE WHEN low0 > 0 THEN length(regexp_extract(left0, '^\p{L}+')) ELSE 0 END AS c FROM mentions
-), chunks AS (
-  SELECT m, r, entity, low0 + c AS origin, substr(left0, c + 1) AS chunk, substr(left0, c + 1) AS lft, rgt FROM cut
-  UNION ALL SELECT m, r, entity, high, rgt, substr(left0, c + 1), rgt FROM cut
-), parts AS (
-  SELECT *, unnest(range(1, len(ms) + 1)) AS i
-  FROM (SELECT row_number() OVER () AS k, *, regexp_extract_all(chunk, '\p{L}{4,}') AS ms, string_split_regex(chunk, '\p{L}{4,}') AS gaps FROM chunks)
+), around AS (
+  SELECT r, entity, substr(left0, CASE WHEN low0 > 0 THEN length(regexp_extract(left0, '^\p{L}+')) ELSE 0 END + 1) AS lft, rgt FROM mentions
+), runs AS (
+  SELECT r, regexp_extract_all(t, '\p{L}{2,}') AS ms, string_split_regex(t, '\p{L}{2,}') AS gaps FROM docs WHERE r IN (SELECT r FROM base)
 ), terms AS (
-  SELECT r, entity, lft, rgt, lower(ms[i]) AS term, length(ms[i]) AS n, origin + sum(length(gaps[i]) + length(ms[i])) OVER (PARTITION BY k ORDER BY i) AS e FROM parts
-), near AS (
-  SELECT r, entity, lft, rgt, term, (e - n)::BIGINT AS s, e::BIGINT AS e FROM terms
+  SELECT r, lower(v) AS term, length(v) AS n, sum(length(gap) + length(v)) OVER (PARTITION BY r ORDER BY i) AS e
+  FROM (SELECT r, i, ms[i] AS v, gaps[i] AS gap FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM runs))
+), free AS (
+  SELECT r, term, (e - n)::BIGINT AS s, e::BIGINT AS e FROM terms
   WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = terms.r AND b.s < terms.e AND b.e > terms.e - terms.n)
+), held AS (
+  SELECT DISTINCT r, term FROM free
 ), pairs AS (
-  SELECT entity, term, count(DISTINCT r) AS both_n FROM near GROUP BY entity, term HAVING count(DISTINCT (lft, rgt)) >= 3
+  SELECT entity, term, count(DISTINCT r) AS both_n FROM around JOIN held USING (r) GROUP BY entity, term HAVING count(DISTINCT (lft, rgt)) >= 3
 ), entities AS (
   SELECT entity, count(DISTINCT r) AS e_n FROM mentions GROUP BY entity
 ), words AS (
-  SELECT term, count(*) AS t_n FROM (SELECT r, unnest(list_distinct(list_transform(regexp_extract_all(t, '\p{L}{4,}'), lambda x: lower(x)))) AS term FROM docs) GROUP BY term
+  SELECT term, count(*) AS t_n FROM (SELECT r, unnest(list_distinct(list_transform(regexp_extract_all(t, '\p{L}{2,}'), lambda x: lower(x)))) AS term FROM docs) GROUP BY term
 ), strong AS (
   SELECT entity, term FROM pairs JOIN entities USING (entity) JOIN words USING (term), (SELECT greatest(1, count(*))::DOUBLE AS n FROM docs)
   WHERE e_n < n AND log2(both_n * n / (e_n * t_n)) / log2(n / e_n) >= 0.9
 ), found AS (
-  SELECT r, kind, name, s, e FROM base UNION ALL SELECT DISTINCT r, 4, 'term', s, e FROM near JOIN strong USING (entity, term)
+  SELECT r, kind, name, s, e FROM base
+  UNION ALL SELECT DISTINCT r, 4, 'term', s, e FROM free JOIN (SELECT DISTINCT r, entity FROM mentions) USING (r) JOIN strong USING (entity, term)
 ), summed AS (
   SELECT r, string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind, e) AS spans,
          coalesce(string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind, e) FILTER (kind < 4), '') AS base_spans,

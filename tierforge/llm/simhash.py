@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import connected_components, stored
+from .common import connected_components, set_aside, stored
 from .text import unsigned
 
 SHINGLE = 3
@@ -166,11 +166,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest doc_id, one row even if
-    that row is repeated; columns as they were."""
-    fp, root, least = "__fp", "__root", "__least"
-    ids = stored(with_fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shingle).drop("text"), "simhash-docs")
-    found = near_components(ids, distance=distance).select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("component_id").alias(least))
-    marked = with_fingerprints(docs, shingle, text, fp)
-    return (
-        marked.join(found, fp).filter(F.col(doc_id).eqNullSafe(F.col(least))).dropDuplicates([root]).select(*docs.columns)
-    )
+    that row is repeated; columns as they were, whatever their names. Null and empty texts are alike, a null id
+    stays only where a component has no other; an empty table gives an empty table."""
+    plain, restored = set_aside(docs, doc_id, text)
+    body = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    slim = plain.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), body.alias("body"))
+    ids = stored(with_fingerprints(slim, shingle).drop("text"), "simhash-docs")
+    # of a component's rows with the smallest id the one of the smallest text hash; those that are repeated are made one
+    found = near_components(ids, distance=distance)
+    first = ids.join(found, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(F.min("body").alias("body"))
+    n = ids.groupBy("doc_id", "body").agg(F.count(F.lit(1)).alias("n")).toDF("_id", "_body", "_n")
+    stay = first.join(n, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body"))).select("_id", "_body", "_n")
+    stay = stored(stay, "simhash-stay")
+    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (body == F.col("_body"))
+    kept = plain.join(stay, same)
+    return restored(kept.filter("_n = 1").union(kept.filter("_n > 1").dropDuplicates(["_id", "_body"])).select(*plain.columns))

@@ -222,11 +222,8 @@ def _judge_strings(table: pa.Table) -> pa.Table:
     keys = [unpack_keys(p[0]) for p in parts]
     twice, other = (np.concatenate([unpack(p[i], k) for p in parts]) for i, k in ((1, bool), (2, np.uint32)))
     key = np.concatenate(keys)
-    by = np.lexsort((other, key))
-    new = np.concatenate(([True], (key[by][1:] != key[by][:-1]) | (other[by][1:] != other[by][:-1])))
-    group = np.empty(len(key), np.int64)
-    group[by] = np.cumsum(new) - 1
-    n = np.bincount(group) + np.bincount(group, twice)
+    _, n, group = _grouped(key, other)
+    n = n + np.bincount(group, twice, len(n))
     return _returned(table, 4, np.arange(table.num_rows), [len(k) for k in keys], n[group] > 1)
 
 
@@ -278,6 +275,16 @@ def _refine(length: int):
     return work
 
 
+def _grouped(keys: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal strings, by both hashes: a place of each in order, how many there are, and the group of each place."""
+    order = np.lexsort((other, keys))
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[order][1:] != keys[order][:-1]) | (other[order][1:] != other[order][:-1])
+    group = np.empty(len(keys), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return order[new], np.bincount(group, minlength=int(new.sum())), group
+
+
 def _send_strings(bits: int, length: int):
     """The open strings of each block's unsettled documents."""
 
@@ -286,7 +293,8 @@ def _send_strings(bits: int, length: int):
             for number, data in zip(batch.column(0).to_pylist(), batch.column(3)):
                 dumped, _, _, first, last = pickle.loads(data.as_py())
                 _, keys, other = _strings(Texts.loaded(*dumped), unpack(first, np.int64), unpack(last, np.int64), length)
-                unique, at, n = np.unique(keys, return_index=True, return_counts=True)
+                at, n, _ = _grouped(keys, other)
+                unique = keys[at]
                 cut = cuts(unique, bits)
                 yield batch_of([row(number, 3, s, pickle.dumps((pack_keys(unique[a:b]), pack(n[a:b] > 1), pack(other[at[a:b]]))))
                                 for s, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a])
@@ -299,8 +307,8 @@ def _finish(length: int):
         dumped, *packed = _payload(rows, 6)
         texts = Texts.loaded(*dumped)
         known_first, known_last, first, last = (unpack(x, np.int64) for x in packed)
-        where, keys, _ = _strings(texts, first, last, length)
-        again = gather(rows, 4, bool)[np.unique(keys, return_inverse=True)[1]]
+        where, keys, other = _strings(texts, first, last, length)
+        again = gather(rows, 4, bool)[_grouped(keys, other)[2]]
         where = where[again]
         return texts.results(np.arange(len(texts.ids)), np.concatenate((known_first, where)), np.concatenate((known_last, where)), length)
 

@@ -2,8 +2,8 @@
 
 A word is a maximal run of bytes outside ``[\\x20\\x09-\\x0D]`` (in UTF-8 these
 bytes never occur inside a longer character, so byte and code point words are
-the same). Strings are compared by 64-bit hashes of byte spans, all computed
-from one running sum, so any span costs the same however long it is.
+the same). Strings are compared by 62-bit hashes of byte spans, computed from
+running sums, so any span costs the same however long it is.
 """
 
 from __future__ import annotations
@@ -20,10 +20,11 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_MULT = _U(0x9E3779B97F4A7C15 | 1)
-_INV = _U(pow(int(_MULT), -1, 2**64))
-_POWERS: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
+_PRIME = _U((1 << 31) - 1)
+_RANDOM = np.random.default_rng(20240229)
+# two hashes modulo the prime: the values of the bytes, and the base
+_FIELDS = [(_RANDOM.integers(1, int(_PRIME), 256, dtype=np.uint64), int(_RANDOM.integers(1 << 20, int(_PRIME)))) for _ in range(2)]
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,28 +58,47 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        n = max(n, STEP_BYTES + 1)
-        for k, base in enumerate((_MULT, _INV)):
-            p = np.full(n, base, _U)
-            p[0] = 1
-            _POWERS[k] = np.multiply.accumulate(p)
-    return _POWERS[0], _POWERS[1]
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Remainders by the prime of numbers below 2^62."""
+    for _ in range(2):
+        high = x >> _U(31)
+        x = x & _PRIME
+        x += high
+    return np.minimum(x, x - _PRIME)  # below the prime the difference wraps
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """At least the first ``n`` powers of ``base``."""
+    have = _POWERS.get(base, np.ones(1, np.uint32))
+    while len(have) < n:
+        have = np.concatenate((have, _folded(have * _U(pow(base, len(have), int(_PRIME)))).astype(np.uint32)))
+    _POWERS[base] = have
+    return have
 
 
 class Spans:
-    """Hashes of byte spans of one buffer."""
+    """Hashes of byte spans of one buffer: two polynomials modulo a prime, 62 bits, whose bases know no bad texts."""
 
-    def __init__(self, data: np.ndarray, salt: int = 0):
+    def __init__(self, data: np.ndarray):
         n = len(data)
-        up, self._down = _powers(n + 1)
-        table = _BYTE if not salt else mix(_BYTE + _U(salt)) | _U(1)
-        self._sum = np.zeros(n + 1, _U)
-        np.cumsum(table[data] * up[:n], out=self._sum[1:])
+        self._sums, self._down = [], []
+        for values, base in _FIELDS:
+            terms = values[data] * _powers(base, n + 1)[:n]
+            high = terms >> _U(31)
+            terms &= _PRIME
+            terms += high
+            total = np.zeros(n + 1, _U)
+            np.cumsum(terms, out=total[1:])
+            self._sums.append(_folded(total).astype(np.uint32))
+            self._down.append(_powers(pow(base, -1, int(_PRIME)), n + 1))
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self._sum[ends] - self._sum[starts]) * self._down[starts] + (ends - starts).astype(_U))
+        out = mix((ends - starts).astype(_U))
+        for sums, down, up in zip(self._sums, self._down, (_U(32), _U(0))):
+            x = _folded(sums[ends] + _PRIME - sums[starts])
+            x *= down[starts]
+            out ^= _folded(x) << up
+        return mix(out)
 
 
 class Words:
