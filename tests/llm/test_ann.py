@@ -68,3 +68,25 @@ def test_few_and_none(shipped):
     rows = [(0, [1.0, 0.0], "s", 1), (1, [1.0, 1.0], "s", 1)]
     assert run(shipped.createDataFrame(rows, SCHEMA))[0] == [(1, 1 / np.sqrt(2))] or abs(run(shipped.createDataFrame(rows, SCHEMA))[0][0][1] - 2**-0.5) < 1e-12
     assert run(shipped.createDataFrame(rows[:1], SCHEMA)) == {} and run(shipped.createDataFrame([], SCHEMA)) == {}
+
+
+def test_five_neighbours_wherever_there_are_five(shipped):
+    """Few vectors and wide ones, with the defaults: buckets that hold too little are made up for, exactly."""
+    rng = np.random.default_rng(8)
+    for n, dim, step in ((6, 64, 50), (6, 1024, 50), (40, 1024, 1), (4, 64, 50), (120, 300, 7)):
+        ids, x = np.arange(n) * step, rng.normal(size=(n, dim))
+        table = shipped.createDataFrame([(int(i), [float(v) for v in row], "s", 1) for i, row in zip(ids, x)], "vec_id long, embedding array<double>, score string, rank int")
+        got, want = run(table), exact(ids, x)
+        assert set(got) == set(want)
+        for q, w in want.items():
+            assert len(got[q]) == len(w) == min(5, n - 1)
+            if n <= 40:
+                assert [v for v, _ in got[q]] == [v for v, _ in w]
+
+
+def test_short_queries_meet_blocks(shipped):
+    """The search for short queries in blocks of a few vectors equals the whole."""
+    rng = np.random.default_rng(9)
+    ids, x = np.arange(30) * 10, rng.normal(size=(30, 512))
+    table = shipped.createDataFrame([(int(i), [float(v) for v in row], "s", 1) for i, row in zip(ids, x)], "vec_id long, embedding array<double>, score string, rank int")
+    assert {q: [v for v, _ in w] for q, w in run(table, tables=1, probes=1, chunk=4).items()} == {q: [v for v, _ in w] for q, w in exact(ids, x).items()}

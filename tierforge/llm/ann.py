@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -133,8 +133,9 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "
     """query_id, rank, vec_id, score: the ``k`` nearest found for each row that ``is_query`` marks.
 
     Vectors that are null, zero or hold null or non-finite components take no part, nor do rows without an id or of
-    another dimension than most. Of repeated rows (same id and vector) one counts. Ties go to the smaller id. A table
-    of fewer than ``k`` other vectors gives what there is; an empty one gives no row.
+    another dimension than most. Of repeated rows (same id and vector) one counts. Ties go to the smaller id. A query
+    whose buckets hold fewer than ``k`` others is compared with all vectors, in blocks. A table of fewer than ``k`` other vectors
+    gives what there is; an empty one gives no row.
     """
     cast = F.col(vector).cast("array<double>")
     fit = F.forall(cast, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(cast, lambda x: x != 0)
@@ -167,7 +168,25 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "
     slim = entries.select("entry", "vector")
     both = (left.join(slim, "entry").select(*keys, "entry", "vector", F.lit(0).alias("query"))
             .union(right.join(slim, "entry").select(*keys, "entry", "vector", F.lit(1).alias("query"))))
-    met = both.groupBy(*keys).applyInArrow(_meet(dim, k + 1), "asking bigint, entry bigint, score double")
+    found = stored(_nearest(both.groupBy(*keys), dim, entries, queries, k), "ann-found")
+    enough = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
+    short = stored(queries.join(enough, "query_id", "left_anti"), "ann-short")
+    if short.isEmpty():
+        return found
+    blocks = lambda df: -(-df.count() // chunk) or 1
+    ask = short.select("entry").distinct().join(slim, "entry")
+    parts, groups = F.lit(blocks(entries)), F.lit(blocks(ask))
+    mine = lambda n: F.pmod(F.xxhash64("entry"), n).cast("int")
+    left = slim.withColumn("part", mine(parts)).withColumn("group", F.explode(F.sequence(F.lit(0), groups - 1)))
+    right = ask.withColumn("group", mine(groups)).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    both = left.select("part", "group", "entry", "vector", F.lit(0).alias("query")).union(right.select("part", "group", "entry", "vector", F.lit(1).alias("query")))
+    rest = _nearest(both.groupBy("part", "group"), dim, entries, short, k)
+    return found.join(short, "query_id", "left_anti").union(rest)
+
+
+def _nearest(met: GroupedData, dim: int, entries: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """query_id, rank, vec_id, score of ``queries``, from chunks in which they meet entries."""
+    met = met.applyInArrow(_meet(dim, k + 1), "asking bigint, entry bigint, score double")
     met = met.groupBy("asking", "entry").agg(F.max("score").alias("score"))
     near = W.partitionBy("asking").orderBy(F.desc("score"), "entry")
     met = met.withColumn("place", F.row_number().over(near)).filter(F.col("place") <= k + 1).drop("place")
