@@ -1,5 +1,9 @@
+import collections
+import itertools
+import math
 import zlib
 
+import numpy as np
 import pytest
 from .brute import AWKWARD
 from pyspark.sql import functions as F
@@ -59,3 +63,60 @@ def test_sets_of_all_languages(shipped, model):
     rows = {r["doc_id"]: r for r in L.predicted(table, model).collect()}
     found = {i: {x.split(":")[0] for x in r["langs"].split(",")} for i, r in rows.items()}
     assert found == {1: set(model.langs), 2: set(model.langs[:3]), 3: {model.langs[0]}} and rows[1]["score"] < 0.4
+
+
+def plain_mixture(text, counts):
+    """The set of languages, of all sets, with the largest likelihood less the penalty, by plain EM over its 4-grams; and its shares."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    _, bucket = L.grams(data, np.array([0, len(data)]), L.GRAM_BITS)
+    times = collections.Counter(bucket.tolist())
+    n = sum(times.values())
+    chance = {x: {g: (c.get(g, 0) + L.SMOOTH) / (sum(c.values()) + L.SMOOTH * 2**L.GRAM_BITS) for g in times} for x, c in counts.items()}
+    best = (-math.inf, None, None)
+    for size in range(1, len(counts) + 1):
+        for langs in itertools.combinations(sorted(counts), size):
+            share = dict.fromkeys(langs, 1 / size)
+            for _ in range(60):
+                new = dict.fromkeys(langs, 0.0)
+                for g, t in times.items():
+                    whole = sum(share[x] * chance[x][g] for x in langs)
+                    for x in langs:
+                        new[x] += t * share[x] * chance[x][g] / whole / n
+                share = new
+            likely = sum(t * math.log(sum(share[x] * chance[x][g] for x in langs)) for g, t in times.items())
+            value = likely - (size - 1) * L.PENALTY * 0.5 * math.log(max(n, 2))
+            if value > best[0]:
+                best = (value, langs, share)
+    return best[1], best[2]
+
+
+def test_against_every_set_of_languages(shipped):
+    """Chosen sets and proportions against plain EM over all sets: pure texts, mixtures of two to four, short and repeated ones."""
+    docs = shipped.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = L.learned(docs)
+    counts = collections.defaultdict(collections.Counter)
+    for r in docs.filter("lang is not null").collect():
+        data = np.frombuffer((r["text"] or "").encode(), np.uint8)
+        counts[r["lang"]].update(L.grams(data, np.array([0, len(data)]), L.GRAM_BITS)[1].tolist())
+    long = docs.filter("length(text) > 2000").orderBy("doc_id").collect()
+    part = {x: next(r["text"] for r in long if r["lang"] == x) for x in model.langs}
+    texts = [part[x][:k] for x in model.langs for k in (40, 300, 900)]
+    texts += [part[a][:500] + " " + part[b][:250] for a, b in itertools.permutations(model.langs, 2)]
+    texts += [" ".join(part[x][:400] for x in model.langs[:3]), " ".join(part[x][:400] for x in model.langs), "the the the the"]
+    rows = {r["doc_id"]: r for r in L.predicted(shipped.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, t in enumerate(texts):
+        langs, share = plain_mixture(t, counts)
+        assert {x.split(":")[0] for x in rows[i]["langs"].split(",")} == set(langs), (i, rows[i]["langs"], share)
+        assert rows[i]["lang_pred"] == max(langs, key=lambda x: share[x]) and abs(rows[i]["score"] - max(share.values())) < 0.03
+
+
+def test_many_languages_leave_predictions_as_they_are(shipped, model):
+    """200 more languages of other letters: the same hash width, the same answers."""
+    docs = shipped.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    more = [(f"zz{i:03}", " ".join(chr(0x3400 + 20 * i + (7 * j) % 19) * 3 for j in range(60))) for i in range(200)]
+    learned = shipped.read.parquet("/root/testdata/sf0.01/documents.parquet").select("lang", "text")
+    wide = L.learned(learned.union(shipped.createDataFrame(more, "lang string, text string")))
+    assert len(wide.langs) == 204
+    few = docs.limit(40)
+    a, b = ({r["doc_id"]: r["lang_pred"] for r in L.predicted(few, m).collect()} for m in (model, wide))
+    assert a == b

@@ -17,10 +17,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import steps, utf8
+from .text import STEP_BYTES, steps, utf8
 
-GRAM_BITS = 16  # hash buckets of the 4-grams, fewer beyond CELLS / 2**GRAM_BITS languages
-CELLS = 1 << 22  # bound of buckets x languages, and so of what is broadcast (32 MB)
+GRAM_BITS = 16  # hash buckets of the 4-grams
+WIDE = 64  # languages beyond which a step holds fewer texts, by so much more
 ROUNDS = 10
 PENALTY = 4.0  # times half the logarithm of the number of 4-grams, per further language
 SMOOTH = 0.5
@@ -69,9 +69,24 @@ def _counted(bits: int):
 
 
 class Model:
-    def __init__(self, langs: list[str], counts: np.ndarray):
-        self.langs, self.bits = langs, int(counts.shape[0]).bit_length() - 1
-        self.chance = ((counts + SMOOTH) / (counts.sum(axis=0) + SMOOTH * len(counts))).astype(np.float32)
+    """Languages and the chances of 4-gram buckets: what a bucket that a language never showed has, and what the counted ones
+    have beyond that, by bucket."""
+
+    def __init__(self, langs: list[str], lang: np.ndarray, bucket: np.ndarray, n: np.ndarray, bits: int = GRAM_BITS):
+        self.langs, self.bits = langs, bits
+        total = np.bincount(lang, n, len(langs)) + SMOOTH * (1 << bits)
+        order = np.argsort(bucket, kind="stable")
+        self.unseen = (SMOOTH / total).astype(np.float32)
+        self.lang, self.chance = lang[order], (n[order] / total[lang[order]]).astype(np.float32)
+        self.begin = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
+
+    def chances(self, bucket: np.ndarray) -> np.ndarray:
+        """A row for each bucket, a column for each language."""
+        out = np.tile(self.unseen, (len(bucket), 1))
+        size = self.begin[bucket + 1] - self.begin[bucket]
+        at = np.repeat(self.begin[bucket] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        out[np.repeat(np.arange(len(bucket)), size), self.lang[at]] += self.chance[at]
+        return out
 
     def mixtures(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Proportions of the chosen languages (rows of zeros: no 4-gram)."""
@@ -82,7 +97,7 @@ class Model:
             return out
         cell, times = np.unique(doc.astype(np.uint64) << np.uint64(self.bits) | bucket, return_counts=True)
         doc = (cell >> np.uint64(self.bits)).astype(np.int64)
-        chance = self.chance[(cell & np.uint64((1 << self.bits) - 1)).astype(np.int64)]
+        chance = self.chances((cell & np.uint64((1 << self.bits) - 1)).astype(np.int64))
         begin = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
         size = np.diff(np.append(begin, len(doc)))
         times = times.astype(np.float32)
@@ -125,16 +140,9 @@ class Model:
 def learned(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """The model of all rows of ``docs`` whose lang is not null."""
     known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang is not null")
-    n_langs = known.select(F.count_distinct("lang")).first()[0]
-    bits = min(GRAM_BITS, max(8, (CELLS // max(1, n_langs)).bit_length() - 1))
-    rows = known.mapInArrow(_counted(bits), "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    names = np.array(rows["lang"].to_pylist(), object)
-    langs = sorted(set(names.tolist()))
-    counts = np.zeros((1 << bits, len(langs)))
-    place = {x: i for i, x in enumerate(langs)}
-    if len(langs):
-        counts[rows["bucket"].to_numpy(), np.array([place[x] for x in names])] = rows["n"].to_numpy()
-    return Model(langs, counts)
+    rows = known.mapInArrow(_counted(GRAM_BITS), "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    langs, lang = np.unique(np.array(rows["lang"].to_pylist(), str), return_inverse=True)
+    return Model(langs.tolist(), lang, rows["bucket"].to_numpy(), rows["n"].to_numpy().astype(np.float64))
 
 
 def predicted(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -149,7 +157,7 @@ def predicted(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
         model = shared.value
         for batch in batches:
             data, offs = utf8(batch.column(1))
-            for lo, hi in steps(offs):
+            for lo, hi in steps(offs, STEP_BYTES * WIDE // max(WIDE, len(model.langs))):
                 part, at = data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
                 shares = model.mixtures(part, at)
                 names, scores, sets = [], [], []
