@@ -46,14 +46,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
         parent = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("p")), "cc-parents")
         up = parent.select(F.col("a").alias("p"), F.col("p").alias("pp"))
         jump = stored(parent.join(up, "p").select("a", F.col("pp").alias("to")), "cc-jump")
-        nodes = stored(
+        mapped = stored(
             nodes.join(jump.withColumnRenamed("a", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root")),
             "cc-nodes",
         )
-        both = stored(
+        left = stored(
             both.join(jump.withColumnRenamed("to", "ra"), "a")
             .join(jump.select(F.col("a").alias("b"), F.col("to").alias("rb")), "b")
             .filter("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(),
             "cc-edges",
         )
+        for old in (parent, jump, both, nodes):
+            if "stored_at" in vars(old):
+                discard(old)
+        nodes, both = mapped, left
     return nodes
