@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierforge.llm import bpe, mixing, pii, quality, simhash
-from tierforge.llm.common import read, set_aside, stored
+from tierforge.llm.common import discard, read, set_aside, stored
 from tierforge.llm.queries import ship
 
 
@@ -57,5 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over ``documents``."""
     docs = read(ship(spark), sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        before, docs = docs, stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        if "stored_at" in vars(before):
+            discard(before)
     return docs
