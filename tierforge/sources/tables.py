@@ -149,7 +149,7 @@ class TableStore:
                 held = self._rows(name, {"schema": json.loads(df.schema.json()), "folder": folder}).select(*layout["keys"], F.col(PART).alias("month"))
                 self.write(f"{name}/months", held.dropna(subset=layout["keys"]), keys=layout["keys"])
         self._commit(name, old, folder, layout, df.schema, batch)
-        if old and folder == old["folder"] and hasattr(merge[1], "stored_at"):
+        if old and folder == old["folder"] and "stored_at" in vars(merge[1]):
             discard(merge[1])
         return self.read(name)
 
