@@ -232,6 +232,17 @@ def test_empty_tables(spark, tmp_path):
     assert store.exists("t") and store.read("t").count() == 0 and store.read("none") is None
     store.write("t", merge_upsert(store.read("t"), spark.range(2).selectExpr("id as k", "id as v"), ["k"]))
     assert store.read("t").count() == 2
+    none = spark.range(0).selectExpr("id as k", "id as v")
+    store.write("t", merge_upsert(store.read("t"), none, ["k"]))
+    store.append("t", none)
+    assert store.read("t").count() == 2 and store.rows_written["t"] == 0
+    dated = spark.range(3).selectExpr("id as k", "date'2024-01-05' as d")
+    store.write("m", dated, month_of="d", keys=["k"])
+    store.write("m", merge_upsert(store.read("m"), dated.filter("k > 9"), ["k"]))
+    history = scd2_apply(None, dated, "k", ["d"], "2024-01-01 00:00:00")
+    store.write("h", history, keys=["k"], open_until="valid_to")
+    store.write("h", scd2_apply(store.read("h"), dated, "k", ["d"], "2024-01-02 00:00:00"))
+    assert store.read("m").count() == store.read("h").count() == 3 and store.rows_written["m"] == store.rows_written["h"] == 0
 
 
 def landing(spark, tmp_path):
