@@ -182,7 +182,8 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     plan = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "__copies", "__n")
     one, many = plan.filter("__n = 1 and __copies > 0"), plan.filter("__n > 1")
     same = F.col(doc_id).eqNullSafe(F.col("__id")) & F.col(source).eqNullSafe(F.col("__source")) & (F.col("__rowsize") == F.col("__size"))
-    rows = plain.withColumn("__rowsize", size).join(one.union(many), same)
+    # both sides grow with the documents; the rows are used twice
+    rows = stored(plain.withColumn("__rowsize", size).join(one.union(many).hint("merge"), same), "mix-rows")
     single = rows.filter("__n = 1").select(*plain.columns, F.col("__copies").alias("__times"))
     # Equal rows are one with a count (combined before the shuffle); the rest of the division goes to the first rows.
     group = [*plain.columns, "__id", "__source", "__size", "__copies", "__n"]

@@ -179,5 +179,5 @@ def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     stay = first.join(n, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body"))).select("_id", "_body", "_n")
     stay = stored(stay, "simhash-stay")
     same = F.col(doc_id).eqNullSafe(F.col("_id")) & (body == F.col("_body"))
-    kept = plain.join(stay, same)
+    kept = stored(plain.join(stay.hint("merge"), same), "simhash-kept")  # both sides grow with the documents
     return restored(kept.filter("_n = 1").union(kept.filter("_n > 1").dropDuplicates(["_id", "_body"])).select(*plain.columns))
