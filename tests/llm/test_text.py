@@ -39,6 +39,13 @@ def test_equal_spans_have_equal_hashes():
     assert (Spans(np.concatenate(([7, 7, 7], data)).astype(np.uint8)).of(starts + 3, ends + 3) == h).all()
 
 
+def test_windows_are_spans():
+    data = np.random.default_rng(4).integers(0, 256, 500).astype(np.uint8)
+    for width in (1, 7, 50, 500):
+        at = np.arange(500 - width + 1)
+        assert (Spans(data).windows(width) == Spans(data).of(at, at + width)).all()
+
+
 def lines(shipped):
     a, b = thue_morse(4096), thue_morse(4096, "ba")
     texts = [f"{a}\n{b}\n{a}\nx", f"{a}\n{b}", f"{a} {b} x {b} {a} x {a} {b} x", thue_morse(4096, ("a ", "b ")) + "\n" + thue_morse(4096, ("b ", "a "))]

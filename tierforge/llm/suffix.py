@@ -60,8 +60,7 @@ class Piece:
         self.low, q = low, length // 4
         text = data[low:min(high + length - 1, len(data))]
         self.spans = Spans(text)
-        at = np.arange(len(text) - q + 1)
-        self.pointers = self.spans.of(at, at + q)
+        self.pointers = self.spans.windows(q)
         starts = np.arange(min(high - low, len(text) - length + 1))
         doc = np.searchsorted(offs, starts + low, "right") - 1
         self.starts = starts[starts + low + length <= offs[doc + 1]]

@@ -100,6 +100,16 @@ class Spans:
             out ^= _folded(x) << up
         return mix(out)
 
+    def windows(self, width: int) -> np.ndarray:
+        """The hashes of all spans of ``width`` bytes, from the first on; the same as ``of`` gives."""
+        n = len(self._sums[0]) - width
+        out = mix(np.full(1, width, _U))
+        for sums, down, up in zip(self._sums, self._down, (_U(32), _U(0))):
+            x = _folded(sums[width:] + _PRIME - sums[:n])
+            x *= down[:n]
+            out = (_folded(x) << up) ^ out
+        return mix(out)
+
 
 class Words:
     """Words of a run of documents: byte starts and ends, and ``first[d]``, the index of document d's first word."""
