@@ -113,3 +113,21 @@ def test_sample_of_skewed_and_partial_tables(shipped):
     assert len(got) == len(set(got)) == 101 and (7, "the hot text") in got
     assert K.training_sample(table, ids, most=60).count() == 60
     assert K.training_sample(table, ids, most=200, total=300).selectExpr("sum(length(text))").first()[0] <= 300
+
+
+def test_all_training_documents_are_learned(shipped):
+    """More training documents, and longer ones, than ``training_sample`` would take: every word of theirs is known to the model."""
+    table = shipped.range(4_600).selectExpr("id as doc_id", "concat('document number w', id) as text", "'en' as lang")
+    long = shipped.range(5_000, 5_002).selectExpr("id as doc_id", "concat(repeat('word ', 12000), 'z', id) as text", "'en' as lang")
+    docs = table.unionByName(long).repartition(3)
+    labels = docs.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    ids = {r["doc_id"] for r in K.trusted_ids(labels).filter("training").collect()}
+    copies = docs.unionByName(docs.filter("doc_id < 50"))
+    learned = copies.select("doc_id", "text").filter(K.F.col("doc_id").isin(*ids)).distinct()
+    rows = {r["doc_id"]: r for r in K.judged(copies, labels).collect()}
+    n, scores = K.trained(learned).scores(*utf8(pa.array([r["text"] for r in docs.orderBy("doc_id").collect()])))
+    for i, m, s in zip(sorted(rows), n, scores):
+        assert rows[i]["n_tokens"] == m and abs(math.log10(rows[i]["perplexity"]) + s / m) < 1e-4
+    known = [rows[i]["perplexity"] for i in rows if i < 4_600 and i in ids]
+    unknown = [rows[i]["perplexity"] for i in rows if i < 4_600 and i not in ids]
+    assert len(known) > 3_600 and max(known) < min(unknown)

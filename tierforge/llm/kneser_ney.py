@@ -1,32 +1,34 @@
-"""Quality by perplexity: an interpolated modified Kneser-Ney trigram model of trusted text.
+"""Quality by perplexity: an interpolated modified Kneser-Ney trigram model of all trusted text.
 
 Counts of the trusted text's trigrams, the continuation counts of its bigrams and words, their modified
 discounts (one for each of the counts 1, 2 and 3 or more, from counts of counts) and the contexts' backoff
 weights are Spark aggregates; trigrams are dealt by their context once and get its sums there. The probabilities of
-all n-grams come from joins of the count tables with those of the n-grams one word shorter: trigrams and bigrams
-sharded by hash, the words' tables broadcast. The trusted sample is bounded (``TRUSTED_DOCS`` documents of
-``TRUSTED_CHARS`` characters at most, ``TRUSTED_TOTAL`` in all), so the model is bounded too and is broadcast;
-every document of the corpus is scored, whole, where it lies. A document is kept if its perplexity is at most
-its language's threshold: the ``QUANTILE`` quantile of all trusted documents that the model has not seen, times ``SLACK``.
+all n-grams come from joins of the count tables with those of the n-grams one word shorter. All training documents
+are learned from, whole, so the model grows with them and stays a table: documents are packed into blocks of about
+``BLOCK`` tokens, a block sends its distinct n-grams of each order to the shards of the model and gets their
+probabilities and weights back (see ``blocks``). A document is kept if its perplexity is at most its language's threshold:
+the ``QUANTILE`` quantile of all trusted documents that the model has not seen, times ``SLACK``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import pack, pack_keys, unpack, unpack_keys
+from .blocks import ROW, batch_of, cuts, gather, pack, pack_keys, row, unpack, unpack_keys
 from .common import discard, stored
+from .katz import Block, _data, _pack_documents
 from .text import Spans, Words, lower, mix, signed, steps, unsigned, utf8
 
-TRUSTED_DOCS = 4_000
+TRUSTED_DOCS = 4_000  # bounds of ``training_sample``, which ``judged`` does not use
 TRUSTED_CHARS = 50_000
 TRUSTED_TOTAL = 16_000_000
+BLOCK = 1 << 19  # tokens
 QUANTILE = 0.99
 SLACK = 1.2
 FEWEST = 30  # trusted documents that a language's own quantile needs; with fewer, that of all languages holds
@@ -157,8 +159,9 @@ class Model:
         return np.bincount(doc, minlength=n), np.bincount(doc, p, n)
 
 
-def trained(trusted: DataFrame, text: str = "text") -> Model:
-    """The model of all rows of ``trusted`` (a bounded table)."""
+def probabilities(trusted: DataFrame, text: str = "text") -> tuple[DataFrame, float]:
+    """The model of all rows of ``trusted``: a stored table of n, what, key, v (log10 of the probabilities, ``what`` 0, of n-grams
+    of n words and of the weights, ``what`` 1, of contexts of n words), and log10 of the unknown word's probability."""
     raw = trusted.select(F.col(text).alias("text")).mapInArrow(_trigrams, "a bigint, b bigint, c bigint, n bigint")
     context = Window.partitionBy("a", "b")  # dealt once: counts, their context's sums and its first row in one shuffle
     sums = [F.sum("n").over(context).alias("total"), F.count(F.lit(1)).over(context).alias("types")]
@@ -173,44 +176,101 @@ def trained(trusted: DataFrame, text: str = "text") -> Model:
     unknown = lost / total / (types + 1)  # the words' lost mass is shared by all words and the unknown one
     p1 = one.select("c", (_less("n", d1) / total + unknown).alias("p1"))
     after_one = stored(_contexts(two, ["b"], d2), "kn-after-one")
-    p2 = two.join(F.broadcast(after_one), "b").join(F.broadcast(p1), "c")  # a row for each word of the bounded sample
-    p2 = p2.select("b", "c", (_less("n", d2) / F.col("total") + F.col("gamma") * F.col("p1")).alias("p2"))
+    p2 = two.join(after_one, "b").join(p1, "c")
+    p2 = stored(p2.select("b", "c", (_less("n", d2) / F.col("total") + F.col("gamma") * F.col("p1")).alias("p2")), "kn-p2")
     gamma = (F.col("n1") * d3[0] + F.col("n2") * d3[1] + (F.col("types") - F.col("n1") - F.col("n2")) * d3[2]) / F.col("total")
     after_two = three.filter("first").select("a", "b", gamma.alias("gamma"))
     own = three.select("a", "b", "c", (_less("n", d3) / F.col("total")).alias("own"), gamma.alias("gamma"))
     p3 = own.join(p2, ["b", "c"]).select("a", "b", "c", (F.col("own") + F.col("gamma") * F.col("p2")).alias("p3"))
 
-    def values(df: DataFrame, columns: list[str], value: str) -> tuple[np.ndarray, np.ndarray]:
-        got = df.select(*columns, F.log10(value).cast("float").alias("v")).mapInArrow(_keyed, "key bigint, v float").toArrow()
-        return unsigned(got["key"].to_numpy()), got["v"].to_numpy()
+    def keyed(df: DataFrame, columns: list[str], value: str, what: int) -> DataFrame:
+        rows = df.select(*columns, F.log10(value).cast("float").alias("v")).mapInArrow(_keyed, "key bigint, v float")
+        return rows.select(F.lit(len(columns)).alias("n"), F.lit(what).alias("what"), "key", "v")
 
-    model = Model({
-        "three": Table(values(p3, ["a", "b", "c"], "p3")),
-        "two": Table(values(p2, ["b", "c"], "p2"), values(after_two, ["a", "b"], "gamma")),
-        "one": Table(values(p1, ["c"], "p1"), values(after_one, ["b"], "gamma")),
-    }, np.log10(unknown))
-    for done in (three, two, one, after_one):
+    kinds = [(p3, ["a", "b", "c"], "p3", 0), (p2, ["b", "c"], "p2", 0), (after_two, ["a", "b"], "gamma", 1), (p1, ["c"], "p1", 0), (after_one, ["b"], "gamma", 1)]
+    grams = stored(reduce(DataFrame.union, [keyed(*k) for k in kinds]), "kn-model")
+    for done in (three, two, one, after_one, p2):
         discard(done)
-    return model
+    return grams, float(np.log10(unknown))
+
 
+def trained(trusted: DataFrame, text: str = "text") -> Model:
+    """The model of all rows of ``trusted``, a small table, in memory."""
+    grams, unknown = probabilities(trusted, text)
+    got = grams.toArrow()
+    discard(grams)
+    n, what, v = (got[c].to_numpy() for c in ("n", "what", "v"))
+    key = unsigned(got["key"].to_numpy())
+    of = lambda i, j: (key[(n == i) & (what == j)], v[(n == i) & (what == j)])
+    return Model({"three": Table(of(3, 0)), "two": Table(of(2, 0), of(2, 1)), "one": Table(of(1, 0), of(1, 1))}, unknown)
 
-def perplexities(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """doc_id, lang, n_tokens, perplexity of every row; a text without words has n_tokens 1 (its end)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
+def _ask(bits: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            data, offs = utf8(batch.column(2))
-            for lo, hi in steps(offs):
-                n, score = model.scores(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(10 ** (-score / n))],
-                    ["doc_id", "lang", "n_tokens", "perplexity"])
+            for number, data in zip(batch.column(0).to_pylist(), batch.column(3)):
+                for n, keys in enumerate(Block(data.as_py(), 3).keys, 1):
+                    cut = cuts(keys, bits)
+                    yield batch_of([row(number, n, s, pack_keys(keys[a:b])) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a])
+    return work
+
+
+def _reply(asked: pa.Table, model: pa.Table) -> pa.Table:
+    """All that the blocks ask of one shard of the n-grams of one length: values (kind 10 n) and weights (10 n + 1), NaN where there is none."""
+    key, what, v = unsigned(model["key"].to_numpy()), model["what"].to_numpy(), model["v"].to_numpy()
+    tables = []
+    for i in (0, 1):
+        order = np.argsort(key[what == i])
+        tables.append((key[what == i][order], v[what == i][order]))
+    out = []
+    for number, n, shard, data in zip(*(asked[c].to_pylist() for c in ("block", "kind", "shard", "data"))):
+        keys = unpack_keys(data)
+        for i, (known, values) in enumerate(tables):
+            if n == 3 and i == 1:
+                continue
+            back = np.full(len(keys), np.nan, np.float32)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = known[at] == keys
+                back[hit] = values[at[hit]]
+            out.append(row(number, 10 * n + i, shard, pack(back)))
+    return pa.Table.from_batches([batch_of(out)])
+
+
+def _judge(unknown: float):
+    def work(rows: pa.Table) -> pa.Table:
+        """Tokens and perplexity of a block's documents."""
+        block = Block(_data(rows), 3)
+        back = lambda kind: gather(rows, kind, np.float32)
+        p = back(30)[block.place[2]]
+        left = np.flatnonzero(np.isnan(p))
+        two = back(20)[block.place[1][left]]
+        weight = np.nan_to_num(back(21)[block.context[2][left]], nan=0.0)
+        rest = np.flatnonzero(np.isnan(two))
+        one = back(10)[block.place[0][left[rest]]]
+        two[rest] = np.where(np.isnan(one), np.float32(unknown), one) + np.nan_to_num(back(11)[block.context[1][left[rest]]], nan=0.0)
+        p[left] = two + weight
+        score = np.bincount(block.doc, p, len(block.counts))
+        doc_id, lang = block.ids.flatten()
+        return pa.table([doc_id, lang, pa.array(block.counts.astype(np.int64)), pa.array(10 ** (-score / block.counts))], ["doc_id", "lang", "n_tokens", "perplexity"])
+
+    return work
+
 
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    kinds = {f.name: f.dataType.simpleString() for f in slim.schema.fields}
-    return slim.mapInArrow(work, f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, n_tokens bigint, perplexity double")
+def perplexities(docs: DataFrame, grams: DataFrame, unknown: float, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", block: int = BLOCK) -> DataFrame:
+    """doc_id, lang, n_tokens, perplexity of every row under the model ``grams`` (see ``probabilities``), stored; a text without
+    words has n_tokens 1 (its end)."""
+    slim = docs.select(F.struct(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang")).alias("id"), F.col(text).alias("text"), F.lit(False).alias("held_out"))
+    bits = max(4, (2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    packed = stored(_pack_documents(slim, block), "kn-blocks")
+    model = grams.select(F.col("n").alias("kind"), F.shiftrightunsigned("key", 64 - bits).cast("int").alias("shard"), "what", "key", "v")
+    asked = packed.mapInArrow(_ask(bits), ROW).groupBy("kind", "shard")
+    back = asked.cogroup(model.groupBy("kind", "shard")).applyInArrow(_reply, ROW)
+    kinds = {f.name: f.dataType.simpleString() for f in slim.schema["id"].dataType.fields}
+    schema = f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, n_tokens bigint, perplexity double"
+    out = stored(packed.union(back).groupBy("block").applyInArrow(_judge(unknown), schema), "kn-perplexities")
+    discard(packed)
+    return out
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -222,7 +282,7 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def training_sample(docs: DataFrame, ids: DataFrame, most: int = TRUSTED_DOCS, chars: int = TRUSTED_CHARS, total: int = TRUSTED_TOTAL) -> DataFrame:
     """At most ``most`` different training documents of at most ``chars`` characters that ``docs`` has, ``total``
     characters in all: those of the smallest hashes of their ids, as far as their running sum of sizes goes.
-    A row that is repeated counts once."""
+    A row that is repeated counts once. For trials with ``trained``: ``judged`` learns from all training documents."""
     short = docs.select("doc_id", "text").filter(F.length("text") <= chars)
     print_of = F.xxhash64("text").alias("print")
     order = [F.xxhash64(F.lit(17), "doc_id"), "doc_id", "print"]
@@ -241,10 +301,11 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack
     ignored; a doc_id labelled twice is trusted if any of its labels trusts it. Without trusted documents there is no threshold (null) and every text with words is kept.
     """
     ids = trusted_ids(labels)
-    sample = training_sample(docs, ids)
-    rows = stored(perplexities(docs, trained(sample)), "kn-perplexities")
-    known = F.broadcast(sample.select("doc_id").distinct())  # TRUSTED_DOCS at most
-    seen = rows.join(ids, "doc_id", "left_semi").join(known, "doc_id", "left_anti").withColumn("log", F.log("perplexity"))
+    learned = docs.select("doc_id", "text").filter("text is not null").join(ids.filter("training").select("doc_id"), "doc_id", "left_semi")
+    grams, unknown = probabilities(learned.distinct())  # a row that is repeated counts once
+    rows = perplexities(docs, grams, unknown)
+    discard(grams)
+    seen = rows.join(ids, "doc_id", "left_semi").join(learned.select("doc_id").distinct(), "doc_id", "left_anti").withColumn("log", F.log("perplexity"))
     cut = F.percentile_approx("log", F.lit(quantile), F.lit(10_000)).alias("cut")
     every = seen.agg(cut.alias("every"))
     own = seen.groupBy("lang").agg(cut.alias("own"), F.count(F.lit(1)).alias("size")).filter(F.col("size") >= fewest)
