@@ -149,3 +149,28 @@ def test_declared_reads_are_those_of_the_models(spark):
                 except Exception:  # the tables lack columns; all are read before the first is used
                     pass
                 assert set(seen) - {name} == set(runner.READS.get(name, ())), name
+
+
+def test_domains_of_quality_queries_run_together(spark, tmp_path, monkeypatch):
+    """The tested tables come from both domains, whose runs don't wait for each other."""
+    import threading
+
+    from tierforge.plans import ops, runner
+
+    both = threading.Barrier(2, timeout=30)
+
+    class FakeRun:
+        def __init__(self, spark, sf_dir):
+            pass
+
+        def run(self, domains, only):
+            both.wait()  # broken if the other domain only starts after this one
+            self.domain = domains[0]
+            return self
+
+        def get(self, name):
+            return self.domain, name
+
+    monkeypatch.setattr(runner, "Run", FakeRun)
+    got = ops.clean_tables(spark, str(tmp_path), "dim_part", "dim_product")
+    assert got == {"dim_part": ("tpch", "dim_part"), "dim_product": ("retail", "dim_product")}
