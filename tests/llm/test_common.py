@@ -17,3 +17,9 @@ def test_shuffle_files_go_when_the_table_is_stored(shipped):
     assert not files() - before
     assert table.count() == 7 and shipped.conf.get(SHUFFLE_CLEANUP, None) == set_to
     discard(table)
+
+
+def test_stored_tables_have_no_marker(shipped):
+    table = stored(shipped.range(3).toDF("id"), "test")
+    assert not glob.glob(f"{table.stored_at.removeprefix('file:')}/_SUCCESS") and table.count() == 3
+    discard(table)

@@ -83,3 +83,12 @@ def test_repeated_rows_and_ids(shipped):
 
     out = [r["doc_id"] for r in simhash.one_per_component(table).collect()]
     assert sorted(map(str, out)) == ["1", "3", "5", "None"]
+
+
+def test_inputs_in_a_store_that_only_spark_reads(shipped, tmp_path):
+    text = "the quick brown fox and a lazy dog that have been to the river with all of their friends of the old town , " * 4
+    docs = shipped.createDataFrame([(i, f"{text} number {i}", "en", "s", 1) for i in range(6)], "doc_id long, text string, lang string, source string, n_chars int")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    shipped._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.tests.link./in", tmp_path.as_uri())
+    far, near = (corpus_pipeline.run(shipped, at).collect() for at in ("viewfs://tests/in", str(tmp_path)))
+    assert sorted(map(str, far)) == sorted(map(str, near))
