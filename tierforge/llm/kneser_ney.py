@@ -1,34 +1,42 @@
 """Quality by perplexity: an interpolated modified Kneser-Ney trigram model of all trusted text.
 
-Counts of the trusted text's trigrams, the continuation counts of its bigrams and words, their modified
-discounts (one for each of the counts 1, 2 and 3 or more, from counts of counts) and the contexts' backoff
-weights are Spark aggregates; trigrams are dealt by their context once and get its sums there. The probabilities of
-all n-grams come from joins of the count tables with those of the n-grams one word shorter. All training documents
-are learned from, whole, so the model grows with them and stays a table: documents are packed into blocks of about
-``BLOCK`` tokens, a block sends its distinct n-grams of each order to the shards of the model and gets their
-probabilities and weights back (see ``blocks``). A document is kept if its perplexity is at most its language's threshold:
+All training documents are learned from, whole, so the model grows with them and stays a table. Documents are packed into
+blocks of about ``BLOCK`` tokens. Training blocks send their distinct trigrams with counts to the shards of a hash range; a
+shard adds them up and says which one block answers for a trigram. These blocks send what their trigrams give the bigrams: the
+continuation counts of the last two words, and for the first two, the context, its sum and its numbers of followers seen
+once, twice and at all. The bigrams' sums give those of the words likewise. So the model is three tables of counts, bucketed
+by shard, with discounts (one for each of the counts 1, 2 and 3 or more, from counts of counts); no probability is stored:
+
+    p(c | a b) = own(a b c) + weight(a b) * (own(b c) + weight(b) * p(c)),  own = (n - discount) / sum of the context
+
+is made at each token from the counts of its n-grams and contexts, which the blocks of the documents ask of the shards
+(see ``blocks``), part of the documents by part: only one part's blocks and messages are on disk at a time, and the
+bucketed tables are not shuffled. A document is kept if its perplexity is at most its language's threshold:
 the ``QUANTILE`` quantile of all trusted documents that the model has not seen, times ``SLACK``.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
-from functools import cached_property, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import ROW, batch_of, cuts, gather, pack, pack_keys, row, unpack, unpack_keys
-from .common import discard, stored
-from .katz import Block, _data, _pack_documents
-from .text import Spans, Words, lower, mix, signed, steps, unsigned, utf8
+from .blocks import ROW, batch_of, cuts, pack, pack_keys, row, unpack, unpack_keys
+from .common import bucketed, discard, stored
+from .katz import Block, _data, _pack_documents, _sums
+from .text import Spans, Words, distinct, lower, mix
 
 TRUSTED_DOCS = 4_000  # bounds of ``training_sample``, which ``judged`` does not use
 TRUSTED_CHARS = 50_000
 TRUSTED_TOTAL = 16_000_000
 BLOCK = 1 << 19  # tokens
+SHARD = 1 << 25  # bytes of text for each shard of the hash range: what blocks send and ask follows the text, not the partitions
+PARTS = 6  # of the documents, which ask one part after the other: only one part's blocks and messages are on disk at a time
 QUANTILE = 0.99
 SLACK = 1.2
 FEWEST = 30  # trusted documents that a language's own quantile needs; with fewer, that of all languages holds
@@ -40,13 +48,8 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(mix(a) * _U(3) + b)
 
 
-def _tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes with an end after each document, the two words before each, and each token's document."""
-    data = lower(data)
-    words = Words(data, offs)
-    keys = np.insert(Spans(data).of(words.starts, words.ends), words.first[1:], _END)
-    counts = words.counts + 1
-    doc = np.repeat(np.arange(len(counts)), counts)
+def _histories(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The word before each token and the one before that."""
     first = np.cumsum(counts) - counts
     one, two = np.empty_like(keys), np.empty_like(keys)
     one[1:], two[2:] = keys[:-1], keys[:-2]
@@ -54,30 +57,21 @@ def _tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     two[first] = _START
     second = first[counts > 1] + 1
     two[second] = _START
-    return keys, one, two, doc
-
-
-def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offs = utf8(batch.column(0))
-        for lo, hi in steps(offs):
-            c, b, a, _ = _tokens(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
-            key = _pair(_pair(a, b), c)
-            _, at, n = np.unique(key, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(x[at])) for x in (a, b, c)] + [pa.array(n)], ["a", "b", "c", "n"])
+    return one, two
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        key, *rest = (unsigned(c.to_numpy()) for c in batch.columns[:-1])
-        for more in rest:
-            key = _pair(key, more)
-        yield pa.RecordBatch.from_arrays([pa.array(signed(key)), batch.columns[-1]], ["key", "v"])
+def _tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes with an end after each document, the two words before each, and each token's document."""
+    data = lower(data)
+    words = Words(data, offs)
+    keys = np.insert(Spans(data).of(words.starts, words.ends), words.first[1:], _END)
+    counts = words.counts + 1
+    return keys, *_histories(keys, counts), np.repeat(np.arange(len(counts)), counts)
 
 
-def _discounts(grams: DataFrame) -> list[float]:
+def _discounts(of_counts: list[int]) -> list[float]:
     """Modified Kneser-Ney discounts of counts 1, 2 and 3 or more; 0.5, 0.75, 0.9 where counts of counts don't give them."""
-    n = grams.agg(*[F.count_if(F.col("n") == i) for i in (1, 2, 3, 4)]).first()
+    n = of_counts
     if all(n):
         y = n[0] / (n[0] + 2 * n[1])
         d = [k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3)]
@@ -86,170 +80,254 @@ def _discounts(grams: DataFrame) -> list[float]:
     return [0.5, 0.75, 0.9]
 
 
-def _less(n: str, d: list[float]) -> Column:
-    n = F.col(n)
-    return n - F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
+class Rates:
+    """What all documents share: the discounts and the unknown word. ``counts`` has by the length of the n-grams the sum of
+    their counts, how many there are, and how many have the counts 1 to 4."""
 
+    def __init__(self, counts: dict[int, list[int]]):
+        self.d = {n: _discounts(c[2:]) for n, c in counts.items()}
+        total, types, ones, twos = counts[1][:4]
+        lost = self._lost(types, ones, twos, 1)
+        self.total = total or 1
+        self.unknown = (lost or 1.0) / self.total / (types + 1)  # the words' lost mass is shared by all words and the unknown one
 
-def _contexts(grams: DataFrame, by: list[str], d: list[float]) -> DataFrame:
-    """Per context: the sum of its counts and the share that backs off."""
-    lost = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-    return grams.groupBy(*by).agg(F.sum("n").alias("total"), (F.sum(lost) / F.sum("n")).alias("gamma"))
+    def _lost(self, types, ones, twos, n: int):
+        d = self.d[n]
+        return ones * d[0] + twos * d[1] + (types - ones - twos) * d[2]
 
+    def _own(self, count: np.ndarray, total, n: int) -> np.ndarray:
+        """The part of an n-gram's probability that is its own; 0 for one that was not seen."""
+        return np.where(count > 0, (count - np.array([0, *self.d[n]])[np.minimum(count, 3)]) / np.maximum(total, 1), 0)
 
-class Table:
-    """Values by 64-bit key, of one or more kinds: sorted keys, found from the key's leading bits.
+    def _weight(self, sums: list[np.ndarray], n: int) -> np.ndarray:
+        """The share of a context that backs off; 1 for one that was not seen."""
+        total, ones, twos, types = sums
+        return np.where(total > 0, self._lost(types, ones, twos, n) / np.maximum(total, 1), 1)
 
-    It is sent delta-coded and compressed, without its index: each executor keeps a broadcast as a file."""
+    def log10(self, three: list[np.ndarray], two: list[np.ndarray], before: list[np.ndarray], one: list[np.ndarray], word: list[np.ndarray]) -> np.ndarray:
+        """Of tokens c after a b: the counts of a b c, b c and c, and the sums of the contexts a b (``before``) and b (``word``)."""
+        p = self._own(one[0], self.total, 1) + self.unknown
+        p = self._own(two[0], word[0], 2) + self._weight(word, 2) * p
+        return np.log10(self._own(three[0], before[0], 3) + self._weight(before, 3) * p)
 
-    def __init__(self, *kinds: tuple[np.ndarray, np.ndarray]):
-        keys = np.unique(np.concatenate([k for k, _ in kinds]))
-        values = [np.full(len(keys), np.nan, np.float32) for _ in kinds]
-        for v, (k, x) in zip(values, kinds):
-            v[np.searchsorted(keys, k)] = x
-        self.keys, self.values = keys, values
 
-    def __getstate__(self):
-        return pack_keys(self.keys), [pack(v) for v in self.values]
+def _width(n: int) -> int:
+    """Columns of the n-grams of n words: their count, and as contexts of longer ones the sum and the followers seen once, twice, at all."""
+    return 1 if n == 3 else 5
 
-    def __setstate__(self, state) -> None:
-        self.keys, self.values = unpack_keys(state[0]), [unpack(v, np.float32) for v in state[1]]
 
-    @cached_property
-    def index(self) -> tuple[np.uint64, np.ndarray]:
-        """How far a key is shifted to its leading bits, and where the keys of each of these begin; made where it is used."""
-        shift = _U(64 - max(1, len(self.keys).bit_length()))
-        return shift, np.searchsorted(self.keys >> shift, np.arange((1 << (64 - int(shift))) + 1, dtype=_U)).astype(np.int64)
+def _found(known: np.ndarray, columns: list[np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Which keys are among the sorted keys ``known``, and these ones' columns."""
+    if not len(known):
+        return np.zeros(len(keys), bool), columns
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    hit = known[at] == keys
+    return hit, [c[at[hit]] for c in columns]
 
-    def get(self, keys: np.ndarray, kind: int = 0) -> np.ndarray:
-        """The values of a kind; NaN where there is none."""
-        out = np.full(len(keys), np.nan, np.float32)
-        shift, begin = self.index
-        top = (keys >> shift).astype(np.int64)
-        at, end = begin[top], begin[top + 1]
-        left = np.flatnonzero(at < end)
-        while len(left):
-            hit = self.keys[at[left]] == keys[left]
-            out[left[hit]] = self.values[kind][at[left[hit]]]
-            left = left[~hit]
-            at[left] += 1
-            left = left[at[left] < end[left]]
-        return out
+
+def _spread(hit: np.ndarray, columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Columns at all keys, 0 where there is none."""
+    out = [np.zeros(len(hit), np.int64) for _ in columns]
+    for x, c in zip(out, columns):
+        x[hit] = c
+    return out
 
 
 class Model:
-    """log10 probabilities of seen n-grams (kind 0) and backoff weights of seen contexts (kind 1)."""
+    """The count tables of a small corpus in memory: by the length of the n-grams their sorted keys and columns."""
 
-    def __init__(self, tables: dict[str, Table], unknown: float):
-        self.tables, self.unknown = tables, np.float32(unknown)
+    def __init__(self, tables: dict[int, tuple[np.ndarray, list[np.ndarray]]], rates: Rates):
+        self.tables, self.rates = tables, rates
 
     def scores(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens and log10 probability of each document."""
         c, b, a, doc = _tokens(data, offs)
         n = len(offs) - 1
-        bc, ab = _pair(b, c), _pair(a, b)
-        p = self.tables["three"].get(_pair(ab, c))
-        left = np.flatnonzero(np.isnan(p))
-        two = self.tables["two"].get(bc[left])
-        weight = np.nan_to_num(self.tables["two"].get(ab[left], 1), nan=0.0)
-        rest = np.flatnonzero(np.isnan(two))
-        one = self.tables["one"].get(c[left[rest]])
-        two[rest] = np.where(np.isnan(one), self.unknown, one) + np.nan_to_num(self.tables["one"].get(b[left[rest]], 1), nan=0.0)
-        p[left] = two + weight
+        ab = _pair(a, b)
+        get = lambda n, keys: _spread(*_found(*self.tables[n], keys))
+        p = self.rates.log10(get(3, _pair(ab, c)), get(2, _pair(b, c))[:1], get(2, ab)[1:], get(1, c)[:1], get(1, b)[1:])
         return np.bincount(doc, minlength=n), np.bincount(doc, p, n)
 
 
-def probabilities(trusted: DataFrame, text: str = "text") -> tuple[DataFrame, float]:
-    """The model of all rows of ``trusted``: a stored table of n, what, key, v (log10 of the probabilities, ``what`` 0, of n-grams
-    of n words and of the weights, ``what`` 1, of contexts of n words), and log10 of the unknown word's probability."""
-    raw = trusted.select(F.col(text).alias("text")).mapInArrow(_trigrams, "a bigint, b bigint, c bigint, n bigint")
-    context = Window.partitionBy("a", "b")  # dealt once: counts, their context's sums and its first row in one shuffle
-    sums = [F.sum("n").over(context).alias("total"), F.count(F.lit(1)).over(context).alias("types")]
-    sums += [F.count_if(F.col("n") == i).over(context).alias(f"n{i}") for i in (1, 2)]
-    three = raw.repartition("a", "b").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
-    three = stored(three.select("a", "b", "c", "n", *sums, (F.col("c") == F.min("c").over(context)).alias("first")), "kn-three")
-    two = stored(three.groupBy("b", "c").agg(F.count(F.lit(1)).alias("n")), "kn-two")
-    one = stored(two.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "kn-one")
-    d3, d2, d1 = _discounts(three), _discounts(two), _discounts(one)
-    total, types, lost = one.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.col("n") - _less("n", d1))).first()
-    total, types, lost = total or 1, types or 0, lost or 1.0
-    unknown = lost / total / (types + 1)  # the words' lost mass is shared by all words and the unknown one
-    p1 = one.select("c", (_less("n", d1) / total + unknown).alias("p1"))
-    after_one = stored(_contexts(two, ["b"], d2), "kn-after-one")
-    p2 = two.join(after_one, "b").join(p1, "c")
-    p2 = stored(p2.select("b", "c", (_less("n", d2) / F.col("total") + F.col("gamma") * F.col("p1")).alias("p2")), "kn-p2")
-    gamma = (F.col("n1") * d3[0] + F.col("n2") * d3[1] + (F.col("types") - F.col("n1") - F.col("n2")) * d3[2]) / F.col("total")
-    after_two = three.filter("first").select("a", "b", gamma.alias("gamma"))
-    own = three.select("a", "b", "c", (_less("n", d3) / F.col("total")).alias("own"), gamma.alias("gamma"))
-    p3 = own.join(p2, ["b", "c"]).select("a", "b", "c", (F.col("own") + F.col("gamma") * F.col("p2")).alias("p3"))
-
-    def keyed(df: DataFrame, columns: list[str], value: str, what: int) -> DataFrame:
-        rows = df.select(*columns, F.log10(value).cast("float").alias("v")).mapInArrow(_keyed, "key bigint, v float")
-        return rows.select(F.lit(len(columns)).alias("n"), F.lit(what).alias("what"), "key", "v")
-
-    kinds = [(p3, ["a", "b", "c"], "p3", 0), (p2, ["b", "c"], "p2", 0), (after_two, ["a", "b"], "gamma", 1), (p1, ["c"], "p1", 0), (after_one, ["b"], "gamma", 1)]
-    grams = stored(reduce(DataFrame.union, [keyed(*k) for k in kinds]), "kn-model")
-    for done in (three, two, one, after_one, p2):
-        discard(done)
-    return grams, float(np.log10(unknown))
+def _narrow(column: np.ndarray) -> tuple[str, bytes]:
+    """Counts, packed in as few bytes as the largest needs."""
+    kind = np.min_scalar_type(int(column.max(initial=0)))
+    return kind.str, pack(column.astype(kind))
+
+
+def _wide(kind: str, data: bytes) -> np.ndarray:
+    return unpack(data, np.dtype(kind)).astype(np.int64)
+
+
+def _columns_of(data: bytes) -> tuple[np.ndarray, list[np.ndarray]]:
+    keys, columns = pickle.loads(data)
+    return unpack_keys(keys), [_wide(*c) for c in columns]
+
+
+def _packed(keys: np.ndarray, columns: list[np.ndarray]) -> bytes:
+    return pickle.dumps((pack_keys(keys), [_narrow(c) for c in columns]))
+
+
+def _messages(number: int, n: int, keys: np.ndarray, columns: list[np.ndarray], bits: int) -> pa.RecordBatch:
+    cut = cuts(keys, bits)
+    return batch_of([row(number, n, s, _packed(keys[a:b], [c[a:b] for c in columns])) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a])
+
+
+def _send(bits: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, data in zip(batch.column(0).to_pylist(), batch.column(3)):
+                block = Block(data.as_py(), 3)
+                yield _messages(number, 3, block.keys[2], [block.counted(3)], bits)
+    return work
+
+
+def _add(table: pa.Table) -> pa.Table:
+    """All parts of one shard of the n-grams of one length: the sums (block -1), what they sum up to and their counts of counts
+    (block -2), and back to each block twice its n-grams' counts, plus one where it is the block that answers for one."""
+    n, shard = table["kind"][0].as_py(), table["shard"][0].as_py()
+    parts = [_columns_of(d.as_py()) for d in table["data"]]
+    keys = [k for k, _ in parts]
+    columns = [np.concatenate(c) for c in zip(*(c for _, c in parts))]
+    bounds = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
+    unique, _, place = distinct(np.concatenate(keys))
+    sums = [np.bincount(place, c, len(unique)).astype(np.int64) for c in columns]  # exact: below 2^53
+    seen = sums[0][sums[0] > 0]
+    out = [row(-1, n, shard, _packed(unique, sums)), row(-2, n, shard, pickle.dumps([int(seen.sum()), len(seen), *[int((seen == i).sum()) for i in (1, 2, 3, 4)]]))]
+    if n > 1:
+        has = np.flatnonzero(columns[0] > 0)[::-1]
+        first = np.full(len(unique), -1, np.int64)
+        first[place[has]] = has
+        back = 2 * sums[0][place] + (first[place] == np.arange(len(place)))
+        out += [row(b, n, shard, pickle.dumps(_narrow(back[lo:hi]))) for b, lo, hi in zip(table["block"].to_pylist(), bounds[:-1], bounds[1:])]
+    return pa.Table.from_batches([batch_of(out)])
+
+
+def _given(block: Block, n: int, count: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """What the n-grams that a block answers for give those one word shorter: which of these get any, and their columns."""
+    some, count = block.some[n - 1][mine], count[mine]
+    context, last, size = block.context[n - 1][some], block.place[n - 2][some], len(block.keys[n - 2])
+    columns = [np.bincount(x, minlength=size) for x in (last, context[count == 1], context[count == 2], context)]
+    columns.insert(1, np.bincount(context, count, size).astype(np.int64))
+    some = (columns[0] > 0) | (columns[4] > 0)
+    return some, [c[some] for c in columns]
+
+
+def _by_shard(rows: pa.Table, n: int) -> list:
+    """What came back for a block's n-grams of n words, in the order of the shards, which is that of the keys."""
+    mine = [(s, d) for k, s, d in zip(rows["kind"].to_pylist(), rows["shard"].to_pylist(), rows["data"]) if k == n]
+    return [pickle.loads(d.as_py()) for _, d in sorted(mine, key=lambda x: x[0])]
+
+
+def _send_shorter(bits: int, n: int):
+    def work(rows: pa.Table) -> pa.Table:
+        """What a block gives the n-grams of n words, from the sums of the longer ones."""
+        block = Block(_data(rows), 3)
+        whole = lambda n: np.concatenate([_wide(*x) for x in _by_shard(rows, n)] or [np.zeros(0, np.int64)])
+        back = whole(3)
+        some, columns = _given(block, 3, back >> 1, (back & 1) > 0)
+        if n == 1:
+            back = np.zeros(len(some), np.int64)
+            back[some] = whole(2)
+            some, columns = _given(block, 2, back >> 1, (back & 1) > 0)
+        return pa.Table.from_batches([_messages(rows["block"][0].as_py(), n, block.keys[n - 1][some], columns, bits)])
+
+    return work
+
+
+def _size(docs: DataFrame, text: str) -> int:
+    return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+
+
+class Counts:
+    """The model: by the length of the n-grams a table of ``blocks`` rows bucketed by shard, of which ``sums`` are the model's."""
+
+    def __init__(self, tables: dict[int, DataFrame], rates: Rates, bits: int):
+        self.tables, self.rates, self.bits = tables, rates, bits
+
+    def sums(self, n: int) -> DataFrame:
+        return self.tables[n].filter("block = -1")
+
+    def discard(self) -> None:
+        for table in self.tables.values():
+            discard(table)
+
+
+def _blocks(docs: DataFrame, size: int, block: int, label: str) -> DataFrame:
+    """Blocks of all rows of doc_id, text, held_out: of about ``size`` bytes, so that small tables in many partitions make few blocks."""
+    most = max(docs.sparkSession.sparkContext.defaultParallelism, 1 + size // (4 * block))  # a token and its space take some 6 bytes
+    return stored(_pack_documents(docs.coalesce(most), block), label)
+
+
+def counts(trusted: DataFrame, text: str = "text", block: int = BLOCK, size: int | None = None) -> Counts:
+    """The model of all rows of ``trusted``. ``size``, the bytes of text of the rows to be scored, is what the number of shards follows."""
+    size = _size(trusted, text) if size is None else size
+    bits = max(4, (size // SHARD).bit_length())
+    packed = _blocks(trusted.select(F.lit(0).alias("doc_id"), F.col(text).alias("text"), F.lit(False).alias("held_out")), size, block, "kn-learned")
+    added = lambda sent, label: bucketed(sent.groupBy("shard").applyInArrow(_add, ROW), label, "shard")
+    tables = {3: added(packed.mapInArrow(_send(bits), ROW), "kn-three")}
+    for n, label in ((2, "kn-two"), (1, "kn-one")):
+        back = [t.filter("block >= 0") for t in tables.values()]
+        tables[n] = added(reduce(DataFrame.union, back, packed).groupBy("block").applyInArrow(_send_shorter(bits, n), ROW), label)
+    discard(packed)
+    totals = reduce(DataFrame.union, tables.values()).filter("block = -2").select("kind", "data").mapInArrow(_sums, "kind int, place int, n bigint")
+    sums = {(r["kind"], r["place"]): r["n"] for r in totals.groupBy("kind", "place").agg(F.sum("n").alias("n")).collect()}
+    return Counts(tables, Rates({n: [sums.get((n, i), 0) for i in range(6)] for n in (1, 2, 3)}), bits)
 
 
 def trained(trusted: DataFrame, text: str = "text") -> Model:
     """The model of all rows of ``trusted``, a small table, in memory."""
-    grams, unknown = probabilities(trusted, text)
-    got = grams.toArrow()
-    discard(grams)
-    n, what, v = (got[c].to_numpy() for c in ("n", "what", "v"))
-    key = unsigned(got["key"].to_numpy())
-    of = lambda i, j: (key[(n == i) & (what == j)], v[(n == i) & (what == j)])
-    return Model({"three": Table(of(3, 0)), "two": Table(of(2, 0), of(2, 1)), "one": Table(of(1, 0), of(1, 1))}, unknown)
+    model, tables = counts(trusted, text), {}
+    for n in model.tables:
+        parts = [_columns_of(r["data"]) for r in sorted(model.sums(n).collect(), key=lambda r: r["shard"])]
+        keys = np.concatenate([k for k, _ in parts]) if parts else np.zeros(0, _U)
+        tables[n] = keys, [np.concatenate(c) for c in zip(*(c for _, c in parts))] or [np.zeros(0, np.int64)] * _width(n)
+    model.discard()
+    return Model(tables, model.rates)
 
 
-def _ask(bits: int):
+def _ask(bits: int, n: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The distinct n-grams of n words of each block, with the histories of first tokens, by shard."""
         for batch in batches:
             for number, data in zip(batch.column(0).to_pylist(), batch.column(3)):
-                for n, keys in enumerate(Block(data.as_py(), 3).keys, 1):
-                    cut = cuts(keys, bits)
-                    yield batch_of([row(number, n, s, pack_keys(keys[a:b])) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a])
+                _, _, _, sizes, vocabulary, tokens = pickle.loads(data.as_py())
+                words = unpack_keys(vocabulary)[unpack(tokens, np.uint32)]
+                one, two = _histories(words, unpack(sizes, np.int64))
+                start = np.array([_START])
+                grams = np.append(words, start) if n == 1 else np.append(_pair(one, words), _pair(start, start)) if n == 2 else _pair(_pair(two, one), words)
+                grams = np.sort(grams)  # np.unique hashes, which is far slower
+                keys = grams[np.insert(grams[1:] != grams[:-1], 0, True)]
+                cut = cuts(keys, bits)
+                yield batch_of([row(number, n, s, pack_keys(keys[a:b])) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a])
     return work
 
 
-def _reply(asked: pa.Table, model: pa.Table) -> pa.Table:
-    """All that the blocks ask of one shard of the n-grams of one length: values (kind 10 n) and weights (10 n + 1), NaN where there is none."""
-    key, what, v = unsigned(model["key"].to_numpy()), model["what"].to_numpy(), model["v"].to_numpy()
-    tables = []
-    for i in (0, 1):
-        order = np.argsort(key[what == i])
-        tables.append((key[what == i][order], v[what == i][order]))
-    out = []
-    for number, n, shard, data in zip(*(asked[c].to_pylist() for c in ("block", "kind", "shard", "data"))):
-        keys = unpack_keys(data)
-        for i, (known, values) in enumerate(tables):
-            if n == 3 and i == 1:
-                continue
-            back = np.full(len(keys), np.nan, np.float32)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                hit = known[at] == keys
-                back[hit] = values[at[hit]]
-            out.append(row(number, 10 * n + i, shard, pack(back)))
-    return pa.Table.from_batches([batch_of(out)])
+def _reply(n: int):
+    def work(asked: pa.Table, model: pa.Table) -> pa.Table:
+        """All that the blocks ask of one shard: its columns at their n-grams."""
+        known, columns = _columns_of(model["data"][0].as_py()) if len(model) else (np.zeros(0, _U), [np.zeros(0, np.int64)] * _width(n))
+        out = []
+        for number, shard, data in zip(*(asked[c] for c in ("block", "shard", "data"))):
+            hit, found = _found(known, columns, unpack_keys(data.as_py()))
+            out.append(row(number.as_py(), n, shard.as_py(), pickle.dumps((len(hit), pack(np.packbits(hit)), [_narrow(x) for x in found]))))
+        return pa.Table.from_batches([batch_of(out)])
+    return work
+
+
+def _back(rows: pa.Table, n: int) -> list[np.ndarray]:
+    """The columns of a block's n-grams of n words, 0 where there is none."""
+    parts = [(np.unpackbits(unpack(hit, np.uint8), count=size), [_wide(*c) for c in columns]) for size, hit, columns in _by_shard(rows, n)]
+    return _spread(np.concatenate([h for h, _ in parts]) > 0, [np.concatenate(c) for c in zip(*(c for _, c in parts))])
 
 
-def _judge(unknown: float):
+def _judge(rates: Rates):
     def work(rows: pa.Table) -> pa.Table:
         """Tokens and perplexity of a block's documents."""
         block = Block(_data(rows), 3)
-        back = lambda kind: gather(rows, kind, np.float32)
-        p = back(30)[block.place[2]]
-        left = np.flatnonzero(np.isnan(p))
-        two = back(20)[block.place[1][left]]
-        weight = np.nan_to_num(back(21)[block.context[2][left]], nan=0.0)
-        rest = np.flatnonzero(np.isnan(two))
-        one = back(10)[block.place[0][left[rest]]]
-        two[rest] = np.where(np.isnan(one), np.float32(unknown), one) + np.nan_to_num(back(11)[block.context[1][left[rest]]], nan=0.0)
-        p[left] = two + weight
+        one, two, three = (_back(rows, n) for n in (1, 2, 3))
+        at = lambda columns, place: [c[place] for c in columns]
+        p = rates.log10(at(three, block.place[2]), at(two[:1], block.place[1]), at(two[1:], block.context[2]), at(one[:1], block.place[0]), at(one[1:], block.context[1]))
         score = np.bincount(block.doc, p, len(block.counts))
         doc_id, lang = block.ids.flatten()
         return pa.table([doc_id, lang, pa.array(block.counts.astype(np.int64)), pa.array(10 ** (-score / block.counts))], ["doc_id", "lang", "n_tokens", "perplexity"])
@@ -257,20 +335,25 @@ def _judge(unknown: float):
     return work
 
 
-def perplexities(docs: DataFrame, grams: DataFrame, unknown: float, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", block: int = BLOCK) -> DataFrame:
-    """doc_id, lang, n_tokens, perplexity of every row under the model ``grams`` (see ``probabilities``), stored; a text without
+def perplexities(docs: DataFrame, model: Counts, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", block: int = BLOCK, parts: int = PARTS, size: int | None = None) -> DataFrame:
+    """doc_id, lang, n_tokens, perplexity of every row under the model (see ``counts``), stored; a text without
     words has n_tokens 1 (its end)."""
     slim = docs.select(F.struct(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang")).alias("id"), F.col(text).alias("text"), F.lit(False).alias("held_out"))
-    bits = max(4, (2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    packed = stored(_pack_documents(slim, block), "kn-blocks")
-    model = grams.select(F.col("n").alias("kind"), F.shiftrightunsigned("key", 64 - bits).cast("int").alias("shard"), "what", "key", "v")
-    asked = packed.mapInArrow(_ask(bits), ROW).groupBy("kind", "shard")
-    back = asked.cogroup(model.groupBy("kind", "shard")).applyInArrow(_reply, ROW)
     kinds = {f.name: f.dataType.simpleString() for f in slim.schema["id"].dataType.fields}
     schema = f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, n_tokens bigint, perplexity double"
-    out = stored(packed.union(back).groupBy("block").applyInArrow(_judge(unknown), schema), "kn-perplexities")
-    discard(packed)
-    return out
+    part = F.pmod(F.xxhash64("id.doc_id", "text"), F.lit(parts))
+    size = _size(slim, "text") if size is None else size
+    out = []
+    for i in range(parts):
+        packed = _blocks(slim.filter(part == i), size // parts, block, "kn-blocks")
+        back = []
+        for n in model.tables:
+            asked = packed.mapInArrow(_ask(model.bits, n), ROW).groupBy("shard")
+            back.append(stored(asked.cogroup(model.sums(n).groupBy("shard")).applyInArrow(_reply(n), ROW), "kn-replies"))
+        out.append(stored(reduce(DataFrame.union, back, packed).groupBy("block").applyInArrow(_judge(model.rates), schema), "kn-perplexities"))
+        for done in (packed, *back):
+            discard(done)
+    return reduce(DataFrame.union, out)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -302,9 +385,10 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack
     """
     ids = trusted_ids(labels)
     learned = docs.select("doc_id", "text").filter("text is not null").join(ids.filter("training").select("doc_id"), "doc_id", "left_semi")
-    grams, unknown = probabilities(learned.distinct())  # a row that is repeated counts once
-    rows = perplexities(docs, grams, unknown)
-    discard(grams)
+    size = _size(docs, "text")
+    model = counts(learned.distinct(), size=size)  # a row that is repeated counts once
+    rows = perplexities(docs, model, size=size)
+    model.discard()
     seen = rows.join(ids, "doc_id", "left_semi").join(learned.select("doc_id").distinct(), "doc_id", "left_anti").withColumn("log", F.log("perplexity"))
     cut = F.percentile_approx("log", F.lit(quantile), F.lit(10_000)).alias("cut")
     every = seen.agg(cut.alias("every"))
