@@ -106,9 +106,16 @@ class Rates:
 
     def log10(self, three: list[np.ndarray], two: list[np.ndarray], before: list[np.ndarray], one: list[np.ndarray], word: list[np.ndarray]) -> np.ndarray:
         """Of tokens c after a b: the counts of a b c, b c and c, and the sums of the contexts a b (``before``) and b (``word``)."""
-        p = self._own(one[0], self.total, 1) + self.unknown
-        p = self._own(two[0], word[0], 2) + self._weight(word, 2) * p
-        return np.log10(self._own(three[0], before[0], 3) + self._weight(before, 3) * p)
+        weights = self._weight(before, 3), self._weight(word, 2)
+        p1 = self._own(one[0], self.total, 1) + self.unknown
+        p2 = self._own(two[0], word[0], 2) + weights[1] * p1
+        log = lambda x: np.log10(x).astype(np.float32)
+        out = log(self._own(three[0], before[0], 3) + weights[0] * p2)
+        left = np.flatnonzero(three[0] == 0)
+        shorter, rest = log(p2[left]), np.flatnonzero(two[0][left] == 0)
+        shorter[rest] = log(p1[left[rest]]) + log(weights[1][left[rest]])
+        out[left] = shorter + log(weights[0][left])
+        return out
 
 
 def _width(n: int) -> int:
