@@ -105,3 +105,13 @@ def test_weights_are_exchanged_for_contexts_of_held_out_documents_only(shipped,
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(40)), False) for i in range(20)] + [(20, "w1x1 w1x2 w3x3", True)]
     scored = K.scores(shipped.createDataFrame(rows, "doc_id long, text string, held boolean"), F.col("held"), block=100).collect()
     assert len(scored) == 21 and 0 < sum(contexts) < 100  # the training documents have 1,600
+
+
+@pytest.mark.parametrize("order", [3, 4])
+def test_blocks_count_what_only_held_out_documents_of_others_have(shipped, order):
+    texts = ["p q r s t z q w z r u", "a b c d", "x p q r s t y", "a b d", "p z p q", "q r s t w"]
+    ids = [next(i for i in range(1000 * k, 9999) if (zlib.crc32(str(i).encode()) % 7 == 2) == (k in (2, 5))) for k in range(len(texts))]
+    pairs = list(zip(ids, texts))
+    apart = shipped.createDataFrame(shipped.sparkContext.parallelize(pairs, len(pairs)), "doc_id long, text string")  # a block each
+    for a, b in zip(held(K.scores(apart, in_fold("doc_id", 7) == 2, order=order).collect()), sorted(reference(pairs, order)[0])):
+        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], rel=1e-9, abs=1e-9)
