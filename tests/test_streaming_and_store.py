@@ -5,6 +5,7 @@ import json
 import os
 import subprocess
 import sys
+import time
 from glob import glob
 
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from conftest import SF_SMALL
 from tierforge.operators.incremental import append_new, high_water, merge_upsert
 from tierforge.operators.scd2 import scd2_apply
 from tierforge.plans import tpch
+from tierforge.plans.runner import Run, needed
+from tierforge.session import SHUFFLE_CLEANUP
 from tierforge.sources import fixtures as fx
 from tierforge.sources import tables
 from tierforge.sources.tables import TableStore
@@ -320,3 +323,52 @@ def test_changed_input_is_not_served_from_memory(spark, tmp_path):
     t = dt.datetime.now().timestamp() + 60
     os.utime(p, (t, t))
     assert input_state(spark, str(tmp_path / "in")) != first
+
+
+def test_merge_shuffles_stored_rows_once(spark, tmp_path, monkeypatch):
+    """Stored rows that stay are written from where they met the keys of the batch: by partition, with no other shuffle."""
+    plans, plain = [], TableStore._save
+
+    def noted(self, df, folder, layout, run, mode="overwrite", kept=None):
+        if kept is not None:
+            plans.append(kept._jdf.queryExecution().executedPlan().toString())
+        return plain(self, df, folder, layout, run, mode, kept)
+
+    monkeypatch.setattr(TableStore, "_save", noted)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store = TableStore(spark, str(tmp_path / "s"))
+        base = spark.range(300).selectExpr("id as k", "id % 3 as l", "add_months(date'2024-01-15', cast(id % 6 as int)) as d", "0 as v")
+        upd = spark.range(200, 400).selectExpr("if(id % 50 = 0, null, id) as k", "id % 3 as l", "add_months(date'2024-01-15', cast(id % 5 as int)) as d", "1 as v")
+        for name, layout in (("b", {}), ("m", {"month_of": "d"})):
+            store.write(name, base, keys=["k", "l"], **layout)
+            store.write(name, merge_upsert(store.read(name), upd, ["k", "l"]))
+            got = sorted((r["k"] or -1, r["d"], r["v"]) for r in store.read(name).collect())
+            kept = base.filter("k < 200 or k % 50 = 0").unionByName(upd)  # a NULL key replaces nothing
+            assert got == sorted((r["k"] or -1, r["d"], r["v"]) for r in kept.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert len(plans) == 3  # the buckets; the lookup of months and the months
+    for plan in plans:
+        assert plan.count("Exchange hashpartitioning(_p#") == plan.count("Exchange") == 2 and plan.count(", REBALANCE_PARTITIONS_BY_COL") == 2
+        assert all("_p#" in x and "," not in x.split("hashpartitioning(")[1].split(", 8)")[0] for x in plan.splitlines() if "Exchange" in x)
+
+
+def test_run_leaves_no_shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    shuffled = lambda: {f for d in dirs for f in glob(f"{d}/*/shuffle_*.data")}
+    before, set_to = shuffled(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    Run(spark, SF_SMALL).run(domains=("tpch",), only=needed(["silver_part"]))
+    late = time.time() + 10
+    while shuffled() - before and time.time() < late:
+        time.sleep(0.1)
+    assert not shuffled() - before and spark.conf.get(SHUFFLE_CLEANUP, None) == set_to
+
+
+def test_tables_and_batches_are_compressed_by_zstd(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    store.write("t", spark.range(10).selectExpr("id as k"), keys=["k"])
+    batch = merge_upsert(store.read("t"), spark.range(5, 15).selectExpr("id as k"), ["k"])
+    staged = glob(f"{getattr(batch, tables.MERGE_ATTR)[1].stored_at.removeprefix('file:')}/*.parquet")
+    assert staged and files(store, "t") and all(".zstd." in f for f in [*staged, *files(store, "t")])
